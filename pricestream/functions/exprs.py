@@ -16,14 +16,20 @@ def _c(x) -> Column:
 
 
 def trim_unicode(s) -> Column:
-    """Strip Unicode white space at both ends (Spark ``trim`` strips only U+0020)."""
+    """Strip Unicode white space at both ends (Spark ``trim`` strips only U+0020).
+
+    Fast path: the replace runs only when the first or last character is white
+    space (an anchored check); other texts pass through unchanged.
+    """
     cls = K.UNICODE_SPACE_CLASS
-    return F.regexp_replace(_c(s), f"^{cls}+|{cls}+$", "")
+    x = _c(s)
+    padded = x.rlike(rf"\A{cls}|{cls}\z")
+    return F.when(padded, F.regexp_replace(x, f"^{cls}+|{cls}+$", "")).otherwise(x)
 
 
 def is_blank(s) -> Column:
-    """True when the text is null or only white space."""
-    return F.coalesce(trim_unicode(s) == F.lit(""), F.lit(True))
+    """True when the text is null or only white space (one anchored match)."""
+    return F.coalesce(_c(s).rlike(rf"\A{K.UNICODE_SPACE_CLASS}*\z"), F.lit(True))
 
 
 def valid_product_id(s) -> Column:

@@ -16,13 +16,15 @@ from pyspark.sql import types as T
 
 from pricestream.operators import baseline, demand, ingest, overrides, serving
 from pricestream.operators.scan import choose_bucket_seconds
+from pricestream.session import materialize
 from pricestream.sources import fixtures
 
 
 class PricingPlan:
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
                  run_ts: str = fixtures.RUN_TS, order: Sequence[str] = demand.EVENT_ORDER,
-                 bucket_seconds: int | None | str = "auto", history_limit=50):
+                 bucket_seconds: int | None | str = "auto", history_limit=50,
+                 materialize: bool = False):
         self.events = events
         self.commands = commands
         self.catalog = catalog
@@ -30,6 +32,7 @@ class PricingPlan:
         self.order = tuple(order)
         self._bucket = bucket_seconds
         self.history_limit = history_limit
+        self.materialize = materialize
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, stream: str = "events", **kw) -> "PricingPlan":
@@ -52,7 +55,8 @@ class PricingPlan:
 
     @cached_property
     def effective(self) -> DataFrame:
-        return overrides.effective_commands(self.commands, self.catalog, self.valid, self.bucket_seconds)
+        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.bucket_seconds)
+        return materialize(eff, "effective_commands") if self.materialize else eff
 
     @cached_property
     def gated(self) -> DataFrame:
@@ -60,8 +64,12 @@ class PricingPlan:
 
     @cached_property
     def priced(self) -> DataFrame:
-        return demand.priced_events(self.events, self.commands, self.catalog, self.order,
-                                    self.bucket_seconds, effective=self.effective)
+        """Accepted events with demand and price. With ``materialize`` the result
+        is written once (the batch job's output table) so that history, live
+        state and serving views read it instead of recomputing the chain."""
+        p = demand.priced_events(self.events, self.commands, self.catalog, self.order,
+                                 self.bucket_seconds, effective=self.effective)
+        return materialize(p, "priced_events") if self.materialize else p
 
     @cached_property
     def demand_totals(self) -> DataFrame:

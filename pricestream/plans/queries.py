@@ -34,8 +34,10 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def _plan(spark: SparkSession, sf_dir: str) -> PricingPlan:
-    return PricingPlan.from_tables(spark, sf_dir)
+def _plan(spark: SparkSession, sf_dir: str, materialize: bool = False) -> PricingPlan:
+    """The batch plan over the events fixture. ``materialize`` writes the accepted
+    events and effective commands once when the query reads them several times."""
+    return PricingPlan.from_tables(spark, sf_dir, materialize=materialize)
 
 
 def price_updates_json(spark: SparkSession, sf_dir: str, plan: PricingPlan | None = None) -> DataFrame:
@@ -208,7 +210,7 @@ def round_price_2dp(spark, sf_dir):
 
 @query
 def base_seed_time(spark, sf_dir):
-    p = _plan(spark, sf_dir)
+    p = _plan(spark, sf_dir, materialize=True)
     first = p.history_core.groupBy("product_id").agg(F.min("event_time").alias("t"))
     return first.select("product_id", X.base_seed_time(F.col("t")).alias("value"))
 
@@ -233,7 +235,7 @@ def dynamic_price_events(spark, sf_dir):
 
 @query
 def live_price(spark, sf_dir):
-    p = _plan(spark, sf_dir)
+    p = _plan(spark, sf_dir, materialize=True)
     return demand.live_price(p.priced, p.effective, p.catalog)
 
 
@@ -294,51 +296,51 @@ def override_history_points(spark, sf_dir):
 
 @query
 def seed_live_state(spark, sf_dir):
-    return _plan(spark, sf_dir).live_state
+    return _plan(spark, sf_dir, materialize=True).live_state
 
 
 @query
 def base_price_history(spark, sf_dir):
-    return _plan(spark, sf_dir).base_rows.drop("seq")
+    return _plan(spark, sf_dir, materialize=True).base_rows.drop("seq")
 
 
 # --- 2.7 serving -------------------------------------------------------------
 
 @query
 def known_products(spark, sf_dir):
-    return serving.known_products(_plan(spark, sf_dir).live_state)
+    return serving.known_products(_plan(spark, sf_dir, materialize=True).live_state)
 
 
 @query
 def price_history_topn(spark, sf_dir):
-    return _plan(spark, sf_dir).topn
+    return _plan(spark, sf_dir, materialize=True).topn
 
 
 @query
 def history_exists(spark, sf_dir):
-    p = _plan(spark, sf_dir)
+    p = _plan(spark, sf_dir, materialize=True)
     return serving.history_exists(p.catalog, p.history_core)
 
 
 @query
 def current_price(spark, sf_dir):
-    return _plan(spark, sf_dir).current
+    return _plan(spark, sf_dir, materialize=True).current
 
 
 @query
 def price_chart_series(spark, sf_dir):
-    p = _plan(spark, sf_dir)
+    p = _plan(spark, sf_dir, materialize=True)
     return serving.price_chart_series(p.topn, p.current)
 
 
 @query
 def history_source_flags(spark, sf_dir):
-    return serving.history_source_flags(_plan(spark, sf_dir).topn)
+    return serving.history_source_flags(_plan(spark, sf_dir, materialize=True).topn)
 
 
 @query
 def changed_product_snapshot(spark, sf_dir):
-    p = _plan(spark, sf_dir)
+    p = _plan(spark, sf_dir, materialize=True)
     since = F.unix_seconds(F.lit(fixtures.CHANGED_SINCE_TS).cast("timestamp"))
     ups = ingest.catalog_updates(_updates(spark, sf_dir, p), fixtures.storefront_catalog(spark, sf_dir))
     return serving.changed_product_snapshot(ups.where(F.col("timestamp") >= since), p.current)

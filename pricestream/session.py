@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ensure_utc(spark: SparkSession) -> None:
@@ -47,3 +48,13 @@ def build_session(master: str | None = None, app: str = "pricestream",
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder and
+    return a scan of it: lineage is cut, every later reader shares one
+    computation, and the files survive the loss of executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -89,8 +89,9 @@ def storefront_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bench_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product events from lineitem: A/R/N -> view/cart/purchase.
 
-    (l_orderkey, l_linenumber) repeats, so ``tb`` carries every remaining column
-    as the final tie-break of the arrival order.
+    (l_orderkey, l_linenumber) repeats, so ``tb`` (a 64-bit hash of every
+    remaining column) is the final tie-break of the arrival order; rows equal in
+    all columns are interchangeable, so their relative order cannot change a result.
     """
     ensure_utc(spark)
     li = read_table(spark, sf_dir, "lineitem")
@@ -106,8 +107,8 @@ def bench_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("user_id"),
         F.unix_millis(arrival).alias("timestamp"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
-        F.struct("l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
-                 "l_linestatus").alias("tb"),
+        F.xxhash64("l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                   "l_linestatus").alias("tb"),
     )
 
 
