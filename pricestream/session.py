@@ -58,3 +58,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``pricestream`` importable in Python workers (needed only by the
+    grouped-map state function): zip the package once and ``addPyFile`` it."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    import shutil
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="pricestream-pkg-"), "pricestream")
+    archive = shutil.make_archive(base, "zip", root_dir=os.path.dirname(pkg), base_dir="pricestream")
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
