@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 
+# Standard JSON only: no single quotes, NaN/Infinity literals or leading zeros.
+STRICT_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+               "allowNumericLeadingZeros": "false", "allowUnquotedFieldNames": "false",
+               "allowBackslashEscapingAnyCharacter": "false", "allowComments": "false"}
+
 _STRING_TYPES = r"^(STRING|VOID)$"
 _INT_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|VOID)$"
 _NUM_TYPES = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT|VOID)$"
@@ -33,7 +38,7 @@ def decode_json_object(value: Column, fields: dict[str, str]) -> tuple[Column, d
     field is read as VARIANT so its JSON type can be checked.
     """
     schema = "array<struct<%s>>" % ", ".join(f"`{n}`: variant" for n in fields)
-    arr = F.from_json(F.concat(F.lit("["), value, F.lit("]")), schema)
+    arr = F.from_json(F.concat(F.lit("["), value, F.lit("]")), schema, STRICT_JSON)
     s = F.get(arr, 0)
     ok = (F.size(arr) == 1) & s.isNotNull() & value.rlike(r"\}\s*\z")
     values: dict[str, Column] = {}
@@ -88,7 +93,9 @@ def reject_reason(event_type="event_type", product_id="product_id", price="price
 def valid_predicate(event_type="event_type", product_id="product_id", price="price") -> Column:
     """Operator 9 as a predicate; deterministic, so it pushes into the Parquet scan."""
     et, pid, pr = (F.col(c) if isinstance(c, str) else c for c in (event_type, product_id, price))
-    return et.isin(*K.EVENT_WEIGHTS) & ~X.is_blank(pid) & (F.coalesce(pr, F.lit(0.0)) > 0)
+    # ``price > 0`` without coalesce: a null price compares to null, which WHERE
+    # drops, and the bare comparison is pushed into the Parquet scan.
+    return et.isin(*K.EVENT_WEIGHTS) & ~X.is_blank(pid) & (pr > 0)
 
 
 def valid_product_events(events: DataFrame) -> DataFrame:
