@@ -77,10 +77,18 @@ def live_price(priced: DataFrame, effective: DataFrame, catalog: DataFrame | Non
     Writers: seed (catalog base price, before everything), override sets (at
     command time), dynamic prices (at arrival). Ties on time: seed, then
     commands, then events.
+
+    The big input (accepted events) is reduced with fixed-width keys so Spark
+    plans a partial+final hash aggregate: demand rises with every accepted event
+    of a product, so its last event is the one with the highest demand. Only
+    the per-product rows of the three writers meet in the struct-keyed max_by.
     """
-    w = [priced.select("product_id", F.col("new_price").alias("price"),
-                       F.struct(F.col("arrival_ts").alias("t"), F.lit(K.KIND_EVENT).alias("k"),
-                                F.col("event_seq").alias("s")).alias("o")),
+    last_dyn = priced.groupBy("product_id").agg(
+        F.max_by("new_price", "demand").alias("price"),
+        F.max_by("arrival_ts", "demand").alias("t"),
+        F.max_by("event_seq", "demand").alias("s"))
+    w = [last_dyn.select("product_id", "price",
+                         F.struct(F.col("t"), F.lit(K.KIND_EVENT).alias("k"), F.col("s")).alias("o")),
          effective.where(F.col("op") == K.OP_SET)
                   .select("product_id", F.col("override_price").alias("price"),
                           F.struct(F.col("cmd_ts").alias("t"), F.lit(K.KIND_COMMAND).alias("k"),

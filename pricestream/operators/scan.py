@@ -127,8 +127,13 @@ def running_last(df: DataFrame, partition_keys: Sequence[str], order: Sequence[s
     w_local = Window.partitionBy(*partition_keys, b).orderBy(*order).rowsBetween(_UNB, end)
     local = d.withColumn(out, F.last(value, ignorenulls=True).over(w_local))
     v = F.col(value)
-    cells = d.groupBy(*partition_keys, b).agg(
-        F.max_by(v, F.when(v.isNotNull(), F.struct(*order))).alias("__last"))
+    # Per cell, the last non-null value. Only rows carrying a value go through the
+    # struct-keyed max_by (a sort aggregate); the cell list itself is a plain
+    # distinct. Both read the same shuffled data, so neither moves it again.
+    present = d.select(*partition_keys, b).distinct()
+    vals = (d.where(v.isNotNull()).groupBy(*partition_keys, b)
+             .agg(F.max_by(v, F.struct(*order)).alias("__last")))
+    cells = present.join(vals, [*partition_keys, b], "left")
     w_cell = Window.partitionBy(*partition_keys).orderBy(b).rowsBetween(_UNB, -1)
     carry = cells.select(*partition_keys, b,
                          F.last("__last", ignorenulls=True).over(w_cell).alias("__carry"))

@@ -15,18 +15,24 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+_LOCAL_CKPT: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system);
-    only when it is unset (local tests) a scratch folder is created.
+    On a cluster this is set by the deployment (a shared file system) and only
+    read here. When it is unset (local runs and tests) a scratch folder is
+    created once per application and registered with ``setCheckpointDir``.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="pricestream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if d:
+        return d
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_CKPT:
+        _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="pricestream-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_CKPT[app])
+    return _LOCAL_CKPT[app]
 
 
 def build_session(master: str | None = None, app: str = "pricestream",

@@ -23,9 +23,8 @@ def spark():
          .config("spark.driver.memory", "8g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    # Tests own their checkpoint folder; on a cluster it comes from the deployment.
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="pricestream-test-ckpt-"))
+    # The checkpoint folder comes from spark.checkpoint.dir when the deployment sets
+    # it; otherwise pricestream.session.checkpoint_dir makes a scratch one.
     yield s
     s.stop()
 
