@@ -95,3 +95,27 @@ def test_encode_price_update_reparses(spark):
     from pricestream.functions import exprs as X
     text = df.select(X.encode_price_update().alias("v")).first().v
     assert json.loads(text) == {"product_id": "PA", "new_price": 115.0, "timestamp": 1700000000}
+
+
+def test_update_stream_changed_products(spark, tmp_dir):
+    from pricestream.operators import serving
+    from pricestream.plans import queries as Q
+    from pricestream.streaming.sinks import start_update_stream
+    p = PricingPlan.from_tables(spark, SF001, bucket_seconds=None)
+    msgs = S.envelope(Q.price_updates_json(spark, SF001, p).join(p.priced.select("event_seq", "arrival_ts"),
+                                                                   "event_seq"),
+                      S.TOPIC_UPDATES, "event_seq", "arrival_ts", F.col("value"))
+    pdf = msgs.withColumn("chunk", F.lit(0)).toPandas()
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    _drop_files(pdf, inbox, [0], tmp_dir)
+    shop = fixtures.storefront_catalog(spark, SF001)
+    out = os.path.join(tmp_dir, "out")
+    q = start_update_stream(S.message_stream(spark, inbox), shop, lambda: p.current, out,
+                            os.path.join(tmp_dir, "ckpt"))
+    q.awaitTermination()
+    got = spark.read.parquet(os.path.join(out, "changed_products")).drop("batch_id")
+    ups = ingest.catalog_updates(Q._updates(spark, SF001, p), shop)
+    want = serving.changed_product_snapshot(ups, p.current)
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
