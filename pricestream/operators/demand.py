@@ -24,7 +24,11 @@ EVENT_ORDER = ("arrival_ts", "event_seq")
 
 
 def with_weight(events: DataFrame) -> DataFrame:
-    return events.withColumn("w", X.demand_weight(F.col("event_type")))
+    """Adds ``w``; an existing non-null ``w`` (a carried-in demand seed) is kept."""
+    w = X.demand_weight(F.col("event_type"))
+    if "w" in events.columns:
+        w = F.coalesce(F.col("w"), w)
+    return events.withColumn("w", w)
 
 
 def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,

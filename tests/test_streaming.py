@@ -4,9 +4,10 @@ import json
 import os
 import time
 
-import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
+from pricestream.operators import demand as D
 from pricestream.operators import ingest
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
@@ -119,3 +120,37 @@ def test_update_stream_changed_products(spark, tmp_dir):
     want = serving.changed_product_snapshot(ups, p.current)
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("bucket", [None, 3 * 3600])
+def test_microbatch_engine_equals_batch(spark, tmp_dir, bucket):
+    from pricestream.streaming.microbatch import start_microbatch_pricing
+    msgs = _messages(spark, SF001).withColumn("chunk", F.floor((F.dayofmonth("arrival_ts") - 1) / 8))
+    pdf = msgs.toPandas()
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    cat = fixtures.catalog(spark, SF001)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    _drop_files(pdf, inbox, [0, 1], tmp_dir)
+    start_microbatch_pricing(S.message_stream(spark, inbox, max_files_per_trigger=1), cat, out, ckpt,
+                             bucket_seconds=bucket).awaitTermination()
+    _drop_files(pdf, inbox, [2, 3], tmp_dir)
+    start_microbatch_pricing(S.message_stream(spark, inbox, max_files_per_trigger=1), cat, out, ckpt,
+                             bucket_seconds=bucket).awaitTermination()
+    hist = spark.read.parquet(os.path.join(out, "price_history"))
+    assert hist.select("batch_id").distinct().count() == 4
+    p = PricingPlan.from_tables(spark, SF001, bucket_seconds=None)
+    dyn = hist.where("price_source = 'dynamic'").select(F.col("seq").alias("event_seq"), "product_id",
+                                                        F.col("price").alias("new_price"))
+    batch = p.priced.select("event_seq", "product_id", "new_price")
+    assert dyn.exceptAll(batch).count() == 0 and batch.exceptAll(dyn).count() == 0
+    ovr = hist.where("price_source = 'override'").select("product_id", "price", "event_time")
+    want = p.history_core.where("price_source = 'override'").select("product_id", "price", "event_time")
+    assert ovr.exceptAll(want).count() == 0 and want.exceptAll(ovr).count() == 0
+    st = spark.read.parquet(os.path.join(out, "state"))
+    last = st.where(F.col("version") == st.agg(F.max("version")).first()[0])
+    got = last.where(F.col("demand").isNotNull()).select("product_id", "demand")
+    assert got.exceptAll(p.demand_totals).count() == 0 and p.demand_totals.exceptAll(got).count() == 0
+    lp = last.where(F.col("price").isNotNull()).select("product_id", "price")
+    want_lp = D.live_price(p.priced, p.effective)
+    assert lp.exceptAll(want_lp).count() == 0 and want_lp.exceptAll(lp).count() == 0
