@@ -31,7 +31,8 @@ def headline(spark, sf_dir):
         return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", materialize=materialize)
     return {
         # full chain over the lineitem stream: decode/validate -> gate -> demand -> price
-        "lineitem_dynamic_price_events": lambda: li(False).priced,
+        "lineitem_dynamic_price_events": lambda: li(False).priced.select(
+            "event_seq", "product_id", "demand", "new_price", "update_ts"),
         # history (base + dynamic + override) -> latest 50 per product
         "lineitem_price_history_topn": lambda: li().topn,
         # seeded live state + overrides -> current price per product

@@ -20,6 +20,10 @@ from pricestream.session import materialize
 from pricestream.sources import fixtures
 
 
+PRICED_COLUMNS = ("event_seq", "arrival_ts", "event_type", "product_id", "price", "w", "demand",
+                  "new_price", "update_ts")
+
+
 class PricingPlan:
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
                  run_ts: str = fixtures.RUN_TS, order: Sequence[str] = demand.EVENT_ORDER,
@@ -69,7 +73,10 @@ class PricingPlan:
         state and serving views read it instead of recomputing the chain."""
         p = demand.priced_events(self.events, self.commands, self.catalog, self.order,
                                  self.bucket_seconds, effective=self.effective)
-        return materialize(p, "priced_events") if self.materialize else p
+        if not self.materialize:
+            return p
+        # The written table keeps what history, state and views read.
+        return materialize(p.select(*PRICED_COLUMNS), "priced_events")
 
     @cached_property
     def demand_totals(self) -> DataFrame:
