@@ -27,18 +27,37 @@ def _typed(field: Column, pattern: str) -> Column:
     return field.isNull() | F.schema_of_variant(field).rlike(pattern)
 
 
-def decode_json_object(value: Column, fields: dict[str, str]) -> tuple[Column, dict[str, Column]]:
-    """Strict decode of one JSON object per text.
+def select_where(df: DataFrame, columns: list[Column], keep) -> DataFrame:
+    """Project ``columns`` and keep the rows where ``keep(row)`` holds, computing
+    every column once per row.
+
+    A plain ``select(...).where(...)`` on a computed column is rewritten by the
+    optimizer into a filter below the projection that evaluates the expression a
+    second time; for JSON decoding that doubles the parse. Filtering the one-row
+    array of the projected struct keeps a single evaluation.
+    """
+    return df.select(F.inline(F.filter(F.array(F.struct(*columns)), keep)))
+
+
+def parse_json(raw: DataFrame, value: str, fields: dict[str, str], keep: tuple[str, ...]) -> DataFrame:
+    """One strict parse per row into ``__arr`` (the text wrapped in ``[...]`` so
+    any trailing token fails the parse; every field read as VARIANT so its JSON
+    type can be checked). ``__v`` keeps the text."""
+    schema = "array<struct<%s>>" % ", ".join(f"`{n}`: variant" for n in fields)
+    v = F.col(value)
+    return raw.select(*keep, v.alias("__v"),
+                      F.from_json(F.concat(F.lit("["), v, F.lit("]")), schema, STRICT_JSON).alias("__arr"))
+
+
+def json_fields(fields: dict[str, str]) -> tuple[Column, dict[str, Column]]:
+    """(ok, values) over the columns of ``parse_json``.
 
-    ``fields`` maps name -> 'string' | 'bigint' | 'double'. Returns (ok, values):
     ``ok`` is false for malformed text, trailing text, a non-object root, or a
     field of the wrong JSON type; missing or null fields take the zero value
-    ('' / 0 / 0.0). Unknown fields are ignored. One parse per row: the text is
-    wrapped in ``[...]`` so any trailing token makes the parse fail, and every
-    field is read as VARIANT so its JSON type can be checked.
+    ('' / 0 / 0.0); unknown fields are ignored. A JSON ``null`` document decodes
+    to the zero value of every field.
     """
-    schema = "array<struct<%s>>" % ", ".join(f"`{n}`: variant" for n in fields)
-    arr = F.from_json(F.concat(F.lit("["), value, F.lit("]")), schema, STRICT_JSON)
+    arr, value = F.col("__arr"), F.col("__v")
     s = F.get(arr, 0)
     ok = (F.size(arr) == 1) & s.isNotNull() & value.rlike(r"\}\s*\z")
     values: dict[str, Column] = {}
@@ -54,7 +73,6 @@ def decode_json_object(value: Column, fields: dict[str, str]) -> tuple[Column, d
             d = F.try_variant_get(f, "$", "double")
             ok = ok & _typed(f, _NUM_TYPES) & (d.isNull() | ~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))))
             values[name] = F.coalesce(d, F.lit(0.0))
-    # A JSON ``null`` document decodes to the zero value of every field.
     null_doc = F.coalesce(value.rlike(r"\A[ \t\r\n]*null[ \t\r\n]*\z"), F.lit(False))
     zero = {"string": F.lit(""), "bigint": F.lit(0).cast("bigint"), "double": F.lit(0.0)}
     values = {n: F.when(null_doc, zero[t]).otherwise(c) for (n, c), t in zip(values.items(), fields.values())}
@@ -68,14 +86,25 @@ UPDATE_FIELDS = {"product_id": "string", "new_price": "double", "timestamp": "bi
 
 def decode_events(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ("event_seq", "arrival_ts")) -> DataFrame:
     """Operator 8 with the decode flag: keep columns + decoded fields + ``decoded``."""
-    ok, vals = decode_json_object(F.col(value), EVENT_FIELDS)
-    return raw.select(*keep, *(c.alias(n) for n, c in vals.items()), ok.alias("decoded"))
+    ok, vals = json_fields(EVENT_FIELDS)
+    return parse_json(raw, value, EVENT_FIELDS, keep).select(
+        *keep, *(c.alias(n) for n, c in vals.items()), ok.alias("decoded"))
 
 
 def decode_product_events(raw: DataFrame, value: str = "value",
                           keep: tuple[str, ...] = ("event_seq", "arrival_ts")) -> DataFrame:
     """Operator 8: successfully decoded events only."""
-    return decode_events(raw, value, keep).where("decoded").drop("decoded")
+    dec = decode_events(raw, value, keep)
+    return select_where(dec, [F.col(c) for c in dec.columns], lambda r: r["decoded"]).drop("decoded")
+
+
+def valid_decoded_events(raw: DataFrame, value: str = "value",
+                         keep: tuple[str, ...] = ("event_seq", "arrival_ts")) -> DataFrame:
+    """Operators 8 + 9: decoded events that pass validation (one parse per row)."""
+    dec = decode_events(raw, value, keep)
+    cols = [F.col(c) for c in dec.columns if c != "decoded"]
+    return select_where(dec, [*cols, (F.col("decoded") & valid_predicate()).alias("__ok")],
+                        lambda r: F.coalesce(r["__ok"], F.lit(False))).drop("__ok")
 
 
 def reject_reason(event_type="event_type", product_id="product_id", price="price",
@@ -106,21 +135,20 @@ def valid_product_events(events: DataFrame) -> DataFrame:
 def rejected_product_events(decoded_events: DataFrame) -> DataFrame:
     """Operator 10: event_seq + reason of every event failing decode or validation."""
     r = reject_reason(decoded=F.col("decoded"))
-    return (decoded_events.select("event_seq", r.alias("reason"))
-                          .where(F.col("reason").isNotNull()))
+    return select_where(decoded_events, [F.col("event_seq"), r.alias("reason")],
+                        lambda x: x["reason"].isNotNull())
 
 
 def parse_price_updates(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ("event_seq",)) -> DataFrame:
     """Operator 12: decode update JSON, require non-blank trimmed id, new_price > 0,
     timestamp > 0; emit the trimmed id tagged ``price_update``."""
-    ok, v = decode_json_object(F.col(value), UPDATE_FIELDS)
+    ok, v = json_fields(UPDATE_FIELDS)
     pid = X.trim_unicode(v["product_id"])
-    return (raw.select(*keep, ok.alias("__ok"), pid.alias("product_id"),
-                       v["new_price"].alias("new_price"), v["timestamp"].alias("timestamp"))
-               .where(F.col("__ok") & (F.col("product_id") != "") & (F.col("new_price") > 0)
-                      & (F.col("timestamp") > 0))
-               .select(*keep, F.lit(K.PRICE_UPDATE_TYPE).alias("type"), "product_id",
-                       "new_price", "timestamp"))
+    cols = [*map(F.col, keep), F.lit(K.PRICE_UPDATE_TYPE).alias("type"), pid.alias("product_id"),
+            v["new_price"].alias("new_price"), v["timestamp"].alias("timestamp"), ok.alias("__ok")]
+    return select_where(parse_json(raw, value, UPDATE_FIELDS, keep), cols,
+                        lambda r: r["__ok"] & (r["product_id"] != "") & (r["new_price"] > 0)
+                        & (r["timestamp"] > 0)).drop("__ok")
 
 
 def valid_override_commands(commands: DataFrame) -> DataFrame:
@@ -149,15 +177,15 @@ OVERRIDE_REQUEST_KEYS = ("product_id", "override_price", "reason")
 def decode_override_requests(raw: DataFrame, value: str = "value", keep: tuple[str, ...] = ("cmd_seq", "cmd_ts")) -> DataFrame:
     """JSON override bodies -> set commands; unknown fields or trailing data reject
     the body (strict decoder), as do the operator-13 value rules later."""
-    ok, v = decode_json_object(F.col(value), {"product_id": "string", "override_price": "double",
-                                               "reason": "string"})
-    keys = F.json_object_keys(F.col(value))
+    fields = {"product_id": "string", "override_price": "double", "reason": "string"}
+    ok, v = json_fields(fields)
+    keys = F.json_object_keys(F.col("__v"))
     no_unknown = F.coalesce(F.size(F.array_except(keys, F.array(*map(F.lit, OVERRIDE_REQUEST_KEYS)))) == 0,
                             F.lit(False))
-    return (raw.select(*keep, (ok & no_unknown).alias("__ok"), v["product_id"].alias("product_id"),
-                       F.lit(K.OP_SET).alias("op"), v["override_price"].alias("override_price"),
-                       v["reason"].alias("reason"))
-               .where("__ok").drop("__ok"))
+    cols = [*map(F.col, keep), v["product_id"].alias("product_id"), F.lit(K.OP_SET).alias("op"),
+            v["override_price"].alias("override_price"), v["reason"].alias("reason"),
+            (ok & no_unknown).alias("__ok")]
+    return select_where(parse_json(raw, value, fields, keep), cols, lambda r: r["__ok"]).drop("__ok")
 
 
 def catalog_updates(tagged_updates: DataFrame, catalog: DataFrame) -> DataFrame:

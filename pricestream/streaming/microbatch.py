@@ -36,9 +36,8 @@ SEED_TS = overrides.NEVER
 
 def batch_events(messages: DataFrame) -> DataFrame:
     """Decoded, validated product events of a micro-batch (w left to the plan)."""
-    ev = ingest.decode_events(S.product_event_stream(messages))
-    return (ev.where(F.col("decoded")).drop("decoded")
-              .withColumn("w", F.lit(None).cast("bigint")).select(*EVENT_COLS))
+    ev = ingest.decode_product_events(S.product_event_stream(messages))
+    return ev.withColumn("w", F.lit(None).cast("bigint")).select(*EVENT_COLS)
 
 
 def batch_commands(messages: DataFrame) -> DataFrame:

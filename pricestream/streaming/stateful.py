@@ -38,8 +38,7 @@ _IN_COLS = ["tid", "kind", "ts", "seq", "product_id", "price", "w", "ev_ms", "op
 
 def pricing_inputs(messages: DataFrame, catalog: DataFrame) -> DataFrame:
     """Decode and validate the message stream into one row shape for the fold."""
-    ev = ingest.decode_events(S.product_event_stream(messages))
-    ev = ev.where(F.col("decoded") & ingest.valid_predicate())
+    ev = ingest.valid_decoded_events(S.product_event_stream(messages))
     ev_rows = ev.select(
         X.trim_unicode(F.col("product_id")).alias("tid"), F.lit(K.KIND_EVENT).alias("kind"),
         F.col("arrival_ts").alias("ts"), F.col("event_seq").alias("seq"), "product_id", "price",
