@@ -28,6 +28,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store): "
+                           "executors must read what the driver's jobs write there")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_CKPT:
         _LOCAL_CKPT[app] = tempfile.mkdtemp(prefix="pricestream-ckpt-")
