@@ -267,6 +267,9 @@ SELECT event_seq, product_id, CAST(SUM(w) OVER (PARTITION BY product_id ORDER BY
 FROM ve""",
     "demand_totals": "SELECT product_id, demand FROM dt",
     "dynamic_price_events": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
+    # the streaming engines must produce exactly the batch result
+    "stream_pricing": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
+    "stream_pricing_stateful": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
     "live_price": "SELECT product_id, price FROM lp_all",
     "override_upsert": f"""
 SELECT COALESCE(s.product_id, n.product_id) AS product_id,

@@ -346,6 +346,23 @@ def changed_product_snapshot(spark, sf_dir):
     return serving.changed_product_snapshot(ups.where(F.col("timestamp") >= since), p.current)
 
 
+# --- 2.4 streaming (operator 31), checked against operator 29 -------------------
+
+@query
+def stream_pricing(spark, sf_dir):
+    """Operator 31, skew-safe engine: the batch plan per micro-batch with a
+    versioned state table; four micro-batches and three restarts."""
+    from pricestream.plans.replay import replay
+    return replay(spark, sf_dir, "microbatch")
+
+
+@query
+def stream_pricing_stateful(spark, sf_dir):
+    """Operator 31 with ``applyInPandasWithState`` keyed state; same input and result."""
+    from pricestream.plans.replay import replay
+    return replay(spark, sf_dir, "stateful")
+
+
 # --- without a SQL oracle ------------------------------------------------------
 
 @query

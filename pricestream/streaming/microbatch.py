@@ -122,6 +122,8 @@ class MicroBatchPricing:
             bid = f"batch_id={batch_id}"
             hist = demand.dynamic_history(real).unionByName(overrides.override_history_points(real_eff))
             hist.write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
+            real.select("event_seq", "product_id", "demand", "new_price", "update_ts") \
+                .write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
             (real.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
                  .write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}"))
             next_state(plan, real, real_eff, prev).write.mode("overwrite") \

@@ -20,6 +20,13 @@ def price_update_messages(out: DataFrame) -> DataFrame:
                .select(F.col("seq"), X.encode_price_update("product_id", "price", "update_ts").alias("value")))
 
 
+def priced_rows(out: DataFrame) -> DataFrame:
+    """Accepted events with their demand and price (the stream form of operator 29)."""
+    return (out.where(F.col("kind") == K.SOURCE_DYNAMIC)
+               .select(F.col("seq").alias("event_seq"), "product_id", "demand",
+                       F.col("price").alias("new_price"), "update_ts"))
+
+
 def history_rows(out: DataFrame) -> DataFrame:
     """Operator 6: one history row per accepted event ('dynamic') and effective set
     ('override'); a blank source would read back as 'dynamic'."""
@@ -71,6 +78,7 @@ class PricingSinks:
         try:
             bid = f"batch_id={batch_id}"
             price_update_messages(out).write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
+            priced_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
             history_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
             state = merge_live_state(self._prev_state(spark, batch_id), live_state_changes(out))
             state.write.mode("overwrite").parquet(f"{self.out_dir}/live_state/version={batch_id}")

@@ -46,7 +46,7 @@ def test_every_key_has_oracle_or_is_listed():
     qs, sqls = E.queries(), E.oracle_sql()
     assert set(sqls) <= set(qs)
     assert set(qs) - set(sqls) == {"encode_price_update"}
-    assert len(sqls) == 40
+    assert len(sqls) == 42
 
 
 @pytest.mark.parametrize("key", sorted(E.oracle_sql()))
