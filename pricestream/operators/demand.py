@@ -44,21 +44,27 @@ def priced_events(events: DataFrame, commands: DataFrame, catalog: DataFrame,
                   effective: DataFrame | None = None) -> DataFrame:
     """Operator 29: one row per accepted event with demand, new_price, update_ts.
 
-    Output keeps every event column plus w, demand, new_price, update_ts.
-    Shuffles of the event side: one, on (trimmed id[, bucket]) — the gate's —
-    which the demand scan reuses (its key adds the raw id under the trimmed one).
+    ``order`` is (arrival_ts, event_seq, *tie-break columns). Output keeps every
+    event column plus w, demand, new_price, update_ts.
+
+    The event side is shuffled once, on (raw id[, bucket]), and sorted once, by
+    the gate; the demand scan runs over the gate's partitions in the gate's
+    order, so it needs neither another exchange nor another sort.
     """
+    assert tuple(order[:2]) == EVENT_ORDER, "order must start with arrival_ts, event_seq"
+    tie = tuple(order[2:])
     valid = ingest.valid_product_events(events)
     eff = effective if effective is not None else overrides.effective_commands(
         commands, catalog, valid, bucket_seconds)
-    gated = overrides.gate_events(with_weight(valid), eff, bucket_seconds)
+    gated = overrides.gate_events(with_weight(valid), eff, bucket_seconds, tie_break=tie)
     accepted = gated.where(F.col("gate").isNull()).drop("gate")
+    scan_order = [*overrides.GATE_ORDER, *tie]
     if bucket_seconds:
-        d = running_sum(accepted, ["__tid"], list(order), "w", "demand", bucket="__bucket",
-                        scan_keys=["product_id"], repartition=False).drop("__bucket")
+        d = running_sum(accepted, ["product_id"], scan_order, "w", "demand", bucket="__bucket",
+                        repartition=False).drop("__bucket")
     else:
-        d = running_sum(accepted, ["__tid"], list(order), "w", "demand", scan_keys=["product_id"])
-    return (d.drop("__tid")
+        d = running_sum(accepted, ["product_id"], scan_order, "w", "demand")
+    return (d.drop(*overrides.GATE_ORDER)
              .withColumn("new_price", X.compute_price(F.col("price"), F.col("demand")))
              .withColumn("update_ts", X.update_timestamp_s(F.col("arrival_ts"))))
 

@@ -33,8 +33,15 @@ def known_since(catalog: DataFrame, valid_events: DataFrame) -> DataFrame:
     A partial+final min aggregate: pre-aggregated before the shuffle.
     """
     seeded = catalog.select("product_id", F.lit(NEVER).cast("timestamp").alias("since"))
-    first = valid_events.groupBy("product_id").agg(F.min("arrival_ts").alias("since"))
-    return seeded.unionByName(first).groupBy("product_id").agg(F.min("since").alias("since"))
+    return seeded.unionByName(first_seen(valid_events)).groupBy("product_id").agg(
+        F.min("since").alias("since"))
+
+
+def first_seen(valid_events: DataFrame) -> DataFrame:
+    """product_id (raw), since = first valid arrival. A partial+final min aggregate;
+    the known-product check and the gate's id variants share it (same plan, one
+    exchange)."""
+    return valid_events.groupBy("product_id").agg(F.min("arrival_ts").alias("since"))
 
 
 def known_product_commands(valid_commands: DataFrame, known: DataFrame) -> DataFrame:
@@ -150,35 +157,48 @@ def override_history_points(effective: DataFrame) -> DataFrame:
                              F.col("cmd_ts").alias("event_time"), F.col("cmd_seq").alias("seq")))
 
 
-def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+GATE_ORDER = ("__ts", "__kind", "__seq")
+
+
+def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: int | None = None,
+                tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Operators 36 + 37: tag each valid event with ``gate`` in
     {null (accepted), 'override_active', 'stale_after_removal'}.
 
-    As-of lookup by union + ordered scan: events and effective commands of one
-    trimmed id are ordered by (time, commands first, seq); each event carries the
-    last command before it. Keyed by the trimmed id; events keep the raw id.
-    The event side is shuffled once on (trimmed id[, time bucket]); the output
-    keeps ``__tid`` (and ``__bucket``) so the demand scan reuses that layout.
+    As-of lookup by union + ordered scan. Commands are keyed by the trimmed id,
+    events by their raw id (demand counts the raw id); each effective command is
+    joined to the raw ids whose trimmed form it names (a small per-product
+    table), so an event with raw id R sees exactly the commands of trim(R).
+    Events and commands of one raw id are ordered by (time, commands first, seq,
+    *tie_break); each event carries the last command before it.
+
+    The event side is shuffled once, on (raw id[, time bucket]), and sorted
+    once; the output keeps ``__bucket`` and the order columns ``GATE_ORDER +
+    tie_break`` so the demand scan reuses both partitioning and order.
     """
-    ev = valid_events.withColumn("__tid", X.trim_unicode(F.col("product_id")))
     cols = [c for c in valid_events.columns]
-    ev_u = ev.select(*cols, "__tid", F.col("arrival_ts").alias("__ts"),
-                     F.lit(K.KIND_EVENT).alias("__kind"), F.col("event_seq").alias("__seq"),
-                     F.lit(None).cast("struct<op:string,ms:bigint>").alias("__cmd"))
-    cm = effective.select(*(F.lit(None).cast(valid_events.schema[c].dataType).alias(c) for c in cols),
-                          F.col("product_id").alias("__tid"), F.col("cmd_ts").alias("__ts"),
-                          F.lit(K.KIND_COMMAND).alias("__kind"), F.col("cmd_seq").alias("__seq"),
-                          F.struct(F.col("op").alias("op"), X.epoch_ms("cmd_ts").alias("ms")).alias("__cmd"))
+    ev_u = valid_events.select(*cols, F.col("arrival_ts").alias("__ts"),
+                               F.lit(K.KIND_EVENT).alias("__kind"), F.col("event_seq").alias("__seq"),
+                               F.lit(None).cast("struct<op:string,ms:bigint>").alias("__cmd"))
+    variants = first_seen(valid_events).select(F.col("product_id").alias("__raw"),
+                                               X.trim_unicode(F.col("product_id")).alias("__tid"))
+    cmd = effective.join(variants, effective["product_id"] == variants["__tid"])
+    cm = cmd.select(*(F.col("__raw").alias(c) if c == "product_id"
+                      else F.lit(None).cast(valid_events.schema[c].dataType).alias(c) for c in cols),
+                    F.col("cmd_ts").alias("__ts"), F.lit(K.KIND_COMMAND).alias("__kind"),
+                    F.col("cmd_seq").alias("__seq"),
+                    F.struct(F.col("op").alias("op"), X.epoch_ms("cmd_ts").alias("ms")).alias("__cmd"))
     u = ev_u.unionByName(cm)
     extra = []
     if bucket_seconds:
         u = u.withColumn("__bucket", time_bucket("__ts", bucket_seconds))
         extra = ["__bucket"]
-    scanned = running_last(u, ["__tid"], ["__ts", "__kind", "__seq"], "__cmd", "__last",
+    order = [*GATE_ORDER, *tie_break]
+    scanned = running_last(u, ["product_id"], order, "__cmd", "__last",
                            bucket="__bucket" if bucket_seconds else None)
     ev_ms = X.normalize_event_ms(F.col("timestamp"))
     gate = (F.when(F.col("__last.op") == K.OP_SET, F.lit("override_active"))
             .when((F.col("__last.op") == K.OP_REMOVE) & (ev_ms <= F.col("__last.ms")),
                   F.lit("stale_after_removal")))
     return (scanned.where(F.col("__kind") == K.KIND_EVENT)
-                   .select(*cols, "__tid", *extra, gate.alias("gate")))
+                   .select(*cols, *extra, *GATE_ORDER, gate.alias("gate")))

@@ -57,12 +57,17 @@ def _plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_priced_event_side_shuffled_once(spark):
-    p = PricingPlan.from_tables(spark, SF01, bucket_seconds=None)
-    txt = p.priced._jdf.queryExecution().sparkPlan().toString()
-    # the gate and demand windows share one exchange of the events (by trimmed id)
-    lines = [l for l in txt.splitlines() if "Exchange" in l or "Window" in l]
-    assert sum("Window" in l for l in lines) >= 2
+def test_priced_event_side_shuffled_and_sorted_once(spark):
+    p = PricingPlan.from_tables(spark, SF01, stream="lineitem", bucket_seconds=None)
+    lines = [l.strip(" :+-") for l in _plan_text(p.priced).splitlines()]
+    demand = next(i for i, l in enumerate(lines) if l.startswith("Window [sum(w"))
+    # between the demand window and the gate window only projections and filters:
+    # same partitions, same order, no second sort or exchange
+    gate = next(i for i, l in enumerate(lines) if l.startswith("Window [last(__cmd"))
+    assert gate > demand
+    assert all(l.startswith(("Project", "Filter")) for l in lines[demand + 1:gate])
+    assert lines[gate + 1].startswith("Sort [product_id")
+    assert "Exchange hashpartitioning(product_id" in lines[gate + 2]
 
 
 def test_valid_events_filter_reaches_scan(spark):
