@@ -41,7 +41,7 @@ def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,
 
 def priced_events(events: DataFrame, commands: DataFrame, catalog: DataFrame,
                   order: Sequence[str] = EVENT_ORDER, bucket_seconds: int | None = None,
-                  effective: DataFrame | None = None) -> DataFrame:
+                  effective: DataFrame | None = None, first: DataFrame | None = None) -> DataFrame:
     """Operator 29: one row per accepted event with demand, new_price, update_ts.
 
     ``order`` is (arrival_ts, event_seq, *tie-break columns). Output keeps every
@@ -55,8 +55,8 @@ def priced_events(events: DataFrame, commands: DataFrame, catalog: DataFrame,
     tie = tuple(order[2:])
     valid = ingest.valid_product_events(events)
     eff = effective if effective is not None else overrides.effective_commands(
-        commands, catalog, valid, bucket_seconds)
-    gated = overrides.gate_events(with_weight(valid), eff, bucket_seconds, tie_break=tie)
+        commands, catalog, valid, bucket_seconds, first)
+    gated = overrides.gate_events(with_weight(valid), eff, bucket_seconds, tie_break=tie, first=first)
     accepted = gated.where(F.col("gate").isNull()).drop("gate")
     scan_order = [*overrides.GATE_ORDER, *tie]
     if bucket_seconds:

@@ -25,7 +25,7 @@ from pricestream.operators.scan import running_last, time_bucket
 NEVER = "0001-01-01 00:00:00"
 
 
-def known_since(catalog: DataFrame, valid_events: DataFrame) -> DataFrame:
+def known_since(catalog: DataFrame, valid_events: DataFrame, first: DataFrame | None = None) -> DataFrame:
     """product_id, since: the time a product got a demand or price key.
 
     Catalog products are seeded before any event (``since`` = minimum time);
@@ -33,8 +33,8 @@ def known_since(catalog: DataFrame, valid_events: DataFrame) -> DataFrame:
     A partial+final min aggregate: pre-aggregated before the shuffle.
     """
     seeded = catalog.select("product_id", F.lit(NEVER).cast("timestamp").alias("since"))
-    return seeded.unionByName(first_seen(valid_events)).groupBy("product_id").agg(
-        F.min("since").alias("since"))
+    first = first if first is not None else first_seen(valid_events)
+    return seeded.unionByName(first).groupBy("product_id").agg(F.min("since").alias("since"))
 
 
 def first_seen(valid_events: DataFrame) -> DataFrame:
@@ -54,14 +54,14 @@ def known_product_commands(valid_commands: DataFrame, known: DataFrame) -> DataF
 
 
 def effective_commands(commands: DataFrame, catalog: DataFrame, valid_events: DataFrame,
-                       bucket_seconds: int | None = None) -> DataFrame:
+                       bucket_seconds: int | None = None, first: DataFrame | None = None) -> DataFrame:
     """Valid sets of known products plus removes that directly follow a set.
 
     Output: cmd_seq, cmd_ts, product_id, op, override_price, reason.
     The "previous command" is a skew-safe ordered scan per product.
     """
     valid = ingest.valid_override_commands(commands)
-    sets = known_product_commands(valid, known_since(catalog, valid_events))
+    sets = known_product_commands(valid, known_since(catalog, valid_events, first))
     removes = valid.where(F.col("op") == K.OP_REMOVE)
     both = sets.unionByName(removes)
     prev = running_last(both, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev_op",
@@ -161,7 +161,7 @@ GATE_ORDER = ("__ts", "__kind", "__seq")
 
 
 def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: int | None = None,
-                tie_break: tuple[str, ...] = ()) -> DataFrame:
+                tie_break: tuple[str, ...] = (), first: DataFrame | None = None) -> DataFrame:
     """Operators 36 + 37: tag each valid event with ``gate`` in
     {null (accepted), 'override_active', 'stale_after_removal'}.
 
@@ -180,7 +180,8 @@ def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: i
     ev_u = valid_events.select(*cols, F.col("arrival_ts").alias("__ts"),
                                F.lit(K.KIND_EVENT).alias("__kind"), F.col("event_seq").alias("__seq"),
                                F.lit(None).cast("struct<op:string,ms:bigint>").alias("__cmd"))
-    variants = first_seen(valid_events).select(F.col("product_id").alias("__raw"),
+    first = first if first is not None else first_seen(valid_events)
+    variants = first.select(F.col("product_id").alias("__raw"),
                                                X.trim_unicode(F.col("product_id")).alias("__tid"))
     cmd = effective.join(variants, effective["product_id"] == variants["__tid"])
     cm = cmd.select(*(F.col("__raw").alias(c) if c == "product_id"

@@ -57,14 +57,22 @@ class PricingPlan:
     def valid(self) -> DataFrame:
         return ingest.valid_product_events(self.events)
 
+    @cached_property
+    def first_seen(self) -> DataFrame:
+        """product_id, since: first valid arrival per raw id (known products, id variants)."""
+        f = overrides.first_seen(self.valid)
+        return materialize(f, "first_seen") if self.materialize else f
+
     @cached_property
     def effective(self) -> DataFrame:
-        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.bucket_seconds)
+        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.bucket_seconds,
+                                           self.first_seen)
         return materialize(eff, "effective_commands") if self.materialize else eff
 
     @cached_property
     def gated(self) -> DataFrame:
-        return overrides.gate_events(demand.with_weight(self.valid), self.effective, self.bucket_seconds)
+        return overrides.gate_events(demand.with_weight(self.valid), self.effective, self.bucket_seconds,
+                                     tie_break=tuple(self.order[2:]), first=self.first_seen)
 
     @cached_property
     def priced(self) -> DataFrame:
@@ -72,7 +80,7 @@ class PricingPlan:
         is written once (the batch job's output table) so that history, live
         state and serving views read it instead of recomputing the chain."""
         p = demand.priced_events(self.events, self.commands, self.catalog, self.order,
-                                 self.bucket_seconds, effective=self.effective)
+                                 self.bucket_seconds, effective=self.effective, first=self.first_seen)
         if not self.materialize:
             return p
         # The written table keeps what history, state and views read.
