@@ -33,7 +33,8 @@ def price_history_topn(history: DataFrame, limit=K.DEFAULT_HISTORY_LIMIT,
     so each map task forwards at most N rows per product (safe for hot products).
     """
     n = X.check_history_limit(limit)
-    h = history
+    # only ids the history endpoint accepts (pattern on the untrimmed id)
+    h = history.where(X.valid_product_id(F.col("product_id")))
     if product_id is not None:
         h = h.where(F.col("product_id") == product_id)
     w = Window.partitionBy("product_id").orderBy(F.col("event_time").desc(), F.col("seq").desc())
@@ -54,9 +55,10 @@ def current_price(live_state: DataFrame, overrides: DataFrame) -> DataFrame:
     """Operator 44: product_id, price, demand, price_source.
 
     Needs a demand entry; an active override wins ('override'), else the live
-    price ('dynamic'); no price at all -> no row.
+    price ('dynamic'); no price at all -> no row. Only ids the price endpoint
+    accepts (pattern on the untrimmed id) are served.
     """
-    ls = live_state.where(F.col("demand").isNotNull())
+    ls = live_state.where(F.col("demand").isNotNull() & X.valid_product_id(F.col("product_id")))
     j = ls.join(overrides.select("product_id", "override_price"), "product_id", "left")
     has_o = F.col("override_price").isNotNull()
     return (j.where(has_o | F.col("price").isNotNull())

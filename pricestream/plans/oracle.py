@@ -159,10 +159,12 @@ SELECT l.product_id,
        CAST(l.demand AS BIGINT) AS demand,
        CASE WHEN o.override_price IS NOT NULL THEN 'override' ELSE 'dynamic' END AS price_source
 FROM ls l LEFT JOIN ovr o ON l.product_id = o.product_id
-WHERE l.demand IS NOT NULL AND (o.override_price IS NOT NULL OR l.price IS NOT NULL)"""),
+WHERE l.demand IS NOT NULL AND (o.override_price IS NOT NULL OR l.price IS NOT NULL)
+  AND COALESCE(regexp_full_match(l.product_id, '[A-Za-z0-9_-]+'), false)"""),
     ("topn", f"""
 SELECT product_id, CAST(rn AS BIGINT) AS rn, price, {DEFAULT_SOURCE('price_source')} AS price_source, event_time
-FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY event_time DESC, seq DESC) AS rn FROM hist) x
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY event_time DESC, seq DESC) AS rn FROM hist
+      WHERE COALESCE(regexp_full_match(product_id, '[A-Za-z0-9_-]+'), false)) x
 WHERE rn <= 50"""),
     ("upd", f"""
 SELECT event_seq,

@@ -65,11 +65,12 @@ def test_topn_uses_window_group_limit(spark):
 
 
 def test_current_price_override_precedence(spark):
-    live = spark.createDataFrame([("PA", 9, None), ("PB", 3, 120.5), ("PC", None, 5.0), ("PD", 2, None)],
+    live = spark.createDataFrame([("PA", 9, None), ("PB", 3, 120.5), ("PC", None, 5.0), ("PD", 2, None),
+                                  (" PE", 1, 1.0)],
                                  "product_id string, demand bigint, price double")
     ovr = spark.createDataFrame([("PA", 188.75)], "product_id string, override_price double")
     out = {r.product_id: (r.price, r.demand, r.price_source) for r in serving.current_price(live, ovr).collect()}
-    # PC has no demand entry and PD no price: both absent
+    # PC has no demand entry and PD no price: both absent; " PE" is not a servable id
     assert out == {"PA": (188.75, 9, "override"), "PB": (120.5, 3, "dynamic")}
 
 
