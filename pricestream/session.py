@@ -52,6 +52,9 @@ def build_session(master: str | None = None, app: str = "pricestream",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # keyed streaming state (one row per product) lives off-heap in RocksDB
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.driver.memory", os.environ.get("PRICESTREAM_DRIVER_MEMORY", "16g"))
         .getOrCreate()
     )
