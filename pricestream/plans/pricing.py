@@ -124,6 +124,31 @@ class PricingPlan:
         return serving.current_price(self.live_state, self.overrides)
 
 
+    def write(self, out_dir: str) -> None:
+        """The batch job's sinks: ``price_history`` (partitioned by event date),
+        ``live_state``, ``price_overrides`` and ``current_price`` as Parquet tables.
+
+        History partitions are replaced with dynamic partition overwrite, so
+        re-running the job over the same input rewrites its own dates and adds
+        no duplicate rows; the per-product tables are rewritten whole.
+        """
+        out = out_dir.rstrip("/")
+        spark = self.events.sparkSession
+        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        try:
+            # no shuffle before the write: each task writes its rows date by date
+            (self.history.withColumn("event_date", F.to_date("event_time"))
+                 .sortWithinPartitions("event_date")
+                 .write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/price_history"))
+        finally:
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        self.live_state.write.mode("overwrite").parquet(f"{out}/live_state")
+        overrides.price_overrides_snapshot(self.overrides).write.mode("overwrite") \
+            .parquet(f"{out}/price_overrides")
+        self.current.write.mode("overwrite").parquet(f"{out}/current_price")
+
+
 def normalize_output(df: DataFrame) -> DataFrame:
     """Result types the DuckDB oracle also produces: integers as bigint,
     timestamps as timestamp_ntz (the driver's Parquet type)."""

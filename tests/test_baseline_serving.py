@@ -103,3 +103,18 @@ def test_changed_product_snapshot(spark):
                                 "product_id string, price double, demand bigint, price_source string")
     ups = spark.createDataFrame([("PB",), ("PB",)], "product_id string")
     assert [r.product_id for r in serving.changed_product_snapshot(ups, cur).collect()] == ["PB"]
+
+
+def test_batch_job_writes_tables_idempotently(spark, tmp_dir):
+    from pricestream.plans.pricing import PricingPlan
+    from conftest import SF001
+    p = PricingPlan.from_tables(spark, SF001, materialize=True)
+    p.write(tmp_dir)
+    p.write(tmp_dir)                                   # re-run: same tables, no duplicates
+    hist = spark.read.parquet(f"{tmp_dir}/price_history")
+    assert hist.count() == p.history.count()
+    assert hist.select("event_date").distinct().count() > 1
+    assert hist.where("price_source = 'base'").count() == p.catalog.count()
+    cur = spark.read.parquet(f"{tmp_dir}/current_price")
+    assert cur.exceptAll(p.current).count() == 0 and p.current.exceptAll(cur).count() == 0
+    assert spark.read.parquet(f"{tmp_dir}/price_overrides").count() == p.overrides.count()
