@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
-from pricestream.operators import baseline, demand, ingest, overrides, serving
+from pricestream.operators import demand, ingest, overrides, serving
 from pricestream.plans.pricing import PricingPlan, normalize_output
 from pricestream.sources import fixtures
 
