@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest, overrides
-from pricestream.operators.scan import running_sum, time_bucket
+from pricestream.operators.scan import choose_bucket_seconds, running_sum, time_bucket
 
 EVENT_ORDER = ("arrival_ts", "event_seq")
 
@@ -32,9 +32,14 @@ def with_weight(events: DataFrame) -> DataFrame:
 
 
 def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,
-                   bucket_seconds: int | None = None) -> DataFrame:
-    """Operator 27 on valid events without the override gate: adds ``w`` and ``demand``."""
+                   bucket_seconds: int | None | str = "auto") -> DataFrame:
+    """Operator 27 on valid events without the override gate: adds ``w`` and ``demand``.
+
+    ``bucket_seconds="auto"`` sizes the time buckets of the skew-safe scan from
+    the input (plain window for small inputs)."""
     ev = with_weight(valid_events)
+    if bucket_seconds == "auto":
+        bucket_seconds = choose_bucket_seconds(ev, "arrival_ts")
     bucket = time_bucket("arrival_ts", bucket_seconds) if bucket_seconds else None
     return running_sum(ev, ["product_id"], list(order), "w", "demand", bucket=bucket)
 

@@ -80,3 +80,12 @@ def test_valid_events_filter_reaches_scan(spark):
 def test_history_limit_texts_fixture_covers_variants(spark):
     t = fixtures.history_limit_texts(spark, SF01)
     assert t.count() == 10000
+
+
+def test_running_demand_bucketed_equals_plain(spark):
+    valid = ingest.valid_product_events(fixtures.product_events(spark, SF01))
+    a = demand.running_demand(valid, bucket_seconds=None).select("event_seq", "demand")
+    b = demand.running_demand(valid, bucket_seconds=4 * 3600).select("event_seq", "demand")
+    c = demand.running_demand(valid).select("event_seq", "demand")            # auto
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert a.exceptAll(c).count() == 0 and a.count() == 5969
