@@ -87,10 +87,12 @@ def override_state(commands: DataFrame) -> DataFrame:
                         F.col("l.reason").alias("reason"), F.col("l.cmd_ts").alias("set_time")))
 
 
-def price_overrides_snapshot(overrides: DataFrame) -> DataFrame:
-    """Operator 4: whole overrides table as read; a null reason reads as ''."""
-    return overrides.select("product_id", "override_price",
-                            F.coalesce(F.col("reason"), F.lit("")).alias("reason"), "set_time")
+def price_overrides_snapshot(overrides: DataFrame, product_id: str | None = None) -> DataFrame:
+    """Operator 4: the overrides table as read (a null reason reads as ''); with
+    ``product_id`` the single-row lookup, a filter pushed into the table scan."""
+    o = overrides if product_id is None else overrides.where(F.col("product_id") == product_id)
+    return o.select("product_id", "override_price",
+                    F.coalesce(F.col("reason"), F.lit("")).alias("reason"), "set_time")
 
 
 def override_upsert(snapshot: DataFrame, incoming_sets: DataFrame) -> DataFrame:

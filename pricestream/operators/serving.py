@@ -51,7 +51,7 @@ def history_exists(catalog: DataFrame, history: DataFrame) -> DataFrame:
                    .select("product_id", F.coalesce(F.col("__h"), F.lit(False)).alias("has_history")))
 
 
-def current_price(live_state: DataFrame, overrides: DataFrame) -> DataFrame:
+def current_price(live_state: DataFrame, overrides: DataFrame, product_id: str | None = None) -> DataFrame:
     """Operator 44: product_id, price, demand, price_source.
 
     Needs a demand entry; an active override wins ('override'), else the live
@@ -59,6 +59,9 @@ def current_price(live_state: DataFrame, overrides: DataFrame) -> DataFrame:
     accepts (pattern on the untrimmed id) are served.
     """
     ls = live_state.where(F.col("demand").isNotNull() & X.valid_product_id(F.col("product_id")))
+    if product_id is not None:
+        ls = ls.where(F.col("product_id") == product_id)
+        overrides = overrides.where(F.col("product_id") == product_id)
     j = ls.join(overrides.select("product_id", "override_price"), "product_id", "left")
     has_o = F.col("override_price").isNotNull()
     return (j.where(has_o | F.col("price").isNotNull())

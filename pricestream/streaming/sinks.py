@@ -58,8 +58,11 @@ def merge_live_state(previous: DataFrame | None, changes: DataFrame) -> DataFram
 class PricingSinks:
     """``foreachBatch`` target writing updates, history and live-state versions."""
 
-    def __init__(self, out_dir: str):
+    def __init__(self, out_dir: str, kafka: dict | None = None):
+        """``kafka``: producer options (``kafka.bootstrap.servers``, ``topic``) to
+        publish the price updates to a topic instead of JSON files."""
         self.out_dir = out_dir.rstrip("/")
+        self.kafka = kafka
 
     def _prev_state(self, spark, batch_id: int) -> DataFrame | None:
         """The snapshot of the previous batch. Every executed batch writes its own
@@ -77,7 +80,11 @@ class PricingSinks:
         out = batch.persist()
         try:
             bid = f"batch_id={batch_id}"
-            price_update_messages(out).write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
+            if self.kafka:
+                price_update_messages(out).select("value").write.format("kafka") \
+                    .options(**self.kafka).save()
+            else:
+                price_update_messages(out).write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
             priced_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
             history_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
             state = merge_live_state(self._prev_state(spark, batch_id), live_state_changes(out))

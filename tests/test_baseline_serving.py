@@ -118,3 +118,15 @@ def test_batch_job_writes_tables_idempotently(spark, tmp_dir):
     cur = spark.read.parquet(f"{tmp_dir}/current_price")
     assert cur.exceptAll(p.current).count() == 0 and p.current.exceptAll(cur).count() == 0
     assert spark.read.parquet(f"{tmp_dir}/price_overrides").count() == p.overrides.count()
+
+
+def test_single_product_lookups(spark):
+    from pricestream.operators import overrides
+    live = spark.createDataFrame([("PA", 9, 1.0), ("PB", 3, 120.5)], "product_id string, demand bigint, price double")
+    ovr = spark.createDataFrame([("PA", 188.75, None, at(0))],
+                                "product_id string, override_price double, reason string, set_time timestamp")
+    one = serving.current_price(live, ovr, product_id="PA").collect()
+    assert [(r.product_id, r.price, r.price_source) for r in one] == [("PA", 188.75, "override")]
+    snap = overrides.price_overrides_snapshot(ovr, product_id="PA").collect()
+    assert [(r.product_id, r.reason) for r in snap] == [("PA", "")]
+    assert overrides.price_overrides_snapshot(ovr, product_id="PB").count() == 0
