@@ -130,3 +130,11 @@ def test_single_product_lookups(spark):
     snap = overrides.price_overrides_snapshot(ovr, product_id="PA").collect()
     assert [(r.product_id, r.reason) for r in snap] == [("PA", "")]
     assert overrides.price_overrides_snapshot(ovr, product_id="PB").count() == 0
+
+
+def test_batch_job_command(spark, tmp_dir):
+    from pricestream.plans import job
+    from conftest import SF001
+    job.main(["batch", "--tables", SF001, "--out", tmp_dir])
+    cur = spark.read.parquet(f"{tmp_dir}/current_price")
+    assert cur.count() == 200 and set(cur.columns) == {"product_id", "price", "demand", "price_source"}
