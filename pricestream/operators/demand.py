@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest, overrides
-from pricestream.operators.scan import choose_bucket_seconds, running_sum, time_bucket
+from pricestream.operators.scan import add_bucket, auto_buckets, running_sum
 
 EVENT_ORDER = ("arrival_ts", "event_seq")
 
@@ -35,13 +35,15 @@ def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,
                    bucket_seconds: int | None | str = "auto") -> DataFrame:
     """Operator 27 on valid events without the override gate: adds ``w`` and ``demand``.
 
-    ``bucket_seconds="auto"`` sizes the time buckets of the skew-safe scan from
-    the input (plain window for small inputs)."""
+    ``bucket_seconds="auto"`` gives keys with more than the target rows their
+    own time buckets (skew-safe scan); with no such key it is a plain window."""
     ev = with_weight(valid_events)
     if bucket_seconds == "auto":
-        bucket_seconds = choose_bucket_seconds(ev, "arrival_ts")
-    bucket = time_bucket("arrival_ts", bucket_seconds) if bucket_seconds else None
-    return running_sum(ev, ["product_id"], list(order), "w", "demand", bucket=bucket)
+        bucket_seconds = auto_buckets(ev, "product_id", "arrival_ts")
+    if not bucket_seconds:
+        return running_sum(ev, ["product_id"], list(order), "w", "demand")
+    ev = add_bucket(ev, bucket_seconds, "product_id", "arrival_ts")
+    return running_sum(ev, ["product_id"], list(order), "w", "demand", bucket="__bucket").drop("__bucket")
 
 
 def priced_events(events: DataFrame, commands: DataFrame, catalog: DataFrame,

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest
-from pricestream.operators.scan import running_last, time_bucket
+from pricestream.operators.scan import add_bucket, running_last
 
 NEVER = "0001-01-01 00:00:00"
 
@@ -64,11 +64,12 @@ def effective_commands(commands: DataFrame, catalog: DataFrame, valid_events: Da
     sets = known_product_commands(valid, known_since(catalog, valid_events, first))
     removes = valid.where(F.col("op") == K.OP_REMOVE)
     both = sets.unionByName(removes)
+    if bucket_seconds:
+        both = add_bucket(both, bucket_seconds, "product_id", "cmd_ts")
     prev = running_last(both, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev_op",
-                        bucket=time_bucket("cmd_ts", bucket_seconds) if bucket_seconds else None,
-                        inclusive=False)
+                        bucket="__bucket" if bucket_seconds else None, inclusive=False)
     keep = (F.col("op") == K.OP_SET) | (F.col("__prev_op") == K.OP_SET)
-    return prev.where(keep).drop("__prev_op")
+    return prev.where(keep).drop("__prev_op", "__bucket")
 
 
 def override_state(commands: DataFrame) -> DataFrame:
@@ -131,9 +132,9 @@ def override_intervals(effective: DataFrame, bucket_seconds: int | None = None)
     a set, and ends at the next effective remove. Starts and removes alternate,
     so the end is the nearest later removal: an ordered scan in reverse time.
     """
-    fwd = time_bucket("cmd_ts", bucket_seconds) if bucket_seconds else None
-    prev = running_last(effective, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev",
-                        bucket=fwd, inclusive=False)
+    eff = add_bucket(effective, bucket_seconds, "product_id", "cmd_ts") if bucket_seconds else effective
+    prev = running_last(eff, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev",
+                        bucket="__bucket" if bucket_seconds else None, inclusive=False)
     is_start = (F.col("op") == K.OP_SET) & (F.coalesce(F.col("__prev"), F.lit("")) != K.OP_SET)
     is_end = F.col("op") == K.OP_REMOVE
     marks = prev.where(is_start | is_end).select(
@@ -142,10 +143,10 @@ def override_intervals(effective: DataFrame, bucket_seconds: int | None = None)
         (-F.col("cmd_seq")).alias("__rs"),
         F.when(is_end, F.col("cmd_ts")).alias("__end"),
         is_start.alias("__start"))
-    rev = (F.floor(F.col("__rt") / F.lit(int(bucket_seconds) * 1_000_000)).cast("bigint")
-           if bucket_seconds else None)
+    if bucket_seconds:
+        marks = add_bucket(marks, bucket_seconds, "product_id", "cmd_ts", reverse=True)
     nxt = running_last(marks, ["product_id"], ["__rt", "__rs"], "__end", "__next_end",
-                       bucket=rev, inclusive=False)
+                       bucket="__bucket" if bucket_seconds else None, inclusive=False)
     return (nxt.where("__start")
                .select("product_id", F.col("cmd_ts").alias("set_at"),
                        F.col("__next_end").alias("removed_at")))
@@ -194,7 +195,7 @@ def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: i
     u = ev_u.unionByName(cm)
     extra = []
     if bucket_seconds:
-        u = u.withColumn("__bucket", time_bucket("__ts", bucket_seconds))
+        u = add_bucket(u, bucket_seconds, "product_id", "__ts")
         extra = ["__bucket"]
     order = [*GATE_ORDER, *tie_break]
     scanned = running_last(u, ["product_id"], order, "__cmd", "__last",

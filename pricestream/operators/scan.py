@@ -17,14 +17,18 @@ The result equals a plain running window over the key (tests check both forms).
 under the trimmed one); the carry of those is looked up through a small map so
 the join stays on the partition keys.
 
-Bucket width: ``choose_bucket_seconds`` derives it from the row count and time
-span so that a key holding all rows still spreads over ``rows / target`` cells.
+Bucket widths: ``auto_buckets`` finds the keys holding more than the target
+rows per cell and gives each its own width (count / target buckets over its
+time span); all other keys stay one cell, so the per-cell tables stay about
+as small as the key count plus rows / target. An int width buckets every key
+alike (tests use it to force the two-phase form).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,25 +46,84 @@ def time_bucket(ts: Column | str, bucket_seconds: int | None) -> Column:
     return F.floor(F.unix_seconds(t.cast("timestamp")) / F.lit(int(bucket_seconds))).cast("bigint")
 
 
-def choose_bucket_seconds(df: DataFrame, ts: str,
-                          rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> int | None:
-    """Bucket width so that the whole table splits into about rows/target buckets.
+class KeyBuckets:
+    """Per-key bucket widths: keys holding more than ``rows_per_bucket`` rows are
+    cut into time buckets of their own width; every other key is one bucket.
 
-    Runs one aggregate job over a single column (min, max, count). Returns None
-    (one bucket per key) when the table is below the target size.
+    ``widths`` has (key, __width seconds) for the hot keys only. At most
+    rows / rows_per_bucket keys can qualify, which bounds the table, so it is
+    broadcast into the rows it labels.
     """
+
+    def __init__(self, widths: DataFrame, key: str = "product_id"):
+        self.widths = widths
+        self.key = key
+
+    def add(self, df: DataFrame, key_col: str, ts_col: str, out: str = "__bucket",
+            reverse: bool = False) -> DataFrame:
+        w = self.widths.select(F.col(self.key).alias("__wk"), "__width")
+        j = df.join(F.broadcast(w), df[key_col] == w["__wk"], "left")
+        secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
+        if reverse:
+            secs = -secs
+        b = F.when(F.col("__width").isNotNull(), F.floor(secs / F.col("__width"))).otherwise(F.lit(0))
+        return j.withColumn(out, b.cast("bigint")).drop("__wk", "__width")
+
+
+def hot_key_widths(df: DataFrame, key: str, ts: str,
+                   rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
+    """key, __width: for every key with more than ``rows_per_bucket`` rows, the
+    bucket width that cuts its time span into about count / rows_per_bucket
+    buckets (a partial+final aggregate over the input)."""
     t = F.unix_seconds(F.col(ts).cast("timestamp"))
-    row = df.agg(F.min(t).alias("lo"), F.max(t).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    if row is None or row["n"] is None or row["n"] <= rows_per_bucket or row["lo"] is None:
+    g = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
+           .where(F.col("__n") > rows_per_bucket))
+    n_buckets = F.ceil(F.col("__n") / F.lit(rows_per_bucket))
+    width = F.greatest(F.lit(1), F.floor((F.col("__hi") - F.col("__lo") + 1) / n_buckets))
+    return g.select(key, width.cast("bigint").alias("__width"))
+
+
+def auto_buckets(df: DataFrame, key: str, ts: str,
+                 rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> KeyBuckets | None:
+    """``KeyBuckets`` for the hot keys of ``df``, or None when there are none
+    (plain windows). The small width table is written once under the shared
+    checkpoint folder, so later readers do not aggregate the input again."""
+    from pricestream.session import materialize
+    hot = hot_key_widths(df, key, ts, rows_per_bucket)
+    if not hot.take(1):
         return None
-    n_buckets = max(1, row["n"] // rows_per_bucket)
-    span = max(1, row["hi"] - row["lo"] + 1)
-    return max(1, span // n_buckets)
+    return KeyBuckets(materialize(hot, "hot_key_widths"), key)
+
+
+def add_bucket(df: DataFrame, bucketing, key_col: str, ts_col: str, out: str = "__bucket",
+               reverse: bool = False) -> DataFrame:
+    """Label rows with their time bucket: per-key widths (``KeyBuckets``) or one
+    width for every key (int seconds). ``reverse`` numbers buckets backwards in
+    time (for scans in descending time order)."""
+    if isinstance(bucketing, KeyBuckets):
+        return bucketing.add(df, key_col, ts_col, out, reverse)
+    secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
+    if reverse:
+        secs = -secs
+    return df.withColumn(out, F.floor(secs / F.lit(int(bucketing))).cast("bigint"))
+
+
+_CACHED: list[DataFrame] = []
 
 
 def _prepare(df: DataFrame, partition_keys: Sequence[str], bucket: Column | str,
              repartition: bool) -> tuple[DataFrame, str, bool]:
-    """Attach the bucket column (if given as an expression) and shuffle once."""
+    """Attach the bucket column (if given as an expression), shuffle once, and
+    keep the shuffled rows for the three readers of the two-phase scan.
+
+    The cell scan, the cell list and the cell values all read the shuffled
+    rows. Left as one lazy plan, Spark would prune each reader's columns
+    differently and shuffle the big side once per reader; a checkpoint would
+    forget the hash partitioning (Spark 4 records it as unknown under AQE).
+    The persisted, materialized shuffle output keeps its partitioning, so the
+    readers need no further exchange. Blocks lost with an executor are
+    recomputed from lineage; ``release_cached`` frees them after the job.
+    """
     if isinstance(bucket, str):
         name, temp = bucket, False
         d = df
@@ -68,10 +131,22 @@ def _prepare(df: DataFrame, partition_keys: Sequence[str], bucket: Column | str,
         name, temp = _B, True
         d = df.withColumn(_B, bucket)
     if repartition:
-        d = d.repartition(*partition_keys, name)
+        n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        d = d.repartition(n, *partition_keys, name)
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    # Fill the cache now: only a materialized cache reports its partitioning to
+    # the plans built on it (a lazy one reads as unknown and gets re-shuffled).
+    d.write.format("noop").mode("overwrite").save()
+    _CACHED.append(d)
     return d, name, temp
 
 
+def release_cached() -> None:
+    """Unpersist what the two-phase scans cached (call after the job's actions)."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
+
 def _carry_join(local: DataFrame, carry: DataFrame, partition_keys: Sequence[str], b: str,
                 extra_keys: Sequence[str], carry_col: str) -> DataFrame:
     """Join per-cell carry values back onto the big side on partition keys + bucket.

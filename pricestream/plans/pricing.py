@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricestream import constants as K
 from pricestream.operators import baseline, demand, ingest, overrides, serving
-from pricestream.operators.scan import choose_bucket_seconds
+from pricestream.operators.scan import auto_buckets
 from pricestream.session import materialize
 from pricestream.sources import fixtures
 
@@ -28,7 +29,7 @@ class PricingPlan:
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
                  run_ts: str = fixtures.RUN_TS, order: Sequence[str] = demand.EVENT_ORDER,
                  bucket_seconds: int | None | str = "auto", history_limit=50,
-                 materialize: bool = False):
+                 materialize: bool = False, rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
         self.events = events
         self.commands = commands
         self.catalog = catalog
@@ -37,6 +38,7 @@ class PricingPlan:
         self._bucket = bucket_seconds
         self.history_limit = history_limit
         self.materialize = materialize
+        self.rows_per_bucket = rows_per_bucket
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, stream: str = "events", **kw) -> "PricingPlan":
@@ -47,10 +49,11 @@ class PricingPlan:
         return cls(ev, fixtures.override_commands(spark, sf_dir), fixtures.catalog(spark, sf_dir), **kw)
 
     @cached_property
-    def bucket_seconds(self) -> int | None:
-        """Time-bucket width of the skew-safe scans (None = plain windows)."""
+    def bucket_seconds(self):
+        """Bucketing of the skew-safe scans: per-key widths for hot products
+        (``KeyBuckets``), one width for all (int), or None for plain windows."""
         if self._bucket == "auto":
-            return choose_bucket_seconds(self.events, "arrival_ts")
+            return auto_buckets(self.valid, "product_id", "arrival_ts", self.rows_per_bucket)
         return self._bucket
 
     @cached_property

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import demand, ingest, overrides
-from pricestream.operators.scan import choose_bucket_seconds
+from pricestream.operators.scan import auto_buckets, release_cached
 from pricestream.plans.pricing import PricingPlan
 from pricestream.streaming import sources as S
 
@@ -114,7 +114,7 @@ class MicroBatchPricing:
             if prev is not None:
                 sev, scm = seed_rows(prev)
                 ev, cm = sev.unionByName(ev), scm.unionByName(cm)
-            width = (choose_bucket_seconds(ev.where(F.col("event_seq") >= 0), "arrival_ts")
+            width = (auto_buckets(ev.where(F.col("event_seq") >= 0), "product_id", "arrival_ts")
                      if self.bucket_seconds == "auto" else self.bucket_seconds)
             plan = PricingPlan(ev, cm, self.catalog, bucket_seconds=width, materialize=True)
             real = plan.priced.where(F.col("event_seq") >= 0)
@@ -129,6 +129,7 @@ class MicroBatchPricing:
             next_state(plan, real, real_eff, prev).write.mode("overwrite") \
                 .parquet(f"{self.out_dir}/state/version={batch_id}")
         finally:
+            release_cached()
             msgs.unpersist()
 
 

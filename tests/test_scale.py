@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricestream.operators import demand, ingest
-from pricestream.operators.scan import choose_bucket_seconds, running_last, running_sum, time_bucket
+from pricestream.operators.scan import auto_buckets, hot_key_widths, running_last, running_sum, time_bucket
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
 
@@ -46,11 +46,26 @@ def test_priced_bucketed_equals_plain(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_choose_bucket_seconds(spark):
-    ev = fixtures.product_events(spark, SF01)
-    assert choose_bucket_seconds(ev, "arrival_ts") is None          # small table: plain windows
-    w = choose_bucket_seconds(ev, "arrival_ts", rows_per_bucket=1000)
-    assert w is not None and 2 * 86400 < w < 4 * 86400               # 10 buckets over 30 days
+def test_hot_key_widths(spark):
+    ev = ingest.valid_product_events(fixtures.product_events(spark, SF01))
+    assert auto_buckets(ev, "product_id", "arrival_ts") is None       # no hot key: plain windows
+    counts = {r.product_id: r["count"] for r in ev.groupBy("product_id").count().collect()}
+    w = {r.product_id: r["__width"] for r in hot_key_widths(ev, "product_id", "arrival_ts", 60).collect()}
+    assert set(w) == {k for k, n in counts.items() if n > 60}          # only keys above the target
+    assert all(0 < x < 30 * 86400 for x in w.values())
+
+
+def test_priced_with_hot_keys_equals_plain(spark):
+    a = PricingPlan.from_tables(spark, SF01, bucket_seconds=None).priced \
+                   .select("event_seq", "product_id", "demand", "new_price")
+    p = PricingPlan.from_tables(spark, SF01, rows_per_bucket=55)
+    assert p.bucket_seconds is not None                                 # some products are hot
+    b = p.priced.select("event_seq", "product_id", "demand", "new_price")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    from pricestream.operators import overrides
+    i1 = overrides.override_intervals(p.effective, None)
+    i2 = overrides.override_intervals(p.effective, p.bucket_seconds)
+    assert i1.exceptAll(i2).count() == 0 and i2.exceptAll(i1).count() == 0
 
 
 def _plan_text(df):
