@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pricestream import constants as K
 from pricestream.operators import baseline, demand, ingest, overrides, serving
-from pricestream.operators.scan import auto_buckets
+from pricestream.operators.scan import auto_buckets, release_cached
 from pricestream.session import materialize
 from pricestream.sources import fixtures
 
@@ -150,6 +150,7 @@ class PricingPlan:
         overrides.price_overrides_snapshot(self.overrides).write.mode("overwrite") \
             .parquet(f"{out}/price_overrides")
         self.current.write.mode("overwrite").parquet(f"{out}/current_price")
+        release_cached()
 
 
 def normalize_output(df: DataFrame) -> DataFrame:
