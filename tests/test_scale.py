@@ -104,3 +104,18 @@ def test_running_demand_bucketed_equals_plain(spark):
     c = demand.running_demand(valid).select("event_seq", "demand")            # auto
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert a.exceptAll(c).count() == 0 and a.count() == 5969
+
+
+def test_single_hot_product_through_the_plan(spark):
+    # every event and command on one product: it alone is hot and gets time buckets
+    ev = fixtures.product_events(spark, SF01).withColumn("product_id", F.lit("P7"))
+    cm = fixtures.override_commands(spark, SF01).withColumn("product_id", F.lit("P7"))
+    cat = fixtures.catalog(spark, SF01)
+    plain = PricingPlan(ev, cm, cat, bucket_seconds=None)
+    hot = PricingPlan(ev, cm, cat, rows_per_bucket=500)
+    assert hot.bucket_seconds is not None
+    assert hot.bucket_seconds.widths.count() == 1
+    a = plain.priced.select("event_seq", "demand", "new_price")
+    b = hot.priced.select("event_seq", "demand", "new_price")
+    assert a.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
