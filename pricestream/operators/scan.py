@@ -70,17 +70,18 @@ class KeyBuckets:
         return j.withColumn(out, b.cast("bigint")).drop("__wk", "__width")
 
 
-def hot_key_widths(df: DataFrame, key: str, ts: str,
+def hot_key_widths(df: DataFrame, key: str | list[str], ts: str,
                    rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """key, __width: for every key with more than ``rows_per_bucket`` rows, the
+    """key(s), __width: for every key with more than ``rows_per_bucket`` rows, the
     bucket width that cuts its time span into about count / rows_per_bucket
     buckets (a partial+final aggregate over the input)."""
+    keys = [key] if isinstance(key, str) else list(key)
     t = F.unix_seconds(F.col(ts).cast("timestamp"))
-    g = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
+    g = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
            .where(F.col("__n") > rows_per_bucket))
     n_buckets = F.ceil(F.col("__n") / F.lit(rows_per_bucket))
     width = F.greatest(F.lit(1), F.floor((F.col("__hi") - F.col("__lo") + 1) / n_buckets))
-    return g.select(key, width.cast("bigint").alias("__width"))
+    return g.select(*keys, width.cast("bigint").alias("__width"))
 
 
 def auto_buckets(df: DataFrame, key: str, ts: str,
@@ -95,6 +96,26 @@ def auto_buckets(df: DataFrame, key: str, ts: str,
     return KeyBuckets(materialize(hot, "hot_key_widths"), key)
 
 
+def auto_buckets_of(inputs: dict[str, tuple[DataFrame, str, str]],
+                    rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> dict[str, KeyBuckets | None]:
+    """``auto_buckets`` for several inputs {name: (df, key, ts)} in one job: one
+    aggregate over their union keyed by (input, key)."""
+    from functools import reduce
+
+    from pricestream.session import materialize
+    parts = [df.select(F.lit(name).alias("__src"), F.col(key).alias("__k"), F.col(ts).alias("__t"))
+             for name, (df, key, ts) in inputs.items()]
+    hot = hot_key_widths(reduce(DataFrame.unionByName, parts), ["__src", "__k"], "__t", rows_per_bucket)
+    found = {r["__src"] for r in hot.select("__src").distinct().collect()}   # at most len(inputs) rows
+    if not found:
+        return {name: None for name in inputs}
+    table = materialize(hot, "hot_key_widths")
+    return {name: (KeyBuckets(table.where(F.col("__src") == name)
+                              .select(F.col("__k").alias(key), "__width"), key)
+                   if name in found else None)
+            for name, (_, key, _) in inputs.items()}
+
+
 def add_bucket(df: DataFrame, bucketing, key_col: str, ts_col: str, out: str = "__bucket",
                reverse: bool = False) -> DataFrame:
     """Label rows with their time bucket: per-key widths (``KeyBuckets``) or one

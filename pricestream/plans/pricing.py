@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pricestream import constants as K
 from pricestream.operators import baseline, demand, ingest, overrides, serving
-from pricestream.operators.scan import auto_buckets, release_cached
+from pricestream.operators.scan import auto_buckets_of, release_cached
 from pricestream.session import materialize
 from pricestream.sources import fixtures
 
@@ -48,13 +48,24 @@ class PricingPlan:
         kw.setdefault("order", order)
         return cls(ev, fixtures.override_commands(spark, sf_dir), fixtures.catalog(spark, sf_dir), **kw)
 
+    @cached_property
+    def _auto_buckets(self) -> dict:
+        """Hot products of the events and of the command log, found in one job."""
+        return auto_buckets_of({"events": (self.valid, "product_id", "arrival_ts"),
+                                "commands": (ingest.valid_override_commands(self.commands),
+                                             "product_id", "cmd_ts")}, self.rows_per_bucket)
+
     @cached_property
     def bucket_seconds(self):
-        """Bucketing of the skew-safe scans: per-key widths for hot products
+        """Bucketing of the skew-safe event scans: per-key widths for hot products
         (``KeyBuckets``), one width for all (int), or None for plain windows."""
-        if self._bucket == "auto":
-            return auto_buckets(self.valid, "product_id", "arrival_ts", self.rows_per_bucket)
-        return self._bucket
+        return self._auto_buckets["events"] if self._bucket == "auto" else self._bucket
+
+    @cached_property
+    def command_buckets(self):
+        """Bucketing of the scans over the command log (previous command, episode
+        ends): its own hot keys, found in the valid commands."""
+        return self._auto_buckets["commands"] if self._bucket == "auto" else self._bucket
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -68,7 +79,7 @@ class PricingPlan:
 
     @cached_property
     def effective(self) -> DataFrame:
-        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.bucket_seconds,
+        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.command_buckets,
                                            self.first_seen)
         return materialize(eff, "effective_commands") if self.materialize else eff
 

@@ -272,7 +272,7 @@ def override_state(spark, sf_dir):
 @query
 def override_intervals(spark, sf_dir):
     p = _plan(spark, sf_dir)
-    return overrides.override_intervals(p.effective, p.bucket_seconds)
+    return overrides.override_intervals(p.effective, p.command_buckets)
 
 
 @query

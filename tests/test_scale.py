@@ -63,8 +63,10 @@ def test_priced_with_hot_keys_equals_plain(spark):
     b = p.priced.select("event_seq", "product_id", "demand", "new_price")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     from pricestream.operators import overrides
+    c = PricingPlan.from_tables(spark, SF01, rows_per_bucket=5)
+    assert c.command_buckets is not None                                # hot in the command log
     i1 = overrides.override_intervals(p.effective, None)
-    i2 = overrides.override_intervals(p.effective, p.bucket_seconds)
+    i2 = overrides.override_intervals(c.effective, c.command_buckets)
     assert i1.exceptAll(i2).count() == 0 and i2.exceptAll(i1).count() == 0
 
 
@@ -115,6 +117,7 @@ def test_single_hot_product_through_the_plan(spark):
     hot = PricingPlan(ev, cm, cat, rows_per_bucket=500)
     assert hot.bucket_seconds is not None
     assert hot.bucket_seconds.widths.count() == 1
+    assert hot.command_buckets is None or hot.command_buckets.widths.count() <= 1
     a = plain.priced.select("event_seq", "demand", "new_price")
     b = hot.priced.select("event_seq", "demand", "new_price")
     assert a.count() > 0
