@@ -13,9 +13,6 @@ These helpers split each key's timeline into time buckets and scan in two phases
    ``partition_keys + [bucket]`` so the big side keeps its partitioning.
 
 The result equals a plain running window over the key (tests check both forms).
-``scan_keys`` may add columns to ``partition_keys`` (e.g. the raw product id
-under the trimmed one); the carry of those is looked up through a small map so
-the join stays on the partition keys.
 
 Bucket widths: ``auto_buckets`` finds the keys holding more than the target
 rows per cell and gives each its own width (count / target buckets over its
@@ -169,33 +166,26 @@ def release_cached() -> None:
 
 
 def _carry_join(local: DataFrame, carry: DataFrame, partition_keys: Sequence[str], b: str,
-                extra_keys: Sequence[str], carry_col: str) -> DataFrame:
+                carry_col: str) -> DataFrame:
     """Join per-cell carry values back onto the big side on partition keys + bucket.
 
-    The big side is already hash-partitioned on exactly these keys, so only the
-    small carry table moves. Extra scan keys ride along in a per-cell map.
+    The big side keeps its partitioning; the carry table is one row per cell
+    (Catalyst/AQE broadcast it when it is small, else it is shuffled to match).
     """
-    if extra_keys:
-        ek = F.col(extra_keys[0]) if len(extra_keys) == 1 else F.struct(*extra_keys)
-        carry = (carry.groupBy(*partition_keys, b)
-                      .agg(F.map_from_entries(F.collect_list(F.struct(ek, F.col(carry_col))))
-                           .alias("__cmap")))
-        joined = local.join(carry, [*partition_keys, b], "left")
-        return joined.withColumn(carry_col, F.col("__cmap")[ek]).drop("__cmap")
-    return local.join(carry, [*partition_keys, b], "left")
+    return local.join(carry.select(*partition_keys, b, carry_col), [*partition_keys, b], "left")
 
 
 def running_sum(df: DataFrame, partition_keys: Sequence[str], order: Sequence[str | Column],
                 value: str, out: str, bucket: Column | str | None = None,
-                scan_keys: Sequence[str] = (), repartition: bool = True) -> DataFrame:
+                repartition: bool = True) -> DataFrame:
     """``out`` = sum of ``value`` over all earlier rows and this row of the key,
-    in ``order``; key = partition_keys + scan_keys.
+    in ``order``.
 
     ``bucket``: None for a plain window; an expression (added and dropped); or
     the name of an existing column (kept). ``repartition=False`` when ``df`` is
     already hash-partitioned on partition_keys + bucket.
     """
-    keys = [*partition_keys, *scan_keys]
+    keys = list(partition_keys)
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(_UNB, Window.currentRow)
         return df.withColumn(out, F.sum(value).over(w))
@@ -205,7 +195,7 @@ def running_sum(df: DataFrame, partition_keys: Sequence[str], order: Sequence[st
     cells = d.groupBy(*keys, b).agg(F.sum(value).alias("__t"))
     w_cell = Window.partitionBy(*keys).orderBy(b).rowsBetween(_UNB, -1)
     carry = cells.select(*keys, b, F.sum("__t").over(w_cell).alias("__carry"))
-    res = _carry_join(local, carry, partition_keys, b, scan_keys, "__carry")
+    res = _carry_join(local, carry, partition_keys, b, "__carry")
     res = res.withColumn(out, F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))).drop("__carry")
     return res.drop(b) if temp else res
 
@@ -233,6 +223,6 @@ def running_last(df: DataFrame, partition_keys: Sequence[str], order: Sequence[s
     w_cell = Window.partitionBy(*partition_keys).orderBy(b).rowsBetween(_UNB, -1)
     carry = cells.select(*partition_keys, b,
                          F.last("__last", ignorenulls=True).over(w_cell).alias("__carry"))
-    res = _carry_join(local, carry, partition_keys, b, (), "__carry")
+    res = _carry_join(local, carry, partition_keys, b, "__carry")
     res = res.withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop("__carry")
     return res.drop(b) if temp else res
