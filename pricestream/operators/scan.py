@@ -4,10 +4,11 @@ A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into one
 task; a hot product holding a third of all events would then run in one task.
 These helpers split each key's timeline into time buckets and scan in two phases:
 
-1. one hash shuffle on ``partition_keys + [bucket]``; the running value is
+1. one hash shuffle on ``partition_keys + [bucket]``, persisted and
+   materialized so that it keeps its partitioning; the running value is
    computed inside each (key, bucket) cell by a window that needs no further
    shuffle, and per-cell totals / last values are aggregated from the same
-   shuffled data (Spark reuses the exchange);
+   cached rows;
 2. the carry-in of each cell (sum / last value of all earlier buckets of the
    key) is a window over the small per-cell table, joined back on
    ``partition_keys + [bucket]`` so the big side keeps its partitioning.
