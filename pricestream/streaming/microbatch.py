@@ -92,10 +92,12 @@ def next_state(plan: PricingPlan, real_priced: DataFrame, real_effective: DataFr
 class MicroBatchPricing:
     """``foreachBatch`` target: price one micro-batch with the batch plan."""
 
-    def __init__(self, out_dir: str, catalog: DataFrame, bucket_seconds: int | None | str = "auto"):
+    def __init__(self, out_dir: str, catalog: DataFrame, bucket_seconds: int | None | str = "auto",
+                 rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
         self.out_dir = out_dir.rstrip("/")
         self.catalog = catalog
         self.bucket_seconds = bucket_seconds
+        self.rows_per_bucket = rows_per_bucket
 
     def _state(self, spark, batch_id: int) -> DataFrame | None:
         if batch_id == 0:
@@ -114,7 +116,9 @@ class MicroBatchPricing:
             if prev is not None:
                 sev, scm = seed_rows(prev)
                 ev, cm = sev.unionByName(ev), scm.unionByName(cm)
-            width = (auto_buckets(ev.where(F.col("event_seq") >= 0), "product_id", "arrival_ts")
+            # hot products of this batch's real events (seed rows carry no volume)
+            width = (auto_buckets(ev.where(F.col("event_seq") >= 0), "product_id", "arrival_ts",
+                                  self.rows_per_bucket)
                      if self.bucket_seconds == "auto" else self.bucket_seconds)
             plan = PricingPlan(ev, cm, self.catalog, bucket_seconds=width, materialize=True)
             real = plan.priced.where(F.col("event_seq") >= 0)
@@ -134,9 +138,10 @@ class MicroBatchPricing:
 
 
 def start_microbatch_pricing(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,
-                             available_now: bool = True, bucket_seconds: int | None | str = "auto"):
+                             available_now: bool = True, bucket_seconds: int | None | str = "auto",
+                             rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
     """Message stream -> per-micro-batch batch plan; returns the StreamingQuery."""
-    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, bucket_seconds))
+    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, bucket_seconds, rows_per_bucket))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()

@@ -122,7 +122,7 @@ def test_update_stream_changed_products(spark, tmp_dir):
     assert got.exceptAll(want).count() == 0
 
 
-@pytest.mark.parametrize("bucket", [None, 3 * 3600])
+@pytest.mark.parametrize("bucket", [None, 3 * 3600, "hot"])
 def test_microbatch_engine_equals_batch(spark, tmp_dir, bucket):
     from pricestream.streaming.microbatch import start_microbatch_pricing
     msgs = _messages(spark, SF001).withColumn("chunk", F.floor((F.dayofmonth("arrival_ts") - 1) / 8))
@@ -132,11 +132,13 @@ def test_microbatch_engine_equals_batch(spark, tmp_dir, bucket):
     cat = fixtures.catalog(spark, SF001)
     out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
     _drop_files(pdf, inbox, [0, 1], tmp_dir)
+    # "hot": per-product widths for every product with more than 3 events in a batch
+    kw = dict(bucket_seconds="auto", rows_per_bucket=3) if bucket == "hot" else dict(bucket_seconds=bucket)
     start_microbatch_pricing(S.message_stream(spark, inbox, max_files_per_trigger=1), cat, out, ckpt,
-                             bucket_seconds=bucket).awaitTermination()
+                             **kw).awaitTermination()
     _drop_files(pdf, inbox, [2, 3], tmp_dir)
     start_microbatch_pricing(S.message_stream(spark, inbox, max_files_per_trigger=1), cat, out, ckpt,
-                             bucket_seconds=bucket).awaitTermination()
+                             **kw).awaitTermination()
     hist = spark.read.parquet(os.path.join(out, "price_history"))
     assert hist.select("batch_id").distinct().count() == 4
     p = PricingPlan.from_tables(spark, SF001, bucket_seconds=None)
