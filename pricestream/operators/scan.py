@@ -74,12 +74,20 @@ def hot_key_widths(df: DataFrame, key: str | list[str], ts: str,
     bucket width that cuts its time span into about count / rows_per_bucket
     buckets (a partial+final aggregate over the input)."""
     keys = [key] if isinstance(key, str) else list(key)
-    t = F.unix_seconds(F.col(ts).cast("timestamp"))
-    g = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(t).alias("__lo"), F.max(t).alias("__hi"))
-           .where(F.col("__n") > rows_per_bucket))
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
+    return widths_from_stats(g, keys, rows_per_bucket)
+
+
+def widths_from_stats(stats: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
+    """keys, __width from per-key statistics (__n rows, __lo / __hi timestamps):
+    only keys above ``rows_per_bucket`` rows, each cut into about
+    __n / rows_per_bucket buckets of its time span."""
+    lo = F.unix_seconds(F.col("__lo").cast("timestamp"))
+    hi = F.unix_seconds(F.col("__hi").cast("timestamp"))
     n_buckets = F.ceil(F.col("__n") / F.lit(rows_per_bucket))
-    width = F.greatest(F.lit(1), F.floor((F.col("__hi") - F.col("__lo") + 1) / n_buckets))
-    return g.select(*keys, width.cast("bigint").alias("__width"))
+    width = F.greatest(F.lit(1), F.floor((hi - lo + 1) / n_buckets))
+    return (stats.where(F.col("__n") > rows_per_bucket)
+                 .select(*keys, width.cast("bigint").alias("__width")))
 
 
 def auto_buckets(df: DataFrame, key: str, ts: str,
@@ -94,24 +102,17 @@ def auto_buckets(df: DataFrame, key: str, ts: str,
     return KeyBuckets(materialize(hot, "hot_key_widths"), key)
 
 
-def auto_buckets_of(inputs: dict[str, tuple[DataFrame, str, str]],
-                    rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> dict[str, KeyBuckets | None]:
-    """``auto_buckets`` for several inputs {name: (df, key, ts)} in one job: one
-    aggregate over their union keyed by (input, key)."""
-    from functools import reduce
-
-    from pricestream.session import materialize
-    parts = [df.select(F.lit(name).alias("__src"), F.col(key).alias("__k"), F.col(ts).alias("__t"))
-             for name, (df, key, ts) in inputs.items()]
-    hot = hot_key_widths(reduce(DataFrame.unionByName, parts), ["__src", "__k"], "__t", rows_per_bucket)
-    found = {r["__src"] for r in hot.select("__src").distinct().collect()}   # at most len(inputs) rows
-    if not found:
-        return {name: None for name in inputs}
-    table = materialize(hot, "hot_key_widths")
-    return {name: (KeyBuckets(table.where(F.col("__src") == name)
-                              .select(F.col("__k").alias(key), "__width"), key)
+def buckets_from_stats(stats: DataFrame, sources: dict[str, str],
+                       rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> dict[str, KeyBuckets | None]:
+    """Per input, ``KeyBuckets`` for its hot keys (or None), from a statistics
+    table (__src, key, __n, __lo, __hi) covering several inputs {name: key}."""
+    src_keys = ["__src", "__k"]
+    st = stats.select("__src", F.col(next(iter(sources.values()))).alias("__k"), "__n", "__lo", "__hi")
+    hot = widths_from_stats(st, src_keys, rows_per_bucket)
+    found = {r["__src"] for r in hot.select("__src").distinct().collect()}   # at most len(sources) rows
+    return {name: (KeyBuckets(hot.where(F.col("__src") == name).select(F.col("__k").alias(key), "__width"), key)
                    if name in found else None)
-            for name, (_, key, _) in inputs.items()}
+            for name, key in sources.items()}
 
 
 def add_bucket(df: DataFrame, bucketing, key_col: str, ts_col: str, out: str = "__bucket",

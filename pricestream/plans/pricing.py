@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from pricestream import constants as K
 from pricestream.operators import baseline, demand, ingest, overrides, serving
-from pricestream.operators.scan import auto_buckets_of, release_cached
+from pricestream.operators.scan import buckets_from_stats, release_cached
 from pricestream.session import materialize
 from pricestream.sources import fixtures
 
@@ -48,12 +48,23 @@ class PricingPlan:
         kw.setdefault("order", order)
         return cls(ev, fixtures.override_commands(spark, sf_dir), fixtures.catalog(spark, sf_dir), **kw)
 
+    @cached_property
+    def product_stats(self) -> DataFrame:
+        """__src in {events, commands}, product_id, __n rows, __lo / __hi first and
+        last time: one aggregate over both inputs, written once. It yields the
+        first-seen table and the hot products of each input."""
+        ev = self.valid.select(F.lit("events").alias("__src"), "product_id", F.col("arrival_ts").alias("__t"))
+        cm = ingest.valid_override_commands(self.commands).select(
+            F.lit("commands").alias("__src"), "product_id", F.col("cmd_ts").alias("__t"))
+        st = ev.unionByName(cm).groupBy("__src", "product_id").agg(
+            F.count(F.lit(1)).alias("__n"), F.min("__t").alias("__lo"), F.max("__t").alias("__hi"))
+        return materialize(st, "product_stats")
+
     @cached_property
     def _auto_buckets(self) -> dict:
-        """Hot products of the events and of the command log, found in one job."""
-        return auto_buckets_of({"events": (self.valid, "product_id", "arrival_ts"),
-                                "commands": (ingest.valid_override_commands(self.commands),
-                                             "product_id", "cmd_ts")}, self.rows_per_bucket)
+        """Hot products of the events and of the command log (from product_stats)."""
+        return buckets_from_stats(self.product_stats, {"events": "product_id", "commands": "product_id"},
+                                  self.rows_per_bucket)
 
     @cached_property
     def bucket_seconds(self):
@@ -74,8 +85,10 @@ class PricingPlan:
     @cached_property
     def first_seen(self) -> DataFrame:
         """product_id, since: first valid arrival per raw id (known products, id variants)."""
-        f = overrides.first_seen(self.valid)
-        return materialize(f, "first_seen") if self.materialize else f
+        if self._bucket == "auto" or self.materialize:
+            return (self.product_stats.where(F.col("__src") == "events")
+                        .select("product_id", F.col("__lo").alias("since")))
+        return overrides.first_seen(self.valid)
 
     @cached_property
     def effective(self) -> DataFrame:
