@@ -119,3 +119,40 @@ def live_price(priced: DataFrame, effective: DataFrame, catalog: DataFrame | Non
     for x in w[1:]:
         u = u.unionByName(x)
     return u.groupBy("product_id").agg(F.max_by("price", "o").alias("price"))
+
+
+def seeded_live_state(priced: DataFrame, effective: DataFrame, catalog: DataFrame) -> DataFrame:
+    """product_id, demand, price of the seeded live state (operators 28 + 30 + 39)
+    as one aggregation over the union of the three writers.
+
+    Same result as ``baseline.seed_live_state(catalog, totals full-outer live
+    price)`` without joins: accepted events are first reduced per product by a
+    hash aggregate (sum of weights, last price by demand), then meet the
+    override sets and the catalog seed rows in one group-by per product.
+    Catalog products get demand 0 when they have no events; a catalog row
+    without a base price fails the job.
+    """
+    dyn = priced.groupBy("product_id").agg(
+        F.sum("w").alias("d"), F.max_by("new_price", "demand").alias("price"),
+        F.max_by("arrival_ts", "demand").alias("t"), F.max_by("event_seq", "demand").alias("s"))
+    order = lambda t, k, s: F.struct(t.alias("t"), F.lit(k).alias("k"), s.alias("s"))
+    base = F.when(F.col("base_price").isNull(),
+                  F.raise_error(F.concat(F.lit("catalog base price missing for "), F.col("product_id")))) \
+            .otherwise(F.col("base_price"))
+    rows = [
+        dyn.select("product_id", "d", "price", order(F.col("t"), K.KIND_EVENT, F.col("s")).alias("o"),
+                   F.lit(False).alias("cat")),
+        effective.where(F.col("op") == K.OP_SET).select(
+            "product_id", F.lit(None).cast("bigint").alias("d"), F.col("override_price").alias("price"),
+            order(F.col("cmd_ts"), K.KIND_COMMAND, F.col("cmd_seq")).alias("o"), F.lit(False).alias("cat")),
+        catalog.select("product_id", F.lit(None).cast("bigint").alias("d"), base.alias("price"),
+                       order(F.lit(overrides.NEVER).cast("timestamp"), K.KIND_SEED,
+                             F.lit(-1).cast("bigint")).alias("o"), F.lit(True).alias("cat")),
+    ]
+    u = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    g = u.groupBy("product_id").agg(F.sum("d").alias("d"), F.max_by("price", "o").alias("price"),
+                                    F.max("cat").alias("cat"))
+    return g.select("product_id",
+                    F.when(F.col("cat"), F.coalesce(F.col("d"), F.lit(0))).otherwise(F.col("d"))
+                     .cast("bigint").alias("demand"),
+                    "price")

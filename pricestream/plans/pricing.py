@@ -119,7 +119,14 @@ class PricingPlan:
 
     @cached_property
     def live_state(self) -> DataFrame:
-        """product_id, demand, price after seeding (operators 28, 30, 39)."""
+        """product_id, demand, price after seeding (operators 28, 30, 39), as one
+        aggregation over the writers (see ``demand.seeded_live_state``)."""
+        return demand.seeded_live_state(self.priced, self.effective, self.catalog)
+
+    @cached_property
+    def live_state_joined(self) -> DataFrame:
+        """The same table through operator 39 as specified: totals full-outer live
+        price, then seeded from the catalog."""
         lp = demand.live_price(self.priced, self.effective)
         unseeded = self.demand_totals.join(lp, "product_id", "full_outer")
         return baseline.seed_live_state(self.catalog, unseeded)

@@ -296,7 +296,7 @@ def override_history_points(spark, sf_dir):
 
 @query
 def seed_live_state(spark, sf_dir):
-    return _plan(spark, sf_dir, materialize=True).live_state
+    return _plan(spark, sf_dir, materialize=True).live_state_joined
 
 
 @query

@@ -122,3 +122,10 @@ def test_single_hot_product_through_the_plan(spark):
     b = hot.priced.select("event_seq", "demand", "new_price")
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_fused_live_state_equals_operator_39(spark):
+    p = PricingPlan.from_tables(spark, SF01)
+    a, b = p.live_state, p.live_state_joined
+    assert a.count() == 2000
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
