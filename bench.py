@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is forced with a ``noop`` write (full computation, nothing collected).
-Times are wall-clock seconds, the best of BENCH_REPEAT (default 2) runs, after one
+Times are wall-clock seconds, the best of BENCH_REPEAT (default 3) runs, after one
 warm-up run of every query on sf0.001. Each run builds its plan from scratch
 (including the bucket-width statistics job and any materialized table).
 """
@@ -23,7 +23,7 @@ from pricestream.plans.pricing import PricingPlan  # noqa: E402
 from pricestream.session import build_session  # noqa: E402
 
 
-REPEAT = int(os.environ.get("BENCH_REPEAT", "2"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 
 
 def _run(df) -> None:
