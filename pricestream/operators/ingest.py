@@ -180,8 +180,10 @@ def decode_override_requests(raw: DataFrame, value: str = "value", keep: tuple[s
     fields = {"product_id": "string", "override_price": "double", "reason": "string"}
     ok, v = json_fields(fields)
     keys = F.json_object_keys(F.col("__v"))
+    # keys are null for a ``null`` body (accepted as the zero request, then refused
+    # by the id check) and for non-objects (already refused by the parse check)
     no_unknown = F.coalesce(F.size(F.array_except(keys, F.array(*map(F.lit, OVERRIDE_REQUEST_KEYS)))) == 0,
-                            F.lit(False))
+                            F.lit(True))
     cols = [*map(F.col, keep), v["product_id"].alias("product_id"), F.lit(K.OP_SET).alias("op"),
             v["override_price"].alias("override_price"), v["reason"].alias("reason"),
             (ok & no_unknown).alias("__ok")]

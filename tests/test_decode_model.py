@@ -109,3 +109,68 @@ def test_decoder_equals_model(spark, batch):
                     assert v == vals[k] or math.isclose(v, vals[k], rel_tol=1e-15), (text, k, v, vals[k])
                 else:
                     assert v == vals[k], (text, k, v, vals[k])
+
+
+REQ_FIELDS = {"product_id": "string", "override_price": "double", "reason": "string"}
+req_docs = st.one_of(
+    st.dictionaries(st.sampled_from([*REQ_FIELDS, "extra"]), values, max_size=4),
+    st.fixed_dictionaries({}, optional={"product_id": st.sampled_from(["PA", " PB ", "P$", ""]),
+                                        "override_price": st.one_of(st.floats(allow_nan=False, width=64),
+                                                                    st.integers(-5, 10**20)),
+                                        "reason": st.one_of(st.none(), st.text(max_size=4))}))
+
+
+@st.composite
+def req_texts(draw):
+    s = json.dumps(draw(req_docs))
+    m = draw(st.sampled_from(["none", "none", "trail", "truncate", "null"]))
+    if m == "trail":
+        s += draw(st.sampled_from([" {}", " x", "\n"]))
+    elif m == "truncate" and len(s) > 1:
+        s = s[:-1]
+    elif m == "null":
+        s = "null"
+    return s
+
+
+def model_request(text):
+    """Request bodies: one JSON value, unknown keys rejected, typed fields."""
+    try:
+        doc = json.loads(text, parse_constant=_reject_constant)
+    except ValueError:
+        return False, None
+    if doc is None:
+        return True, {"product_id": "", "override_price": 0.0, "reason": ""}
+    if not isinstance(doc, dict) or set(doc) - set(REQ_FIELDS):
+        return False, None
+    out = {}
+    for k, t in REQ_FIELDS.items():
+        v = doc.get(k)
+        if v is None:
+            out[k] = ZERO[t]
+        elif t == "string":
+            if not isinstance(v, str):
+                return False, None
+            out[k] = v
+        else:
+            if isinstance(v, bool) or not isinstance(v, (int, float)) or not math.isfinite(float(v)):
+                return False, None
+            out[k] = float(v)
+    return True, out
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(req_texts(), min_size=1, max_size=40))
+def test_request_decoder_equals_model(spark, batch):
+    import datetime as dt
+    rows = [(i, dt.datetime(2024, 1, 1), t) for i, t in enumerate(batch)]
+    df = spark.createDataFrame(rows, "cmd_seq bigint, cmd_ts timestamp, value string")
+    got = {r.cmd_seq: r for r in ingest.decode_override_requests(df).collect()}
+    for i, text in enumerate(batch):
+        ok, vals = model_request(text)
+        assert (i in got) == ok, text
+        if ok:
+            r = got[i]
+            assert (r.product_id, r.reason) == (vals["product_id"], vals["reason"]), text
+            assert r.override_price == vals["override_price"] or \
+                math.isclose(r.override_price, vals["override_price"], rel_tol=1e-15), text
