@@ -174,3 +174,54 @@ def test_request_decoder_equals_model(spark, batch):
             assert (r.product_id, r.reason) == (vals["product_id"], vals["reason"]), text
             assert r.override_price == vals["override_price"] or \
                 math.isclose(r.override_price, vals["override_price"], rel_tol=1e-15), text
+
+
+UPD_FIELDS = {"product_id": "string", "new_price": "double", "timestamp": "bigint"}
+WHITE = "\t\n\x0b\f\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+upd_docs = st.fixed_dictionaries({}, optional={
+    "product_id": st.one_of(st.sampled_from(["PA", " PB\t", "\u3000PC\u00a0", "\u2028", "", "P 1"]),
+                            st.integers(0, 3)),
+    "new_price": st.one_of(st.sampled_from([0, -1.5, 12.25, 1e-9]), st.floats(allow_nan=False, width=64)),
+    "timestamp": st.one_of(st.sampled_from([0, -1, 1700000000, 2**63]), st.floats(width=32, allow_nan=False)),
+    "type": st.just("x")})
+
+
+@st.composite
+def upd_texts(draw):
+    s = json.dumps(draw(upd_docs), ensure_ascii=draw(st.booleans()))
+    if draw(st.integers(0, 5)) == 0:
+        s = s[:-1]
+    return s
+
+
+def model_update(text):
+    try:
+        doc = json.loads(text, parse_constant=_reject_constant)
+    except ValueError:
+        return None
+    if doc is None:
+        doc = {}
+    if not isinstance(doc, dict):
+        return None
+    pid, price, ts = doc.get("product_id"), doc.get("new_price"), doc.get("timestamp")
+    if pid is not None and not isinstance(pid, str):
+        return None
+    if price is not None and (isinstance(price, bool) or not isinstance(price, (int, float))
+                              or not math.isfinite(float(price))):
+        return None
+    if ts is not None and (isinstance(ts, bool) or not isinstance(ts, int) or not -2**63 <= ts < 2**63):
+        return None
+    pid = (pid or "").strip(WHITE)
+    if pid == "" or not float(price or 0) > 0 or not (ts or 0) > 0:
+        return None
+    return pid, float(price), ts
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(upd_texts(), min_size=1, max_size=40))
+def test_update_parser_equals_model(spark, batch):
+    df = spark.createDataFrame(list(enumerate(batch)), "event_seq bigint, value string")
+    got = {r.event_seq: (r.product_id, r.new_price, r.timestamp) for r in ingest.parse_price_updates(df).collect()}
+    for i, text in enumerate(batch):
+        want = model_update(text)
+        assert got.get(i) == want, text
