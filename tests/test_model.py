@@ -133,7 +133,7 @@ def spark_run(spark, events, commands, bucket):
     return acc, sets, gates, live, ovr
 
 
-@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.one_of(scenario(), removal_scenario()), st.sampled_from([None, 7, 45]))
 def test_plan_equals_sequential_model(spark, sc, bucket):
     events, commands = sc
