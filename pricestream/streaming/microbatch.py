@@ -78,9 +78,18 @@ def next_state(plan: PricingPlan, real_priced: DataFrame, real_effective: DataFr
                previous: DataFrame | None) -> DataFrame:
     """product_id, demand, last_op, last_cmd_ts, price after this micro-batch."""
     dem = plan.priced.groupBy("product_id").agg(F.max("demand").alias("demand"))
-    cmd = (plan.effective.groupBy("product_id")
+    # the last effective command among this batch's real commands; products
+    # without one keep their previous state (the seed commands only replay it)
+    cmd = (real_effective.groupBy("product_id")
                .agg(F.max_by(F.struct("op", "cmd_ts"), F.struct("cmd_ts", "cmd_seq")).alias("c"))
                .select("product_id", F.col("c.op").alias("last_op"), F.col("c.cmd_ts").alias("last_cmd_ts")))
+    if previous is not None:
+        prev_cmd = previous.where(F.col("last_op").isNotNull()).select(
+            "product_id", F.col("last_op").alias("__p_op"), F.col("last_cmd_ts").alias("__p_ts"))
+        cmd = (prev_cmd.join(cmd, "product_id", "full_outer")
+                       .select("product_id", F.coalesce("last_op", "__p_op").alias("last_op"),
+                               F.when(F.col("last_op").isNotNull(), F.col("last_cmd_ts"))
+                                .otherwise(F.col("__p_ts")).alias("last_cmd_ts")))
     prev_price = (previous.where(F.col("price").isNotNull())
                           .select("product_id", F.col("price").alias("base_price"))
                   if previous is not None else None)

@@ -156,3 +156,22 @@ def test_microbatch_engine_equals_batch(spark, tmp_dir, bucket):
     lp = last.where(F.col("price").isNotNull()).select("product_id", "price")
     want_lp = D.live_price(p.priced, p.effective)
     assert lp.exceptAll(want_lp).count() == 0 and want_lp.exceptAll(lp).count() == 0
+
+
+def test_microbatch_engine_batch_without_events_keeps_state(spark, tmp_dir):
+    import datetime as dt
+    from pricestream.streaming.microbatch import MicroBatchPricing
+    schema = "topic string, seq bigint, arrival_ts timestamp, value string"
+    t = dt.datetime(2024, 1, 1)
+    first = spark.createDataFrame([
+        (S.TOPIC_EVENTS, 1, t, '{"event_type":"view","product_id":"PA","price":10.0,"timestamp":1}'),
+        (S.TOPIC_SET, 2, t + dt.timedelta(seconds=5), '{"product_id":"PA","override_price":50.0}')], schema)
+    other = spark.createDataFrame([(S.TOPIC_UPDATES, 3, t + dt.timedelta(seconds=9), '{"x":1}')], schema)
+    cat = spark.createDataFrame([("PA", 299.0)], "product_id string, base_price double")
+    sink = MicroBatchPricing(tmp_dir, cat)
+    sink(first, 0)
+    sink(other, 1)                                       # nothing to price in this batch
+    s0 = {r.product_id: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_dir}/state/version=0").collect()}
+    s1 = {r.product_id: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_dir}/state/version=1").collect()}
+    assert s0 == s1 and s0["PA"][0] == 1 and s0["PA"][1] == "set"
+    assert spark.read.parquet(f"{tmp_dir}/price_history/batch_id=1").count() == 0
