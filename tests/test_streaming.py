@@ -175,3 +175,22 @@ def test_microbatch_engine_batch_without_events_keeps_state(spark, tmp_dir):
     s1 = {r.product_id: tuple(r)[1:] for r in spark.read.parquet(f"{tmp_dir}/state/version=1").collect()}
     assert s0 == s1 and s0["PA"][0] == 1 and s0["PA"][1] == "set"
     assert spark.read.parquet(f"{tmp_dir}/price_history/batch_id=1").count() == 0
+
+
+def test_microbatch_engine_replayed_batch_is_idempotent(spark, tmp_dir):
+    import datetime as dt
+    from pricestream.streaming.microbatch import MicroBatchPricing
+    schema = "topic string, seq bigint, arrival_ts timestamp, value string"
+    t = dt.datetime(2024, 1, 1)
+    batch = spark.createDataFrame([
+        (S.TOPIC_EVENTS, 1, t, '{"event_type":"cart","product_id":"PA","price":10.0,"timestamp":1}'),
+        (S.TOPIC_EVENTS, 2, t + dt.timedelta(seconds=1), '{"event_type":"view","product_id":"PA","price":10.0}')],
+        schema)
+    cat = spark.createDataFrame([("PA", 299.0)], "product_id string, base_price double")
+    sink = MicroBatchPricing(tmp_dir, cat)
+    sink(batch, 0)
+    sink(batch, 0)                                       # the same batch again after a failure
+    hist = spark.read.parquet(f"{tmp_dir}/price_history")
+    assert hist.count() == 2
+    state = spark.read.parquet(f"{tmp_dir}/state/version=0").collect()
+    assert [(r.product_id, r.demand) for r in state] == [("PA", 4)]
