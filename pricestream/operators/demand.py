@@ -5,7 +5,9 @@
 - ``priced_events``: decode -> validate -> gate -> running demand -> price;
 - ``demand_totals``: final counter per product (partial + final aggregate);
 - ``live_price``: last written price per product over seed, override sets and
-  dynamic prices (``max_by`` on (time, kind, seq), pre-aggregated map-side).
+  dynamic prices (``max_by`` on (time, kind, seq), pre-aggregated map-side);
+- ``seeded_live_state``: demand and price per product after seeding, as one
+  aggregation over the three writers.
 """
 
 from __future__ import annotations
