@@ -1,8 +1,9 @@
 """The batch pricing plan: inputs -> accepted events -> state, history, views.
 
-``PricingPlan`` only wires lazy DataFrames together; nothing runs until an
-action. One plan object can serve several outputs; identical sub-plans share
-their shuffles through Spark's exchange reuse.
+``PricingPlan`` wires lazy DataFrames together. The jobs it runs before an
+action are small and bounded: the per-product statistics that decide the hot
+products, and (with ``materialize``) writing intermediates that several
+outputs share.
 """
 
 from __future__ import annotations
@@ -26,6 +27,18 @@ PRICED_COLUMNS = ("event_seq", "arrival_ts", "event_type", "product_id", "price"
 
 
 class PricingPlan:
+    """The batch job over product events, an override command log and a catalog.
+
+    - ``order``: arrival order of events, (arrival_ts, event_seq, *tie-breaks);
+    - ``bucket_seconds``: "auto" (time buckets only for hot products, found in
+      ``product_stats``), None (plain windows) or an int width for every product;
+    - ``rows_per_bucket``: target rows per (product, time bucket) cell;
+    - ``materialize``: write the accepted events, effective commands and
+      first-seen table once under ``spark.checkpoint.dir`` when several outputs
+      read them (history, live state and views);
+    - ``run_ts``: time of base history rows for products without history.
+    """
+
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
                  run_ts: str = fixtures.RUN_TS, order: Sequence[str] = demand.EVENT_ORDER,
                  bucket_seconds: int | None | str = "auto", history_limit=50,
