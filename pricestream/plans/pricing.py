@@ -1,9 +1,9 @@
 """The batch pricing plan: inputs -> accepted events -> state, history, views.
 
-``PricingPlan`` wires lazy DataFrames together. The jobs it runs before an
-action are small and bounded: the per-product statistics that decide the hot
-products, and (with ``materialize``) writing intermediates that several
-outputs share.
+``PricingPlan`` wires lazy DataFrames together. Before an action it runs only
+the per-product statistics job that decides the hot products (its output is
+one row per product) and, with ``materialize``, the writes of intermediates
+that several outputs share.
 """
 
 from __future__ import annotations
