@@ -2,8 +2,9 @@
 
 ``PricingPlan`` wires lazy DataFrames together. Before an action it runs only
 the per-product statistics job that decides the hot products (its output is
-one row per product) and, with ``materialize``, the writes of intermediates
-that several outputs share.
+one row per product), with ``materialize`` the writes of intermediates that
+several outputs share, and, when products are hot, the cache fills of the
+two-phase scans (``operators.scan``).
 """
 
 from __future__ import annotations
