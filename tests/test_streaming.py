@@ -194,3 +194,16 @@ def test_microbatch_engine_replayed_batch_is_idempotent(spark, tmp_dir):
     assert hist.count() == 2
     state = spark.read.parquet(f"{tmp_dir}/state/version=0").collect()
     assert [(r.product_id, r.demand) for r in state] == [("PA", 4)]
+
+
+def test_stream_job_command(spark, tmp_dir):
+    from pricestream.plans import job
+    msgs = _messages(spark, SF001).withColumn("chunk", F.lit(0))
+    inbox = os.path.join(tmp_dir, "inbox")
+    os.makedirs(inbox)
+    _drop_files(msgs.toPandas(), inbox, [0], tmp_dir)
+    out, ckpt = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ckpt")
+    job.main(["stream", "--inbox", inbox, "--tables", SF001, "--out", out, "--checkpoint", ckpt,
+              "--available-now"])
+    priced = spark.read.parquet(os.path.join(out, "priced"))
+    assert priced.count() == 452
