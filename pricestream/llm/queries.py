@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("op5_substring_dedup", "op8_simhash_dedup")
+_MODULES = ("op5_substring_dedup", "op8_simhash_dedup", "op9_quality_rules")
 
 
 def _load():
