@@ -21,8 +21,8 @@ The documents are shuffled once; the three steps read the same exchange. No pair
 made: a passage that a third of the corpus shares is one entry per block.
 
 Edge cases: a null text has no words and stays null; an empty or short text is kept.
-Null ids come before all others. Rows with the same id are ordered by a hash of their
-text; wholly equal rows are in one block and the first met is the earlier one. An empty
+Null ids come before all others. Rows with the same id are ordered by block and a hash
+of their text; wholly equal rows are in one block and the first met is the earlier one. An empty
 table gives an empty result.
 """
 
@@ -143,23 +143,25 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         cut = X.bucket_bounds(keys, n)
         for b in np.flatnonzero(np.diff(cut)):
             part = first[cut[b]:cut[b + 1]]
-            fields = [X.pack_sorted(high[part]), low[part].tobytes(), ids[doc[part]].tobytes(), tie[doc[part]].tobytes()]
-            rows.append((block, int(b), len(part), b"".join(fields[1:]) + fields[0]))
+            sorted_high = X.pack_sorted(high[part])
+            rows.append((block, int(b), len(part), low[part].tobytes() + len(sorted_high).to_bytes(8, "little")
+                         + sorted_high + X.pack(ids[doc[part]].view(np.uint64))))
         return _messages(rows)
 
     def answer_windows(tab: pa.Table) -> pa.Table:
         if tab.column("bucket")[0].as_py() < 0:
             return tab.select(list(_MESSAGE_TYPES))
         counts = _one(tab, "n")
-        low, ids, tie, high = [], [], [], []
+        low, ids, high = [], [], []
         for p, k in zip(tab.column("payload"), counts):
             p = p.as_py()
+            size = int.from_bytes(p[8 * k:8 * k + 8], "little")
             low.append(np.frombuffer(p, np.uint64, k))
-            ids.append(np.frombuffer(p, np.int64, k, 8 * k))
-            tie.append(np.frombuffer(p, np.uint64, k, 16 * k))
-            high.append(X.unpack_sorted(p[24 * k:], k))
-        low, ids, tie, high = map(np.concatenate, (low, ids, tie, high))
-        order = np.lexsort((tie, ids, low, high))
+            high.append(X.unpack_sorted(p[8 * k + 8:8 * k + 8 + size], k))
+            ids.append(X.unpack(p[8 * k + 8 + size:], k).view(np.int64))
+        low, ids, high = map(np.concatenate, (low, ids, high))
+        # one owner per block; equal ids in two blocks are different texts, ordered by block
+        order = np.lexsort((np.repeat(_one(tab, "block"), counts), ids, low, high))
         head = np.ones(len(order), bool)
         head[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
         wins = np.zeros(len(order), bool)
