@@ -53,7 +53,20 @@ def unpack_sorted(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(unpack(data, n), dtype=np.uint64)
 
 
-def bucket_bounds(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Places that cut sorted ``keys`` into ``buckets`` equal ranges of the hash space."""
-    lows = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
+def bucket_bounds(keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:
+    """Places that cut sorted ``keys`` of so many bits into ``buckets`` equal ranges."""
+    lows = np.array([(b << bits) // buckets for b in range(1, buckets)], np.uint64)
     return np.concatenate(([0], np.searchsorted(keys, lows), [len(keys)]))
+
+
+def join_fields(*fields: bytes) -> bytes:
+    return b"".join(len(f).to_bytes(8, "little") + f for f in fields)
+
+
+def split_fields(data: bytes) -> list[bytes]:
+    out, at = [], 0
+    while at < len(data):
+        size = int.from_bytes(data[at:at + 8], "little")
+        out.append(data[at + 8:at + 8 + size])
+        at += 8 + size
+    return out
