@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("op1_token_codes", "op2_lm_scoring", "op3_toxicity", "op5_substring_dedup", "op7_fingerprints", "op8_simhash_dedup", "op9_quality_rules", "op10_bpe")
+_MODULES = ("op1_token_codes", "op2_lm_scoring", "op3_toxicity", "op4_best_fit_packing", "op5_substring_dedup", "op7_fingerprints", "op8_simhash_dedup", "op9_quality_rules", "op10_bpe")
 
 
 def _load():
