@@ -53,6 +53,8 @@ _P = len(COORDINATES)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 #: Grid of the starting quantiles, bins per doubling of a distance.
 GRID, BINS = 512, 8
+#: Parts that a group is dealt into where estimates are joined to its rows.
+SALTS = 32
 
 
 def chi2_cdf(x: float, df: int) -> float:
@@ -164,7 +166,9 @@ def _estimates(points: DataFrame) -> DataFrame:
     params = materialize(quart.select(*cols), "mcd-start")
     bin_ = f"cast(floor({BINS} * log2(greatest({_distance()}, 1e-9))) as int)"
     for _ in range(STEPS):
-        sums = points.join(params, "grp").withColumn("bin", F.expr(bin_)).groupBy("grp", "bin").agg(
+        # salted, so that a group with most of the rows is many join keys
+        spread = params.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        sums = points.join(spread, ["grp", "salt"]).withColumn("bin", F.expr(bin_)).groupBy("grp", "bin").agg(
             F.count("*").alias("n"), *[F.sum(f"x{i}").alias(f"s{i}") for i in range(_P)],
             *[F.sum(F.expr(f"x{i} * x{j}")).alias(f"s{i}{j}") for i, j in _PAIRS])
         params = materialize(sums.groupBy("grp").applyInPandas(_solve, "grp string, " + _PARAMS), "mcd-step")
@@ -181,7 +185,8 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         "base_failed", F.expr(f"n_words < {MIN_WORDS} or 100 * n_repeat_words > {REPEAT_PERCENT} * n_words"))
     rows = rows.select("*", *[F.expr(e).alias(f"x{i}") for i, (e, _) in enumerate(COORDINATES)])
     rows = materialize(rows, "quality")
-    fit = rows.filter("not base_failed").select("lang", "source", *[f"x{i}" for i in range(_P)])
+    fit = rows.filter("not base_failed").select(
+        "lang", "source", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).alias("salt"), *[f"x{i}" for i in range(_P)])
     # null fields are left out of the JSON, so they differ from empty strings
     levels = [F.to_json(F.struct("lang", "source")), F.concat(F.lit("lang "), F.to_json(F.struct("lang"))), F.lit("all")]
     sizes = materialize(fit.groupBy("lang", "source").agg(F.count("*").alias("n")), "group-sizes")
@@ -190,8 +195,7 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              F.col("lang").eqNullSafe(F.col("lang_")))
              .select(levels[0].alias("exact"), F.when(F.col("n_group") >= MIN_GROUP, levels[0])
                      .when(F.col("n_lang") >= MIN_GROUP, levels[1]).otherwise(levels[2]).alias("grp")))
-    points = fit.select(F.explode(F.array(*levels)).alias("grp"), *[f"x{i}" for i in range(_P)])
-    points = points.join(level.select("grp").distinct(), "grp", "left_semi")
+    points = fit.select(F.explode(F.array(*levels)).alias("grp"), "salt", *[f"x{i}" for i in range(_P)])
     params = level.join(_estimates(points), "grp").drop("grp")
     judged = rows.withColumn("exact", levels[0]).join(params, "exact", "left")
     judged = judged.withColumn("kept", F.expr(f"not base_failed and coalesce({_distance()} <= {CUTOFF}D, false)"))
