@@ -1,13 +1,64 @@
-"""Training-data pipeline over ``documents``."""
+"""Training-data pipeline over ``documents``.
+
+Stages, in order: toxicity (what the classifier rejects goes), quality rules (what they reject
+goes), SimHash near-dedup (one document of each group stays), substring dedup (repeated passages
+go from the texts) and best-fit packing (rows of packed pieces). Each stage takes the whole result of
+the one before it, written as Parquet to the shared checkpoint folder and read again; so a lost
+executor costs its own tasks, not the stages before. All but the last return the columns of
+``documents``. Null texts, empty tables and repeated rows are handled as each operator says.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pricestream.llm.op3_toxicity import score_toxicity, train
+from pricestream.llm.op4_best_fit_packing import pack_texts
+from pricestream.llm.op5_substring_dedup import dedup_substrings
+from pricestream.llm.op8_simhash_dedup import keep_one_per_group
+from pricestream.llm.op9_quality_rules import quality_verdicts
+from pricestream.session import materialize
+from pricestream.sources.tables import read_table
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).filter("predicted = 0").select(docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality_verdicts(docs).filter("kept").select(docs.columns)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one_per_group(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    done = dedup_substrings(docs).select(docs.columns)
+    return done.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_texts(docs)
+
 
-STAGES = []
+STAGES = [
+    ("toxicity", toxicity),
+    ("quality_rules", quality_rules),
+    ("simhash_dedup", simhash_dedup),
+    ("substring_dedup", substring_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
 
+#: Its rows need a trained classifier, robust estimates and the tokenizer's counts: not SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The packed pieces of the documents that stay."""
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
