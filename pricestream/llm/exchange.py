@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 8 << 20
 
 
-def block_count(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
-    """Blocks for ``df``: in proportion to the bytes of text, one per shuffle partition at least."""
+def block_count(df: DataFrame, text: str = "text", block_bytes: int = BLOCK_BYTES, least: int | None = None) -> int:
+    """Blocks for ``df``: in proportion to the bytes of text; ``least`` at least (one per
+    shuffle partition if not given)."""
     total = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if least is None:
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, -(-int(total) // block_bytes))
 
 

@@ -46,6 +46,8 @@ from pricestream.sources.tables import read_table
 RUN = 8
 GROUP_PAGES, GROUP_BYTES = 256, 4 << 20
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 5
+#: Bytes of html in a range of pages.
+RANGE_BYTES = 2 << 20
 
 # Kinds of elements.
 MAIN_ELEMENTS = frozenset("article main".split())
@@ -261,7 +263,8 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     """``df`` without its html, and text (string) and n_chars (long)."""
     ship_package(df.sparkSession)
     columns = [c for c in df.columns if c != html_col]
-    n = X.block_count(df, html_col)
+    # a small table is one range, so that no host of it is cut
+    n = X.block_count(df, html_col, RANGE_BYTES, least=1)
     host = F.lower(F.regexp_extract("url", r"^[^:/]*:?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
     order = [F.asc_nulls_first(host), F.xxhash64("page_id", "url")]
     pages = carry(df, page_id=id_col, url=url_col, html=html_col)
