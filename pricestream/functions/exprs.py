@@ -5,12 +5,18 @@ Every function takes and returns ``pyspark.sql.Column``; none runs Python per ro
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricestream import constants as K
 
 
+#: constants.UNICODE_SPACE_CLASS for Python's ``re``, which has no category classes.
+_SPACE = "[\t\n\x0b\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -53,9 +59,17 @@ def compute_price(event_price, demand) -> Column:
 
 
 def normalize_event_ms(ts) -> Column:
-    """Values >= 1e12 are milliseconds already; smaller values are seconds."""
+    """Values >= 1e12 are milliseconds already; smaller values are seconds.
+
+    Seconds whose milliseconds leave the 64-bit range wrap around (two's complement), so
+    that one absurd timestamp cannot fail a job."""
     t = F.coalesce(_c(ts).cast("bigint"), F.lit(0).cast("bigint"))
-    return F.when(t >= F.lit(K.MS_THRESHOLD), t).otherwise(t * F.lit(1000))
+    half, full = F.lit("9223372036854775808").cast("decimal(38,0)"), F.lit("18446744073709551616").cast("decimal(38,0)")
+    exact = t.cast("decimal(25,0)") * F.lit(1000)
+    wrapped = (F.pmod(exact + half, full) - half).cast("bigint")
+    return (F.when(t >= F.lit(K.MS_THRESHOLD), t)
+            .when(t >= F.lit(-(2 ** 63) // 1000 + 1), t * F.lit(1000))
+            .otherwise(wrapped))
 
 
 def default_price_source(s) -> Column:
@@ -79,11 +93,10 @@ def history_limit(raw) -> Column:
 
 def check_history_limit(raw: str | int | None) -> int:
     """Driver-side parameter check for the top-N operator (not per row)."""
-    text = "" if raw is None else str(raw).strip()
+    text = "" if raw is None else re.sub(rf"\A{_SPACE}+|{_SPACE}+\Z", "", str(raw))
     if text == "":
         return K.DEFAULT_HISTORY_LIMIT
-    sign = text[0] in "+-"
-    if not (text[1:] if sign else text).isdigit() or (sign and len(text) == 1):
+    if not re.fullmatch(r"[+-]?[0-9]+", text):
         raise ValueError("invalid limit query parameter")
     value = int(text)
     if not -(2 ** 63) <= value < 2 ** 63:

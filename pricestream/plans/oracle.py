@@ -16,8 +16,14 @@ def TRIMU(x: str) -> str:
 
 
 def NORMMS(x: str) -> str:
+    big = f"(COALESCE({x}, 0)::HUGEINT * 1000 + 9223372036854775808::HUGEINT)"
+    m = "18446744073709551616::HUGEINT"
     return (f"(CASE WHEN COALESCE({x}, 0) >= 1000000000000 THEN COALESCE({x}, 0) "
-            f"ELSE COALESCE({x}, 0) * 1000 END)")
+            f"ELSE CAST((({big} % {m}) + {m}) % {m} - 9223372036854775808::HUGEINT AS BIGINT) END)")
+
+
+#: Users divisible by 29 look at products outside the catalog.
+PID = "CASE WHEN user_id % 29 = 0 THEN 'X' ELSE 'P' END || json_extract_string(props, '$.k')"
 
 
 def DEFAULT_SOURCE(x: str) -> str:
@@ -29,28 +35,28 @@ CHANGED_SINCE_S = "epoch_us(TIMESTAMP '2024-01-29 00:00:00') // 1000000"
 RUN_TS = "TIMESTAMP '2024-02-01 00:00:00'"
 
 CTES: list[tuple[str, str]] = [
-    ("pe", """
+    ("pe", f"""
 SELECT event_id AS event_seq, ts AS arrival_ts,
        CASE WHEN event_type = 'click' THEN 'cart' ELSE event_type END AS event_type,
-       'P' || json_extract_string(props, '$.k') AS product_id,
+       CASE WHEN event_id % 23 = 3 THEN ' ' || ({PID}) || chr(9) ELSE {PID} END AS product_id,
        'U' || CAST(user_id AS VARCHAR) AS user_id,
        CAST(CASE WHEN event_id % 10 = 0 THEN epoch_us(ts) // 1000 - 21600000
+                 WHEN event_id % 499 = 7 THEN -9223372036854775808
+                 WHEN event_id % 499 = 8 THEN 9223372036854775807
                  WHEN event_id % 2 = 0 THEN epoch_us(ts) // 1000000
                  ELSE epoch_us(ts) // 1000 END AS BIGINT) AS "timestamp",
        value AS price
 FROM events"""),
-    ("cmds", """
+    ("cmds", f"""
 SELECT event_id AS cmd_seq, ts AS cmd_ts,
-       'P' || json_extract_string(props, '$.k') AS product_id,
+       {PID} AS product_id,
        CASE WHEN event_type = 'signup' THEN 'set' ELSE 'remove' END AS op,
        CAST(CASE WHEN event_type = 'signup' THEN value END AS DOUBLE) AS override_price,
        CASE WHEN event_id % 2 = 0 THEN NULL ELSE 'campaign' END AS reason
 FROM events
-WHERE event_id % 3 = 0 AND event_type IN ('signup', 'error')"""),
+WHERE event_type IN ('signup', 'error')"""),
     ("cat", """
 SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id, p_retailprice AS base_price FROM part"""),
-    ("shop", """
-SELECT 'P' || CAST(p_partkey AS VARCHAR) AS product_id FROM part WHERE p_size <= 25"""),
     ("ve", f"""
 SELECT *, CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 WHEN 'purchase' THEN 5 END AS BIGINT) AS w
 FROM pe
@@ -168,7 +174,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY event_time D
 WHERE rn <= 50"""),
     ("upd", f"""
 SELECT event_seq,
-       CASE WHEN event_seq % 7 = 5 THEN {TRIMU("' ' || product_id || chr(9)")} ELSE product_id END AS product_id,
+       {TRIMU('product_id')} AS product_id,
        new_price, update_ts AS "timestamp"
 FROM priced WHERE event_seq % 7 NOT IN (1, 2, 3, 4)"""),
 ]
@@ -212,13 +218,13 @@ SELECT v.cmd_seq, v.product_id FROM vc v
 WHERE v.op = 'set' AND EXISTS (
   SELECT 1 FROM (
     SELECT product_id, MIN(since) AS since FROM (
-      SELECT product_id, TIMESTAMP '0001-01-01 00:00:00' AS since FROM shop
+      SELECT product_id, TIMESTAMP '0001-01-01 00:00:00' AS since FROM cat
       UNION ALL SELECT product_id, MIN(arrival_ts) FROM ve GROUP BY product_id) a
     GROUP BY product_id) k
   WHERE k.product_id = v.product_id AND k.since < v.cmd_ts)""",
     "catalog_updates": """
 SELECT event_seq, product_id, new_price, "timestamp" FROM upd
-WHERE product_id IN (SELECT product_id FROM shop)""",
+WHERE product_id IN (SELECT product_id FROM cat)""",
     "demand_weight": """
 SELECT event_seq, CAST(CASE event_type WHEN 'view' THEN 1 WHEN 'cart' THEN 3 WHEN 'purchase' THEN 5 END AS BIGINT) AS value
 FROM ve""",
@@ -239,27 +245,27 @@ SELECT event_seq, {TRIMU('v')} AS value FROM (
   FROM pe) t""",
     "default_price_source": f"""
 SELECT event_seq, {DEFAULT_SOURCE('s')} AS value FROM (
-  SELECT event_seq, CASE event_seq % 5 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' override '
-    WHEN 3 THEN 'base' ELSE chr(9) || chr(9) END AS s FROM pe) t""",
+  SELECT event_id AS event_seq, CASE event_type WHEN 'signup' THEN NULL WHEN 'error' THEN chr(9) || ' ' || chr(9)
+    ELSE ' ' || event_type || chr(9) END AS s FROM events) t""",
     "default_override_reason": f"""
 SELECT event_seq, COALESCE(NULLIF({TRIMU('r')}, ''), 'manual override') AS value FROM (
-  SELECT event_seq, CASE event_seq % 4 WHEN 0 THEN NULL WHEN 1 THEN '   '
-    WHEN 2 THEN ' promo ' || CAST(event_seq AS VARCHAR) ELSE 'campaign' END AS r FROM pe) t""",
+  SELECT event_id AS event_seq, CASE WHEN user_id % 4 = 0 THEN NULL WHEN user_id % 4 = 1 THEN '   '
+    ELSE ' by ' || CAST(user_id AS VARCHAR) || ': ' || props || ' ' END AS r FROM events) t""",
     "history_limit": f"""
-SELECT event_seq, value FROM (
+SELECT event_seq, COALESCE(value, 0) AS value, CASE WHEN value IS NULL THEN 'rejected' ELSE 'accepted' END AS status FROM (
 SELECT event_seq,
   CASE WHEN t = '' THEN CAST(50 AS BIGINT)
        WHEN regexp_full_match(t, '[+-]?[0-9]+') AND TRY_CAST(t AS BIGINT) > 0
          THEN LEAST(TRY_CAST(t AS BIGINT), CAST(500 AS BIGINT)) END AS value
 FROM (
   SELECT event_seq, {TRIMU('raw')} AS t FROM (
-    SELECT event_seq, CASE event_seq % 8
-      WHEN 0 THEN '' WHEN 1 THEN ' ' || CAST(event_seq AS VARCHAR) || chr(9)
-      WHEN 2 THEN CAST(event_seq AS VARCHAR) WHEN 3 THEN 'abc' WHEN 4 THEN '0'
-      WHEN 5 THEN '-' || CAST(event_seq AS VARCHAR) WHEN 6 THEN '+' || CAST(event_seq AS VARCHAR)
-      ELSE CAST(event_seq AS VARCHAR) || '0000000000000000000000' END AS raw
-    FROM pe) a) b) c
-WHERE value IS NOT NULL""",
+    SELECT event_id AS event_seq, CASE
+      WHEN event_type = 'view' THEN ' ' || CAST(user_id AS VARCHAR) || chr(9)
+      WHEN event_type = 'click' THEN '+' || CAST(user_id AS VARCHAR)
+      WHEN event_type = 'purchase' THEN '-' || CAST(user_id AS VARCHAR)
+      WHEN event_type = 'signup' THEN CAST(user_id AS VARCHAR) || '0000000000000000000000'
+      WHEN user_id % 2 = 0 THEN ' ' || chr(9) ELSE event_type || CAST(user_id AS VARCHAR) END AS raw
+    FROM events) a) b) c""",
     "round_price_2dp": "SELECT event_seq, floor(new_price * 100.0 + 0.5) / 100.0 AS value FROM priced",
     "base_seed_time": """
 SELECT product_id, MIN(event_time) - INTERVAL 1 MILLISECOND AS value FROM hist_core GROUP BY product_id""",
@@ -284,9 +290,11 @@ FROM ovr_first s FULL OUTER JOIN (
     FROM eff WHERE op = 'set' AND cmd_ts >= {SPLIT_TS}) x WHERE rn = 1) n
 ON s.product_id = n.product_id""",
     "override_delete": f"""
-SELECT r.product_id, (s.product_id IS NOT NULL) AS deleted
+SELECT COALESCE(r.product_id, s.product_id) AS product_id,
+       CASE WHEN r.product_id IS NULL THEN 'survives' WHEN s.product_id IS NULL THEN 'absent' ELSE 'deleted' END AS outcome
 FROM (SELECT DISTINCT product_id FROM vc WHERE op = 'remove' AND cmd_ts >= {SPLIT_TS}) r
-LEFT JOIN ovr_first s ON r.product_id = s.product_id""",
+FULL OUTER JOIN ovr_first s ON r.product_id = s.product_id""",
+    "encode_price_update": 'SELECT event_seq, product_id, new_price, update_ts AS "timestamp" FROM priced',
     "override_state": "SELECT product_id, override_price, set_time FROM ovr",
     "override_intervals": """
 SELECT product_id, cmd_ts AS set_at, next_end AS removed_at FROM (
@@ -321,7 +329,7 @@ FROM topn GROUP BY product_id""",
     "changed_product_snapshot": f"""
 SELECT product_id, price, demand, price_source FROM cp
 WHERE product_id IN (SELECT product_id FROM upd
-                     WHERE product_id IN (SELECT product_id FROM shop) AND "timestamp" >= {CHANGED_SINCE_S})""",
+                     WHERE product_id IN (SELECT product_id FROM cat) AND "timestamp" >= {CHANGED_SINCE_S})""",
 }
 
 

@@ -122,13 +122,13 @@ def valid_override_commands(spark, sf_dir):
 def known_product_commands(spark, sf_dir):
     valid_cmds = ingest.valid_override_commands(fixtures.override_commands(spark, sf_dir))
     valid_ev = ingest.valid_product_events(fixtures.product_events(spark, sf_dir))
-    known = overrides.known_since(fixtures.storefront_catalog(spark, sf_dir), valid_ev)
+    known = overrides.known_since(fixtures.catalog(spark, sf_dir), valid_ev)
     return overrides.known_product_commands(valid_cmds, known).select("cmd_seq", "product_id")
 
 
 @query
 def catalog_updates(spark, sf_dir):
-    return ingest.catalog_updates(_updates(spark, sf_dir), fixtures.storefront_catalog(spark, sf_dir)) \
+    return ingest.catalog_updates(_updates(spark, sf_dir), fixtures.catalog(spark, sf_dir)) \
                  .select("event_seq", "product_id", "new_price", "timestamp")
 
 
@@ -173,33 +173,23 @@ def trim_unicode(spark, sf_dir):
 
 @query
 def default_price_source(spark, sf_dir):
-    pe = fixtures.product_events(spark, sf_dir)
-    seq = F.col("event_seq")
-    s = (F.when(seq % 5 == 0, F.lit(None).cast("string"))
-         .when(seq % 5 == 1, F.lit(""))
-         .when(seq % 5 == 2, F.lit(" override "))
-         .when(seq % 5 == 3, F.lit("base"))
-         .otherwise(F.lit("\t\t")))
-    return pe.select("event_seq", X.default_price_source(s).alias("value"))
+    t = fixtures.price_source_texts(spark, sf_dir)
+    return t.select("event_seq", X.default_price_source(F.col("raw")).alias("value"))
 
 
 @query
 def default_override_reason(spark, sf_dir):
-    pe = fixtures.product_events(spark, sf_dir)
-    seq = F.col("event_seq")
-    r = (F.when(seq % 4 == 0, F.lit(None).cast("string"))
-         .when(seq % 4 == 1, F.lit("   "))
-         .when(seq % 4 == 2, F.concat(F.lit(" promo "), seq.cast("string")))
-         .otherwise(F.lit("campaign")))
-    return pe.select("event_seq", X.default_override_reason(r).alias("value"))
+    t = fixtures.override_reason_texts(spark, sf_dir)
+    return t.select("event_seq", X.default_override_reason(F.col("raw")).alias("value"))
 
 
 @query
 def history_limit(spark, sf_dir):
     t = fixtures.history_limit_texts(spark, sf_dir)
-    # Rejected texts (null limit) are left out, so the result has no null integers.
-    return (t.select("event_seq", X.history_limit(F.col("raw")).alias("value"))
-             .where(F.col("value").isNotNull()))
+    # rejected texts have no limit: status says so, the value reads 0
+    limit = X.history_limit(F.col("raw"))
+    return t.select("event_seq", F.coalesce(limit, F.lit(0)).cast("bigint").alias("value"),
+                    F.when(limit.isNull(), "rejected").otherwise("accepted").alias("status"))
 
 
 @query
@@ -260,8 +250,9 @@ def override_delete(spark, sf_dir):
     requests = (valid.where((F.col("op") == K.OP_REMOVE)
                             & (F.col("cmd_ts") >= F.lit(fixtures.SPLIT_TS).cast("timestamp")))
                      .select("product_id").distinct())
-    _, flags = overrides.override_delete(_first_half_snapshot(p), requests)
-    return flags
+    survivors, flags = overrides.override_delete(_first_half_snapshot(p), requests)
+    return (flags.select("product_id", F.when(F.col("deleted"), "deleted").otherwise("absent").alias("outcome"))
+            .unionByName(survivors.select("product_id", F.lit("survives").alias("outcome"))))
 
 
 @query
@@ -342,7 +333,7 @@ def history_source_flags(spark, sf_dir):
 def changed_product_snapshot(spark, sf_dir):
     p = _plan(spark, sf_dir, materialize=True)
     since = F.unix_seconds(F.lit(fixtures.CHANGED_SINCE_TS).cast("timestamp"))
-    ups = ingest.catalog_updates(_updates(spark, sf_dir, p), fixtures.storefront_catalog(spark, sf_dir))
+    ups = ingest.catalog_updates(_updates(spark, sf_dir, p), p.catalog)
     return serving.changed_product_snapshot(ups.where(F.col("timestamp") >= since), p.current)
 
 
@@ -363,10 +354,12 @@ def stream_pricing_stateful(spark, sf_dir):
     return replay(spark, sf_dir, "stateful")
 
 
-# --- without a SQL oracle ------------------------------------------------------
+# --- encoding -----------------------------------------------------------------
 
 @query
 def encode_price_update(spark, sf_dir):
-    """Operator 26: the JSON text of each price update (checked by re-parsing in tests)."""
+    """Operator 26: the JSON text of each price update, read back with a plain JSON reader."""
     p = _plan(spark, sf_dir)
-    return p.priced.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
+    text = p.priced.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
+    fields = F.from_json("value", "product_id string, new_price double, timestamp bigint")
+    return text.select("event_seq", fields.alias("u")).select("event_seq", "u.*")

@@ -3,11 +3,8 @@
 The driver tables carry no product events, so these adapters define them:
 
 - ``product_events`` from ``events``: one product event per row;
-- ``override_commands`` from the ``signup`` / ``error`` rows of ``events``
-  whose id is a multiple of 3 (a rule that defines which rows are commands,
-  over the whole table);
-- ``catalog`` from ``part`` (every part), ``storefront_catalog`` the parts of
-  size <= 25 (the dashboard's narrower product list);
+- ``override_commands`` from every ``signup`` / ``error`` row of ``events``;
+- ``catalog`` from ``part`` (every part); some products (prefix X) are outside it;
 - ``bench_events`` from ``lineitem`` (the ten times larger stream).
 
 Everything is lazy; every column is computed by built-in expressions.
@@ -23,14 +20,15 @@ from pricestream.session import ensure_utc
 from pricestream.sources.tables import read_table
 
 LATE_OFFSET_MS = 21_600_000          # six hours, for the late-event variant
-STOREFRONT_MAX_SIZE = 25
 SPLIT_TS = "2024-01-16 00:00:00"     # first / second half of the command log
 CHANGED_SINCE_TS = "2024-01-29 00:00:00"
 RUN_TS = "2024-02-01 00:00:00"       # fixed "now" for base rows without history
 
 
-def _pid(props: str = "props") -> Column:
-    return F.concat(F.lit("P"), F.get_json_object(F.col(props), "$.k"))
+def _pid() -> Column:
+    """P and the key in ``props``; users divisible by 29 look at products outside the catalog (X)."""
+    prefix = F.when(F.col("user_id") % 29 == 0, F.lit("X")).otherwise(F.lit("P"))
+    return F.concat(prefix, F.get_json_object(F.col("props"), "$.k"))
 
 
 def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,14 +39,18 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ms = F.unix_millis(arrival)
     seq = F.col("event_id")
     stamp = (F.when(seq % 10 == 0, ms - F.lit(LATE_OFFSET_MS))
+             .when(seq % 499 == 7, F.lit(-(2 ** 63)))
+             .when(seq % 499 == 8, F.lit(2 ** 63 - 1))
              .when(seq % 2 == 0, F.unix_seconds(arrival))
              .otherwise(ms))
+    # some ids come padded: the gate reads them trimmed, demand counts them as they are
+    pid = F.when(seq % 23 == 3, F.concat(F.lit(" "), _pid(), F.lit("\t"))).otherwise(_pid())
     return ev.select(
         seq.alias("event_seq"),
         arrival.alias("arrival_ts"),
         F.when(F.col("event_type") == "click", F.lit("cart"))
          .otherwise(F.col("event_type")).alias("event_type"),
-        _pid().alias("product_id"),
+        pid.alias("product_id"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
         stamp.cast("bigint").alias("timestamp"),
         F.col("value").alias("price"),
@@ -60,8 +62,7 @@ def override_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     ev = read_table(spark, sf_dir, "events")
     is_set = F.col("event_type") == "signup"
-    return (ev.where((F.col("event_id") % 3 == 0)
-                     & F.col("event_type").isin("signup", "error"))
+    return (ev.where(F.col("event_type").isin("signup", "error"))
               .select(F.col("event_id").alias("cmd_seq"),
                       F.col("ts").cast("timestamp").alias("cmd_ts"),
                       _pid().alias("product_id"),
@@ -78,14 +79,6 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("p_retailprice").alias("base_price"))
 
 
-def storefront_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The narrower product list shown by the dashboard: parts of size <= 25."""
-    part = read_table(spark, sf_dir, "part")
-    return (part.where(F.col("p_size") <= STOREFRONT_MAX_SIZE)
-                .select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("product_id"),
-                        F.col("p_retailprice").alias("base_price")))
-
-
 def bench_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product events from lineitem: A/R/N -> view/cart/purchase.
 
@@ -132,17 +125,30 @@ def product_event_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_limit_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_seq, raw: limit query texts, one per event (blank, padded, signed,
-    non-numeric, zero, negative, huge and overflowing variants)."""
-    pe = product_events(spark, sf_dir)
-    seq = F.col("event_seq")
-    s = seq.cast("string")
-    raw = (F.when(seq % 8 == 0, F.lit(""))
-           .when(seq % 8 == 1, F.concat(F.lit(" "), s, F.lit("\t")))
-           .when(seq % 8 == 2, s)
-           .when(seq % 8 == 3, F.lit("abc"))
-           .when(seq % 8 == 4, F.lit("0"))
-           .when(seq % 8 == 5, F.concat(F.lit("-"), s))
-           .when(seq % 8 == 6, F.concat(F.lit("+"), s))
-           .otherwise(F.concat(s, F.lit("0000000000000000000000"))))
-    return pe.select("event_seq", raw.alias("raw"))
+    """event_seq, raw: limit query texts, one per event, from its user id and type (blank,
+    padded, signed, non-numeric, negative and overflowing ones)."""
+    ev = read_table(spark, sf_dir, "events")
+    user, kind = F.col("user_id").cast("string"), F.col("event_type")
+    raw = (F.when(kind == "view", F.concat(F.lit(" "), user, F.lit("\t")))
+           .when(kind == "click", F.concat(F.lit("+"), user))
+           .when(kind == "purchase", F.concat(F.lit("-"), user))
+           .when(kind == "signup", F.concat(user, F.lit("0000000000000000000000")))
+           .when(F.col("user_id") % 2 == 0, F.lit(" \t"))
+           .otherwise(F.concat(kind, user)))
+    return ev.select(F.col("event_id").alias("event_seq"), raw.alias("raw"))
+
+
+def price_source_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_seq, raw: source texts from the event type (missing, blank, padded)."""
+    ev, kind = read_table(spark, sf_dir, "events"), F.col("event_type")
+    raw = (F.when(kind == "signup", F.lit(None).cast("string")).when(kind == "error", F.lit("\t \t"))
+           .otherwise(F.concat(F.lit(" "), kind, F.lit("\t"))))
+    return ev.select(F.col("event_id").alias("event_seq"), raw.alias("raw"))
+
+
+def override_reason_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_seq, raw: reason texts from user and props (missing, blank, padded)."""
+    ev, user = read_table(spark, sf_dir, "events"), F.col("user_id")
+    raw = (F.when(user % 4 == 0, F.lit(None).cast("string")).when(user % 4 == 1, F.lit("   "))
+           .otherwise(F.concat(F.lit(" by "), user.cast("string"), F.lit(": "), F.col("props"), F.lit(" "))))
+    return ev.select(F.col("event_id").alias("event_seq"), raw.alias("raw"))
