@@ -6,10 +6,16 @@ go from the texts) and best-fit packing (rows of packed pieces). Each stage take
 the one before it, written as Parquet to the shared checkpoint folder and read again; so a lost
 executor costs its own tasks, not the stages before. All but the last return the columns of
 ``documents``. Null texts, empty tables and repeated rows are handled as each operator says.
+
+A stage's result reads the intermediate tables that the stage wrote; once it is written itself,
+these are spent, and the next stage's start deletes them.
 """
 
 from __future__ import annotations
 
+import functools
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,28 +24,53 @@ from pricestream.llm.op4_best_fit_packing import pack_texts
 from pricestream.llm.op5_substring_dedup import dedup_substrings
 from pricestream.llm.op8_simhash_dedup import keep_one_per_group
 from pricestream.llm.op9_quality_rules import quality_verdicts
-from pricestream.session import materialize
+from pricestream.session import collected_tables, delete_path, materialize
 from pricestream.sources.tables import read_table
 
 
+_SPENT = threading.local()
+
+
+def _stage(number: int):
+    """Marks a stage: its intermediate tables are deleted when the stage after it starts."""
+    def wrap(f):
+        @functools.wraps(f)
+        def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            spent = getattr(_SPENT, "tables", None) or {}
+            for path in spent.pop(number - 1, []):
+                delete_path(spark, path)
+            with collected_tables() as written:
+                result = f(spark, docs, sf_dir)
+            spent[number] = written
+            _SPENT.tables = spent
+            return result
+        return run_stage
+    return wrap
+
+
+@_stage(1)
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = train(docs, read_table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).filter("predicted = 0").select(docs.columns)
 
 
+@_stage(2)
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_verdicts(docs).filter("kept").select(docs.columns)
 
 
+@_stage(3)
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_one_per_group(docs)
 
 
+@_stage(4)
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     done = dedup_substrings(docs).select(docs.columns)
     return done.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+@_stage(5)
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_texts(docs)
 

@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricestream.session import ship_package
+
 REST = "rest"
+#: Bytes of an Arrow batch sent to a task's Python worker: rows hold whole documents.
+BATCH_BYTES = "16m"
+
+
+def prepare(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers and bounds the batches they get."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def carry(df: DataFrame, **named: str) -> DataFrame:

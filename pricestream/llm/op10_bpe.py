@@ -35,8 +35,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 #: Fixed value: how byte-level tokenizers split a text before the merges.
@@ -298,7 +297,7 @@ def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     rows = carry(df, doc_id=id_col, text=text_col)
     names = ["doc_id", "rest"] if digests else ["doc_id", "text", "rest"]
     data = df.sparkSession.sparkContext.broadcast(_shipped(path))
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
 
     def run(batches):
         coder = _coder(data.value)
@@ -325,7 +324,7 @@ def bpe_decode(df: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     """``df`` and the column decoded (string) of its ids (null: empty)."""
     rows = carry(df, ids=ids_col)
     data = df.sparkSession.sparkContext.broadcast(_shipped(path))
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
 
     def run(batches):
         coder = _coder(data.value)

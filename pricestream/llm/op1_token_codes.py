@@ -27,6 +27,7 @@ import json
 import uuid
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry
-from pricestream.session import checkpoint_dir, ship_package
+from pricestream.llm.frames import carry, prepare
+from pricestream.session import checkpoint_dir
 from pricestream.sources.tables import read_table
 
 END_ID = 1
@@ -131,7 +132,7 @@ class LibraryEncoder:
             suffix, vocab = spec["model"]["end_of_word_suffix"], spec["model"]["vocab"]
             self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
-            self.mark = {m: self._ids([m])[0] for m in (".", ",")}
+            self.mark = {m: ids[0] for m, ids in zip(".,", self._ids([".", ","])) if len(ids) == 1}
             self.known: dict[str, list[int]] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -144,40 +145,52 @@ class LibraryEncoder:
             offsets = np.cumsum([0, *map(len, lists)])
             return offsets, np.fromiter((i for x in lists for i in x), np.int32, int(offsets[-1]))
         w = W.split_words(texts)
-        entries = self._words(w.vocab)
-        size = np.array([len(e) for e in entries], np.int64)
-        pool = np.fromiter((i for e in entries for i in e), np.int32, int(size.sum()))
-        start = np.cumsum(size) - size
+        start, size, pool = self._words(w.vocab)
         count = size[w.codes] if len(w.codes) else np.zeros(0, np.int64)
         total = np.concatenate(([0], np.cumsum(count)))
         at = np.repeat(start[w.codes] - total[:-1], count) + np.arange(total[-1])
         return total[w.offsets], pool[at]
 
-    def _words(self, vocab: pa.Array) -> list[list[int]]:
-        latin = pc.match_substring_regex(vocab, _LATIN).to_numpy(zero_copy_only=False)
-        lower = pc.utf8_lower(vocab.filter(pa.array(latin))).to_pylist()
-        words = vocab.to_pylist()
-        for i, low in zip(np.flatnonzero(latin).tolist(), lower):
-            words[i] = low
-        known, cores = self.known, [x[:-1] if lat and x[-1] in self.mark else x for x, lat in zip(words, latin.tolist())]
+    def _words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of every word, as start and size in a pool."""
+        latin = pc.match_substring_regex(vocab, _LATIN)
+        lower = pc.if_else(latin, pc.utf8_lower(vocab), vocab)
+        # a word of Latin letters and one mark after it is encoded without the mark
+        cores = pc.if_else(latin, pc.utf8_rtrim(lower, ".,"), lower)
+        marks = np.zeros(len(vocab), np.int64)
+        for m, i in self.mark.items():
+            marks[pc.and_(latin, pc.ends_with(lower, m)).to_numpy(zero_copy_only=False)] = i + 1
+        cores = cores.dictionary_encode()
+        code, plain = np.asarray(cores.indices), np.zeros(len(cores.dictionary), bool)
+        plain[code[latin.to_numpy(zero_copy_only=False)]] = True
+        entries = self._cores(cores.dictionary.to_pylist(), plain.tolist())
+        core_size = np.array([len(e) for e in entries], np.int64)
+        core_pool = np.fromiter(chain.from_iterable(entries), np.int32, int(core_size.sum()))
+        core_start = np.cumsum(core_size) - core_size
+        marked = marks > 0
+        size = core_size[code] + marked
+        start = np.cumsum(size) - size
+        at = np.repeat(core_start[code] - start, size) + np.arange(int(size.sum()))
+        pool = core_pool[np.minimum(at, len(core_pool) - 1)] if len(core_pool) else np.zeros(0, np.int32)
+        pool[(start + size - 1)[marked]] = marks[marked] - 1
+        return start, size, pool
+
+    def _cores(self, cores: list[str], plain: list[bool]) -> list[list[int]]:
+        known = self.known
         if len(known) > REMEMBERED:
             known.clear()
-        new = [(c, lat) for c, lat in dict(zip(cores, latin.tolist())).items() if c not in known]
-        fast = [c for c, lat in new if lat]
-        groups = [fast[i:i + TOGETHER] for i in range(0, len(fast), TOGETHER)]
-        for group in groups:
-            ids = np.array(self._ids([" ".join(group)])[0])
-            cut = np.flatnonzero(self.ends[ids]) + 1
+        fast = [c for c, p in zip(cores, plain) if p and c not in known]
+        slow = [c for c, p in zip(cores, plain) if not p and c not in known]
+        for i in range(0, len(fast), TOGETHER):
+            group = fast[i:i + TOGETHER]
+            flat = self._ids([" ".join(group)])[0]
+            cut = (np.flatnonzero(self.ends[np.array(flat)]) + 1).tolist()
             if len(cut) != len(group):  # a word of several pieces
                 known.update(zip(group, self._ids(group)))
                 continue
-            flat, a = ids.tolist(), 0
-            for c, b in zip(group, cut.tolist()):
-                known[c] = flat[a:b]
-                a = b
-        slow = [c for c, lat in new if not lat]
+            known.update(zip(group, map(flat.__getitem__, map(slice, [0, *cut[:-1]], cut))))
         known.update(zip(slow, self._ids(slow)))
-        return [known[c] + self.mark[x[-1]] if len(c) < len(x) else known[c] for c, x in zip(cores, words)]
+        return list(map(known.__getitem__, cores))
 
 
 @lru_cache(maxsize=2)
@@ -195,7 +208,7 @@ def write_tokens(df: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id
     spark = df.sparkSession
     with open(tokenizer, encoding="utf-8") as f:  # a vocabulary, so of bounded size
         data = spark.sparkContext.broadcast(f.read())
-    ship_package(spark)
+    prepare(spark)
     docs = carry(df, doc_id=id_col, text=text_col).select("doc_id", "text")
     n = X.block_count(docs, block_bytes=PART_BYTES)
     order = [F.asc_nulls_first("doc_id"), F.xxhash64("text")]
@@ -215,7 +228,7 @@ def write_tokens(df: DataFrame, tokenizer: str, path: str, id_col: str = "doc_id
                 "doc_ends": ends, "levels": levels}], schema=arrow)
 
         for batch in batches:
-            for piece in W.slices(batch, "text", 4 << 20):
+            for piece in W.slices(batch, "text", 8 << 20):
                 offsets, flat = encode_texts(W.as_texts(piece.column("text")))
                 flat = np.insert(flat, offsets[1:], end_id)
                 offsets = offsets + np.arange(len(offsets))
@@ -262,7 +275,7 @@ def _codes(batch: pa.RecordBatch, i: int) -> Codes:
 def read_tokens(spark: SparkSession, path: str, digests: bool = False) -> DataFrame:
     """One row per document of the file: doc_id, start, n_tokens, and ids (array of long), or
     with ``digests`` ids_crc32 instead."""
-    ship_package(spark)
+    prepare(spark)
     kind = pa.int64() if digests else pa.list_(pa.int64())
 
     def read(batches):
@@ -288,7 +301,7 @@ def read_tokens(spark: SparkSession, path: str, digests: bool = False) -> DataFr
 
 def tokens_at(spark: SparkSession, path: str, places: list[int]) -> DataFrame:
     """(place, id) for the given global places, each read directly from its segment."""
-    ship_package(spark)
+    prepare(spark)
     wanted = np.unique(np.asarray(places, np.int64))
 
     def read(batches):

@@ -36,8 +36,7 @@ from pyspark.sql import functions as F
 
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 FOLDS, HELD_OUT_FOLD = 5, 1
@@ -182,7 +181,7 @@ def traverse(t: Tokens, automaton: Automaton) -> np.ndarray:
 
 def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``df`` and held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     columns = [c for c in df.columns if keep_text or c != text_col]
     base = carry(df, doc_id=id_col, text=text_col).withColumn("held_out", held_out())
     n = X.block_count(base)

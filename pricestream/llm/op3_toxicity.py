@@ -31,8 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 FEATURES = 1 << 18
@@ -135,7 +134,7 @@ def _share(count: int, most: int) -> F.col:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Model:
     """Fits the classifier on the training rows' confirmed toxic and unlabelled texts."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     docs = carry(docs, doc_id=id_col, text=text_col).select("doc_id", "text").filter(~held_out())
     labels = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("toxic"))
               .filter(F.col("doc_id").isNotNull() & ~held_out())
@@ -173,7 +172,7 @@ def score_toxicity(df: DataFrame, model: Model, id_col: str = "doc_id", text_col
     rows = carry(df, doc_id=id_col, text=text_col)
     names = ["doc_id", "text", "rest"] if keep_text else ["doc_id", "rest"]
     data = df.sparkSession.sparkContext.broadcast(model)  # FEATURES floats
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
 
     def score(batches):
         weights, bias, _ = data.value

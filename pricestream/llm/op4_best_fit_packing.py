@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.llm.op1_token_codes import encoder
-from pricestream.session import materialize, ship_package
+from pricestream.session import materialize
 from pricestream.sources.tables import read_table
 
 CAPACITY = 2048
@@ -45,7 +45,7 @@ def with_lengths(df: DataFrame, tokenizer: str) -> DataFrame:
     """A frame with a ``text`` column without it, and n_tokens (with the end token) and cluster."""
     with open(tokenizer, encoding="utf-8") as f:  # a vocabulary, so of bounded size
         data = df.sparkSession.sparkContext.broadcast(f.read())
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     names = [c for c in df.columns if c != "text"]
 
     def measure(batches):
@@ -93,7 +93,7 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "sou
                    cluster_col: str = "cluster", capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: ``df``'s columns and piece, piece_start, piece_tokens, bin_id."""
     spark = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     rows = materialize(carry(df, doc_id=id_col, source=source_col, length=length_col, cluster=cluster_col), "lengths")
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // SHARD_DOCS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(shards)).cast("int"))

@@ -37,8 +37,7 @@ from pyspark.sql import functions as F
 
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of, table
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of, table
 from pricestream.sources.tables import read_table
 
 WINDOW = 20
@@ -78,7 +77,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 0 < period <= window or {(a - b) % period for a in cover for b in cover} != set(range(period)):
         raise ValueError("cover must be a difference cover modulo period, and period at most window")
     size = window - period + 1
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     n = X.block_count(df, text_col)
     docs = X.blocked(carry(df, doc_id=id_col, text=text_col), "doc_id", "text", n)
     by_block = docs.groupBy("block")

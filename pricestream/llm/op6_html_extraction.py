@@ -38,8 +38,7 @@ from pyspark.sql import functions as F
 
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 #: Words of a run; pages and bytes of a group; share and number of pages of a template line.
@@ -261,7 +260,7 @@ def host_of(url: str | None) -> str | None:
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``df`` without its html, and text (string) and n_chars (long)."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     columns = [c for c in df.columns if c != html_col]
     # a small table is one range, so that no host of it is cut
     n = X.block_count(df, html_col, RANGE_BYTES, least=1)

@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 LEVEL, BINS = 3, 128
@@ -137,7 +136,7 @@ def _sketches(texts: list[str], most: int = 1 << 20) -> np.ndarray:
 def fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` and the column fingerprint."""
     rows = carry(df, text=text_col)
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
 
     def add(batches):
         for batch in batches:
@@ -167,7 +166,7 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     Documents are dealt into ranges of ids; the first document of a range also goes to the range
     before it, so every document meets its next one and texts are shuffled once."""
     spark = df.sparkSession
-    ship_package(spark)
+    prepare(spark)
     docs = carry(df, doc_id=id_col, text=text_col).select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
     n = X.block_count(docs)
 

@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
+from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.llm.graph import components
-from pricestream.session import materialize, ship_package
+from pricestream.session import materialize
 from pricestream.sources.tables import read_table
 
 SHINGLE, RADIUS, SEED = 3, 2, 42
@@ -81,12 +81,12 @@ def fingerprint(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 def with_fingerprints(df: DataFrame, keep_text: bool = True) -> DataFrame:
     """Adds ``fp`` (the fingerprint's bits as a long) to a frame with a ``text`` column."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     names = [c for c in df.columns if keep_text or c != "text"]
 
     def add(batches):
         for batch in batches:
-            for part in W.slices(batch, "text", 4 << 20):
+            for part in W.slices(batch, "text", 2 << 20):
                 fp = fingerprint(W.as_texts(part.column("text"))).view(np.int64)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(fp)], [*names, "fp"])
 

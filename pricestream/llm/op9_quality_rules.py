@@ -33,8 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricestream.llm import words as W
-from pricestream.llm.frames import carry, restore, schema_of
-from pricestream.session import materialize, ship_package
+from pricestream.llm.frames import carry, prepare, restore, schema_of
+from pricestream.session import materialize
 from pricestream.sources.tables import read_table
 
 SYMBOLS, MIN_WORDS, REPEAT_WINDOW, REPEAT_PERCENT = r"[#*$%&|<>]", 10, 5, 20
@@ -114,7 +114,7 @@ def text_stats(texts: pa.Array) -> dict[str, np.ndarray]:
 
 def with_stats(df: DataFrame, keep_text: bool = True) -> DataFrame:
     """Adds the statistics to a frame with a ``text`` column."""
-    ship_package(df.sparkSession)
+    prepare(df.sparkSession)
     names = [c for c in df.columns if keep_text or c != "text"]
     extra = {k: "long" for k in (*STATS, "n_lines")}
 

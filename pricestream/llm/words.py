@@ -97,7 +97,7 @@ def starts_in_one_text(offsets: np.ndarray, size: int) -> np.ndarray:
     return np.arange(n) + size <= ends[:n]
 
 
-def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = 16 << 20):
+def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = 4 << 20):
     """``batch`` cut into runs of rows with about ``most`` bytes of text at most (a longer
     text is a run of its own), so that the working memory of a task stays bounded."""
     size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
@@ -107,3 +107,4 @@ def slices(batch: pa.RecordBatch | pa.Table, column: str, most: int = 16 << 20):
         end = max(at + 1, int(np.searchsorted(total, base + most, "right")))
         yield batch.slice(at, end - at)
         at = end
+    pa.default_memory_pool().release_unused()  # a worker lives on after its task

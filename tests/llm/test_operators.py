@@ -23,7 +23,7 @@ from pricestream.llm import op7_fingerprints as lcp  # noqa: E402
 from pricestream.llm import op8_simhash_dedup as simhash  # noqa: E402
 from pricestream.llm import op9_quality_rules as quality  # noqa: E402
 from pricestream.llm import words as W  # noqa: E402
-from tests.llm.conftest import CLASHES, SCHEMA, edge_rows, words  # noqa: E402
+from llm.conftest import CLASHES, SCHEMA, edge_rows, words  # noqa: E402
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
