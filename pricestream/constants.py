@@ -51,6 +51,5 @@ KIND_SEED = 0
 KIND_COMMAND = 1
 KIND_EVENT = 2
 
-# Default target of rows per (product, time bucket) cell in the skew-safe
-# scans; see operators/scan.py.
-DEFAULT_ROWS_PER_BUCKET = 2_000_000
+# Target of rows per cell in the ordered scans; see operators/scan.py.
+DEFAULT_ROWS_PER_CELL = 500_000

@@ -2,7 +2,7 @@
 
 - ``running_demand``: per raw product id, the cumulative weight in arrival order
   including the current event (the counter is incremented before pricing);
-- ``priced_events``: decode -> validate -> gate -> running demand -> price;
+- ``gated_demand``, ``priced``: validate -> gate -> running demand -> price;
 - ``demand_totals``: final counter per product (partial + final aggregate);
 - ``live_price``: last written price per product over seed, override sets and
   dynamic prices (``max_by`` on (time, kind, seq), pre-aggregated map-side);
@@ -14,13 +14,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest, overrides
-from pricestream.operators.scan import add_bucket, auto_buckets, running_sum
+from pricestream.operators.scan import CELL, carry_sum, running_sum
+from pricestream.session import materialize
 
 EVENT_ORDER = ("arrival_ts", "event_seq")
 
@@ -34,48 +35,40 @@ def with_weight(events: DataFrame) -> DataFrame:
 
 
 def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,
-                   bucket_seconds: int | None | str = "auto") -> DataFrame:
-    """Operator 27 on valid events without the override gate: adds ``w`` and ``demand``.
-
-    ``bucket_seconds="auto"`` gives keys with more than the target rows their
-    own time buckets (skew-safe scan); with no such key it is a plain window."""
-    ev = with_weight(valid_events)
-    if bucket_seconds == "auto":
-        bucket_seconds = auto_buckets(ev, "product_id", "arrival_ts")
-    if not bucket_seconds:
-        return running_sum(ev, ["product_id"], list(order), "w", "demand")
-    ev = add_bucket(ev, bucket_seconds, "product_id", "arrival_ts")
-    return running_sum(ev, ["product_id"], list(order), "w", "demand", bucket="__bucket").drop("__bucket")
-
-
-def priced_events(events: DataFrame, commands: DataFrame, catalog: DataFrame,
-                  order: Sequence[str] = EVENT_ORDER, bucket_seconds: int | None = None,
-                  effective: DataFrame | None = None, first: DataFrame | None = None) -> DataFrame:
-    """Operator 29: one row per accepted event with demand, new_price, update_ts.
-
-    ``order`` is (arrival_ts, event_seq, *tie-break columns). Output keeps every
-    event column plus w, demand, new_price, update_ts.
-
-    The event side is shuffled once, on (raw id[, bucket]), and sorted once, by
-    the gate; the demand scan runs over the gate's partitions in the gate's
-    order, so it needs neither another exchange nor another sort.
+                   rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
+    """Operator 27 on valid events without the override gate: adds ``w`` and ``demand``
+    (a skew-safe ordered scan)."""
+    return running_sum(with_weight(valid_events), "product_id", list(order), "w", "demand", rows_per_cell)
+
+
+def gated_demand(valid_events: DataFrame, effective: DataFrame, order: Sequence[str] = EVENT_ORDER,
+                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, keep: Sequence[str] | None = None) -> DataFrame:
+    """Every valid event with its ``gate`` and the ``demand`` after it (operators 27, 36, 37),
+    counted over the accepted events of its raw id.
+
+    The events are shuffled once, by the gate's cells; demand inside a cell is a window over the
+    same partitions. This is written once, and what earlier cells counted is added when it
+    is read. ``keep``: columns to write (default all).
     """
     assert tuple(order[:2]) == EVENT_ORDER, "order must start with arrival_ts, event_seq"
-    tie = tuple(order[2:])
-    valid = ingest.valid_product_events(events)
-    eff = effective if effective is not None else overrides.effective_commands(
-        commands, catalog, valid, bucket_seconds, first)
-    gated = overrides.gate_events(with_weight(valid), eff, bucket_seconds, tie_break=tie, first=first)
-    accepted = gated.where(F.col("gate").isNull()).drop("gate")
-    scan_order = [*overrides.GATE_ORDER, *tie]
-    if bucket_seconds:
-        d = running_sum(accepted, ["product_id"], scan_order, "w", "demand", bucket="__bucket",
-                        repartition=False).drop("__bucket")
-    else:
-        d = running_sum(accepted, ["product_id"], scan_order, "w", "demand")
-    return (d.drop(*overrides.GATE_ORDER)
-             .withColumn("new_price", X.compute_price(F.col("price"), F.col("demand")))
-             .withColumn("update_ts", X.update_timestamp_s(F.col("arrival_ts"))))
+    gated, cells = overrides.gate_events(with_weight(valid_events), effective, tuple(order[2:]), rows_per_cell)
+    weight = F.when(F.col("gate").isNull(), F.col("w")).otherwise(F.lit(0).cast("bigint"))
+    w = (Window.partitionBy(CELL, "__tid", "product_id").orderBy(*overrides.GATE_ORDER, *order[2:])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = gated.withColumn("__w", weight).withColumn("demand", F.sum("__w").over(w))
+    names = list(keep) if keep else [*valid_events.columns, *(["w"] if "w" not in valid_events.columns else [])]
+    local = materialize(local.select(*names, CELL, "__tid", "__w", "gate", "demand"), "gated_demand")
+    carry = cells.small(carry_sum(cells, local, "product_id", "__w", of="__tid"))
+    return (local.join(carry, [CELL, "product_id"], "left")
+            .withColumn("demand", (F.col("demand") + F.coalesce(F.col("__carry"), F.lit(0))).cast("bigint"))
+            .select(*names, "gate", "demand"))
+
+
+def priced(gated: DataFrame) -> DataFrame:
+    """Operator 29 from ``gated_demand``: one row per accepted event with demand, new_price, update_ts."""
+    return (gated.where(F.col("gate").isNull()).drop("gate")
+            .withColumn("new_price", X.compute_price(F.col("price"), F.col("demand")))
+            .withColumn("update_ts", X.update_timestamp_s(F.col("arrival_ts"))))
 
 
 def demand_totals(accepted: DataFrame) -> DataFrame:

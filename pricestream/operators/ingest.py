@@ -156,8 +156,10 @@ def valid_override_commands(commands: DataFrame) -> DataFrame:
 
     set: id trimmed then pattern-checked, override_price > 0, reason defaulted;
     remove: the raw id must match the pattern (it is a path parameter, not trimmed).
-    Output keeps the log columns with the normalised id and reason.
+    Output keeps the log columns with the normalised id and reason (and ``gate_ms``, if
+    the log has it).
     """
+    more = [c for c in ("gate_ms",) if c in commands.columns]
     tid = X.trim_unicode(F.col("product_id"))
     is_set = F.col("op") == K.OP_SET
     is_remove = F.col("op") == K.OP_REMOVE
@@ -168,7 +170,7 @@ def valid_override_commands(commands: DataFrame) -> DataFrame:
                             F.when(is_set, tid).otherwise(F.col("product_id")).alias("product_id"),
                             "op",
                             F.when(is_set, F.col("override_price")).alias("override_price"),
-                            F.when(is_set, X.default_override_reason(F.col("reason"))).alias("reason")))
+                            F.when(is_set, X.default_override_reason(F.col("reason"))).alias("reason"), *more))
 
 
 OVERRIDE_REQUEST_KEYS = ("product_id", "override_price", "reason")

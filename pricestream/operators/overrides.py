@@ -14,13 +14,13 @@ are folds of it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest
-from pricestream.operators.scan import add_bucket, running_last
+from pricestream.operators.scan import CELL, Cells, carry_last, running_last
 
 NEVER = "0001-01-01 00:00:00"
 
@@ -54,7 +54,7 @@ def known_product_commands(valid_commands: DataFrame, known: DataFrame) -> DataF
 
 
 def effective_commands(commands: DataFrame, catalog: DataFrame, valid_events: DataFrame,
-                       bucket_seconds: int | None = None, first: DataFrame | None = None) -> DataFrame:
+                       first: DataFrame | None = None, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
     """Valid sets of known products plus removes that directly follow a set.
 
     Output: cmd_seq, cmd_ts, product_id, op, override_price, reason.
@@ -64,12 +64,10 @@ def effective_commands(commands: DataFrame, catalog: DataFrame, valid_events: Da
     sets = known_product_commands(valid, known_since(catalog, valid_events, first))
     removes = valid.where(F.col("op") == K.OP_REMOVE)
     both = sets.unionByName(removes)
-    if bucket_seconds:
-        both = add_bucket(both, bucket_seconds, "product_id", "cmd_ts")
-    prev = running_last(both, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev_op",
-                        bucket="__bucket" if bucket_seconds else None, inclusive=False)
+    prev = running_last(both, "product_id", ["cmd_ts", "cmd_seq"], "op", "__prev_op", inclusive=False,
+                        rows_per_cell=rows_per_cell)
     keep = (F.col("op") == K.OP_SET) | (F.col("__prev_op") == K.OP_SET)
-    return prev.where(keep).drop("__prev_op", "__bucket")
+    return prev.where(keep).drop("__prev_op")
 
 
 def override_state(commands: DataFrame) -> DataFrame:
@@ -125,16 +123,15 @@ def override_delete(snapshot: DataFrame, requests: DataFrame) -> tuple[DataFrame
     return survivors, flags
 
 
-def override_intervals(effective: DataFrame, bucket_seconds: int | None = None) -> DataFrame:
+def override_intervals(effective: DataFrame, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
     """Operator 35: active episodes (product_id, set_at, removed_at; null = open).
 
     An episode starts at an effective set whose previous effective command is not
     a set, and ends at the next effective remove. Starts and removes alternate,
     so the end is the nearest later removal: an ordered scan in reverse time.
     """
-    eff = add_bucket(effective, bucket_seconds, "product_id", "cmd_ts") if bucket_seconds else effective
-    prev = running_last(eff, ["product_id"], ["cmd_ts", "cmd_seq"], "op", "__prev",
-                        bucket="__bucket" if bucket_seconds else None, inclusive=False)
+    prev = running_last(effective, "product_id", ["cmd_ts", "cmd_seq"], "op", "__prev", inclusive=False,
+                        rows_per_cell=rows_per_cell)
     is_start = (F.col("op") == K.OP_SET) & (F.coalesce(F.col("__prev"), F.lit("")) != K.OP_SET)
     is_end = F.col("op") == K.OP_REMOVE
     marks = prev.where(is_start | is_end).select(
@@ -143,10 +140,8 @@ def override_intervals(effective: DataFrame, bucket_seconds: int | None = None)
         (-F.col("cmd_seq")).alias("__rs"),
         F.when(is_end, F.col("cmd_ts")).alias("__end"),
         is_start.alias("__start"))
-    if bucket_seconds:
-        marks = add_bucket(marks, bucket_seconds, "product_id", "cmd_ts", reverse=True)
-    nxt = running_last(marks, ["product_id"], ["__rt", "__rs"], "__end", "__next_end",
-                       bucket="__bucket" if bucket_seconds else None, inclusive=False)
+    nxt = running_last(marks, "product_id", ["__rt", "__rs"], "__end", "__next_end", inclusive=False,
+                       rows_per_cell=rows_per_cell)
     return (nxt.where("__start")
                .select("product_id", F.col("cmd_ts").alias("set_at"),
                        F.col("__next_end").alias("removed_at")))
@@ -163,46 +158,45 @@ def override_history_points(effective: DataFrame) -> DataFrame:
 GATE_ORDER = ("__ts", "__kind", "__seq")
 
 
-def gate_events(valid_events: DataFrame, effective: DataFrame, bucket_seconds: int | None = None,
-                tie_break: tuple[str, ...] = (), first: DataFrame | None = None) -> DataFrame:
+def gate_events(valid_events: DataFrame, effective: DataFrame, tie_break: tuple[str, ...] = (),
+                rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> tuple[DataFrame, Cells]:
     """Operators 36 + 37: tag each valid event with ``gate`` in
-    {null (accepted), 'override_active', 'stale_after_removal'}.
-
-    As-of lookup by union + ordered scan. Commands are keyed by the trimmed id,
-    events by their raw id (demand counts the raw id); each effective command is
-    joined to the raw ids whose trimmed form it names (a small per-product
-    table), so an event with raw id R sees exactly the commands of trim(R).
-    Events and commands of one raw id are ordered by (time, commands first, seq,
-    *tie_break); each event carries the last command before it.
-
-    The event side is shuffled once, on (raw id[, time bucket]), and sorted
-    once; the output keeps ``__bucket`` and the order columns ``GATE_ORDER +
-    tie_break`` so the demand scan reuses both partitioning and order.
+    {null (accepted), 'override_active', 'stale_after_removal'}; also returns the cells.
+
+    As-of lookup by union + ordered scan over the trimmed id: events and commands are
+    ordered by (time, commands first, seq, *tie_break), each event carries the last
+    command before it. Rows are dealt into cells once; a cell's starting command comes from
+    the command log alone (events carry none), so the gate is complete inside the cells.
+    The output keeps ``__cell``, ``__tid`` and the order columns, and its
+    partitioning, for the demand scan.
+
+    A command's ``gate_ms``, where it has one, is the removal time that counts
+    (a removal carried over from an earlier micro-batch).
     """
-    cols = [c for c in valid_events.columns]
-    ev_u = valid_events.select(*cols, F.col("arrival_ts").alias("__ts"),
-                               F.lit(K.KIND_EVENT).alias("__kind"), F.col("event_seq").alias("__seq"),
-                               F.lit(None).cast("struct<op:string,ms:bigint>").alias("__cmd"))
-    first = first if first is not None else first_seen(valid_events)
-    variants = first.select(F.col("product_id").alias("__raw"),
-                                               X.trim_unicode(F.col("product_id")).alias("__tid"))
-    cmd = effective.join(variants, effective["product_id"] == variants["__tid"])
-    cm = cmd.select(*(F.col("__raw").alias(c) if c == "product_id"
-                      else F.lit(None).cast(valid_events.schema[c].dataType).alias(c) for c in cols),
-                    F.col("cmd_ts").alias("__ts"), F.lit(K.KIND_COMMAND).alias("__kind"),
-                    F.col("cmd_seq").alias("__seq"),
-                    F.struct(F.col("op").alias("op"), X.epoch_ms("cmd_ts").alias("ms")).alias("__cmd"))
-    u = ev_u.unionByName(cm)
-    extra = []
-    if bucket_seconds:
-        u = add_bucket(u, bucket_seconds, "product_id", "__ts")
-        extra = ["__bucket"]
+    cols = list(valid_events.columns)
     order = [*GATE_ORDER, *tie_break]
-    scanned = running_last(u, ["product_id"], order, "__cmd", "__last",
-                           bucket="__bucket" if bucket_seconds else None)
+    ev = valid_events.select(*cols, X.trim_unicode(F.col("product_id")).alias("__tid"),
+                             F.col("arrival_ts").alias("__ts"), F.lit(K.KIND_EVENT).alias("__kind"),
+                             F.col("event_seq").alias("__seq"),
+                             F.lit(None).cast("struct<op:string,ms:bigint>").alias("__cmd"))
+    ms = X.epoch_ms("cmd_ts")
+    if "gate_ms" in effective.columns:
+        ms = F.coalesce(F.col("gate_ms"), ms)
+    cmd = effective.select(
+        *(F.lit(None).cast(valid_events.schema[c].dataType).alias(c) for c in cols if c not in tie_break),
+        *(F.lit(0).cast(valid_events.schema[c].dataType).alias(c) for c in tie_break),
+        F.col("product_id").alias("__tid"), F.col("cmd_ts").alias("__ts"), F.lit(K.KIND_COMMAND).alias("__kind"),
+        F.col("cmd_seq").alias("__seq"), F.struct(F.col("op").alias("op"), ms.alias("ms")).alias("__cmd"))
+    cells = Cells.of(ev, "__tid", order, rows_per_cell)
+    start = carry_last(cells, cmd.withColumn(CELL, cells.number(cmd)), "__tid", "__cmd", order)
+    u = cells.deal(ev.unionByName(cmd))
+    w = Window.partitionBy(CELL, "__tid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    scanned = (u.withColumn("__last", F.last("__cmd", ignorenulls=True).over(w))
+               .where(F.col("__kind") == K.KIND_EVENT)
+               .join(cells.small(start), [CELL, "__tid"], "left")
+               .withColumn("__last", F.coalesce(F.col("__last"), F.col("__carry"))))
     ev_ms = X.normalize_event_ms(F.col("timestamp"))
     gate = (F.when(F.col("__last.op") == K.OP_SET, F.lit("override_active"))
             .when((F.col("__last.op") == K.OP_REMOVE) & (ev_ms <= F.col("__last.ms")),
                   F.lit("stale_after_removal")))
-    return (scanned.where(F.col("__kind") == K.KIND_EVENT)
-                   .select(*cols, *extra, *GATE_ORDER, gate.alias("gate")))
+    return scanned.select(*cols, CELL, "__tid", *GATE_ORDER, gate.alias("gate")), cells

@@ -1,230 +1,168 @@
 """Skew-safe ordered scans per key: running sum and "last non-null value so far".
 
-A plain ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into one
-task; a hot product holding a third of all events would then run in one task.
-These helpers split each key's timeline into time buckets and scan in two phases:
-
-1. one hash shuffle on ``partition_keys + [bucket]``, persisted and
-   materialized so that it keeps its partitioning; the running value is
-   computed inside each (key, bucket) cell by a window that needs no further
-   shuffle, and per-cell totals / last values are aggregated from the same
-   cached rows;
-2. the carry-in of each cell (sum / last value of all earlier buckets of the
-   key) is a window over the small per-cell table, joined back on
-   ``partition_keys + [bucket]`` so the big side keeps its partitioning.
-
-The result equals a plain running window over the key (tests check both forms).
-
-Bucket widths: ``auto_buckets`` finds the keys holding more than the target
-rows per cell and gives each its own width (count / target buckets over its
-time span); all other keys stay one cell, so the per-cell tables stay about
-as small as the key count plus rows / target. An int width buckets every key
-alike (tests use it to force the two-phase form).
+A plain ``Window.partitionBy(key).orderBy(t)`` puts all rows of a key into one
+task. Here the rows are cut into cells: ranges of (key, order columns) with about
+equal numbers of rows, whose bounds come from a sample, as in a range
+partitioning. A key with many rows is many cells, whether its rows lie in one
+second or in a year; many small keys share a cell. The plan is the same at
+every size:
+
+1. each row gets the number of its cell (a binary search in the bounds) and is
+   shuffled once by it; the running value inside (cell, key) is a window that
+   needs no further shuffle;
+2. a cell continues at most one key of the cells before it, so the carry-in is
+   one small row per cell, from the cells' totals, joined to the rows.
+
+The result equals a plain running window over the key (tests check this).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark import StorageLevel
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricestream import constants as K
+from pricestream.session import materialize, ship_package
 
-_B = "__bucket"
+CELL = "__cell"
 _UNB = Window.unboundedPreceding
 
 
-def time_bucket(ts: Column | str, bucket_seconds: int | None) -> Column:
-    """Monotone bucket id of a timestamp; a single bucket when width is None."""
-    if not bucket_seconds:
-        return F.lit(0).cast("bigint")
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_seconds(t.cast("timestamp")) / F.lit(int(bucket_seconds))).cast("bigint")
-
-
-class KeyBuckets:
-    """Per-key bucket widths: keys holding more than ``rows_per_bucket`` rows are
-    cut into time buckets of their own width; every other key is one bucket.
-
-    ``widths`` has (key, __width seconds) for the hot keys only. At most
-    rows / rows_per_bucket keys can qualify, which bounds the table, so it is
-    broadcast into the rows it labels.
-    """
-
-    def __init__(self, widths: DataFrame, key: str = "product_id"):
-        self.widths = widths
-        self.key = key
-
-    def add(self, df: DataFrame, key_col: str, ts_col: str, out: str = "__bucket",
-            reverse: bool = False) -> DataFrame:
-        w = self.widths.select(F.col(self.key).alias("__wk"), "__width")
-        j = df.join(F.broadcast(w), df[key_col] == w["__wk"], "left")
-        secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
-        if reverse:
-            secs = -secs
-        b = F.when(F.col("__width").isNotNull(), F.floor(secs / F.col("__width"))).otherwise(F.lit(0))
-        return j.withColumn(out, b.cast("bigint")).drop("__wk", "__width")
-
-
-def hot_key_widths(df: DataFrame, key: str | list[str], ts: str,
-                   rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """key(s), __width: for every key with more than ``rows_per_bucket`` rows, the
-    bucket width that cuts its time span into about count / rows_per_bucket
-    buckets (a partial+final aggregate over the input)."""
-    keys = [key] if isinstance(key, str) else list(key)
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
-    return widths_from_stats(g, keys, rows_per_bucket)
-
-
-def widths_from_stats(stats: DataFrame, keys: list[str], rows_per_bucket: int) -> DataFrame:
-    """keys, __width from per-key statistics (__n rows, __lo / __hi timestamps):
-    only keys above ``rows_per_bucket`` rows, each cut into about
-    __n / rows_per_bucket buckets of its time span."""
-    lo = F.unix_seconds(F.col("__lo").cast("timestamp"))
-    hi = F.unix_seconds(F.col("__hi").cast("timestamp"))
-    n_buckets = F.ceil(F.col("__n") / F.lit(rows_per_bucket))
-    width = F.greatest(F.lit(1), F.floor((hi - lo + 1) / n_buckets))
-    return (stats.where(F.col("__n") > rows_per_bucket)
-                 .select(*keys, width.cast("bigint").alias("__width")))
-
-
-def auto_buckets(df: DataFrame, key: str, ts: str,
-                 rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> KeyBuckets | None:
-    """``KeyBuckets`` for the hot keys of ``df``, or None when there are none
-    (plain windows). The small width table is written once under the shared
-    checkpoint folder, so later readers do not aggregate the input again."""
-    from pricestream.session import materialize
-    hot = hot_key_widths(df, key, ts, rows_per_bucket)
-    if not hot.take(1):
-        return None
-    return KeyBuckets(materialize(hot, "hot_key_widths"), key)
-
-
-def buckets_from_stats(stats: DataFrame, sources: dict[str, str],
-                       rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET) -> dict[str, KeyBuckets | None]:
-    """Per input, ``KeyBuckets`` for its hot keys (or None), from a statistics
-    table (__src, key, __n, __lo, __hi) covering several inputs {name: key}."""
-    src_keys = ["__src", "__k"]
-    st = stats.select("__src", F.col(next(iter(sources.values()))).alias("__k"), "__n", "__lo", "__hi")
-    hot = widths_from_stats(st, src_keys, rows_per_bucket)
-    found = {r["__src"] for r in hot.select("__src").distinct().collect()}   # at most len(sources) rows
-    return {name: (KeyBuckets(hot.where(F.col("__src") == name).select(F.col("__k").alias(key), "__width"), key)
-                   if name in found else None)
-            for name, key in sources.items()}
-
-
-def add_bucket(df: DataFrame, bucketing, key_col: str, ts_col: str, out: str = "__bucket",
-               reverse: bool = False) -> DataFrame:
-    """Label rows with their time bucket: per-key widths (``KeyBuckets``) or one
-    width for every key (int seconds). ``reverse`` numbers buckets backwards in
-    time (for scans in descending time order)."""
-    if isinstance(bucketing, KeyBuckets):
-        return bucketing.add(df, key_col, ts_col, out, reverse)
-    secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
-    if reverse:
-        secs = -secs
-    return df.withColumn(out, F.floor(secs / F.lit(int(bucketing))).cast("bigint"))
-
-
-_CACHED: list[DataFrame] = []
-
-
-def _prepare(df: DataFrame, partition_keys: Sequence[str], bucket: Column | str,
-             repartition: bool) -> tuple[DataFrame, str, bool]:
-    """Attach the bucket column (if given as an expression), shuffle once, and
-    keep the shuffled rows for the three readers of the two-phase scan.
-
-    The cell scan, the cell list and the cell values all read the shuffled
-    rows. Left as one lazy plan, Spark would prune each reader's columns
-    differently and shuffle the big side once per reader; a checkpoint would
-    forget the hash partitioning (Spark 4 records it as unknown under AQE).
-    The persisted, materialized shuffle output keeps its partitioning, so the
-    readers need no further exchange. Blocks lost with an executor are
-    recomputed from lineage; ``release_cached`` frees them after the job.
-    """
-    if isinstance(bucket, str):
-        name, temp = bucket, False
-        d = df
-    else:
-        name, temp = _B, True
-        d = df.withColumn(_B, bucket)
-    if repartition:
-        n = int(d.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        d = d.repartition(n, *partition_keys, name)
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    # Fill the cache now: only a materialized cache reports its partitioning to
-    # the plans built on it (a lazy one reads as unknown and gets re-shuffled).
-    d.write.format("noop").mode("overwrite").save()
-    _CACHED.append(d)
-    return d, name, temp
-
-
-def release_cached() -> None:
-    """Unpersist what the two-phase scans cached (call after the job's actions)."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
-
-
-def _carry_join(local: DataFrame, carry: DataFrame, partition_keys: Sequence[str], b: str,
-                carry_col: str) -> DataFrame:
-    """Join per-cell carry values back onto the big side on partition keys + bucket.
-
-    The big side keeps its partitioning; the carry table is one row per cell
-    (Catalyst/AQE broadcast it when it is small, else it is shuffled to match).
-    """
-    return local.join(carry.select(*partition_keys, b, carry_col), [*partition_keys, b], "left")
-
-
-def running_sum(df: DataFrame, partition_keys: Sequence[str], order: Sequence[str | Column],
-                value: str, out: str, bucket: Column | str | None = None,
-                repartition: bool = True) -> DataFrame:
-    """``out`` = sum of ``value`` over all earlier rows and this row of the key,
-    in ``order``.
-
-    ``bucket``: None for a plain window; an expression (added and dropped); or
-    the name of an existing column (kept). ``repartition=False`` when ``df`` is
-    already hash-partitioned on partition_keys + bucket.
-    """
-    keys = list(partition_keys)
-    if bucket is None:
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(_UNB, Window.currentRow)
-        return df.withColumn(out, F.sum(value).over(w))
-    d, b, temp = _prepare(df, partition_keys, bucket, repartition)
-    w_local = Window.partitionBy(*keys, b).orderBy(*order).rowsBetween(_UNB, Window.currentRow)
-    local = d.withColumn(out, F.sum(value).over(w_local))
-    cells = d.groupBy(*keys, b).agg(F.sum(value).alias("__t"))
-    w_cell = Window.partitionBy(*keys).orderBy(b).rowsBetween(_UNB, -1)
-    carry = cells.select(*keys, b, F.sum("__t").over(w_cell).alias("__carry"))
-    res = _carry_join(local, carry, partition_keys, b, "__carry")
-    res = res.withColumn(out, F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))).drop("__carry")
-    return res.drop(b) if temp else res
-
-
-def running_last(df: DataFrame, partition_keys: Sequence[str], order: Sequence[str],
-                 value: str, out: str, bucket: Column | str | None = None,
-                 inclusive: bool = True, repartition: bool = True) -> DataFrame:
+def _order_number(df: DataFrame, col: str) -> Column:
+    """An order column as a long (timestamps in microseconds)."""
+    if isinstance(df.schema[col].dataType, T.TimestampType):
+        return F.unix_micros(F.col(col))
+    return F.col(col).cast("bigint")
+
+
+class Cells:
+    """Ranges of (key, *order) of a frame, given by their lower bounds (cell 0 has none).
+
+    Correct for any bounds; the sample only decides how even the cells are. At most
+    ``MAX_CELLS`` bounds are held by the driver."""
+
+    SAMPLE_PER_CELL = 20
+    MAX_CELLS = 100_000
+
+    def __init__(self, bounds: list[tuple], key: str, order: Sequence[str]):
+        self.bounds, self.key, self.order = bounds, key, list(order)
+
+    @property
+    def count(self) -> int:
+        return len(self.bounds) + 1
+
+    @classmethod
+    def of(cls, df: DataFrame, key: str, order: Sequence[str], rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> "Cells":
+        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = df.count()
+        n = min(cls.MAX_CELLS, max(least, -(-rows // rows_per_cell)))
+        share = min(1.0, cls.SAMPLE_PER_CELL * n / max(rows, 1))
+        keys = df.select(key, *[_order_number(df, c).alias(c) for c in order])
+        sample = sorted(tuple(r) for r in keys.sample(share, seed=1).collect())
+        bounds = sorted({sample[i * len(sample) // n] for i in range(1, n)}) if sample else []
+        return cls(bounds, key, order)
+
+    def number(self, df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+        """Cell of each row of ``df``; ``columns``: its names for the order columns."""
+        ship_package(df.sparkSession)
+        keys = np.array([b[0] for b in self.bounds], dtype=object)
+        orders = np.array([b[1:] for b in self.bounds], np.int64).reshape(len(self.bounds), len(self.order))
+
+        def find(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series(_places(keys, orders, batch[0], np.column_stack([s.to_numpy(np.int64) for s in batch[1:]])))
+
+        names = list(columns or self.order)
+        return F.pandas_udf(find, "int")(F.col(self.key), *[_order_number(df, c) for c in names])
+
+    def deal(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+        """``df`` with ``__cell``, shuffled by it."""
+        return df.withColumn(CELL, self.number(df, columns)).repartition(self.count, CELL)
+
+    def small(self, df: DataFrame) -> DataFrame:
+        """Marks a table of at most one row per cell (or per id variant in it) for broadcast;
+        the number of cells is bounded by MAX_CELLS."""
+        return F.broadcast(df)
+
+    def lows(self, spark) -> DataFrame:
+        """__cell, key of the first row of each cell but the first."""
+        rows = [(i + 1, b[0]) for i, b in enumerate(self.bounds)]
+        return spark.createDataFrame(rows, f"{CELL} int, `{self.key}` string")
+
+
+def _places(keys: np.ndarray, orders: np.ndarray, key: pd.Series, order: np.ndarray) -> np.ndarray:
+    """Number of bounds at or below each row, comparing (key, *order)."""
+    code, unique = pd.factorize(key)
+    low = np.searchsorted(keys, unique.to_numpy(dtype=object) if hasattr(unique, "to_numpy") else unique, "left")
+    high = np.searchsorted(keys, unique.to_numpy(dtype=object) if hasattr(unique, "to_numpy") else unique, "right")
+    out = low[code].astype(np.int32)
+    split = np.flatnonzero((high > low)[code])
+    if len(split):
+        # rows of keys with bounds among them: merge rows and these bounds in order
+        used = np.unique(code[split])
+        at = np.concatenate([np.arange(low[u], high[u]) for u in used])
+        owner = np.concatenate([np.full(high[u] - low[u], u) for u in used])
+        who = np.concatenate((owner, code[split]))
+        values = np.concatenate((orders[at], order[split]))
+        is_bound = np.arange(len(who)) < len(at)
+        by = np.lexsort((~is_bound, *values.T[::-1], who))
+        seen = np.empty(len(by), np.int64)
+        seen[by] = np.cumsum(is_bound[by])
+        before = dict(zip(used.tolist(), (np.cumsum([0, *[high[u] - low[u] for u in used[:-1]]])).tolist()))
+        out[split] += (seen[len(at):] - np.array([before[c] for c in code[split].tolist()])).astype(np.int32)
+    return out
+
+
+def carry_sum(cells: Cells, dealt: DataFrame, key: str, value: str, of: str | None = None) -> DataFrame:
+    """__cell, ``key``, __carry: sum of ``value`` in all earlier cells, for keys that may
+    go on from one cell to the next. ``of``: the column that the cells are ranges of."""
+    of = of or key
+    going_on = cells.lows(dealt.sparkSession).select(F.col(cells.key).alias(of)).distinct()
+    keys = [of] if of == key else [of, key]
+    total = dealt.join(cells.small(going_on), of, "left_semi").groupBy(CELL, *keys).agg(F.sum(value).alias("__t"))
+    w = Window.partitionBy(key).orderBy(CELL).rowsBetween(_UNB, -1)
+    return total.select(CELL, key, F.sum("__t").over(w).alias("__carry")).where(F.col("__carry").isNotNull())
+
+
+def carry_last(cells: Cells, dealt: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
+    """__cell, ``key``, __carry: the last non-null ``value`` of the cell's first key in
+    all earlier cells. ``dealt`` needs only the rows that have a value."""
+    lows = cells.lows(dealt.sparkSession).select(CELL, F.col(cells.key).alias(key))
+    last = (dealt.where(F.col(value).isNotNull())
+            .join(cells.small(lows.select(key).distinct()), key, "left_semi")
+            .groupBy(CELL, key).agg(F.max_by(value, F.struct(*order)).alias("__v")))
+    both = last.select(CELL, key, "__v", F.lit(False).alias("__low")).unionByName(
+        lows.select(CELL, key, F.lit(None).cast(last.schema["__v"].dataType).alias("__v"), F.lit(True).alias("__low")))
+    w = Window.partitionBy(key).orderBy(CELL).rangeBetween(_UNB, -1)
+    return (both.select(CELL, key, "__low", F.last("__v", ignorenulls=True).over(w).alias("__carry"))
+            .where(F.col("__low") & F.col("__carry").isNotNull()).select(CELL, key, "__carry"))
+
+
+def running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
+    """``out`` = sum of ``value`` over all earlier rows and this row of the key, in ``order``."""
+    cells = Cells.of(df, key, order, rows_per_cell)
+    w = Window.partitionBy(CELL, key).orderBy(*order).rowsBetween(_UNB, Window.currentRow)
+    local = materialize(cells.deal(df).withColumn(out, F.sum(value).over(w)), "running_sum")
+    carry = cells.small(carry_sum(cells, local, key, value))
+    return (local.join(carry, [CELL, key], "left")
+            .withColumn(out, F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))).drop("__carry", CELL)
+            .select(*df.columns, out))
+
+
+def running_last(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
+                 inclusive: bool = True, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
     """``out`` = the last non-null ``value`` among earlier rows of the key (and
-    this row when ``inclusive``), in ``order`` (column names, ascending)."""
-    end = Window.currentRow if inclusive else -1
-    if bucket is None:
-        w = Window.partitionBy(*partition_keys).orderBy(*order).rowsBetween(_UNB, end)
-        return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-    d, b, temp = _prepare(df, partition_keys, bucket, repartition)
-    w_local = Window.partitionBy(*partition_keys, b).orderBy(*order).rowsBetween(_UNB, end)
-    local = d.withColumn(out, F.last(value, ignorenulls=True).over(w_local))
-    v = F.col(value)
-    # Per cell, the last non-null value. Only rows carrying a value go through the
-    # struct-keyed max_by (a sort aggregate); the cell list itself is a plain
-    # distinct. Both read the same shuffled data, so neither moves it again.
-    present = d.select(*partition_keys, b).distinct()
-    vals = (d.where(v.isNotNull()).groupBy(*partition_keys, b)
-             .agg(F.max_by(v, F.struct(*order)).alias("__last")))
-    cells = present.join(vals, [*partition_keys, b], "left")
-    w_cell = Window.partitionBy(*partition_keys).orderBy(b).rowsBetween(_UNB, -1)
-    carry = cells.select(*partition_keys, b,
-                         F.last("__last", ignorenulls=True).over(w_cell).alias("__carry"))
-    res = _carry_join(local, carry, partition_keys, b, "__carry")
-    res = res.withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop("__carry")
-    return res.drop(b) if temp else res
+    this row when ``inclusive``), in ``order``."""
+    cells = Cells.of(df, key, order, rows_per_cell)
+    w = Window.partitionBy(CELL, key).orderBy(*order).rowsBetween(_UNB, Window.currentRow if inclusive else -1)
+    local = materialize(cells.deal(df).withColumn(out, F.last(value, ignorenulls=True).over(w)), "running_last")
+    carry = cells.small(carry_last(cells, local, key, value, order))
+    return (local.join(carry, [CELL, key], "left")
+            .withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop("__carry", CELL)
+            .select(*df.columns, out))

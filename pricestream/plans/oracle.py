@@ -180,8 +180,26 @@ FROM priced WHERE event_seq % 7 NOT IN (1, 2, 3, 4)"""),
 ]
 
 
-def _with() -> str:
-    return "WITH " + ",\n".join(f"{name} AS ({body}\n)" for name, body in CTES) + "\n"
+#: Product events of the larger stream; its ties are broken by supplier, price, quantity and flag.
+LINEITEM = """
+SELECT l_orderkey * 100 + l_linenumber AS event_seq, CAST(l_shipdate AS TIMESTAMP) AS arrival_ts,
+       CASE l_returnflag WHEN 'A' THEN 'view' WHEN 'R' THEN 'cart' WHEN 'N' THEN 'purchase' ELSE l_returnflag END AS event_type,
+       'P' || CAST(l_partkey AS VARCHAR) AS product_id, 'S' || CAST(l_suppkey AS VARCHAR) AS user_id,
+       epoch_us(CAST(l_shipdate AS TIMESTAMP)) // 1000 AS "timestamp", l_extendedprice / l_quantity AS price,
+       CAST(l_suppkey AS BIGINT) AS t1, CAST(round(l_extendedprice * 100) AS BIGINT) AS t2,
+       CAST(round(l_quantity * 100) AS BIGINT) AS t3, ascii(l_returnflag) AS t4
+FROM lineitem"""
+
+
+def _with(lineitem: bool = False) -> str:
+    ctes = dict(CTES)
+    if lineitem:
+        ctes["pe"] = LINEITEM
+        ctes["g"] = ctes["g"].replace("price, w,", "price, w, t1, t2, t3, t4,").replace(
+            "SELECT NULL, NULL,", "SELECT NULL, NULL, NULL, NULL, NULL, NULL,")
+        ctes["priced"] = ctes["priced"].replace("ORDER BY arrival_ts, event_seq", "ORDER BY arrival_ts, event_seq, t1, t2, t3, t4")
+        ctes["lp"] = ctes["lp"].replace("event_seq AS s FROM priced", "demand AS s FROM priced")
+    return "WITH " + ",\n".join(f"{name} AS ({body}\n)" for name, body in ctes.items()) + "\n"
 
 
 SELECTS: dict[str, str] = {
@@ -278,6 +296,26 @@ FROM ve""",
     # the streaming engines must produce exactly the batch result
     "stream_pricing": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
     "stream_pricing_stateful": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
+    "src_product_events": """
+SELECT event_seq, COALESCE(event_type, '') AS event_type, COALESCE(product_id, '') AS product_id,
+       COALESCE(user_id, '') AS user_id, "timestamp", COALESCE(price, 0.0) AS price
+FROM pe""",
+    "src_price_updates": f"""
+SELECT event_seq, 'price_update' AS type, {TRIMU('product_id')} AS product_id, new_price, update_ts AS "timestamp" FROM priced""",
+    "sink_price_updates": 'SELECT event_seq, product_id, new_price, update_ts AS "timestamp" FROM priced',
+    "sink_price_history": "SELECT product_id, price, price_source, event_time FROM hist_core",
+    "sink_live_state": "SELECT product_id, demand, price FROM ls",
+    "stream_current_price": "SELECT product_id, price, demand, price_source FROM cp",
+    "stream_rejected_events": f"""
+SELECT event_seq, reason FROM (
+  SELECT event_seq,
+    CASE WHEN COALESCE(event_type, '') NOT IN ('view', 'cart', 'purchase') THEN 'invalid_event_type'
+         WHEN COALESCE({TRIMU('product_id')}, '') = '' THEN 'invalid_product_id'
+         WHEN COALESCE(price, 0) <= 0 THEN 'invalid_price' END AS reason
+  FROM pe) r
+WHERE reason IS NOT NULL""",
+    "lineitem_dynamic_price_events": "SELECT event_seq, product_id, demand, new_price, update_ts FROM priced",
+    "lineitem_current_price": "SELECT product_id, price, demand, price_source FROM cp",
     "live_price": "SELECT product_id, price FROM lp_all",
     "override_upsert": f"""
 SELECT COALESCE(s.product_id, n.product_id) AS product_id,
@@ -334,5 +372,5 @@ WHERE product_id IN (SELECT product_id FROM upd
 
 
 def oracle_sql() -> dict[str, str]:
-    w = _with()
-    return {k: w + v.strip() for k, v in SELECTS.items()}
+    small, large = _with(), _with(lineitem=True)
+    return {k: (large if k.startswith("lineitem_") else small) + v.strip() for k, v in SELECTS.items()}

@@ -1,15 +1,14 @@
 """The batch pricing plan: inputs -> accepted events -> state, history, views.
 
-``PricingPlan`` wires lazy DataFrames together. Before an action it runs only
-the per-product statistics job that decides the hot products (its output is
-one row per product), with ``materialize`` the writes of intermediates that
-several outputs share, and, when products are hot, the cache fills of the
-two-phase scans (``operators.scan``).
+``PricingPlan`` wires DataFrames together. The ordered scans (``operators.scan``) run
+their jobs while the plan is built: a count and a bounded sample for the cell
+bounds, and the write of the scanned table that all outputs read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,114 +17,68 @@ from pyspark.sql import types as T
 
 from pricestream import constants as K
 from pricestream.operators import baseline, demand, ingest, overrides, serving
-from pricestream.operators.scan import buckets_from_stats, release_cached
-from pricestream.session import materialize
+from pricestream.session import materialize, path_exists
 from pricestream.sources import fixtures
 
 
-PRICED_COLUMNS = ("event_seq", "arrival_ts", "event_type", "product_id", "price", "w", "demand",
-                  "new_price", "update_ts")
+#: Files per date of the price history.
+HISTORY_FILES = 8
+EVENT_COLUMNS = ("event_seq", "arrival_ts", "event_type", "product_id", "price", "w")
 
 
 class PricingPlan:
     """The batch job over product events, an override command log and a catalog.
 
     - ``order``: arrival order of events, (arrival_ts, event_seq, *tie-breaks);
-    - ``bucket_seconds``: "auto" (time buckets only for hot products, found in
-      ``product_stats``), None (plain windows) or an int width for every product;
-    - ``rows_per_bucket``: target rows per (product, time bucket) cell;
-    - ``materialize``: write the accepted events, effective commands and
-      first-seen table once under ``spark.checkpoint.dir`` when several outputs
-      read them (history, live state and views);
-    - ``run_ts``: time of base history rows for products without history.
+    - ``rows_per_cell``: target rows per cell of the ordered scans;
+    - ``run_ts``: time of base history rows for products without history (default: now).
+
+    Tables that several outputs read (effective commands, gated events) are written
+    once under ``spark.checkpoint.dir``.
     """
 
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
-                 run_ts: str = fixtures.RUN_TS, order: Sequence[str] = demand.EVENT_ORDER,
-                 bucket_seconds: int | None | str = "auto", history_limit=50,
-                 materialize: bool = False, rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
+                 run_ts: str | None = None, order: Sequence[str] = demand.EVENT_ORDER, history_limit=50,
+                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL):
         self.events = events
         self.commands = commands
         self.catalog = catalog
-        self.run_ts = run_ts
+        self.run_ts = run_ts or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
         self.order = tuple(order)
-        self._bucket = bucket_seconds
         self.history_limit = history_limit
-        self.materialize = materialize
-        self.rows_per_bucket = rows_per_bucket
+        self.rows_per_cell = rows_per_cell
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, stream: str = "events", **kw) -> "PricingPlan":
         ev = (fixtures.product_events(spark, sf_dir) if stream == "events"
               else fixtures.bench_events(spark, sf_dir))
-        order = demand.EVENT_ORDER if stream == "events" else (*demand.EVENT_ORDER, "tb")
+        order = demand.EVENT_ORDER if stream == "events" else (*demand.EVENT_ORDER, *fixtures.BENCH_TIES)
         kw.setdefault("order", order)
         return cls(ev, fixtures.override_commands(spark, sf_dir), fixtures.catalog(spark, sf_dir), **kw)
 
-    @cached_property
-    def product_stats(self) -> DataFrame:
-        """__src in {events, commands}, product_id, __n rows, __lo / __hi first and
-        last time: one aggregate over both inputs, written once. It yields the
-        first-seen table and the hot products of each input."""
-        ev = self.valid.select(F.lit("events").alias("__src"), "product_id", F.col("arrival_ts").alias("__t"))
-        cm = ingest.valid_override_commands(self.commands).select(
-            F.lit("commands").alias("__src"), "product_id", F.col("cmd_ts").alias("__t"))
-        st = ev.unionByName(cm).groupBy("__src", "product_id").agg(
-            F.count(F.lit(1)).alias("__n"), F.min("__t").alias("__lo"), F.max("__t").alias("__hi"))
-        return materialize(st, "product_stats")
-
-    @cached_property
-    def _auto_buckets(self) -> dict:
-        """Hot products of the events and of the command log (from product_stats)."""
-        return buckets_from_stats(self.product_stats, {"events": "product_id", "commands": "product_id"},
-                                  self.rows_per_bucket)
-
-    @cached_property
-    def bucket_seconds(self):
-        """Bucketing of the skew-safe event scans: per-key widths for hot products
-        (``KeyBuckets``), one width for all (int), or None for plain windows."""
-        return self._auto_buckets["events"] if self._bucket == "auto" else self._bucket
-
-    @cached_property
-    def command_buckets(self):
-        """Bucketing of the scans over the command log (previous command, episode
-        ends): its own hot keys, found in the valid commands."""
-        return self._auto_buckets["commands"] if self._bucket == "auto" else self._bucket
-
     @cached_property
     def valid(self) -> DataFrame:
         return ingest.valid_product_events(self.events)
 
     @cached_property
     def first_seen(self) -> DataFrame:
-        """product_id, since: first valid arrival per raw id (known products, id variants)."""
-        if self._bucket == "auto" or self.materialize:
-            return (self.product_stats.where(F.col("__src") == "events")
-                        .select("product_id", F.col("__lo").alias("since")))
+        """product_id, since: first valid arrival per raw id (known products)."""
         return overrides.first_seen(self.valid)
 
     @cached_property
     def effective(self) -> DataFrame:
-        eff = overrides.effective_commands(self.commands, self.catalog, self.valid, self.command_buckets,
-                                           self.first_seen)
-        return materialize(eff, "effective_commands") if self.materialize else eff
+        return materialize(overrides.effective_commands(
+            self.commands, self.catalog, self.valid, self.first_seen, self.rows_per_cell), "effective_commands")
 
     @cached_property
     def gated(self) -> DataFrame:
-        return overrides.gate_events(demand.with_weight(self.valid), self.effective, self.bucket_seconds,
-                                     tie_break=tuple(self.order[2:]), first=self.first_seen)
+        """Every valid event with gate and demand (what history, state and views read of it)."""
+        return demand.gated_demand(self.valid, self.effective, self.order, self.rows_per_cell, EVENT_COLUMNS)
 
     @cached_property
     def priced(self) -> DataFrame:
-        """Accepted events with demand and price. With ``materialize`` the result
-        is written once (the batch job's output table) so that history, live
-        state and serving views read it instead of recomputing the chain."""
-        p = demand.priced_events(self.events, self.commands, self.catalog, self.order,
-                                 self.bucket_seconds, effective=self.effective, first=self.first_seen)
-        if not self.materialize:
-            return p
-        # The written table keeps what history, state and views read.
-        return materialize(p.select(*PRICED_COLUMNS), "priced_events")
+        """Accepted events with demand and price."""
+        return demand.priced(self.gated)
 
     @cached_property
     def demand_totals(self) -> DataFrame:
@@ -174,28 +127,41 @@ class PricingPlan:
 
     def write(self, out_dir: str) -> None:
         """The batch job's sinks: ``price_history`` (partitioned by event date),
-        ``live_state``, ``price_overrides`` and ``current_price`` as Parquet tables.
+        ``live_state``, ``price_overrides``, ``current_price`` and ``rejected_events`` as
+        Parquet tables.
 
         History partitions are replaced with dynamic partition overwrite, so
         re-running the job over the same input rewrites its own dates and adds
-        no duplicate rows; the per-product tables are rewritten whole.
+        no duplicate rows; base rows of earlier runs stay and no product gets a second
+        one. The per-product tables are rewritten whole.
         """
         out = out_dir.rstrip("/")
         spark = self.events.sparkSession
+        history = f"{out}/price_history"
+        known, old = self.history_core, None
+        if path_exists(spark, history):
+            old = spark.read.parquet(history).where(F.col("price_source") == K.SOURCE_BASE).drop("event_date")
+            old = materialize(old, "base_history").select(known.columns)
+            known = known.unionByName(old)
+        base = baseline.base_price_history(self.catalog, known, self.run_ts)
         prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         try:
-            # no shuffle before the write: each task writes its rows date by date
-            (self.history.withColumn("event_date", F.to_date("event_time"))
-                 .sortWithinPartitions("event_date")
-                 .write.mode("overwrite").partitionBy("event_date").parquet(f"{out}/price_history"))
+            rows = known.unionByName(base)
+            # a few files per date: dates are dealt with a salt against a day with most rows
+            (rows.withColumn("event_date", F.to_date("event_time"))
+                 .withColumn("__salt", F.pmod(F.xxhash64("product_id"), F.lit(HISTORY_FILES)))
+                 .repartition("event_date", "__salt").drop("__salt")
+                 .sortWithinPartitions("event_date", "product_id", "event_time")
+                 .write.mode("overwrite").partitionBy("event_date").parquet(history))
         finally:
             spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
         self.live_state.write.mode("overwrite").parquet(f"{out}/live_state")
         overrides.price_overrides_snapshot(self.overrides).write.mode("overwrite") \
             .parquet(f"{out}/price_overrides")
         self.current.write.mode("overwrite").parquet(f"{out}/current_price")
-        release_cached()
+        rejected = self.events.withColumn("reason", ingest.reject_reason()).where(F.col("reason").isNotNull())
+        rejected.write.mode("overwrite").parquet(f"{out}/rejected_events")
 
 
 def normalize_output(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ names and types match the DuckDB SQL of ``plans/oracle.py``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import demand, ingest, overrides, serving
 from pricestream.plans.pricing import PricingPlan, normalize_output
+from pricestream.session import checkpoint_dir
 from pricestream.sources import fixtures
+from pricestream.streaming import sources as S
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -34,10 +37,9 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def _plan(spark: SparkSession, sf_dir: str, materialize: bool = False) -> PricingPlan:
-    """The batch plan over the events fixture. ``materialize`` writes the accepted
-    events and effective commands once when the query reads them several times."""
-    return PricingPlan.from_tables(spark, sf_dir, materialize=materialize)
+def _plan(spark: SparkSession, sf_dir: str) -> PricingPlan:
+    """The batch plan over the events fixture."""
+    return PricingPlan.from_tables(spark, sf_dir, run_ts=fixtures.RUN_TS)
 
 
 def price_updates_json(spark: SparkSession, sf_dir: str, plan: PricingPlan | None = None) -> DataFrame:
@@ -200,7 +202,7 @@ def round_price_2dp(spark, sf_dir):
 
 @query
 def base_seed_time(spark, sf_dir):
-    p = _plan(spark, sf_dir, materialize=True)
+    p = _plan(spark, sf_dir)
     first = p.history_core.groupBy("product_id").agg(F.min("event_time").alias("t"))
     return first.select("product_id", X.base_seed_time(F.col("t")).alias("value"))
 
@@ -225,7 +227,7 @@ def dynamic_price_events(spark, sf_dir):
 
 @query
 def live_price(spark, sf_dir):
-    p = _plan(spark, sf_dir, materialize=True)
+    p = _plan(spark, sf_dir)
     return demand.live_price(p.priced, p.effective, p.catalog)
 
 
@@ -263,7 +265,7 @@ def override_state(spark, sf_dir):
 @query
 def override_intervals(spark, sf_dir):
     p = _plan(spark, sf_dir)
-    return overrides.override_intervals(p.effective, p.command_buckets)
+    return overrides.override_intervals(p.effective)
 
 
 @query
@@ -287,51 +289,51 @@ def override_history_points(spark, sf_dir):
 
 @query
 def seed_live_state(spark, sf_dir):
-    return _plan(spark, sf_dir, materialize=True).live_state_joined
+    return _plan(spark, sf_dir).live_state_joined
 
 
 @query
 def base_price_history(spark, sf_dir):
-    return _plan(spark, sf_dir, materialize=True).base_rows.drop("seq")
+    return _plan(spark, sf_dir).base_rows.drop("seq")
 
 
 # --- 2.7 serving -------------------------------------------------------------
 
 @query
 def known_products(spark, sf_dir):
-    return serving.known_products(_plan(spark, sf_dir, materialize=True).live_state)
+    return serving.known_products(_plan(spark, sf_dir).live_state)
 
 
 @query
 def price_history_topn(spark, sf_dir):
-    return _plan(spark, sf_dir, materialize=True).topn
+    return _plan(spark, sf_dir).topn
 
 
 @query
 def history_exists(spark, sf_dir):
-    p = _plan(spark, sf_dir, materialize=True)
+    p = _plan(spark, sf_dir)
     return serving.history_exists(p.catalog, p.history_core)
 
 
 @query
 def current_price(spark, sf_dir):
-    return _plan(spark, sf_dir, materialize=True).current
+    return _plan(spark, sf_dir).current
 
 
 @query
 def price_chart_series(spark, sf_dir):
-    p = _plan(spark, sf_dir, materialize=True)
+    p = _plan(spark, sf_dir)
     return serving.price_chart_series(p.topn, p.current)
 
 
 @query
 def history_source_flags(spark, sf_dir):
-    return serving.history_source_flags(_plan(spark, sf_dir, materialize=True).topn)
+    return serving.history_source_flags(_plan(spark, sf_dir).topn)
 
 
 @query
 def changed_product_snapshot(spark, sf_dir):
-    p = _plan(spark, sf_dir, materialize=True)
+    p = _plan(spark, sf_dir)
     since = F.unix_seconds(F.lit(fixtures.CHANGED_SINCE_TS).cast("timestamp"))
     ups = ingest.catalog_updates(_updates(spark, sf_dir, p), p.catalog)
     return serving.changed_product_snapshot(ups.where(F.col("timestamp") >= since), p.current)
@@ -354,6 +356,87 @@ def stream_pricing_stateful(spark, sf_dir):
     return replay(spark, sf_dir, "stateful")
 
 
+# --- sources and sinks, through the stream ---------------------------------------
+
+@query
+def src_product_events(spark, sf_dir):
+    """Operator 1: the event messages of the stream's inbox, read as a stream and decoded."""
+    from pricestream.plans import replay as R
+    out = R.replayed(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-replay/src-{uuid.uuid4().hex}"
+    rows = R.through_stream(S.product_event_stream(S.message_stream(spark, f"{out}/../inbox")), root)
+    return ingest.decode_product_events(rows).select("event_seq", "event_type", "product_id", "user_id", "timestamp", "price")
+
+
+@query
+def src_price_updates(spark, sf_dir):
+    """Operator 2: the published price updates, put on their topic, read as a stream and parsed."""
+    from pricestream.plans import replay as R
+    out = R.replayed(spark, sf_dir)
+    root = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-replay/upd-{uuid.uuid4().hex}"
+    sent = spark.read.schema("event_seq bigint, value string").json(f"{out}/price_updates")
+    S.envelope(sent.withColumn("t", F.current_timestamp()), S.TOPIC_UPDATES, "event_seq", "t", "value") \
+        .write.parquet(f"{root}/inbox")
+    rows = R.through_stream(S.price_update_stream(S.message_stream(spark, f"{root}/inbox")), root)
+    return ingest.parse_price_updates(rows)
+
+
+@query
+def sink_price_updates(spark, sf_dir):
+    """Operator 5: the update messages that the stream wrote."""
+    from pricestream.plans import replay as R
+    sent = spark.read.schema("event_seq bigint, value string").json(f"{R.replayed(spark, sf_dir)}/price_updates")
+    u = F.from_json("value", "product_id string, new_price double, timestamp bigint")
+    return sent.select("event_seq", u.alias("u")).select("event_seq", "u.*")
+
+
+@query
+def sink_price_history(spark, sf_dir):
+    """Operator 6: the history rows that the stream wrote."""
+    from pricestream.plans import replay as R
+    return spark.read.parquet(f"{R.replayed(spark, sf_dir)}/price_history").select(
+        "product_id", "price", "price_source", "event_time")
+
+
+@query
+def sink_live_state(spark, sf_dir):
+    """Operator 7: the live state (seeded from the catalog) that the stream wrote."""
+    from pricestream.plans import replay as R
+    from pricestream.streaming.microbatch import latest_state
+    return latest_state(spark, R.replayed(spark, sf_dir)).select("product_id", "demand", "price")
+
+
+@query
+def stream_current_price(spark, sf_dir):
+    """Operator 44 on the stream's state: overrides and live prices as the batch serves them."""
+    from pricestream.plans import replay as R
+    from pricestream.streaming.microbatch import current_prices, latest_state
+    return current_prices(latest_state(spark, R.replayed(spark, sf_dir)))
+
+
+@query
+def stream_rejected_events(spark, sf_dir):
+    """Operator 10 on the stream: event_seq and reason of the events that it refused."""
+    from pricestream.plans import replay as R
+    return spark.read.parquet(f"{R.replayed(spark, sf_dir)}/rejected").select("event_seq", "reason")
+
+
+# --- the larger stream (lineitem) ------------------------------------------------------
+
+def _lineitem(spark, sf_dir) -> PricingPlan:
+    return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", run_ts=fixtures.RUN_TS)
+
+
+@query
+def lineitem_dynamic_price_events(spark, sf_dir):
+    return _lineitem(spark, sf_dir).priced.select("event_seq", "product_id", "demand", "new_price", "update_ts")
+
+
+@query
+def lineitem_current_price(spark, sf_dir):
+    return _lineitem(spark, sf_dir).current
+
+
 # --- encoding -----------------------------------------------------------------
 
 @query

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,9 +71,59 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    if getattr(_TEMPORARY, "paths", None) is not None:
+        _TEMPORARY.paths.append(path)
     return spark.read.parquet(path)
 
 
+_TEMPORARY = threading.local()
+
+
+@contextlib.contextmanager
+def collected_tables():
+    """The paths of the tables that ``materialize`` writes inside, in this thread."""
+    outer, _TEMPORARY.paths = getattr(_TEMPORARY, "paths", None), []
+    try:
+        yield _TEMPORARY.paths
+    finally:
+        _TEMPORARY.paths = outer
+
+
+@contextlib.contextmanager
+def temporary_tables(spark: SparkSession):
+    """Tables that ``materialize`` writes inside are deleted at the end (a job that runs for
+    months must not fill the shared folder)."""
+    with collected_tables() as paths:
+        try:
+            yield
+        finally:
+            for path in paths:
+                delete_path(spark, path)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reads."""
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it is not there)."""
+    fs, p = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of this library's own (an old state version, an intermediate table)."""
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -1,20 +1,26 @@
 """Operator 31, skew-safe form: the batch plan run per micro-batch.
 
 ``foreachBatch`` decodes the micro-batch's messages and runs ``PricingPlan``
-on them, so every ordered scan keeps its time-bucketed two-phase form and a
-hot product is split over many tasks. The state between micro-batches is a
-per-product table written as version ``batch_id`` (demand, last effective
-override command, last written price). It re-enters the next batch as seed
-rows before all real rows:
+on them, so every ordered scan is dealt into cells and a hot product is split
+over many tasks. The state between micro-batches is a per-product table written
+as version ``batch_id``: demand, last written price, and the last effective
+override command with its price and reason. It starts with the catalog (demand
+0, base price). The state of the products in the batch re-enters as seed rows
+before all real rows:
 
 - one valid event per product at the earliest time carrying its demand as weight;
-- one set command right after it when the product had an override, followed by
-  the real removal (at its original time) when the override was removed.
+- one set command right after it when the product had an override, followed at once
+  by the removal when it was removed; ``gate_ms`` keeps the real removal time, so an
+  event that arrives late is judged by it, whenever it arrived.
 
 Folding these seeds reproduces the carried state exactly, so the batch
 operators need no streaming variant. Seed rows have negative sequence numbers
 and are never written out. Outputs and state are written under the batch id
 with overwrite, so a replayed batch replaces its own files.
+
+State fails closed: batch 0 refuses a folder that already holds later versions, and any
+other batch needs the complete version before it. The version before that and all
+intermediate tables are deleted once a batch is written.
 """
 
 from __future__ import annotations
@@ -24,22 +30,17 @@ from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
-from pricestream.operators import demand, ingest, overrides
-from pricestream.operators.scan import auto_buckets, release_cached
+from pricestream.operators import demand, ingest, overrides, serving
 from pricestream.plans.pricing import PricingPlan
+from pricestream.session import child_names, delete_path, materialize, temporary_tables
 from pricestream.streaming import sources as S
 
 EVENT_COLS = ("event_seq", "arrival_ts", "event_type", "product_id", "user_id", "timestamp", "price", "w")
-CMD_COLS = ("cmd_seq", "cmd_ts", "product_id", "op", "override_price", "reason")
+CMD_COLS = ("cmd_seq", "cmd_ts", "product_id", "op", "override_price", "reason", "gate_ms")
+STATE_COLS = ("product_id", "demand", "price", "last_op", "last_cmd_ts", "override_price", "reason")
 SEED_TS = overrides.NEVER
 
 
-def batch_events(messages: DataFrame) -> DataFrame:
-    """Decoded, validated product events of a micro-batch (w left to the plan)."""
-    ev = ingest.decode_product_events(S.product_event_stream(messages))
-    return ev.withColumn("w", F.lit(None).cast("bigint")).select(*EVENT_COLS)
-
-
 def batch_commands(messages: DataFrame) -> DataFrame:
     """Override commands of a micro-batch in command-log shape."""
     sets = ingest.decode_override_requests(
@@ -50,7 +51,7 @@ def batch_commands(messages: DataFrame) -> DataFrame:
                                F.col("value").alias("product_id"), F.lit(K.OP_REMOVE).alias("op"),
                                F.lit(None).cast("double").alias("override_price"),
                                F.lit(None).cast("string").alias("reason")))
-    return sets.select(*CMD_COLS).unionByName(removes.select(*CMD_COLS))
+    return sets.unionByName(removes).withColumn("gate_ms", F.lit(None).cast("bigint")).select(*CMD_COLS)
 
 
 def seed_rows(state: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,95 +63,135 @@ def seed_rows(state: DataFrame) -> tuple[DataFrame, DataFrame]:
                        F.lit(0).cast("bigint").alias("timestamp"), F.lit(1.0).alias("price"),
                        F.col("demand").alias("w")))
     has_cmd = state.where(F.col("last_op").isNotNull())
-    sets = has_cmd.select(F.lit(-3).cast("bigint").alias("cmd_seq"),
-                          (t0 + F.expr("INTERVAL 1 MICROSECOND")).alias("cmd_ts"), "product_id",
-                          F.lit(K.OP_SET).alias("op"), F.lit(1.0).alias("override_price"),
-                          F.lit(None).cast("string").alias("reason"))
-    removes = (has_cmd.where(F.col("last_op") == K.OP_REMOVE)
-                      .select(F.lit(-2).cast("bigint").alias("cmd_seq"), F.col("last_cmd_ts").alias("cmd_ts"),
-                              "product_id", F.lit(K.OP_REMOVE).alias("op"),
-                              F.lit(None).cast("double").alias("override_price"),
-                              F.lit(None).cast("string").alias("reason")))
+
+    def command(rows: DataFrame, seq: int, micros: int, op: str, gate_ms) -> DataFrame:
+        price = F.lit(1.0) if op == K.OP_SET else F.lit(None).cast("double")
+        return rows.select(F.lit(seq).cast("bigint").alias("cmd_seq"),
+                           (t0 + F.expr(f"INTERVAL {micros} MICROSECOND")).alias("cmd_ts"), "product_id",
+                           F.lit(op).alias("op"), price.alias("override_price"),
+                           F.lit(None).cast("string").alias("reason"), gate_ms.cast("bigint").alias("gate_ms"))
+
+    sets = command(has_cmd, -3, 1, K.OP_SET, F.lit(None))
+    removes = command(has_cmd.where(F.col("last_op") == K.OP_REMOVE), -2, 2, K.OP_REMOVE, X.epoch_ms("last_cmd_ts"))
     return ev.select(*EVENT_COLS), sets.unionByName(removes)
 
 
+def first_state(catalog: DataFrame) -> DataFrame:
+    """The state before any message: catalog products with demand 0 and their base price."""
+    return catalog.select("product_id", F.lit(0).cast("bigint").alias("demand"), F.col("base_price").alias("price"),
+                          F.lit(None).cast("string").alias("last_op"), F.lit(None).cast("timestamp").alias("last_cmd_ts"),
+                          F.lit(None).cast("double").alias("override_price"), F.lit(None).cast("string").alias("reason"))
+
+
 def next_state(plan: PricingPlan, real_priced: DataFrame, real_effective: DataFrame,
-               previous: DataFrame | None) -> DataFrame:
-    """product_id, demand, last_op, last_cmd_ts, price after this micro-batch."""
-    dem = plan.priced.groupBy("product_id").agg(F.max("demand").alias("demand"))
+               previous: DataFrame) -> DataFrame:
+    """STATE_COLS after this micro-batch, for the products of ``previous`` and of the batch."""
+    dem = plan.priced.groupBy("product_id").agg(F.max("demand").alias("__demand"))
     # the last effective command among this batch's real commands; products
     # without one keep their previous state (the seed commands only replay it)
     cmd = (real_effective.groupBy("product_id")
-               .agg(F.max_by(F.struct("op", "cmd_ts"), F.struct("cmd_ts", "cmd_seq")).alias("c"))
-               .select("product_id", F.col("c.op").alias("last_op"), F.col("c.cmd_ts").alias("last_cmd_ts")))
-    if previous is not None:
-        prev_cmd = previous.where(F.col("last_op").isNotNull()).select(
-            "product_id", F.col("last_op").alias("__p_op"), F.col("last_cmd_ts").alias("__p_ts"))
-        cmd = (prev_cmd.join(cmd, "product_id", "full_outer")
-                       .select("product_id", F.coalesce("last_op", "__p_op").alias("last_op"),
-                               F.when(F.col("last_op").isNotNull(), F.col("last_cmd_ts"))
-                                .otherwise(F.col("__p_ts")).alias("last_cmd_ts")))
-    prev_price = (previous.where(F.col("price").isNotNull())
-                          .select("product_id", F.col("price").alias("base_price"))
-                  if previous is not None else None)
-    price = demand.live_price(real_priced, real_effective, prev_price)
-    return (dem.join(cmd, "product_id", "full_outer").join(price, "product_id", "full_outer")
-               .select("product_id", "demand", "last_op", "last_cmd_ts", "price"))
+           .agg(F.max_by(F.struct("op", "cmd_ts", "override_price", "reason"), F.struct("cmd_ts", "cmd_seq")).alias("__c")))
+    before = previous.where(F.col("price").isNotNull()).select("product_id", F.col("price").alias("base_price"))
+    price = demand.live_price(real_priced, real_effective, before).withColumnRenamed("price", "__price")
+    j = (previous.join(dem, "product_id", "full_outer").join(cmd, "product_id", "full_outer")
+         .join(price, "product_id", "full_outer"))
+    has = F.col("__c").isNotNull()
+    pick = lambda new, old: F.when(has, F.col(f"__c.{new}")).otherwise(F.col(old)).alias(old)
+    return j.select("product_id", F.coalesce("__demand", "demand").alias("demand"),
+                    F.coalesce("__price", "price").alias("price"), pick("op", "last_op"), pick("cmd_ts", "last_cmd_ts"),
+                    pick("override_price", "override_price"), pick("reason", "reason"))
+
+
+def active_overrides(state: DataFrame) -> DataFrame:
+    """Operators 34 and 4 on the stream: the overrides table that the state holds."""
+    return state.where(F.col("last_op") == K.OP_SET).select(
+        "product_id", "override_price", "reason", F.col("last_cmd_ts").alias("set_time"))
+
+
+def current_prices(state: DataFrame) -> DataFrame:
+    """Operator 44 on the stream's state."""
+    return serving.current_price(state.select("product_id", "demand", "price"), active_overrides(state))
+
+
+def latest_state(spark, out_dir: str) -> DataFrame:
+    """The newest complete state version."""
+    done = [int(v.split("=")[1]) for v in child_names(spark, f"{out_dir}/state") if v.startswith("version=")]
+    done = [v for v in done if "_SUCCESS" in child_names(spark, f"{out_dir}/state/version={v}")]
+    if not done:
+        raise RuntimeError(f"no complete state under {out_dir}/state")
+    return spark.read.parquet(f"{out_dir}/state/version={max(done)}")
 
 
 class MicroBatchPricing:
     """``foreachBatch`` target: price one micro-batch with the batch plan."""
 
-    def __init__(self, out_dir: str, catalog: DataFrame, bucket_seconds: int | None | str = "auto",
-                 rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
+    def __init__(self, out_dir: str, catalog: DataFrame, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
+                 kafka: dict | None = None):
+        """``kafka``: producer options (bootstrap servers, ``topic``) to publish the price
+        updates to a topic instead of JSON files."""
         self.out_dir = out_dir.rstrip("/")
         self.catalog = catalog
-        self.bucket_seconds = bucket_seconds
-        self.rows_per_bucket = rows_per_bucket
+        self.rows_per_cell = rows_per_cell
+        self.kafka = kafka
+
+    def _versions(self, spark) -> list[int]:
+        return [int(v.split("=")[1]) for v in child_names(spark, f"{self.out_dir}/state") if v.startswith("version=")]
 
-    def _state(self, spark, batch_id: int) -> DataFrame | None:
+    def _state(self, spark, batch_id: int) -> DataFrame:
+        """The state before this batch; raises rather than starting anew by mistake."""
         if batch_id == 0:
-            return None
-        try:
-            return spark.read.parquet(f"{self.out_dir}/state/version={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - first batch of this output folder
-            return None
+            if any(v > 0 for v in self._versions(spark)):
+                raise RuntimeError(f"{self.out_dir}/state holds the state of another run; "
+                                   "use its stream checkpoint or a new output folder")
+            return first_state(self.catalog)
+        path = f"{self.out_dir}/state/version={batch_id - 1}"
+        if "_SUCCESS" not in child_names(spark, path):
+            raise RuntimeError(f"the state before batch {batch_id} is missing or incomplete: {path}")
+        return spark.read.parquet(path).select(*STATE_COLS)
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        msgs = messages.persist()
-        try:
-            ev, cm = batch_events(msgs), batch_commands(msgs)
-            prev = self._state(spark, batch_id)
-            if prev is not None:
-                sev, scm = seed_rows(prev)
-                ev, cm = sev.unionByName(ev), scm.unionByName(cm)
-            # hot products of this batch's real events (seed rows carry no volume)
-            width = (auto_buckets(ev.where(F.col("event_seq") >= 0), "product_id", "arrival_ts",
-                                  self.rows_per_bucket)
-                     if self.bucket_seconds == "auto" else self.bucket_seconds)
-            plan = PricingPlan(ev, cm, self.catalog, bucket_seconds=width, materialize=True)
+        before = self._state(spark, batch_id)
+        with temporary_tables(spark):
+            bid = f"batch_id={batch_id}"
+            # each message is parsed once
+            decoded = materialize(ingest.decode_events(S.product_event_stream(messages)), "decoded")
+            cm = materialize(batch_commands(messages), "commands")
+            (ingest.rejected_product_events(decoded)
+             .write.mode("overwrite").parquet(f"{self.out_dir}/rejected/{bid}"))
+            ev = (decoded.where("decoded").withColumn("w", F.lit(None).cast("bigint")).select(*EVENT_COLS)
+                  .where(ingest.valid_predicate()))
+            tid = X.trim_unicode(F.col("product_id"))
+            touched = ev.select(tid.alias("__t")).union(cm.select(tid.alias("__t"))).distinct()
+            touched = materialize(touched, "touched")
+            own = before.join(touched, X.trim_unicode(before["product_id"]) == touched["__t"], "left_semi")
+            others = before.join(touched, X.trim_unicode(before["product_id"]) == touched["__t"], "left_anti")
+            own = materialize(own, "own_state")
+            sev, scm = seed_rows(own)
+            plan = PricingPlan(sev.unionByName(ev), scm.unionByName(cm), self.catalog, rows_per_cell=self.rows_per_cell)
             real = plan.priced.where(F.col("event_seq") >= 0)
             real_eff = plan.effective.where(F.col("cmd_seq") >= 0)
-            bid = f"batch_id={batch_id}"
             hist = demand.dynamic_history(real).unionByName(overrides.override_history_points(real_eff))
             hist.write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
             real.select("event_seq", "product_id", "demand", "new_price", "update_ts") \
                 .write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
-            (real.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
-                 .write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}"))
-            next_state(plan, real, real_eff, prev).write.mode("overwrite") \
-                .parquet(f"{self.out_dir}/state/version={batch_id}")
-        finally:
-            release_cached()
-            msgs.unpersist()
+            updates = real.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
+            if self.kafka:
+                updates.select("value").write.format("kafka").options(**self.kafka).save()
+            else:
+                updates.write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
+            next_state(plan, real, real_eff, own).select(*STATE_COLS).unionByName(others.select(*STATE_COLS)) \
+                .write.mode("overwrite").parquet(f"{self.out_dir}/state/version={batch_id}")
+        for old in self._versions(spark):
+            if old < batch_id - 1:
+                delete_path(spark, f"{self.out_dir}/state/version={old}")
 
 
 def start_microbatch_pricing(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,
-                             available_now: bool = True, bucket_seconds: int | None | str = "auto",
-                             rows_per_bucket: int = K.DEFAULT_ROWS_PER_BUCKET):
+                             available_now: bool = True, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
+                             kafka: dict | None = None, trigger: str = "10 seconds"):
     """Message stream -> per-micro-batch batch plan; returns the StreamingQuery."""
-    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, bucket_seconds, rows_per_bucket))
+    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, rows_per_cell, kafka))
          .option("checkpointLocation", checkpoint))
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

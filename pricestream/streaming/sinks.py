@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
+from pricestream.session import child_names, delete_path
 
 
 def price_update_messages(out: DataFrame) -> DataFrame:
@@ -70,10 +71,10 @@ class PricingSinks:
         cost per batch proportional to the number of products."""
         if batch_id == 0:
             return None
-        try:
-            return spark.read.parquet(f"{self.out_dir}/live_state/version={batch_id - 1}")
-        except Exception:  # noqa: BLE001 - first batch of this output folder
-            return None
+        path = f"{self.out_dir}/live_state/version={batch_id - 1}"
+        if "_SUCCESS" not in child_names(spark, path):
+            raise RuntimeError(f"the live state before batch {batch_id} is missing or incomplete: {path}")
+        return spark.read.parquet(path)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -89,16 +90,18 @@ class PricingSinks:
             history_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
             state = merge_live_state(self._prev_state(spark, batch_id), live_state_changes(out))
             state.write.mode("overwrite").parquet(f"{self.out_dir}/live_state/version={batch_id}")
+            if batch_id > 1:
+                delete_path(spark, f"{self.out_dir}/live_state/version={batch_id - 2}")
         finally:
             out.unpersist()
 
 
 def start_pricing_stream(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,
-                         available_now: bool = True):
-    """Wire source -> stateful fold -> sinks; returns the StreamingQuery."""
+                         available_now: bool = True, kafka: dict | None = None):
+    """Wire source -> stateful fold -> sinks; returns the StreamingQuery. ``kafka``: see PricingSinks."""
     from pricestream.streaming.stateful import stream_pricing
     w = (stream_pricing(messages, catalog).writeStream
-         .foreachBatch(PricingSinks(out_dir)).option("checkpointLocation", checkpoint))
+         .foreachBatch(PricingSinks(out_dir, kafka)).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
     return w.start()
 

@@ -24,18 +24,35 @@ TOPIC_UPDATES = "price-updates"
 
 
 def message_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Envelope stream from a file folder, or from Kafka when ``kafka`` options are given."""
+                   max_files_per_trigger: int | None = None, topics: dict[str, str] | None = None) -> DataFrame:
+    """Envelope stream from a file folder, or from Kafka when ``kafka`` options are given.
+
+    ``topics`` names the topics in use for any of the four (e.g. {"product-events":
+    "my-events"}); by default events and override commands are subscribed."""
+    topics = topics or {}
     if kafka:
-        opts = {"startingOffsets": "latest", **kafka}
+        names = [topics.get(t, t) for t in (TOPIC_EVENTS, TOPIC_SET, TOPIC_REMOVE)]
+        opts = {"startingOffsets": "latest", "subscribe": ",".join(names), **kafka}
         raw = spark.readStream.format("kafka").options(**opts).load()
-        return raw.select(F.col("topic"), F.col("offset").alias("seq"),
-                          F.col("timestamp").alias("arrival_ts"),
-                          F.col("value").cast("string").alias("value"))
-    reader = spark.readStream.schema(MESSAGE_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+        # offsets repeat across partitions and topics; this number does not inside events or commands
+        seq = (F.col("offset") * F.lit(1 << 17) + F.col("partition") * F.lit(2)
+               + (F.col("topic") == topics.get(TOPIC_REMOVE, TOPIC_REMOVE)).cast("int"))
+        messages = raw.select(F.col("topic"), seq.cast("bigint").alias("seq"), F.col("timestamp").alias("arrival_ts"),
+                              F.col("value").cast("string").alias("value"))
+    else:
+        reader = spark.readStream.schema(MESSAGE_SCHEMA)
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        messages = reader.parquet(path)
+    return with_own_names(messages, topics)
+
+
+def with_own_names(messages: DataFrame, topics: dict[str, str]) -> DataFrame:
+    """Renames the topics in use to this library's names."""
+    name = F.col("topic")
+    for own, used in topics.items():
+        name = F.when(F.col("topic") == used, F.lit(own)).otherwise(name)
+    return messages.withColumn("topic", name)
 
 
 def product_event_stream(messages: DataFrame) -> DataFrame:

@@ -1,16 +1,16 @@
 """Operator 31: incremental pricing with state that survives restarts.
 
 ``groupBy(trimmed product id).applyInPandasWithState``: per key the state is
-``(demand, known, active, removed_at_ms)``; each micro-batch's events and
+``(raw ids, their demand, known, active, removed_at_ms)``; each micro-batch's events and
 override commands of the key are ordered by (arrival, commands first, seq).
 The Python step loops over the key's commands only (few); the gate of the
 events is an as-of lookup by index and the demand a cumulative sum, both
 vectorised in numpy. State never times out (the reference never expires it);
 its size is bounded by the number of products.
 
-Divergence D1: the stream counts demand under the trimmed id (state is keyed by
-it); the batch form keeps the raw id. They differ only for ids with white space
-around them.
+Demand is counted per raw id, as in the batch form: the state of a trimmed id holds
+the demand of each raw id seen under it. One product is one task here; streams with hot
+products use the micro-batch engine.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pricestream.operators import ingest
 from pricestream.session import ship_package
 from pricestream.streaming import sources as S
 
-STATE_SCHEMA = "demand long, known boolean, active boolean, removed_at_ms long"
+STATE_SCHEMA = "raw array<string>, demand array<long>, known boolean, active boolean, removed_at_ms long"
 OUT_SCHEMA = ("kind string, product_id string, seq long, ts timestamp, price double, "
               "demand long")
 _IN_COLS = ["tid", "kind", "ts", "seq", "product_id", "price", "w", "ev_ms", "op",
@@ -70,15 +70,19 @@ def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     """One key, one micro-batch: gate the events, count demand, price them."""
     pdf = pd.concat(list(pdfs), ignore_index=True)
     if state.exists:
-        demand0, known, active0, removed0 = state.get
+        raw0, demands0, known, active0, removed0 = state.get
     else:
-        demand0, known, active0, removed0 = 0, False, False, None
+        raw0, demands0, known, active0, removed0 = [], [], False, False, None
+    totals = dict(zip(raw0, demands0))
     pdf = pdf.sort_values(["ts", "kind", "seq"], kind="mergesort").reset_index(drop=True)
     n = len(pdf)
     kind = pdf["kind"].to_numpy()
     is_cmd = kind == K.KIND_COMMAND
     ev_idx = np.flatnonzero(~is_cmd)
-    first_ev = ev_idx[0] if len(ev_idx) else n
+    raw = pdf["product_id"].to_numpy()
+    # a product is known by the events of its own id, not by padded forms of it
+    own = ev_idx[raw[ev_idx] == key[0]]
+    first_ev = own[0] if len(own) else n
 
     # Commands, in order: a set needs a known product; a remove needs an active override.
     eff = np.zeros(n, dtype=bool)
@@ -106,7 +110,10 @@ def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     acc = ev_idx[~gated]
 
     w = pdf["w"].to_numpy(dtype="int64", na_value=0)[acc]
-    demand = int(demand0) + np.cumsum(w)
+    ids = raw[acc]
+    demand = pd.Series(w).groupby(ids).cumsum().to_numpy(dtype="int64") if len(acc) else w
+    demand = demand + np.array([totals.get(i, 0) for i in ids], dtype="int64")
+    totals.update(zip(ids, demand.tolist()))
     price = pdf["price"].to_numpy(dtype="float64")[acc] + np.sqrt(demand.astype("float64")) * K.PRICE_DEMAND_FACTOR
     dyn = pd.DataFrame({"kind": K.SOURCE_DYNAMIC, "product_id": pdf["product_id"].to_numpy()[acc],
                         "seq": pdf["seq"].to_numpy()[acc], "ts": pdf["ts"].to_numpy()[acc],
@@ -116,8 +123,8 @@ def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
                         "seq": pdf["seq"].to_numpy()[sets], "ts": pdf["ts"].to_numpy()[sets],
                         "price": pdf["price"].to_numpy(dtype="float64")[sets],
                         "demand": pd.array([None] * len(sets), dtype="Int64")})
-    state.update((int(demand[-1]) if len(demand) else int(demand0),
-                  bool(known or len(acc) > 0), bool(active), removed))
+    state.update((list(totals), [int(v) for v in totals.values()],
+                  bool(known or len(own) > 0), bool(active), removed))
     out = pd.concat([dyn, ovr], ignore_index=True)
     if len(out):
         yield out

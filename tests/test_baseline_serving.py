@@ -108,7 +108,7 @@ def test_changed_product_snapshot(spark):
 def test_batch_job_writes_tables_idempotently(spark, tmp_dir):
     from pricestream.plans.pricing import PricingPlan
     from conftest import SF001
-    p = PricingPlan.from_tables(spark, SF001, materialize=True)
+    p = PricingPlan.from_tables(spark, SF001)
     p.write(tmp_dir)
     p.write(tmp_dir)                                   # re-run: same tables, no duplicates
     hist = spark.read.parquet(f"{tmp_dir}/price_history")
@@ -120,6 +120,20 @@ def test_batch_job_writes_tables_idempotently(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/price_overrides").count() == p.overrides.count()
 
 
+def test_second_run_adds_no_second_base_row(spark, tmp_dir):
+    from pricestream.plans.pricing import PricingPlan
+    ev = "event_seq bigint, arrival_ts timestamp, event_type string, product_id string, user_id string, timestamp bigint, price double"
+    cm = "cmd_seq bigint, cmd_ts timestamp, product_id string, op string, override_price double, reason string"
+    cat = spark.createDataFrame([("PA", 10.0), ("PZ", 7.0)], "product_id string, base_price double")
+    rows = [(1, at(10), "view", "PA", "u", 1, 10.0)]
+    none = spark.createDataFrame([], cm)
+    for events, now in ((rows, "2024-03-01 00:00:00"), (rows + [(2, at(20), "view", "PZ", "u", 1, 7.0)], "2024-03-02 00:00:00")):
+        PricingPlan(spark.createDataFrame(events, ev), none, cat, run_ts=now).write(tmp_dir)
+    base = spark.read.parquet(f"{tmp_dir}/price_history").where("price_source = 'base'").collect()
+    assert sorted(r.product_id for r in base) == ["PA", "PZ"]
+    assert spark.read.parquet(f"{tmp_dir}/price_history").where("price_source = 'dynamic'").count() == 2
+
+
 def test_single_product_lookups(spark):
     from pricestream.operators import overrides
     live = spark.createDataFrame([("PA", 9, 1.0), ("PB", 3, 120.5)], "product_id string, demand bigint, price double")
@@ -137,4 +151,5 @@ def test_batch_job_command(spark, tmp_dir):
     from conftest import SF001
     job.main(["batch", "--tables", SF001, "--out", tmp_dir])
     cur = spark.read.parquet(f"{tmp_dir}/current_price")
-    assert cur.count() == 200 and set(cur.columns) == {"product_id", "price", "demand", "price_source"}
+    assert cur.count() >= 200 and spark.read.parquet(f"{tmp_dir}/rejected_events").count() > 0
+    assert set(cur.columns) == {"product_id", "price", "demand", "price_source"}

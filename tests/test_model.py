@@ -120,11 +120,11 @@ EV = ("event_seq bigint, arrival_ts timestamp, event_type string, product_id str
 CMD = "cmd_seq bigint, cmd_ts timestamp, product_id string, op string, override_price double, reason string"
 
 
-def spark_run(spark, events, commands, bucket):
+def spark_run(spark, events, commands, cell):
     ev = spark.createDataFrame([(s, a, t, p, "u", ts, pr) for s, a, t, p, ts, pr in events], EV)
     cm = spark.createDataFrame([(s, a, p, op, pr, None) for s, a, p, op, pr in commands], CMD)
     cat = spark.createDataFrame(list(CATALOG.items()), "product_id string, base_price double")
-    plan = PricingPlan(ev, cm, cat, bucket_seconds=bucket)
+    plan = PricingPlan(ev, cm, cat, rows_per_cell=cell)
     acc = {r.event_seq: (r.product_id, r.demand, r.new_price) for r in plan.priced.collect()}
     sets = sorted(r.cmd_seq for r in plan.effective.where("op = 'set'").collect())
     gates = {r.event_seq: r.gate for r in plan.gated.collect()}
@@ -133,12 +133,12 @@ def spark_run(spark, events, commands, bucket):
     return acc, sets, gates, live, ovr
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
-@given(st.one_of(scenario(), removal_scenario()), st.sampled_from([None, 7, 45]))
-def test_plan_equals_sequential_model(spark, sc, bucket):
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.one_of(scenario(), removal_scenario()), st.sampled_from([100_000, 1]))
+def test_plan_equals_sequential_model(spark, sc, cell):
     events, commands = sc
     m_acc, m_sets, m_gates, m_demand, m_price, m_row = model(events, commands)
-    acc, sets, gates, live, ovr = spark_run(spark, events, commands, bucket)
+    acc, sets, gates, live, ovr = spark_run(spark, events, commands, cell)
     assert acc.keys() == m_acc.keys()
     for k, (pid, d, p) in m_acc.items():
         assert acc[k][0] == pid and acc[k][1] == d and math.isclose(acc[k][2], p, rel_tol=0, abs_tol=0)

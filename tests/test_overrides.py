@@ -22,11 +22,11 @@ def ms_of(t):
     return int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
 
 
-def plan(spark, events, commands, catalog=(("PA", 299.0),), bucket=None):
+def plan(spark, events, commands, catalog=(("PA", 299.0),), cell=100_000):
     ev = spark.createDataFrame(events, EV)
     cm = spark.createDataFrame(commands, CMD)
     cat = spark.createDataFrame(list(catalog), "product_id string, base_price double")
-    return PricingPlan(ev, cm, cat, bucket_seconds=bucket)
+    return PricingPlan(ev, cm, cat, rows_per_cell=cell)
 
 
 def ev(seq, sec, pid="PA", etype="view", ts=None, price=100.0):
@@ -42,11 +42,11 @@ def gates(p):
     return {r.event_seq: r.gate for r in p.gated.collect()}
 
 
-@pytest.mark.parametrize("bucket", [None, 7])
-def test_active_override_skips_events(spark, bucket):
+@pytest.mark.parametrize("cell", [100_000, 1])
+def test_active_override_skips_events(spark, cell):
     events = [ev(1, 0), ev(3, 20), ev(5, 40)]
     cmds = [(2, at(10), "PA", "set", 150.0, None), (4, at(30), "PA", "remove", None, None)]
-    p = plan(spark, events, cmds, bucket=bucket)
+    p = plan(spark, events, cmds, cell=cell)
     g = gates(p)
     assert g[1] is None and g[3] == "override_active" and g[5] is None
     pr = {r.event_seq: (r.demand, r.new_price) for r in p.priced.collect()}
@@ -73,17 +73,17 @@ def test_remove_without_set_is_ignored(spark):
     assert gates(plan(spark, events, cmds)) == {1: None, 3: None}
 
 
-@pytest.mark.parametrize("bucket", [None, 5])
-def test_set_set_remove_and_intervals(spark, bucket):
+@pytest.mark.parametrize("cell", [100_000, 1])
+def test_set_set_remove_and_intervals(spark, cell):
     events = [ev(1, 0), ev(4, 25), ev(7, 60)]
     cmds = [(2, at(10), "PA", "set", 150.0, None), (3, at(20), "PA", "set", 160.0, "x"),
             (5, at(30), "PA", "remove", None, None), (6, at(35), "PA", "remove", None, None),
             (8, at(70), "PA", "set", 170.0, None)]
-    p = plan(spark, events, cmds, bucket=bucket)
+    p = plan(spark, events, cmds, cell=cell)
     assert accepted(p) == [1, 7]
     eff = sorted(r.cmd_seq for r in p.effective.collect())
     assert eff == [2, 3, 5, 8]                       # the second remove deleted nothing
-    iv = sorted((r.set_at, r.removed_at) for r in overrides.override_intervals(p.effective, bucket).collect())
+    iv = sorted((r.set_at, r.removed_at) for r in overrides.override_intervals(p.effective, cell).collect())
     assert iv == [(at(10), at(30)), (at(70), None)]
     st = p.overrides.collect()
     assert [(r.product_id, r.override_price, r.set_time) for r in st] == [("PA", 170.0, at(70))]

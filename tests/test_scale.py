@@ -1,90 +1,95 @@
 """Skew-safe scans equal plain windows; plan shape checks."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricestream.operators import demand, ingest
-from pricestream.operators.scan import auto_buckets, hot_key_widths, running_last, running_sum, time_bucket
+from pricestream.operators.scan import CELL, Cells, running_last, running_sum
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
 
 from conftest import SF01
 
+ORDER = ["arrival_ts", "event_seq"]
+
+
+def same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
-def test_running_sum_bucketed_equals_plain_on_one_hot_key(spark):
-    # Every event forced onto one product: the hot-key case.
-    ev = fixtures.product_events(spark, SF01).withColumn("product_id", F.lit("HOT")) \
-                                             .withColumn("w", F.lit(1).cast("bigint"))
-    plain = running_sum(ev, ["product_id"], ["arrival_ts", "event_seq"], "w", "d")
-    buck = running_sum(ev, ["product_id"], ["arrival_ts", "event_seq"], "w", "d",
-                       bucket=time_bucket("arrival_ts", 3600))
-    a = plain.select("event_seq", "d")
-    b = buck.select("event_seq", "d")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert b.agg(F.max("d")).first()[0] == ev.count()
 
+def plain(key="product_id", end=Window.currentRow):
+    return Window.partitionBy(key).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, end)
 
-def test_running_last_bucketed_equals_plain(spark):
+
+@pytest.mark.parametrize("cell", [100_000, 50])
+def test_running_sum_equals_plain_window_on_one_hot_key(spark, cell):
+    ev = fixtures.product_events(spark, SF01).withColumn("product_id", F.lit("HOT")).withColumn("w", F.lit(1).cast("bigint"))
+    a = ev.withColumn("d", F.sum("w").over(plain())).select("event_seq", "d")
+    b = running_sum(ev, "product_id", ORDER, "w", "d", cell).select("event_seq", "d")
+    assert same(a, b) and b.agg(F.max("d")).first()[0] == ev.count()
+
+
+@pytest.mark.parametrize("cell", [100_000, 50])
+@pytest.mark.parametrize("inclusive", [True, False])
+def test_running_last_equals_plain_window(spark, cell, inclusive):
     ev = fixtures.product_events(spark, SF01)
-    v = F.when(F.col("event_type") == "purchase", F.col("event_seq"))
-    d = ev.withColumn("v", v)
-    for incl in (True, False):
-        plain = running_last(d, ["product_id"], ["arrival_ts", "event_seq"], "v", "o", inclusive=incl)
-        buck = running_last(d, ["product_id"], ["arrival_ts", "event_seq"], "v", "o",
-                            bucket=time_bucket("arrival_ts", 7200), inclusive=incl)
-        a, b = plain.select("event_seq", "o"), buck.select("event_seq", "o")
-        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
-def test_priced_bucketed_equals_plain(spark):
-    a = PricingPlan.from_tables(spark, SF01, bucket_seconds=None).priced \
-                   .select("event_seq", "product_id", "demand", "new_price")
-    b = PricingPlan.from_tables(spark, SF01, bucket_seconds=6 * 3600).priced \
-                   .select("event_seq", "product_id", "demand", "new_price")
-    assert a.count() == 3190
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    d = ev.withColumn("v", F.when(F.col("event_type") == "purchase", F.col("event_seq")))
+    a = d.withColumn("o", F.last("v", ignorenulls=True).over(plain(end=Window.currentRow if inclusive else -1)))
+    b = running_last(d, "product_id", ORDER, "v", "o", inclusive, cell)
+    assert same(a.select("event_seq", "o"), b.select("event_seq", "o"))
 
 
-def test_hot_key_widths(spark):
-    ev = ingest.valid_product_events(fixtures.product_events(spark, SF01))
-    assert auto_buckets(ev, "product_id", "arrival_ts") is None       # no hot key: plain windows
-    counts = {r.product_id: r["count"] for r in ev.groupBy("product_id").count().collect()}
-    w = {r.product_id: r["__width"] for r in hot_key_widths(ev, "product_id", "arrival_ts", 60).collect()}
-    assert set(w) == {k for k, n in counts.items() if n > 60}          # only keys above the target
-    assert all(0 < x < 30 * 86400 for x in w.values())
+def test_cells_split_a_burst_evenly(spark):
+    # all rows of one product in one second
+    t = dt.datetime(2024, 1, 1)
+    ev = spark.range(20_000).select(F.lit("P1").alias("product_id"), F.lit(t).alias("arrival_ts"),
+                                    F.col("id").alias("event_seq"), F.lit(1).cast("bigint").alias("w"))
+    cells = Cells.of(ev, "product_id", ORDER, rows_per_cell=1000)
+    sizes = [r["count"] for r in cells.deal(ev).groupBy(CELL).count().collect()]
+    assert 15 <= len(sizes) <= 20 and max(sizes) < 2500
+    d = running_sum(ev, "product_id", ORDER, "w", "d", 1000)
+    assert d.where("d <> event_seq + 1").count() == 0
 
 
-def test_priced_with_hot_keys_equals_plain(spark):
-    a = PricingPlan.from_tables(spark, SF01, bucket_seconds=None).priced \
-                   .select("event_seq", "product_id", "demand", "new_price")
-    p = PricingPlan.from_tables(spark, SF01, rows_per_bucket=55)
-    assert p.bucket_seconds is not None                                 # some products are hot
-    b = p.priced.select("event_seq", "product_id", "demand", "new_price")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    from pricestream.operators import overrides
-    c = PricingPlan.from_tables(spark, SF01, rows_per_bucket=5)
-    assert c.command_buckets is not None                                # hot in the command log
-    i1 = overrides.override_intervals(p.effective, None)
-    i2 = overrides.override_intervals(c.effective, c.command_buckets)
-    assert i1.exceptAll(i2).count() == 0 and i2.exceptAll(i1).count() == 0
+def test_priced_does_not_depend_on_the_cells(spark):
+    cols = ("event_seq", "product_id", "demand", "new_price")
+    a = PricingPlan.from_tables(spark, SF01).priced.select(*cols)
+    b = PricingPlan.from_tables(spark, SF01, rows_per_cell=40).priced.select(*cols)
+    assert a.count() > 0 and same(a, b)
+
+
+def test_single_hot_product_through_the_plan(spark):
+    ev = fixtures.product_events(spark, SF01).withColumn("product_id", F.lit("P7"))
+    cm = fixtures.override_commands(spark, SF01).withColumn("product_id", F.lit("P7"))
+    cat = fixtures.catalog(spark, SF01)
+    a = PricingPlan(ev, cm, cat).priced.select("event_seq", "demand", "new_price")
+    b = PricingPlan(ev, cm, cat, rows_per_cell=200).priced.select("event_seq", "demand", "new_price")
+    assert a.count() > 0 and same(a, b)
 
 
 def _plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_priced_event_side_shuffled_and_sorted_once(spark):
-    p = PricingPlan.from_tables(spark, SF01, stream="lineitem", bucket_seconds=None)
-    lines = [l.strip(" :+-") for l in _plan_text(p.priced).splitlines()]
-    demand = next(i for i, l in enumerate(lines) if l.startswith("Window [sum(w"))
-    # between the demand window and the gate window only projections and filters:
-    # same partitions, same order, no second sort or exchange
-    gate = next(i for i, l in enumerate(lines) if l.startswith("Window [last(__cmd"))
-    assert gate > demand
-    assert all(l.startswith(("Project", "Filter")) for l in lines[demand + 1:gate])
-    assert lines[gate + 1].startswith("Sort [product_id")
-    assert "Exchange hashpartitioning(product_id" in lines[gate + 2]
+def test_event_side_is_shuffled_once(spark):
+    from pricestream.operators import overrides
+    p = PricingPlan.from_tables(spark, SF01, stream="lineitem")
+    gated, _ = overrides.gate_events(demand.with_weight(p.valid), p.effective, p.order[2:])
+    w = Window.partitionBy(CELL, "__tid", "product_id").orderBy(*overrides.GATE_ORDER)
+    text = _plan_text(gated.withColumn("d", F.sum("w").over(w)))
+    # the gate and the demand read one shuffle of the events; carries are broadcast
+    assert text.count("REPARTITION_BY_NUM") == 1
+    assert "SortMergeJoin [__cell" not in text
+
+
+def test_running_demand_equals_plain_window(spark):
+    valid = ingest.valid_product_events(fixtures.product_events(spark, SF01))
+    a = demand.with_weight(valid).withColumn("demand", F.sum("w").over(plain())).select("event_seq", "demand")
+    b = demand.running_demand(valid, rows_per_cell=60).select("event_seq", "demand")
+    assert a.count() == 5969 and same(a, b)
 
 
 def test_valid_events_filter_reaches_scan(spark):
@@ -99,33 +104,8 @@ def test_history_limit_texts_fixture_covers_variants(spark):
     assert t.count() == 10000
 
 
-def test_running_demand_bucketed_equals_plain(spark):
-    valid = ingest.valid_product_events(fixtures.product_events(spark, SF01))
-    a = demand.running_demand(valid, bucket_seconds=None).select("event_seq", "demand")
-    b = demand.running_demand(valid, bucket_seconds=4 * 3600).select("event_seq", "demand")
-    c = demand.running_demand(valid).select("event_seq", "demand")            # auto
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    assert a.exceptAll(c).count() == 0 and a.count() == 5969
-
-
-def test_single_hot_product_through_the_plan(spark):
-    # every event and command on one product: it alone is hot and gets time buckets
-    ev = fixtures.product_events(spark, SF01).withColumn("product_id", F.lit("P7"))
-    cm = fixtures.override_commands(spark, SF01).withColumn("product_id", F.lit("P7"))
-    cat = fixtures.catalog(spark, SF01)
-    plain = PricingPlan(ev, cm, cat, bucket_seconds=None)
-    hot = PricingPlan(ev, cm, cat, rows_per_bucket=500)
-    assert hot.bucket_seconds is not None
-    assert hot.bucket_seconds.widths.count() == 1
-    assert hot.command_buckets is None or hot.command_buckets.widths.count() <= 1
-    a = plain.priced.select("event_seq", "demand", "new_price")
-    b = hot.priced.select("event_seq", "demand", "new_price")
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_fused_live_state_equals_operator_39(spark):
     p = PricingPlan.from_tables(spark, SF01)
     a, b = p.live_state, p.live_state_joined
-    assert a.count() == 2000
+    assert a.count() == 2161
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
