@@ -39,12 +39,26 @@ def select_where(df: DataFrame, columns: list[Column], keep) -> DataFrame:
     return df.select(F.inline(F.filter(F.array(F.struct(*columns)), keep)))
 
 
+def own_case(text: Column, names) -> Column:
+    """JSON text with the keys ``names`` in their own case, whatever case they have.
+
+    An unescaped quoted name before a colon is a key wherever it stands. Texts without a
+    key in another case (almost all) are left as they are after one search."""
+    any_name = "|".join(names)
+    exact = "|".join(f'{n}"' for n in names)
+    own = text
+    for n in names:
+        own = F.regexp_replace(own, rf'(?<!\\)"(?i:{n})"(\s*:)', f'"{n}"$1')
+    return F.when(text.rlike(rf'"(?!{exact})(?i:{any_name})"\s*:'), own).otherwise(text)
+
+
 def parse_json(raw: DataFrame, value: str, fields: dict[str, str], keep: tuple[str, ...]) -> DataFrame:
     """One strict parse per row into ``__arr`` (the text wrapped in ``[...]`` so
     any trailing token fails the parse; every field read as VARIANT so its JSON
-    type can be checked). ``__v`` keeps the text."""
+    type can be checked). Keys are read in any case; of equal keys the last counts. ``__v``
+    keeps the text."""
     schema = "array<struct<%s>>" % ", ".join(f"`{n}`: variant" for n in fields)
-    v = F.col(value)
+    v = own_case(F.col(value), list(fields))
     return raw.select(*keep, v.alias("__v"),
                       F.from_json(F.concat(F.lit("["), v, F.lit("]")), schema, STRICT_JSON).alias("__arr"))
 

@@ -123,3 +123,15 @@ def test_override_request_decoding(spark):
     df = spark.createDataFrame(rows, "cmd_seq bigint, cmd_ts timestamp, value string")
     out = ingest.decode_override_requests(df)
     assert sorted((r.cmd_seq, r.override_price) for r in out.collect()) == [(1, 188.75), (5, 2.0)]
+
+
+def test_json_keys_in_any_case_and_last_key_wins(spark):
+    texts = ['{"EVENT_TYPE":"view","Product_Id":"PA","PRICE":2.5,"timestamp":7}',
+             '{"event_type":"view","product_id":"PA","price":1.0,"PRICE":3.0}',
+             '{"event_type":"view","product_id":"a \\"PRICE\\": b","price":1.0}']
+    raw = spark.createDataFrame([(i, None, t) for i, t in enumerate(texts)], "event_seq long, arrival_ts timestamp, value string")
+    got = {r.event_seq: (r.event_type, r.product_id, r.price, r.timestamp) for r in ingest.decode_product_events(raw).collect()}
+    assert got == {0: ("view", "PA", 2.5, 7), 1: ("view", "PA", 3.0, 0), 2: ("view", 'a "PRICE": b', 1.0, 0)}
+    body = spark.createDataFrame([(1, None, '{"PRODUCT_ID":"PA","Override_Price":5.0}'), (2, None, '{"product_id":"PA","OTHER":1}')],
+                                 "cmd_seq long, cmd_ts timestamp, value string")
+    assert [(r.cmd_seq, r.override_price) for r in ingest.decode_override_requests(body).collect()] == [(1, 5.0)]
