@@ -265,3 +265,41 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     done = lm_scores(docs, keep_text=False)
     return done.withColumn("base_score", F.round("base_score", 6)).withColumn("score", F.round("score", 6))
+
+
+#: The same sums in SQL (K2 = 1000, K3 = 10; one and two spaces stand for the end and start marks;
+#: the first table is the usual CRC-32 table by its rule).
+ORACLE = r"""
+WITH tab AS (
+  SELECT list(v ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)), lambda c, k:
+             xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) AS v
+    FROM (SELECT unnest(range(256)) AS i))),
+d AS (
+  SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT,
+             list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::BIGINT)),
+             lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295::BIGINT) % 5 = 1 AS held_out,
+         list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), ' ') AS w
+  FROM documents, tab),
+tok AS (SELECT doc_id, held_out, unnest(w) AS c, unnest(range(len(w))) AS i FROM d),
+s AS (SELECT doc_id, held_out, c, coalesce(lag(c) OVER o, '  ') AS b, coalesce(lag(c, 2) OVER o, '  ') AS a
+      FROM tok WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+one AS (SELECT c, count(*) AS n FROM s WHERE NOT held_out GROUP BY c),
+two AS (SELECT b, c, count(*) AS n FROM s WHERE NOT held_out GROUP BY b, c),
+three AS (SELECT a, b, c, count(*) AS n FROM s WHERE NOT held_out GROUP BY a, b, c),
+docs AS (SELECT count(*) AS n FROM d WHERE NOT held_out),
+context1 AS (SELECT c AS b, n FROM one UNION ALL SELECT '  ', n FROM docs),
+context2 AS (SELECT b AS a, c AS b, n FROM two UNION ALL SELECT '  ', '  ', n FROM docs),
+total AS (SELECT sum(n)::BIGINT AS n, count(*) AS v FROM one),
+p AS (
+  SELECT doc_id, held_out, coalesce(one.n, 0) AS n1, total.n AS train_tokens,
+         (coalesce(one.n, 0) + 0.5::DOUBLE) / (total.n + 0.5::DOUBLE * (total.v + 1)) AS p1,
+         coalesce(two.n, 0) AS n2, coalesce(context1.n, 0) AS m1, coalesce(three.n, 0) AS n3, coalesce(context2.n, 0) AS m2
+  FROM s CROSS JOIN total LEFT JOIN one USING (c) LEFT JOIN two USING (b, c) LEFT JOIN context1 USING (b)
+  LEFT JOIN three USING (a, b, c) LEFT JOIN context2 USING (a, b))
+SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (n1 > 0) AS n_known, train_tokens,
+       round(sum(log10(p1)), 6) AS base_score,
+       round(sum(log10((n3 + 10 * (n2 + 1000 * p1) / (m1 + 1000)) / (m2 + 10))), 6) AS score
+FROM p GROUP BY doc_id, held_out, train_tokens
+"""
