@@ -7,6 +7,7 @@ words. Nothing is cut: long texts are handled whole.
 
 from __future__ import annotations
 
+import ctypes
 from typing import NamedTuple
 
 import numpy as np
@@ -14,6 +15,19 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+
+
+def _give_back_memory() -> None:
+    """Lets glibc return every freed array of 1 MB and more to the system: by default it keeps blocks of up
+    to 32 MB, and a Python worker would hold the peak of all its tasks (elsewhere: no effect)."""
+    try:
+        ctypes.CDLL(None).mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    except (OSError, AttributeError):
+        pass
+
+
+_give_back_memory()
+
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -28,7 +42,11 @@ def as_texts(col) -> pa.Array:
     """One large-string array without nulls."""
     if isinstance(col, pa.ChunkedArray):
         col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.string())
-    return pc.fill_null(col.cast(pa.large_string()), "")
+    texts = pc.fill_null(col.cast(pa.large_string()), "")
+    if len(texts) and (texts.offset or np.frombuffer(texts.buffers()[1], np.int64, 1)[0]):
+        # a part of a longer array: some kernels (ascii_lower) misread offsets that do not start at 0
+        texts = pa.concat_arrays([texts, pa.array([], pa.large_string())])
+    return texts
 
 
 def split_words(texts: pa.Array) -> Words:

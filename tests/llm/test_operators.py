@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 import xxhash
 
@@ -39,6 +40,20 @@ def test_words():
     assert [w.vocab[int(c)].as_py() for c in w.codes] == ["a", "b", "c\x1cd", "x", "y", "z"]
 
 
+def test_parts_of_arrays():
+    texts = ["Ärger One", None, "", "ÉTÉ Two three FOUR", "ß 日本 X", "last ONE é"] * 3
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.array(texts, kind)
+        batch = pa.RecordBatch.from_arrays([whole], ["text"])
+        for a, b in ((0, 18), (3, 5), (7, 11), (16, 2)):
+            part = W.as_texts(batch.slice(a, b).column("text"))
+            low = pa.compute.ascii_lower(part)
+            assert low.to_pylist() == [(t or "").translate(LOWER) for t in texts[a:a + b]]
+            assert (simhash.fingerprint(part) == [brute_fingerprint(t) for t in texts[a:a + b]]).all()
+        cut = [p.num_rows for p in W.slices(batch, "text", 20)]
+        assert sum(cut) == 18 and len(cut) > 3
+
+
 # 1 ------------------------------------------------------------------------------------
 
 def test_codes_random_access():
