@@ -67,8 +67,8 @@ class PricingPlan:
 
     @cached_property
     def effective(self) -> DataFrame:
-        return materialize(overrides.effective_commands(
-            self.commands, self.catalog, self.valid, self.first_seen, self.rows_per_cell), "effective_commands")
+        # reads the table that the scan for the previous command has written
+        return overrides.effective_commands(self.commands, self.catalog, self.valid, self.first_seen, self.rows_per_cell)
 
     @cached_property
     def gated(self) -> DataFrame:
