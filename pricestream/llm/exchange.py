@@ -47,6 +47,22 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+def pack_counts(x: np.ndarray) -> bytes:
+    """Counts that are mostly 0, 1 or 2: two bits each, larger ones after them."""
+    x = x.astype(np.uint64, copy=False)
+    small = np.minimum(x, 3).astype(np.uint8)
+    return np.packbits(small & 1).tobytes() + np.packbits(small >> 1).tobytes() + pack(x[small == 3])
+
+
+def unpack_counts(data: bytes, n: int) -> np.ndarray:
+    size = (n + 7) // 8
+    bits = [np.unpackbits(np.frombuffer(data, np.uint8, size, k * size), count=n) for k in (0, 1)]
+    out = (bits[0] + 2 * bits[1]).astype(np.uint64)
+    large = np.flatnonzero(out == 3)
+    out[large] = unpack(data[2 * size:], len(large))
+    return out
+
+
 def pack_sorted(keys: np.ndarray) -> bytes:
     return pack(np.diff(keys, prepend=np.uint64(0)))
 

@@ -208,8 +208,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         for b in range(n):
             one, gram = slice(cut1[b], cut1[b + 1]), slice(cutg[b], cutg[b + 1])
             out.append((block, b, X.join_fields(
-                int(cut1[b + 1] - cut1[b]).to_bytes(8, "little"), X.pack_sorted(t.words[one]), X.pack(c1[one].astype(np.uint64)),
-                int(cutg[b + 1] - cutg[b]).to_bytes(8, "little"), X.pack_sorted(t.grams[gram]), X.pack(cg[gram].astype(np.uint64)))))
+                int(cut1[b + 1] - cut1[b]).to_bytes(8, "little"), X.pack_sorted(t.words[one]), X.pack_counts(c1[one]),
+                int(cutg[b + 1] - cutg[b]).to_bytes(8, "little"), X.pack_sorted(t.grams[gram]), X.pack_counts(cg[gram]))))
         return rows(out)
 
     def add_up(tab: pa.Table) -> pa.Table:
@@ -218,13 +218,13 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         for f in (0, 3):
             count = [int.from_bytes(x[f], "little") for x in fields]
             keys = np.concatenate([X.unpack_sorted(x[f + 1], k) for x, k in zip(fields, count)])
-            own = np.concatenate([X.unpack(x[f + 2], k) for x, k in zip(fields, count)])
+            own = np.concatenate([X.unpack_counts(x[f + 2], k) for x, k in zip(fields, count)])
             _, inverse = np.unique(keys, return_inverse=True)
             total = np.bincount(inverse, own).astype(np.uint64)
             if f == 0:
                 share = int(total.sum()).to_bytes(8, "little") + int((total > 0).sum()).to_bytes(8, "little")
             cut = np.cumsum([0, *count])
-            answers.append([X.pack(total[inverse[a:b]]) for a, b in zip(cut, cut[1:])])
+            answers.append([X.pack_counts(total[inverse[a:b]]) for a, b in zip(cut, cut[1:])])
         out = [(block, bucket, X.join_fields(share, a, g)) for block, bucket, a, g in zip(
             tab.column("block").to_pylist(), tab.column("bucket").to_pylist(), *answers)]
         return rows(out)
@@ -238,8 +238,8 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
             share, a, g = X.split_fields(payload)
             total += int.from_bytes(share[:8], "little")
             distinct += int.from_bytes(share[8:], "little")
-            n1[cut1[b]:cut1[b + 1]] = X.unpack(a, int(cut1[b + 1] - cut1[b]))
-            n_gram[cutg[b]:cutg[b + 1]] = X.unpack(g, int(cutg[b + 1] - cutg[b]))
+            n1[cut1[b]:cut1[b + 1]] = X.unpack_counts(a, int(cut1[b + 1] - cut1[b]))
+            n_gram[cutg[b]:cutg[b + 1]] = X.unpack_counts(g, int(cutg[b + 1] - cutg[b]))
         if len(got["bucket"]) != n:
             raise RuntimeError(f"{len(got['bucket'])} of {n} buckets answered")
         automaton = Automaton(t, n1, n_gram, total, distinct)
