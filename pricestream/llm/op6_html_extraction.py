@@ -2,7 +2,8 @@
 
 A page is read into blocks of text. Elements say of some blocks what they are: inside ``article``
 or ``main`` they are main text; inside menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments (by element, role, class or id) they are not. Raw text of scripts,
+and reader comments (by element, role, class or id) they are marked boilerplate, which is never main text.
+The words of marked blocks stay in the streams, so their runs count. Raw text of scripts,
 styles and the like is no text.
 
 Then the word streams of a host's pages are concatenated and their suffixes sorted (prefix doubling
@@ -71,7 +72,7 @@ BOILERPLATE_WORDS = frozenset(
 _MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"']+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|/|$)", re.I)
-MAIN, OPEN = 1, 0
+MARKED, MAIN, OPEN = 2, 1, 0
 
 
 def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
@@ -92,7 +93,7 @@ def _is_boilerplate(name: str, attributes: str, in_main: bool) -> bool:
 
 
 def blocks_of(html: str) -> list[tuple[int, str]]:
-    """(MAIN or OPEN, text) of the blocks that no element marks as boilerplate, in page order."""
+    """(kind, text) of the blocks in page order: MARKED as boilerplate by an element, MAIN or OPEN."""
     out, text, stack = [], [], []  # stack: (name, main before, boilerplate before)
     main = boilerplate = False
     at, end = 0, len(html)
@@ -102,10 +103,10 @@ def blocks_of(html: str) -> list[tuple[int, str]]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                out.append((MAIN if main else OPEN, joined))
+                out.append((MARKED if boilerplate else MAIN if main else OPEN, joined))
 
     def add(raw: str):
-        if raw and not boilerplate:
+        if raw:
             text.append(unescape(raw) if "&" in raw else raw)
 
     while at < end:
@@ -124,7 +125,7 @@ def blocks_of(html: str) -> list[tuple[int, str]]:
             if name in BLOCK_ELEMENTS:
                 close_block()
             if depth is not None:
-                if any(e[0] in BLOCK_ELEMENTS for e in stack[depth:]):
+                if any(e[0] in BLOCK_ELEMENTS for e in stack[depth:]) or boilerplate != stack[depth][2]:
                     close_block()
                 main, boilerplate = stack[depth][1:]
                 del stack[depth:]
@@ -238,7 +239,7 @@ def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int]) -> list[s
             if kind == MAIN:
                 if not template[a:b].all():
                     kept.append(text)
-            elif not has_main:
+            elif kind == OPEN and not has_main:
                 own = repeated[a:b]
                 if not own.any():
                     kept.append(text)

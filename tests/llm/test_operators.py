@@ -292,6 +292,24 @@ def test_html_host_boilerplate(spark):
     assert html.extract_text(table.limit(0)).count() == 0
 
 
+PLAIN = "<html><body><div>Home News Sport Weather Contact About Login Terms of use</div><div>{}</div>{}</body></html>"
+FOOT = "Copyright by the great company of all rights reserved since 1999"
+
+
+def unique_text(k):
+    return " ".join(f"w{k}x{j * 7 % 31}" for j in range(40))
+
+
+def test_html_marked_blocks_are_evidence():
+    """A footer without a mark goes if another page of the host marks it; a marked one always goes."""
+    pages = [PLAIN.format(unique_text(0), f"<div>{FOOT}</div>"),
+             f"<article><p>{unique_text(1)}</p></article><footer>{FOOT}</footer><nav>only here</nav>"]
+    got = html.main_texts([html.blocks_of(p) for p in pages], [0, 1])
+    assert got == ["Home News Sport Weather Contact About Login Terms of use\n\n" + unique_text(0), unique_text(1)]
+    blocks = html.blocks_of('<p>a <span class="ad">b</span> c</p><aside>d</aside>e')
+    assert blocks == [(html.OPEN, "a"), (html.MARKED, "b"), (html.OPEN, "c"), (html.MARKED, "d"), (html.OPEN, "e")]
+
+
 # 7 ------------------------------------------------------------------------------------
 
 def test_fingerprints(edge, empty):
