@@ -2,20 +2,32 @@
 
 A page is read into blocks of text. Elements say of some blocks what they are: inside ``article``
 or ``main`` they are main text; inside menus, headers, footers, sidebars, notices, adverts, forms
-and reader comments (by element, role, class or id) they are marked boilerplate, which is never main text.
-The words of marked blocks stay in the streams, so their runs count. Raw text of scripts,
+and reader comments (by element, role, class or id) they are marked boilerplate. Raw text of scripts,
 styles and the like is no text.
 
-Then the word streams of a host's pages are concatenated and their suffixes sorted (prefix doubling
-up to ``RUN`` words). Neighbouring suffixes with a common prefix of ``RUN`` words are occurrences
-of one run; runs on two or more distinct pages cover boilerplate. Of a page without any article
-element the unique runs stay: words covered by a run on another page go, with what is left of a
-mostly covered block. In an article only a block wholly covered by runs on nearly all pages of
-the group goes (a template line); a passage that some articles share stays.
-
-Pages are dealt into ranges of (host, hash of the page), so a host with a third of all pages is
-many ranges, and a group (one suffix array) has at most ``GROUP_PAGES`` pages or ``GROUP_BYTES``
-bytes of one host (a longer page is a group of its own). The pages are shuffled once.
+All blocks, marked ones too, are the word streams of a host's pages, and of every run of ``RUN`` words
+it is found on how many distinct pages of the host it is. Marked blocks go by their mark alone (a menu
+or footer that only one page has is still none of its text), but their runs count: of a page
+without any article element the runs that no other page has stay, so a footer in a plain ``div`` goes
+if other pages have it as a ``footer``; what is left of a mostly covered block goes too. In an article
+only a block wholly covered by runs on nearly all pages of the host goes (a template line); a
+passage that some articles share stays.
+
+The pages of a host with up to ``RANGE_BYTES`` of html are in one block of the exchange (not to be mixed
+up with blocks of text), where the word streams are concatenated and their suffixes sorted (prefix
+doubling up to ``RUN`` words): neighbouring suffixes with a common prefix of ``RUN`` words are
+occurrences of one run. A larger host is dealt into pieces by a hash of the page, which are blocks of their own;
+its counts are added up over all pieces (see ``exchange``), runs being told apart by 64-bit hashes of host and words:
+
+1. pieces send their number of pages, whether one has open text outside any article, and the runs on
+   ``TEMPLATE_SHARE`` of their own pages (a run on that share of the host's pages is on that share of some
+   piece's); each piece gets those of its host back;
+2. pieces send the counts of these runs, or of all their runs if a page of the host has open text; buckets
+   of the hash space add them up;
+3. pieces remove by the totals.
+
+So a page's text depends on its host's pages alone, however the pages are dealt. They are parsed and
+shuffled once; the three steps read the same exchange.
 
 Result text: character references decoded, white space (Unicode) inside a block made one space,
 trimmed, empty blocks left out, blocks joined by two line breaks in page order. A line break
@@ -30,10 +42,13 @@ from __future__ import annotations
 
 import re
 from html import unescape
+from typing import NamedTuple
 from urllib.parse import urlsplit
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +57,11 @@ from pricestream.llm import words as W
 from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
-#: Words of a run; pages and bytes of a group; share and number of pages of a template line.
+#: Words of a run; share and number of pages of a template line.
 RUN = 8
-GROUP_PAGES, GROUP_BYTES = 256, 4 << 20
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 5
-#: Bytes of html in a range of pages.
-RANGE_BYTES = 2 << 20
+#: Bytes of html in a piece of a host, and that a page has at least for the dealing.
+RANGE_BYTES, PAGE_BYTES = 2 << 20, 64
 
 # Kinds of elements.
 MAIN_ELEMENTS = frozenset("article main".split())
@@ -215,20 +229,20 @@ def _covered(starts: np.ndarray, run: int) -> np.ndarray:
     return np.cumsum(edge)[:len(starts)] > 0
 
 
-def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int]) -> list[str]:
-    """Main text of each page of one host group, given its blocks; ``numbers`` tells distinct pages."""
+def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int], seen_on: np.ndarray | None = None,
+               n_pages: int | None = None) -> list[str]:
+    """Main text of each page of one host, given its blocks; ``numbers`` tells distinct pages. For a piece of
+    a host, ``seen_on`` has for every word on how many pages of the host its run is, of ``n_pages``."""
     words = [text.split(" ") for blocks in pages for _, text in blocks]
     size = np.array([len(w) for w in words], np.int64)
     owner = np.repeat(np.arange(len(pages)), [len(b) for b in pages])
-    flat = [w for ws in words for w in ws]
-    if flat:
+    if seen_on is None:
+        n_pages = len(set(numbers))
+        flat = [w for ws in words for w in ws]
         tokens = np.asarray(pa.array(flat, pa.large_string()).dictionary_encode().indices)
-        seen_on = suffix_runs(tokens, np.repeat(np.asarray(numbers)[owner], size))
-    else:
-        seen_on = np.zeros(0, np.int64)
+        seen_on = suffix_runs(tokens, np.repeat(np.asarray(numbers)[owner], size)) if flat else np.zeros(0, np.int64)
     repeated = _covered(seen_on >= 2, RUN)
-    distinct = len(set(numbers))
-    template = _covered(seen_on >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * distinct), RUN)
+    template = _covered(seen_on >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * n_pages), RUN)
     ends = np.cumsum(size)
     out, k = [], 0
     for blocks in pages:
@@ -259,45 +273,205 @@ def host_of(url: str | None) -> str | None:
         return ""
 
 
+class Runs(NamedTuple):
+    """Runs of a piece: start and key of each, number of words; distinct keys in order, their pages."""
+    at: np.ndarray
+    key: np.ndarray
+    n_words: int
+    keys: np.ndarray
+    pages: np.ndarray
+
+
+def piece_runs(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None) -> Runs:
+    w = W.split_words(pa.array([" ".join(text for _, text in blocks) for blocks in pages], pa.large_string()))
+    seed = xxhash.xxh3_64_intdigest("" if host is None else "host " + host)
+    at = np.flatnonzero(W.starts_in_one_text(w.offsets, RUN))
+    key = W.window_hashes(W.word_hashes(w.vocab, seed)[w.codes], RUN)[at] if len(at) else np.zeros(0, np.uint64)
+    number = np.asarray(numbers, np.int64)[W.doc_of(w.offsets)[at]]
+    order = np.lexsort((number, key))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = key[order][1:] != key[order][:-1]
+    new_page = fresh.copy()
+    new_page[1:] |= number[order][1:] != number[order][:-1]
+    return Runs(at, key, len(w.codes), key[order][fresh], np.bincount(np.cumsum(fresh) - 1, new_page).astype(np.int64))
+
+
+class Deal(NamedTuple):
+    """Blocks of the exchange: whole hosts in the first ``whole``, then the pieces of each larger host."""
+    whole: int
+    first: dict  # larger host -> its first block
+    pieces: dict  # larger host -> number of its blocks
+    n: int
+
+    def block(self, host: str | None, page: int) -> int:
+        if host in self.first:
+            return self.first[host] + ((page % (1 << 64)) * self.pieces[host] >> 64)
+        return xxhash.xxh3_64_intdigest("" if host is None else "host " + host) % self.whole
+
+
+def deal(df: DataFrame) -> Deal:
+    """Blocks for a frame with url and html, in proportion to the bytes of html."""
+    size = F.coalesce(F.octet_length("html"), F.lit(0)) + F.lit(PAGE_BYTES)
+
+    def hosts(batches):
+        for batch in batches:
+            host = pa.array([host_of(u) for u in batch.column("url").to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([host, batch.column("size")], ["host", "size"])
+
+    sized = df.select("url", size.cast("long").alias("size"))
+    total = int(sized.agg(F.sum("size")).first()[0] or 0)
+    # a host in pieces gives the same texts, so a small table is dealt to all shuffle partitions
+    target = min(RANGE_BYTES, -(-total // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    sums = sized.mapInArrow(hosts, "host string, size long").groupBy("host").agg(F.sum("size").alias("size"))
+    # at most total / target rows, and one for all whole hosts
+    large = F.when(F.col("size") > target, F.struct("host"))
+    rows = sums.groupBy(large.alias("large")).agg(F.sum("size").alias("size")).collect()
+    pieces = {r.large.host: -(-r.size // target) for r in rows if r.large is not None}
+    whole = max(1, -(-sum(r.size for r in rows if r.large is None) // max(target, 1)))
+    first, n = {}, whole
+    for host in sorted(pieces, key=lambda h: (h is not None, h or "")):
+        first[host], n = n, n + pieces[host]
+    return Deal(whole, first, pieces, n)
+
+
+_TYPES = {"block": pa.int32(), "bucket": pa.int32(), "n": pa.int64(), "payload": pa.binary()}
+_MESSAGE = "block int, bucket int, n long, payload binary"
+
+
+def _messages(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows)) or [[], [], [], []]
+    return pa.table({k: pa.array(c, t) for (k, t), c in zip(_TYPES.items(), cols)})
+
+
+def _rows(tab: pa.Table) -> list[tuple]:
+    return list(zip(*(tab.column(c).to_pylist() for c in _TYPES)))
+
+
+def _pages(tab: pa.Table) -> tuple[list, list[int]]:
+    """Blocks of text and distinct number of each page."""
+    numbers: dict = {}
+    return ([[(int(k), t) for k, t in zip(kinds, text.split("\n"))] for kinds, text in zip(
+                tab.column("kinds").to_pylist(), tab.column("text").to_pylist())],
+            [numbers.setdefault(x, len(numbers)) for x in zip(
+                tab.column("page_id").to_pylist(), tab.column("url").to_pylist())])
+
+
+def _open(blocks: list[tuple[int, str]]) -> bool:
+    kinds = {kind for kind, _ in blocks}
+    return OPEN in kinds and MAIN not in kinds
+
+
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``df`` without its html, and text (string) and n_chars (long)."""
     prepare(df.sparkSession)
     columns = [c for c in df.columns if c != html_col]
-    # a small table is one range, so that no host of it is cut
-    n = X.block_count(df, html_col, RANGE_BYTES, least=1)
-    host = F.lower(F.regexp_extract("url", r"^[^:/]*:?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
-    order = [F.asc_nulls_first(host), F.xxhash64("page_id", "url")]
-    pages = carry(df, page_id=id_col, url=url_col, html=html_col)
-    pages = pages.repartitionByRange(n, *order).sortWithinPartitions(*order)
-
-    def extract(batches):
-        group, host_now, held = [], None, 0
-
-        def texts():
-            numbers: dict = {}
-            distinct = [numbers.setdefault((p, u), len(numbers)) for p, u, _, _ in group]
-            text = main_texts([b for _, _, _, b in group], distinct)
-            return pa.RecordBatch.from_arrays([
-                pa.array([p for p, _, _, _ in group], kinds[0]), pa.array([u for _, u, _, _ in group], pa.string()),
-                pa.array([r for _, _, r, _ in group], kinds[1]), pa.array(text, pa.string()),
-                pa.array([len(t) for t in text], pa.int64())], ["page_id", "url", "rest", "text", "n_chars"])
-
-        kinds = None
+    raw = carry(df, page_id=id_col, url=url_col, html=html_col)
+    dealt = deal(raw)
+    whole, n = dealt.whole, dealt.n
+    shared = df.sparkSession.sparkContext.broadcast(tuple(dealt))  # a row for each piece at most
+    names = ["page_id", "url", "rest"]
+
+    def parse(batches):
+        to = Deal(*shared.value)
         for batch in batches:
-            kinds = kinds or (batch.column("page_id").type, batch.column("rest").type)
             for part in W.slices(batch, "html", 4 << 20):
-                for page_id, url, rest, html in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "rest", "html"))):
-                    own = host_of(url)
-                    size = len(html or "")
-                    if group and (own != host_now or len(group) >= GROUP_PAGES or held + size > GROUP_BYTES):
-                        yield texts()
-                        group, held = [], 0
-                    host_now, held = own, held + size
-                    group.append((page_id, url, rest, blocks_of(html or "")))
-        if group:
-            yield texts()
-
-    done = pages.mapInArrow(extract, schema_of(pages, "page_id", "url", "rest", text="string", n_chars="long"))
+                hosts = [host_of(u) for u in part.column("url").to_pylist()]
+                blocks = [blocks_of(h or "") for h in part.column("html").to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(c) for c in names],
+                     pa.array([to.block(h, p) for h, p in zip(hosts, part.column("page").to_pylist())], pa.int32()),
+                     pa.array([to.first.get(h, -1) for h in hosts], pa.int32()), pa.array(hosts, pa.string()),
+                     pa.array(["".join(str(k) for k, _ in b) for b in blocks], pa.string()),
+                     pa.array(["\n".join(t for _, t in b) for b in blocks], pa.string())],
+                    [*names, "block", "first", "host", "kinds", "text"])
+
+    pages = raw.withColumn("page", F.xxhash64("page_id", "url")).mapInArrow(parse, schema_of(
+        raw, *names, block="int", first="int", host="string", kinds="string", text="string"))
+    by_block = pages.repartition(n, "block").groupBy("block")
+
+    def send_piece(tab: pa.Table) -> pa.Table:
+        block = tab.column("block")[0].as_py()
+        if block < whole:
+            return _messages([])
+        blocks, numbers = _pages(tab)
+        runs, n_pages = piece_runs(blocks, numbers, tab.column("host")[0].as_py()), len(set(numbers))
+        often = runs.keys[runs.pages >= TEMPLATE_SHARE * n_pages - 1e-6]
+        return _messages([(block, tab.column("first")[0].as_py(), n_pages, X.join_fields(
+            bytes([any(map(_open, blocks))]), len(often).to_bytes(8, "little"), X.pack_sorted(often)))])
+
+    def add_host(tab: pa.Table) -> pa.Table:
+        got = [(block, k, X.split_fields(p)) for block, _, k, p in _rows(tab)]
+        often = np.unique(np.concatenate([X.unpack_sorted(f[2], int.from_bytes(f[1], "little")) for _, _, f in got]))
+        payload = X.join_fields(bytes([any(f[0] != b"\0" for _, _, f in got)]), len(often).to_bytes(8, "little"),
+                                X.pack_sorted(often))
+        n_pages = sum(k for _, k, _ in got)
+        return _messages([(block, -1 - block, n_pages, payload) for block, _, _ in got])
+
+    def asked(runs: Runs, payload: bytes) -> np.ndarray:
+        """Which distinct runs of a piece are counted over all pieces of its host."""
+        is_open, k, often = X.split_fields(payload)
+        if is_open != b"\0":
+            return np.ones(len(runs.keys), bool)
+        return np.isin(runs.keys, X.unpack_sorted(often, int.from_bytes(k, "little")))
+
+    def send_runs(tab: pa.Table, host: pa.Table) -> pa.Table:
+        if tab.column("block")[0].as_py() < whole:
+            return _messages([])
+        blocks, numbers = _pages(tab)
+        runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
+        memo, = _rows(host)
+        use = asked(runs, memo[3])
+        keys, count = runs.keys[use], runs.pages[use]
+        cut, out = X.bucket_bounds(keys, n), [memo]
+        for b in np.flatnonzero(np.diff(cut)):
+            part = slice(cut[b], cut[b + 1])
+            out.append((memo[0], int(b), int(cut[b + 1] - cut[b]),
+                        X.join_fields(X.pack_sorted(keys[part]), X.pack_counts(count[part]))))
+        return _messages(out)
+
+    def add_runs(tab: pa.Table) -> pa.Table:
+        got = _rows(tab)
+        if got[0][1] < 0:
+            return _messages(got)
+        fields = [X.split_fields(p) for *_, p in got]
+        size = [k for _, _, k, _ in got]
+        _, inverse = np.unique(np.concatenate([X.unpack_sorted(f[0], k) for f, k in zip(fields, size)]), return_inverse=True)
+        total = np.bincount(inverse, np.concatenate([X.unpack_counts(f[1], k) for f, k in zip(fields, size)]))[inverse]
+        cut = np.cumsum([0, *size])
+        return _messages([(block, bucket, k, X.pack_counts(total[a:a + k]))
+                          for (block, bucket, k, _), a in zip(got, cut)])
+
+    def piece_texts(tab: pa.Table, answers: list[tuple]) -> list[str]:
+        blocks, numbers = _pages(tab)
+        runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
+        memo, *totals = sorted(answers, key=lambda r: r[1])
+        keys = runs.keys[asked(runs, memo[3])]
+        total = np.concatenate([np.zeros(0, np.uint64), *[X.unpack_counts(p, k) for _, _, k, p in totals]])
+        if len(total) != len(keys):
+            raise RuntimeError(f"answers for {len(total)} runs, asked for {len(keys)}")
+        seen_on = np.zeros(runs.n_words, np.int64)
+        if len(keys):
+            place = np.minimum(np.searchsorted(keys, runs.key), len(keys) - 1)
+            seen_on[runs.at] = np.where(keys[place] == runs.key, total[place].astype(np.int64), 0)
+        return main_texts(blocks, numbers, seen_on, memo[2])
+
+    def remove(tab: pa.Table, answers: pa.Table) -> pa.Table:
+        if tab.column("block")[0].as_py() >= whole:
+            text = piece_texts(tab, _rows(answers))
+        else:
+            hosts = tab.column("host").combine_chunks().dictionary_encode(null_encoding="encode").indices
+            order = np.argsort(np.asarray(hosts), kind="stable")
+            tab, cut = tab.take(pa.array(order)), np.cumsum(np.bincount(np.asarray(hosts)))
+            text = [t for a, b in zip([0, *cut], cut) for t in main_texts(*_pages(tab.slice(a, b - a)))]
+        text = pa.array(text, pa.string())
+        return pa.table([*[tab.column(c) for c in names], text, pc.utf8_length(text).cast(pa.int64())],
+                        names=[*names, "text", "n_chars"])
+
+    hosts = by_block.applyInArrow(send_piece, _MESSAGE).groupBy("bucket").applyInArrow(add_host, _MESSAGE)
+    totals = by_block.cogroup(hosts.groupBy("block")).applyInArrow(send_runs, _MESSAGE)
+    totals = totals.groupBy("bucket").applyInArrow(add_runs, _MESSAGE)
+    done = by_block.cogroup(totals.groupBy("block")).applyInArrow(
+        remove, schema_of(raw, *names, text="string", n_chars="long"))
     return restore(done, columns, ["text", "n_chars"], page_id=id_col, url=url_col)
 
 

@@ -310,6 +310,25 @@ def test_html_marked_blocks_are_evidence():
     assert blocks == [(html.OPEN, "a"), (html.MARKED, "b"), (html.OPEN, "c"), (html.MARKED, "d"), (html.OPEN, "e")]
 
 
+def test_html_runs_count_over_the_whole_host(spark, monkeypatch):
+    """257 and more pages of a host, long pages, and template lines in articles: the pieces do not show."""
+    long = " ".join(f"z{j}" for j in range(700_000))  # over 4 MB
+    rows = [(k, f"http://h.example/{k}", PLAIN.format(unique_text(k), f"<div>{FOOT}</div>")) for k in range(257)]
+    rows += [(300, "http://h.example/long", PLAIN.format(long, f"<div>{FOOT}</div>"))]
+    rows += [(400 + k, f"http://a.example/{k}", f"<article><p>{unique_text(k)}</p><p>{FOOT}</p></article>") for k in range(10)]
+    rows += [(500 + k, f"http://b.example/{k}", f"<article><p>{unique_text(k)}</p><p>{FOOT if k < 7 else k}</p></article>")
+             for k in range(10)]
+    want = ({k: unique_text(k) for k in range(257)} | {300: long} | {400 + k: unique_text(k) for k in range(10)}
+            | {500 + k: f"{unique_text(k)}\n\n{FOOT if k < 7 else k}" for k in range(10)})
+    for size in (2 << 20, 1500):
+        monkeypatch.setattr(html, "RANGE_BYTES", size)
+        some = [r for r in rows if size > 1500 or r[0] != 300]
+        table = spark.createDataFrame(some, "page_id long, url string, html string").repartition(3)
+        got = {r.page_id: r for r in html.extract_text(table).collect()}
+        assert {k: r.text for k, r in got.items()} == {r[0]: want[r[0]] for r in some}
+        assert all(r.n_chars == len(r.text) for r in got.values())
+
+
 # 7 ------------------------------------------------------------------------------------
 
 def test_fingerprints(edge, empty):
