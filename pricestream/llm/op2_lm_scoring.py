@@ -18,8 +18,7 @@ it, left to right, carrying the state and adding up weights. Many lanes run side
 a long text is cut into lanes of ``LANE`` tokens, and a lane starts two tokens early, which
 is enough to be in the state that the whole text would be in.
 
-Words have 64-bit keys; n-gram keys have log2(bytes of text) + 18 bits at least, so
-that an n-gram has a namesake with a chance of about 2^-18 at any size.
+Words and n-grams have 64-bit keys at every size.
 
 Edge cases: a null or empty text is the end token alone. Null ids count as the empty text in the
 fold rule, so they are training rows. Repeated rows count as often as they occur. Without any training row every
@@ -56,7 +55,7 @@ def held_out(id_col: str = "doc_id") -> F.col:
 class Tokens:
     """A block's token sequence: two start marks, the words and the end mark of each text."""
 
-    def __init__(self, texts: pa.Array, train: np.ndarray, shift: int):
+    def __init__(self, texts: pa.Array, train: np.ndarray):
         w = W.split_words(pc.ascii_lower(texts))
         n = np.diff(w.offsets)
         self.offsets = w.offsets + 3 * np.arange(len(w.offsets))
@@ -77,7 +76,7 @@ class Tokens:
         at2 = at2[~np.isin(at2, self.offsets[:-1], assume_unique=True)]
         at3 = np.flatnonzero(self.real)
         two, three = W.window_hashes(key, 2), W.window_hashes(key, 3)
-        grams = np.concatenate((two[at2 - 1], three[at3 - 2])) >> np.uint64(shift)
+        grams = np.concatenate((two[at2 - 1], three[at3 - 2]))
         self.at2, self.at3 = at2, at3
         self.grams, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
         self.gram2_at = np.zeros(size, np.int64)
@@ -185,16 +184,13 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     columns = [c for c in df.columns if keep_text or c != text_col]
     base = carry(df, doc_id=id_col, text=text_col).withColumn("held_out", held_out())
     n = X.block_count(base)
-    # every document has an end token and two start marks besides its text
-    size = base.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 3)).first()[0] or 1
-    bits = min(64, -(-(int(size).bit_length() + 18) // 8) * 8)
     docs = X.blocked(base, "doc_id", "text", n)
     by_block = docs.groupBy("block")
     names = [c for c in ("doc_id", "text", "rest") if keep_text or c != "text"]
 
     def tokens(tab: pa.Table) -> Tokens:
         train = ~tab.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
-        return Tokens(W.as_texts(tab.column("text")), train, 64 - bits)
+        return Tokens(W.as_texts(tab.column("text")), train)
 
     def rows(data: list[tuple]) -> pa.Table:
         cols = list(zip(*data)) or [[], [], []]
@@ -204,7 +200,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     def send(tab: pa.Table) -> pa.Table:
         block, t = tab.column("block")[0].as_py(), tokens(tab)
         c1, cg = t.word_counts(), t.gram_counts()
-        cut1, cutg, out = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n, bits), []
+        cut1, cutg, out = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n), []
         for b in range(n):
             one, gram = slice(cut1[b], cut1[b + 1]), slice(cutg[b], cutg[b + 1])
             out.append((block, b, X.join_fields(
@@ -231,7 +227,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
 
     def score(tab: pa.Table, answers: pa.Table) -> pa.Table:
         t = tokens(tab)
-        cut1, cutg = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n, bits)
+        cut1, cutg = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n)
         n1, n_gram, total, distinct = np.zeros(len(t.words), np.int64), np.zeros(len(t.grams), np.int64), 0, 0
         got = answers.to_pydict()
         for b, payload in zip(got["bucket"], got["payload"]):

@@ -138,6 +138,11 @@ def test_lm_scores(edge, empty):
     assert lm.lm_scores(empty).count() == 0
 
 
+def test_gram_keys_are_whole():
+    t = lm.Tokens(pa.array(["a b c d", "b c a"], pa.large_string()), np.array([True, False]))
+    assert len(t.grams) == 18 and int(t.grams.max()) >> 60 > 0
+
+
 # 3 ------------------------------------------------------------------------------------
 
 def test_toxicity_learns_and_handles_edges(spark, edge, empty):
