@@ -8,8 +8,8 @@ duplicate clusters; the search starts at the least residual that fits and goes o
 the successor until a bin's bitmaps have none of the piece's bits, so a piece gets the tightest
 compatible bin, and a new bin only if there is none.
 
-Documents are dealt into shards of about ``SHARD_DOCS`` by a hash of id and text, which splits
-sources, copies and null ids alike; shards are packed side by side, so the loss to open bins at
+Documents are dealt into shards of about ``SHARD_DOCS`` (their number depends on the rows alone, not on the
+session's settings) by a hash of id and text, which splits sources, copies and null ids alike; shards are packed side by side, so the loss to open bins at
 their ends stays below a bin's worth for each source of a shard. Lengths are the tokens of the public
 tokenizer (end token included); the duplicate cluster is a hash of the lower-cased words.
 
@@ -95,7 +95,7 @@ def pack_documents(df: DataFrame, id_col: str = "doc_id", source_col: str = "sou
     spark = df.sparkSession
     prepare(spark)
     rows = materialize(carry(df, doc_id=id_col, source=source_col, length=length_col, cluster=cluster_col), "lengths")
-    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // SHARD_DOCS))
+    shards = max(1, -(-rows.count() // SHARD_DOCS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster", "length"), F.lit(shards)).cast("int"))
     names = ["doc_id", "source", "length", "cluster", "rest"]
 

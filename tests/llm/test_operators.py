@@ -205,6 +205,18 @@ def test_pack_documents(edge, empty):
     assert packing.pack_texts(empty).count() == 0
 
 
+def test_packing_does_not_depend_on_the_session(spark, edge):
+    held, got = spark.conf.get("spark.sql.shuffle.partitions"), []
+    table = edge.filter("doc_id < 100").select("doc_id", "text", "source")
+    try:
+        for n in ("2", "50"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            got.append(sorted((r.doc_id, r.bin_id) for r in packing.pack_texts(table).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert got[0] == got[1]
+
+
 # 5 ------------------------------------------------------------------------------------
 
 def brute_substrings(rows, window):
