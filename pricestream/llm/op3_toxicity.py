@@ -11,8 +11,9 @@ would be negative, the step goes back along its gradient (Kiryo et al., 2017).
 
 Inputs of a score are the words of the text only: lower-cased, cut to their letters, hashed
 to a fixed number of features, present or not. The classifier is fitted with numpy on the
-driver on a sample whose size is bounded by ``MAX_POSITIVE`` and ``MAX_UNLABELLED``
-(chosen by a hash of the id); its weights, 2^18 floats, go to the tasks, which score every
+driver on at most ``MAX_POSITIVE`` and ``MAX_UNLABELLED`` rows, those with the smallest hashes of id, text
+and place in the table, so the rows of a repeated or null id are drawn one by one (positives: rows of at
+most about ``MAX_POSITIVE`` confirmed ids, chosen by a hash of the id); its weights, 2^18 floats, go to the tasks, which score every
 whole text without a shuffle.
 
 Edge cases: null and empty texts have no features and get the bias's score. Several labels of one
@@ -35,8 +36,9 @@ from pricestream.llm.frames import carry, prepare, restore, schema_of
 from pricestream.sources.tables import read_table
 
 FEATURES = 1 << 18
-#: Bounds of the training sample (expected sizes of the hash samples).
+#: Bounds of the training sample; what is drawn of the rows before the smallest hashes are taken, as a multiple.
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 12000
+DRAWN = 1.2
 THRESHOLD = 0.3
 FOLDS, HELD_OUT_FOLD = 4, 2
 EPOCHS, BATCHES, RATE, DECAY, MIN_DOCS, MIN_Z, SEED = 40, 10, 0.05, 4e-4, 8, 4.0, 7
@@ -145,8 +147,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(np.zeros(FEATURES), -np.inf, 0.0)
     # at most about MAX_POSITIVE ids
     confirmed = F.broadcast(labels.filter((F.col("toxic") == 1) & _share(n_toxic, MAX_POSITIVE)).select("doc_id"))
-    sample = docs.join(confirmed, "doc_id").withColumn("positive", F.lit(True)).union(
-        docs.filter(_share(n_docs, MAX_UNLABELLED)).withColumn("positive", F.lit(False)))
+    # the place keeps equal rows apart
+    docs = docs.withColumn("pick", F.xxhash64(F.lit(SEED), "doc_id", "text", F.monotonically_increasing_id()))
+    toxic = docs.join(confirmed, "doc_id")
 
     def features(batches):
         for batch in batches:
@@ -155,11 +158,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 doc, feature = presence(w, word_features(w.vocab))
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(feature.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("positive"), lists],
-                                                 ["doc_id", "positive", "features"])
-
-    rows = sample.mapInArrow(features, "doc_id long, positive boolean, features array<int>").toArrow()
-    rows = rows.sort_by([("positive", "ascending"), ("doc_id", "ascending")])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("pick"), lists],
+                                                 ["doc_id", "pick", "features"])
+
+    def draw(rows: DataFrame, count: int, most: int) -> DataFrame:
+        """``most`` rows at most: those with the smallest picks."""
+        some = rows.filter(F.pmod("pick", F.lit(1 << 32)) < int((1 << 32) * min(1.0, DRAWN * most / max(count, 1))))
+        some = some.select("doc_id", "text", "pick").mapInArrow(features, "doc_id long, pick long, features array<int>")
+        return some.orderBy(F.pmod("pick", F.lit(1 << 32)), "pick").limit(most)
+
+    rows = draw(toxic, toxic.count(), MAX_POSITIVE).withColumn("positive", F.lit(True)).union(
+        draw(docs, n_docs, MAX_UNLABELLED).withColumn("positive", F.lit(False))).toArrow()
+    rows = rows.sort_by([("positive", "ascending"), ("doc_id", "ascending"), ("pick", "ascending")])
     lists = [np.asarray(x.values) for x in rows.column("features")]
     prior = min(max(n_toxic / n, 1e-4), 0.9)
     return fit(lists, rows.column("positive").to_numpy(), prior)

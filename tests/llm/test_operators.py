@@ -170,6 +170,24 @@ def test_toxicity_learns_and_handles_edges(spark, edge, empty):
     assert {r.score for r in toxicity.score_toxicity(edge, nothing).collect()} == {0.0}
 
 
+def test_toxicity_sample_is_bounded_with_repeated_ids(spark, monkeypatch):
+    """An id or null with a third of all rows is neither wholly in the sample nor wholly out."""
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 100)
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 300)
+    fitted = []
+    monkeypatch.setattr(toxicity, "fit", lambda docs, positive, prior: fitted.append((docs, positive)))
+    ids = [i for i in range(1, 40) if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT_FOLD]
+    for hot in (None, ids[0]):
+        rows = [(k + 1000, f"own word{k}") for k in range(2000)] + [(hot, "hot")] * 1000 + [(i, "toxic") for i in ids[1:]]
+        table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        marks = spark.createDataFrame([(i, 1) for i in ids] + [(1000, 0)], "doc_id long, toxic int")
+        toxicity.train(table, marks)
+        docs, positive = fitted.pop()
+        assert (~positive).sum() == 300 and positive.sum() == (len(ids) - 1 if hot is None else 100)
+        one_word = sum(len(d) == 1 for d, p in zip(docs, positive) if not p)
+        assert 60 < one_word < 180
+
+
 # 4 ------------------------------------------------------------------------------------
 
 def test_pack_is_best_fit():
