@@ -33,11 +33,11 @@ def _run(df) -> None:
 
 def headline(spark, sf_dir):
     """name -> zero-arg callable building the DataFrame."""
-    def li():
-        return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", run_ts=fixtures.RUN_TS)
+    def li(**kw):
+        return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", run_ts=fixtures.RUN_TS, **kw)
     return {
         # full chain over the lineitem stream: decode/validate -> gate -> demand -> price
-        "lineitem_dynamic_price_events": lambda: li().priced.select(
+        "lineitem_dynamic_price_events": lambda: li(shared=False).priced.select(
             "event_seq", "product_id", "demand", "new_price", "update_ts"),
         # history (base + dynamic + override) -> latest 50 per product
         "lineitem_price_history_topn": lambda: li().topn,

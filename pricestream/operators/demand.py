@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest, overrides
-from pricestream.operators.scan import CELL, carry_sum, running_sum
+from pricestream.operators.scan import CELL, WHOLE, Running, carries, running_sum
 from pricestream.session import materialize
 
 EVENT_ORDER = ("arrival_ts", "event_seq")
@@ -42,25 +42,29 @@ def running_demand(valid_events: DataFrame, order: Sequence[str] = EVENT_ORDER,
 
 
 def gated_demand(valid_events: DataFrame, effective: DataFrame, order: Sequence[str] = EVENT_ORDER,
-                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, keep: Sequence[str] | None = None) -> DataFrame:
+                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, keep: Sequence[str] | None = None,
+                 first: DataFrame | None = None, shared: bool = True) -> DataFrame:
     """Every valid event with its ``gate`` and the ``demand`` after it (operators 27, 36, 37),
     counted over the accepted events of its raw id.
 
-    The events are shuffled once, by the gate's cells; demand inside a cell is a window over the
-    same partitions. This is written once, and what earlier cells counted is added when it
-    is read. ``keep``: columns to write (default all).
+    The gate and the demand are windows over the same exchange. ``shared``: the result is written
+    once for several readers; it always is where an id was cut into cells, because what the earlier
+    cells counted is known only after the gate. ``keep``: columns to keep (default all). ``first``: see ``gate_events``.
     """
     assert tuple(order[:2]) == EVENT_ORDER, "order must start with arrival_ts, event_seq"
-    gated, cells = overrides.gate_events(with_weight(valid_events), effective, tuple(order[2:]), rows_per_cell)
+    gated, dealt = overrides.gate_events(with_weight(valid_events), effective, tuple(order[2:]), rows_per_cell, first)
     weight = F.when(F.col("gate").isNull(), F.col("w")).otherwise(F.lit(0).cast("bigint"))
     w = (Window.partitionBy(CELL, "__tid", "product_id").orderBy(*overrides.GATE_ORDER, *order[2:])
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = gated.withColumn("__w", weight).withColumn("demand", F.sum("__w").over(w))
     names = list(keep) if keep else [*valid_events.columns, *(["w"] if "w" not in valid_events.columns else [])]
-    local = materialize(local.select(*names, CELL, "__tid", "__w", "gate", "demand"), "gated_demand")
-    carry = cells.small(carry_sum(cells, local, "product_id", "__w", of="__tid"))
-    return (local.join(carry, [CELL, "product_id"], "left")
-            .withColumn("demand", (F.col("demand") + F.coalesce(F.col("__carry"), F.lit(0))).cast("bigint"))
+    if dealt.cut is None:
+        local = local.select(*names, "gate", "demand")
+        return materialize(local, "gated_demand") if shared else local
+    local = materialize(local.select(*names, CELL, "__w", "gate", "demand"), "gated_demand")
+    before = carries(local.where(F.col(CELL) != WHOLE), ["product_id"], (), __w=Running("sum", "__w"))
+    return (local.join(before, [CELL, "product_id"], "left")
+            .withColumn("demand", (F.col("demand") + F.coalesce(F.col("__from___w"), F.lit(0))).cast("bigint"))
             .select(*names, "gate", "demand"))
 
 

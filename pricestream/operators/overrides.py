@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pricestream import constants as K
 from pricestream.functions import exprs as X
 from pricestream.operators import ingest
-from pricestream.operators.scan import CELL, Cells, carry_last, running_last
+from pricestream.operators.scan import CELL, Dealt, Running, deal, running_last, scan
 
 NEVER = "0001-01-01 00:00:00"
 
@@ -34,14 +34,14 @@ def known_since(catalog: DataFrame, valid_events: DataFrame, first: DataFrame |
     """
     seeded = catalog.select("product_id", F.lit(NEVER).cast("timestamp").alias("since"))
     first = first if first is not None else first_seen(valid_events)
-    return seeded.unionByName(first).groupBy("product_id").agg(F.min("since").alias("since"))
+    return seeded.unionByName(first.select("product_id", "since")).groupBy("product_id").agg(F.min("since").alias("since"))
 
 
 def first_seen(valid_events: DataFrame) -> DataFrame:
-    """product_id (raw), since = first valid arrival. A partial+final min aggregate;
-    the known-product check and the gate's id variants share it (same plan, one
-    exchange)."""
-    return valid_events.groupBy("product_id").agg(F.min("arrival_ts").alias("since"))
+    """product_id (raw), since = first valid arrival, n = valid events. One aggregate, added
+    up before the shuffle, for the known-product check and for the keys that the gate has to cut."""
+    return valid_events.groupBy("product_id").agg(F.min("arrival_ts").alias("since"),
+                                                  F.count(F.lit(1)).alias("n"))
 
 
 def known_product_commands(valid_commands: DataFrame, known: DataFrame) -> DataFrame:
@@ -64,8 +64,9 @@ def effective_commands(commands: DataFrame, catalog: DataFrame, valid_events: Da
     sets = known_product_commands(valid, known_since(catalog, valid_events, first))
     removes = valid.where(F.col("op") == K.OP_REMOVE)
     both = sets.unionByName(removes)
+    counts = valid.groupBy("product_id").agg(F.count(F.lit(1)).alias("__n"))  # sets of unknown products too
     prev = running_last(both, "product_id", ["cmd_ts", "cmd_seq"], "op", "__prev_op", inclusive=False,
-                        rows_per_cell=rows_per_cell)
+                        rows_per_cell=rows_per_cell, counts=counts)
     keep = (F.col("op") == K.OP_SET) | (F.col("__prev_op") == K.OP_SET)
     return prev.where(keep).drop("__prev_op")
 
@@ -127,24 +128,14 @@ def override_intervals(effective: DataFrame, rows_per_cell: int = K.DEFAULT_ROWS
     """Operator 35: active episodes (product_id, set_at, removed_at; null = open).
 
     An episode starts at an effective set whose previous effective command is not
-    a set, and ends at the next effective remove. Starts and removes alternate,
-    so the end is the nearest later removal: an ordered scan in reverse time.
+    a set, and ends at the next effective remove: both from one ordered scan.
     """
-    prev = running_last(effective, "product_id", ["cmd_ts", "cmd_seq"], "op", "__prev", inclusive=False,
-                        rows_per_cell=rows_per_cell)
+    marked = effective.withColumn("__end", F.when(F.col("op") == K.OP_REMOVE, F.col("cmd_ts")))
+    done = scan(deal(marked, "product_id", ["cmd_ts", "cmd_seq"], rows_per_cell),
+                __prev=Running("last", "op", inclusive=False), __next_end=Running("next", "__end"))
     is_start = (F.col("op") == K.OP_SET) & (F.coalesce(F.col("__prev"), F.lit("")) != K.OP_SET)
-    is_end = F.col("op") == K.OP_REMOVE
-    marks = prev.where(is_start | is_end).select(
-        "product_id", "cmd_ts",
-        (-F.unix_micros(F.col("cmd_ts").cast("timestamp"))).alias("__rt"),
-        (-F.col("cmd_seq")).alias("__rs"),
-        F.when(is_end, F.col("cmd_ts")).alias("__end"),
-        is_start.alias("__start"))
-    nxt = running_last(marks, "product_id", ["__rt", "__rs"], "__end", "__next_end", inclusive=False,
-                       rows_per_cell=rows_per_cell)
-    return (nxt.where("__start")
-               .select("product_id", F.col("cmd_ts").alias("set_at"),
-                       F.col("__next_end").alias("removed_at")))
+    return (done.where(is_start)
+                .select("product_id", F.col("cmd_ts").alias("set_at"), F.col("__next_end").alias("removed_at")))
 
 
 def override_history_points(effective: DataFrame) -> DataFrame:
@@ -159,16 +150,15 @@ GATE_ORDER = ("__ts", "__kind", "__seq")
 
 
 def gate_events(valid_events: DataFrame, effective: DataFrame, tie_break: tuple[str, ...] = (),
-                rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> tuple[DataFrame, Cells]:
+                rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, first: DataFrame | None = None) -> tuple[DataFrame, Dealt]:
     """Operators 36 + 37: tag each valid event with ``gate`` in
-    {null (accepted), 'override_active', 'stale_after_removal'}; also returns the cells.
+    {null (accepted), 'override_active', 'stale_after_removal'}; also returns the dealt rows.
 
     As-of lookup by union + ordered scan over the trimmed id: events and commands are
     ordered by (time, commands first, seq, *tie_break), each event carries the last
-    command before it. Rows are dealt into cells once; a cell's starting command comes from
-    the command log alone (events carry none), so the gate is complete inside the cells.
-    The output keeps ``__cell``, ``__tid`` and the order columns, and its
-    partitioning, for the demand scan.
+    command before it. The output keeps ``__cell``, ``__tid`` and the order columns, and its
+    partitioning by (cell, trimmed id), for the demand scan. ``first``: the table of ``first_seen``,
+    whose counts say which ids have to be cut (else they are counted here).
 
     A command's ``gate_ms``, where it has one, is the removal time that counts
     (a removal carried over from an earlier micro-batch).
@@ -187,16 +177,14 @@ def gate_events(valid_events: DataFrame, effective: DataFrame, tie_break: tuple[
         *(F.lit(0).cast(valid_events.schema[c].dataType).alias(c) for c in tie_break),
         F.col("product_id").alias("__tid"), F.col("cmd_ts").alias("__ts"), F.lit(K.KIND_COMMAND).alias("__kind"),
         F.col("cmd_seq").alias("__seq"), F.struct(F.col("op").alias("op"), ms.alias("ms")).alias("__cmd"))
-    cells = Cells.of(ev, "__tid", order, rows_per_cell)
-    start = carry_last(cells, cmd.withColumn(CELL, cells.number(cmd)), "__tid", "__cmd", order)
-    u = cells.deal(ev.unionByName(cmd))
-    w = Window.partitionBy(CELL, "__tid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = (u.withColumn("__last", F.last("__cmd", ignorenulls=True).over(w))
-               .where(F.col("__kind") == K.KIND_EVENT)
-               .join(cells.small(start), [CELL, "__tid"], "left")
-               .withColumn("__last", F.coalesce(F.col("__last"), F.col("__carry"))))
+    per_id = first if first is not None else first_seen(valid_events)
+    per_id = per_id.select(X.trim_unicode(F.col("product_id")).alias("__tid"), "n").unionByName(
+        effective.select(F.col("product_id").alias("__tid"), F.lit(1).cast("bigint").alias("n")))
+    counts = per_id.groupBy("__tid").agg(F.sum("n").alias("__n"))
+    dealt = deal(ev.unionByName(cmd), "__tid", order, rows_per_cell, counts)
+    scanned = scan(dealt, __last=Running("last", "__cmd")).where(F.col("__kind") == K.KIND_EVENT)
     ev_ms = X.normalize_event_ms(F.col("timestamp"))
     gate = (F.when(F.col("__last.op") == K.OP_SET, F.lit("override_active"))
             .when((F.col("__last.op") == K.OP_REMOVE) & (ev_ms <= F.col("__last.ms")),
                   F.lit("stale_after_removal")))
-    return scanned.select(*cols, CELL, "__tid", *GATE_ORDER, gate.alias("gate")), cells
+    return scanned.select(*cols, CELL, "__tid", *GATE_ORDER, gate.alias("gate")), dealt

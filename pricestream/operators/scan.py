@@ -1,168 +1,135 @@
-"""Skew-safe ordered scans per key: running sum and "last non-null value so far".
-
-A plain ``Window.partitionBy(key).orderBy(t)`` puts all rows of a key into one
-task. Here the rows are cut into cells: ranges of (key, order columns) with about
-equal numbers of rows, whose bounds come from a sample, as in a range
-partitioning. A key with many rows is many cells, whether its rows lie in one
-second or in a year; many small keys share a cell. The plan is the same at
-every size:
-
-1. each row gets the number of its cell (a binary search in the bounds) and is
-   shuffled once by it; the running value inside (cell, key) is a window that
-   needs no further shuffle;
-2. a cell continues at most one key of the cells before it, so the carry-in is
-   one small row per cell, from the cells' totals, joined to the rows.
-
-The result equals a plain running window over the key (tests check this).
+"""Skew-safe ordered scans per key: running sum, last value before, first value after.
+
+A plain ``Window.partitionBy(key).orderBy(t)`` puts all rows of a key into one task. That
+is right for keys of up to ``rows_per_cell`` rows. A longer key is cut into cells first:
+Spark's own range exchange deals its rows by (key, order), the number of the range is the cell,
+and the dealt rows are written once so that cells stay what they are. All other rows have the
+cell ``WHOLE``. From there on one plan serves both: a window by (cell, key) after one hash
+exchange, and, where a key has several cells, one small row per (cell, key) with what the
+other cells of the key pass on.
+
+Rows of ordinary keys are shuffled once and never sampled; rows of a long key are shuffled
+twice, whether they lie in one second or in a year. The result equals a plain window over the
+key (tests check this). A null key is a key like any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
+from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricestream import constants as K
-from pricestream.session import materialize, ship_package
+from pricestream.session import materialize
 
 CELL = "__cell"
-_UNB = Window.unboundedPreceding
-
-
-def _order_number(df: DataFrame, col: str) -> Column:
-    """An order column as a long (timestamps in microseconds)."""
-    if isinstance(df.schema[col].dataType, T.TimestampType):
-        return F.unix_micros(F.col(col))
-    return F.col(col).cast("bigint")
-
-
-class Cells:
-    """Ranges of (key, *order) of a frame, given by their lower bounds (cell 0 has none).
-
-    Correct for any bounds; the sample only decides how even the cells are. At most
-    ``MAX_CELLS`` bounds are held by the driver."""
-
-    SAMPLE_PER_CELL = 20
-    MAX_CELLS = 100_000
-
-    def __init__(self, bounds: list[tuple], key: str, order: Sequence[str]):
-        self.bounds, self.key, self.order = bounds, key, list(order)
-
-    @property
-    def count(self) -> int:
-        return len(self.bounds) + 1
-
-    @classmethod
-    def of(cls, df: DataFrame, key: str, order: Sequence[str], rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> "Cells":
-        least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = df.count()
-        n = min(cls.MAX_CELLS, max(least, -(-rows // rows_per_cell)))
-        share = min(1.0, cls.SAMPLE_PER_CELL * n / max(rows, 1))
-        keys = df.select(key, *[_order_number(df, c).alias(c) for c in order])
-        sample = sorted(tuple(r) for r in keys.sample(share, seed=1).collect())
-        bounds = sorted({sample[i * len(sample) // n] for i in range(1, n)}) if sample else []
-        return cls(bounds, key, order)
-
-    def number(self, df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-        """Cell of each row of ``df``; ``columns``: its names for the order columns."""
-        ship_package(df.sparkSession)
-        keys = np.array([b[0] for b in self.bounds], dtype=object)
-        orders = np.array([b[1:] for b in self.bounds], np.int64).reshape(len(self.bounds), len(self.order))
-
-        def find(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-            for batch in batches:
-                yield pd.Series(_places(keys, orders, batch[0], np.column_stack([s.to_numpy(np.int64) for s in batch[1:]])))
-
-        names = list(columns or self.order)
-        return F.pandas_udf(find, "int")(F.col(self.key), *[_order_number(df, c) for c in names])
-
-    def deal(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-        """``df`` with ``__cell``, shuffled by it."""
-        return df.withColumn(CELL, self.number(df, columns)).repartition(self.count, CELL)
-
-    def small(self, df: DataFrame) -> DataFrame:
-        """Marks a table of at most one row per cell (or per id variant in it) for broadcast;
-        the number of cells is bounded by MAX_CELLS."""
-        return F.broadcast(df)
-
-    def lows(self, spark) -> DataFrame:
-        """__cell, key of the first row of each cell but the first."""
-        rows = [(i + 1, b[0]) for i, b in enumerate(self.bounds)]
-        return spark.createDataFrame(rows, f"{CELL} int, `{self.key}` string")
-
-
-def _places(keys: np.ndarray, orders: np.ndarray, key: pd.Series, order: np.ndarray) -> np.ndarray:
-    """Number of bounds at or below each row, comparing (key, *order)."""
-    code, unique = pd.factorize(key)
-    low = np.searchsorted(keys, unique.to_numpy(dtype=object) if hasattr(unique, "to_numpy") else unique, "left")
-    high = np.searchsorted(keys, unique.to_numpy(dtype=object) if hasattr(unique, "to_numpy") else unique, "right")
-    out = low[code].astype(np.int32)
-    split = np.flatnonzero((high > low)[code])
-    if len(split):
-        # rows of keys with bounds among them: merge rows and these bounds in order
-        used = np.unique(code[split])
-        at = np.concatenate([np.arange(low[u], high[u]) for u in used])
-        owner = np.concatenate([np.full(high[u] - low[u], u) for u in used])
-        who = np.concatenate((owner, code[split]))
-        values = np.concatenate((orders[at], order[split]))
-        is_bound = np.arange(len(who)) < len(at)
-        by = np.lexsort((~is_bound, *values.T[::-1], who))
-        seen = np.empty(len(by), np.int64)
-        seen[by] = np.cumsum(is_bound[by])
-        before = dict(zip(used.tolist(), (np.cumsum([0, *[high[u] - low[u] for u in used[:-1]]])).tolist()))
-        out[split] += (seen[len(at):] - np.array([before[c] for c in code[split].tolist()])).astype(np.int32)
-    return out
-
-
-def carry_sum(cells: Cells, dealt: DataFrame, key: str, value: str, of: str | None = None) -> DataFrame:
-    """__cell, ``key``, __carry: sum of ``value`` in all earlier cells, for keys that may
-    go on from one cell to the next. ``of``: the column that the cells are ranges of."""
-    of = of or key
-    going_on = cells.lows(dealt.sparkSession).select(F.col(cells.key).alias(of)).distinct()
-    keys = [of] if of == key else [of, key]
-    total = dealt.join(cells.small(going_on), of, "left_semi").groupBy(CELL, *keys).agg(F.sum(value).alias("__t"))
-    w = Window.partitionBy(key).orderBy(CELL).rowsBetween(_UNB, -1)
-    return total.select(CELL, key, F.sum("__t").over(w).alias("__carry")).where(F.col("__carry").isNotNull())
-
-
-def carry_last(cells: Cells, dealt: DataFrame, key: str, value: str, order: Sequence[str]) -> DataFrame:
-    """__cell, ``key``, __carry: the last non-null ``value`` of the cell's first key in
-    all earlier cells. ``dealt`` needs only the rows that have a value."""
-    lows = cells.lows(dealt.sparkSession).select(CELL, F.col(cells.key).alias(key))
-    last = (dealt.where(F.col(value).isNotNull())
-            .join(cells.small(lows.select(key).distinct()), key, "left_semi")
-            .groupBy(CELL, key).agg(F.max_by(value, F.struct(*order)).alias("__v")))
-    both = last.select(CELL, key, "__v", F.lit(False).alias("__low")).unionByName(
-        lows.select(CELL, key, F.lit(None).cast(last.schema["__v"].dataType).alias("__v"), F.lit(True).alias("__low")))
-    w = Window.partitionBy(key).orderBy(CELL).rangeBetween(_UNB, -1)
-    return (both.select(CELL, key, "__low", F.last("__v", ignorenulls=True).over(w).alias("__carry"))
-            .where(F.col("__low") & F.col("__carry").isNotNull()).select(CELL, key, "__carry"))
+#: Cell of the rows of keys that are not cut.
+WHOLE = -1
+_START, _END, _HERE = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
+
+
+class Running(NamedTuple):
+    """A running value: ``sum`` of a column up to and with this row, its ``last`` non-null value so far (with
+    this row if ``inclusive``), or its ``next`` non-null value after this row."""
+
+    kind: str
+    value: str
+    inclusive: bool = True
+
+    def local(self, w) -> Column:
+        if self.kind == "next":
+            return F.first(self.value, ignorenulls=True).over(w.rowsBetween(1, _END))
+        w = w.rowsBetween(_START, _HERE if self.inclusive else -1)
+        return F.sum(self.value).over(w) if self.kind == "sum" else F.last(self.value, ignorenulls=True).over(w)
+
+    def of_cell(self, order: Sequence[str]) -> Column:
+        """What a cell passes on, as an aggregate over its rows."""
+        if self.kind == "sum":
+            return F.sum(self.value)
+        pick = F.max_by if self.kind == "last" else F.min_by
+        return pick(self.value, F.when(F.col(self.value).isNotNull(), F.struct(*order)))
+
+    def from_others(self, w, column: str) -> Column:
+        """What the other cells of the key pass on to a cell."""
+        if self.kind == "next":
+            return F.first(column, ignorenulls=True).over(w.rowsBetween(1, _END))
+        w = w.rowsBetween(_START, -1)
+        return F.sum(column).over(w) if self.kind == "sum" else F.last(column, ignorenulls=True).over(w)
+
+    def both(self, local: Column, other: Column) -> Column:
+        return local + F.coalesce(other, F.lit(0)) if self.kind == "sum" else F.coalesce(local, other)
+
+
+class Dealt(NamedTuple):
+    """Rows with ``__cell``; ``cut`` is the written table of the cut keys' rows, None if no key is cut."""
+
+    rows: DataFrame
+    cut: DataFrame | None
+    key: str
+    order: tuple[str, ...]
+
+
+def deal(df: DataFrame, key: str, order: Sequence[str], rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
+         counts: DataFrame | None = None) -> Dealt:
+    """``df`` with its cells. ``counts`` (``key``, __n): rows of each key, or at least as many, where
+    they are known already; else they are counted (pre-aggregated before the shuffle)."""
+    if counts is None:
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    long = counts.where(F.col("__n") > rows_per_cell)  # at most (all rows / rows_per_cell) keys
+    rows = long.agg(F.sum("__n")).first()[0]
+    if not rows:
+        return Dealt(df.withColumn(CELL, F.lit(WHOLE)), None, key, tuple(order))
+    long = materialize(long, "long_keys")
+    ranges = -(-rows // rows_per_cell)
+    cut = (_match(df, long.select(key), [key], "left_semi").repartitionByRange(ranges, key, *order)
+           .withColumn(CELL, F.spark_partition_id()))
+    cut = materialize(cut, "cells")
+    rest = _match(df, long.select(key), [key], "left_anti").withColumn(CELL, F.lit(WHOLE))
+    return Dealt(rest.unionByName(cut), cut, key, tuple(order))
+
+
+def scan(dealt: Dealt, **values: Running) -> DataFrame:
+    """The dealt rows with a column for each running value; partitioned by (cell, key)."""
+    w = Window.partitionBy(CELL, dealt.key).orderBy(*dealt.order)
+    rows = dealt.rows
+    columns = [*rows.columns, *values]
+    for name, v in values.items():
+        rows = rows.withColumn(name, v.local(w))
+    if dealt.cut is None:
+        return rows
+    rows = _match(rows, carries(dealt.cut, [dealt.key], dealt.order, **values), [CELL, dealt.key], "left")
+    for name, v in values.items():
+        rows = rows.withColumn(name, v.both(F.col(name), F.col(f"__from_{name}")))
+    return rows.select(*columns)
+
+
+def carries(cut: DataFrame, keys: Sequence[str], order: Sequence[str], **values: Running) -> DataFrame:
+    """__cell, ``keys`` and, for each running value, __from_NAME: what the key's other cells pass on. One row per
+    cell and key, added up before the shuffle."""
+    parts = cut.groupBy(CELL, *keys).agg(*[v.of_cell(order).alias(f"__cell_{n}") for n, v in values.items()])
+    w = Window.partitionBy(*keys).orderBy(CELL)
+    return parts.select(CELL, *keys, *[v.from_others(w, f"__cell_{n}").alias(f"__from_{n}") for n, v in values.items()])
+
+
+def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """An equi-join on ``keys`` in which nulls are equal; the right side's keys go."""
+    right = right.select(*[F.col(c).alias(f"__r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = reduce(Column.__and__, [left[c].eqNullSafe(right[f"__r_{c}"]) for c in keys])
+    return left.join(right, on, how).drop(*[f"__r_{c}" for c in keys])
 
 
 def running_sum(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
     """``out`` = sum of ``value`` over all earlier rows and this row of the key, in ``order``."""
-    cells = Cells.of(df, key, order, rows_per_cell)
-    w = Window.partitionBy(CELL, key).orderBy(*order).rowsBetween(_UNB, Window.currentRow)
-    local = materialize(cells.deal(df).withColumn(out, F.sum(value).over(w)), "running_sum")
-    carry = cells.small(carry_sum(cells, local, key, value))
-    return (local.join(carry, [CELL, key], "left")
-            .withColumn(out, F.col(out) + F.coalesce(F.col("__carry"), F.lit(0))).drop("__carry", CELL)
-            .select(*df.columns, out))
+    return scan(deal(df, key, order, rows_per_cell), **{out: Running("sum", value)}).select(*df.columns, out)
 
 
-def running_last(df: DataFrame, key: str, order: Sequence[str], value: str, out: str,
-                 inclusive: bool = True, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL) -> DataFrame:
+def running_last(df: DataFrame, key: str, order: Sequence[str], value: str, out: str, inclusive: bool = True,
+                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, counts: DataFrame | None = None) -> DataFrame:
     """``out`` = the last non-null ``value`` among earlier rows of the key (and
-    this row when ``inclusive``), in ``order``."""
-    cells = Cells.of(df, key, order, rows_per_cell)
-    w = Window.partitionBy(CELL, key).orderBy(*order).rowsBetween(_UNB, Window.currentRow if inclusive else -1)
-    local = materialize(cells.deal(df).withColumn(out, F.last(value, ignorenulls=True).over(w)), "running_last")
-    carry = cells.small(carry_last(cells, local, key, value, order))
-    return (local.join(carry, [CELL, key], "left")
-            .withColumn(out, F.coalesce(F.col(out), F.col("__carry"))).drop("__carry", CELL)
-            .select(*df.columns, out))
+    this row when ``inclusive``), in ``order``. ``counts``: see ``deal``."""
+    done = scan(deal(df, key, order, rows_per_cell, counts), **{out: Running("last", value, inclusive)})
+    return done.select(*df.columns, out)

@@ -1,8 +1,8 @@
 """The batch pricing plan: inputs -> accepted events -> state, history, views.
 
-``PricingPlan`` wires DataFrames together. The ordered scans (``operators.scan``) run
-their jobs while the plan is built: a count and a bounded sample for the cell
-bounds, and the write of the scanned table that all outputs read.
+``PricingPlan`` wires DataFrames together. While it is built it writes what several
+outputs read: the per-product table (first seen, number of events), the effective commands and the
+gated events.
 """
 
 from __future__ import annotations
@@ -31,15 +31,15 @@ class PricingPlan:
 
     - ``order``: arrival order of events, (arrival_ts, event_seq, *tie-breaks);
     - ``rows_per_cell``: target rows per cell of the ordered scans;
-    - ``run_ts``: time of base history rows for products without history (default: now).
+    - ``run_ts``: time of base history rows for products without history (default: now);
+    - ``shared``: gated events are written once for several outputs (False: one output only).
 
-    Tables that several outputs read (effective commands, gated events) are written
-    once under ``spark.checkpoint.dir``.
+    Tables that several outputs read are written once under ``spark.checkpoint.dir``.
     """
 
     def __init__(self, events: DataFrame, commands: DataFrame, catalog: DataFrame,
                  run_ts: str | None = None, order: Sequence[str] = demand.EVENT_ORDER, history_limit=50,
-                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL):
+                 rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL, shared: bool = True):
         self.events = events
         self.commands = commands
         self.catalog = catalog
@@ -47,6 +47,7 @@ class PricingPlan:
         self.order = tuple(order)
         self.history_limit = history_limit
         self.rows_per_cell = rows_per_cell
+        self.shared = shared
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, stream: str = "events", **kw) -> "PricingPlan":
@@ -62,18 +63,19 @@ class PricingPlan:
 
     @cached_property
     def first_seen(self) -> DataFrame:
-        """product_id, since: first valid arrival per raw id (known products)."""
-        return overrides.first_seen(self.valid)
+        """product_id, since, n: first valid arrival and number of valid events per raw id."""
+        return materialize(overrides.first_seen(self.valid), "first_seen")
 
     @cached_property
     def effective(self) -> DataFrame:
-        # reads the table that the scan for the previous command has written
-        return overrides.effective_commands(self.commands, self.catalog, self.valid, self.first_seen, self.rows_per_cell)
+        return materialize(overrides.effective_commands(self.commands, self.catalog, self.valid, self.first_seen,
+                                                        self.rows_per_cell), "effective")
 
     @cached_property
     def gated(self) -> DataFrame:
         """Every valid event with gate and demand (what history, state and views read of it)."""
-        return demand.gated_demand(self.valid, self.effective, self.order, self.rows_per_cell, EVENT_COLUMNS)
+        return demand.gated_demand(self.valid, self.effective, self.order, self.rows_per_cell, EVENT_COLUMNS,
+                                   self.first_seen, self.shared)
 
     @cached_property
     def priced(self) -> DataFrame:

@@ -37,9 +37,9 @@ def registry() -> dict[str, Query]:
     return dict(_REGISTRY)
 
 
-def _plan(spark: SparkSession, sf_dir: str) -> PricingPlan:
+def _plan(spark: SparkSession, sf_dir: str, **kw) -> PricingPlan:
     """The batch plan over the events fixture."""
-    return PricingPlan.from_tables(spark, sf_dir, run_ts=fixtures.RUN_TS)
+    return PricingPlan.from_tables(spark, sf_dir, run_ts=fixtures.RUN_TS, **kw)
 
 
 def price_updates_json(spark: SparkSession, sf_dir: str, plan: PricingPlan | None = None) -> DataFrame:
@@ -222,7 +222,7 @@ def demand_totals(spark, sf_dir):
 
 @query
 def dynamic_price_events(spark, sf_dir):
-    return _plan(spark, sf_dir).priced.select("event_seq", "product_id", "demand", "new_price", "update_ts")
+    return _plan(spark, sf_dir, shared=False).priced.select("event_seq", "product_id", "demand", "new_price", "update_ts")
 
 
 @query
@@ -270,13 +270,13 @@ def override_intervals(spark, sf_dir):
 
 @query
 def gate_override_active(spark, sf_dir):
-    return (_plan(spark, sf_dir).gated.where(F.col("gate") == "override_active")
+    return (_plan(spark, sf_dir, shared=False).gated.where(F.col("gate") == "override_active")
             .select("event_seq", "product_id"))
 
 
 @query
 def gate_stale_after_removal(spark, sf_dir):
-    return (_plan(spark, sf_dir).gated.where(F.col("gate") == "stale_after_removal")
+    return (_plan(spark, sf_dir, shared=False).gated.where(F.col("gate") == "stale_after_removal")
             .select("event_seq", "product_id"))
 
 
@@ -423,13 +423,13 @@ def stream_rejected_events(spark, sf_dir):
 
 # --- the larger stream (lineitem) ------------------------------------------------------
 
-def _lineitem(spark, sf_dir) -> PricingPlan:
-    return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", run_ts=fixtures.RUN_TS)
+def _lineitem(spark, sf_dir, **kw) -> PricingPlan:
+    return PricingPlan.from_tables(spark, sf_dir, stream="lineitem", run_ts=fixtures.RUN_TS, **kw)
 
 
 @query
 def lineitem_dynamic_price_events(spark, sf_dir):
-    return _lineitem(spark, sf_dir).priced.select("event_seq", "product_id", "demand", "new_price", "update_ts")
+    return _lineitem(spark, sf_dir, shared=False).priced.select("event_seq", "product_id", "demand", "new_price", "update_ts")
 
 
 @query

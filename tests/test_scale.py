@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pricestream.operators import demand, ingest
-from pricestream.operators.scan import CELL, Cells, running_last, running_sum
+from pricestream.operators.scan import CELL, WHOLE, deal, running_last, running_sum
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
 
@@ -47,8 +47,7 @@ def test_cells_split_a_burst_evenly(spark):
     t = dt.datetime(2024, 1, 1)
     ev = spark.range(20_000).select(F.lit("P1").alias("product_id"), F.lit(t).alias("arrival_ts"),
                                     F.col("id").alias("event_seq"), F.lit(1).cast("bigint").alias("w"))
-    cells = Cells.of(ev, "product_id", ORDER, rows_per_cell=1000)
-    sizes = [r["count"] for r in cells.deal(ev).groupBy(CELL).count().collect()]
+    sizes = [r["count"] for r in deal(ev, "product_id", ORDER, rows_per_cell=1000).cut.groupBy(CELL).count().collect()]
     assert 15 <= len(sizes) <= 20 and max(sizes) < 2500
     d = running_sum(ev, "product_id", ORDER, "w", "d", 1000)
     assert d.where("d <> event_seq + 1").count() == 0
@@ -74,15 +73,41 @@ def _plan_text(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _exchanges(df):
+    """Exchanges of the executed plan, by kind."""
+    df.write.format("noop").mode("overwrite").save()
+    text = _plan_text(df)
+    return text.count("Exchange hashpartitioning"), text.count("Exchange rangepartitioning"), text
+
+
 def test_event_side_is_shuffled_once(spark):
-    from pricestream.operators import overrides
-    p = PricingPlan.from_tables(spark, SF01, stream="lineitem")
-    gated, _ = overrides.gate_events(demand.with_weight(p.valid), p.effective, p.order[2:])
-    w = Window.partitionBy(CELL, "__tid", "product_id").orderBy(*overrides.GATE_ORDER)
-    text = _plan_text(gated.withColumn("d", F.sum("w").over(w)))
-    # the gate and the demand read one shuffle of the events; carries are broadcast
-    assert text.count("REPARTITION_BY_NUM") == 1
-    assert "SortMergeJoin [__cell" not in text
+    p = PricingPlan.from_tables(spark, SF01, stream="lineitem", shared=False)
+    p.effective
+    hashed, ranged, text = _exchanges(p.priced.select("event_seq", "demand", "new_price"))
+    # the gate and the demand read one exchange; no Python and no sample on the way
+    assert (hashed, ranged) == (1, 0)
+    assert "Python" not in text and "Arrow" not in text
+
+
+def test_only_long_keys_are_cut(spark):
+    t = dt.datetime(2024, 1, 1)
+    pid = F.when(F.col("id") < 5000, F.lit("HOT")).otherwise(F.concat(F.lit("P"), F.col("id") % 100))
+    ev = spark.range(10_000).select(pid.alias("product_id"), F.lit(t).alias("arrival_ts"),
+                                    F.col("id").alias("event_seq"), F.lit(1).cast("bigint").alias("w"))
+    d = deal(ev, "product_id", ORDER, rows_per_cell=500)
+    assert d.cut.select("product_id").distinct().collect() == [("HOT",)] and d.cut.count() == 5000
+    assert d.rows.count() == 10_000 and d.rows.where(F.col(CELL) == WHOLE).count() == 5000
+    out = running_sum(ev, "product_id", ORDER, "w", "d", 500)
+    assert out.where("product_id = 'HOT' AND d <> event_seq + 1").count() == 0
+    assert out.where("product_id <> 'HOT'").agg(F.max("d")).first()[0] == 50
+
+
+def test_a_null_key_is_a_key(spark):
+    t = dt.datetime(2024, 1, 1)
+    ev = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.lit("A")).alias("product_id"), F.lit(t).alias("arrival_ts"),
+                                 F.col("id").alias("event_seq"), F.lit(1).cast("bigint").alias("w"))
+    a = ev.withColumn("d", F.sum("w").over(plain())).select("event_seq", "d")
+    assert same(a, running_sum(ev, "product_id", ORDER, "w", "d", 100).select("event_seq", "d"))
 
 
 def test_running_demand_equals_plain_window(spark):
