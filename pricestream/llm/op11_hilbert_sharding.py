@@ -105,13 +105,13 @@ def quantised(df: DataFrame, dims: Sequence[str], bits: int) -> Column:
     numbers = [_number(df, c, skip.get(c, 0)) for c in dims]
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
     row = df.agg(*[F.percentile_approx(n, shares, ACCURACY) for n in numbers]).first()
-    bounds = [np.array(sorted(set(b or []))) for b in row]  # at most 2 ** bits a dimension
+    bounds = [np.array(sorted(b or [])) for b in row]  # at most 2 ** bits a dimension
 
     def cell(*values: pa.Array) -> pa.Array:
         out = np.zeros(len(values[0]), np.int32)
         for i, (v, b) in enumerate(zip(values, bounds)):
             if len(b):
-                # the number of bounds below the value: a value with many rows has one level of its own
+                # the number of bounds below the value: few values are spread over all levels too
                 level = np.searchsorted(b, v.fill_null(b[0].item()).to_numpy(zero_copy_only=False))
                 out += (level << bits * i).astype(np.int32)
         return pa.array(out)

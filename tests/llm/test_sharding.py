@@ -23,9 +23,9 @@ def test_curve_visits_every_point_by_single_steps(dims, bits):
 
 
 def levels(values, bits):
-    """Number of distinct percentile values below each value; a percentile is the least value with its share at or below."""
+    """Number of percentiles below each value; a percentile is the least value with its share at or below."""
     known = sorted(v for v in values if v is not None)
-    bounds = {known[max(0, -(-k * len(known) >> bits) - 1)] for k in range(1, 1 << bits)} if known else set()
+    bounds = [known[max(0, -(-k * len(known) >> bits) - 1)] for k in range(1, 1 << bits)] if known else []
     return [0 if v is None else sum(v > b for b in bounds) for v in values]
 
 
