@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ("op1_token_codes", "op2_lm_scoring", "op3_toxicity", "op4_best_fit_packing", "op5_substring_dedup", "op6_html_extraction", "op7_fingerprints", "op8_simhash_dedup", "op9_quality_rules", "op10_bpe",
-            "op11_hilbert_sharding", "op13_tokenizer_alignment")
+            "op11_hilbert_sharding", "op12_structure_repair", "op13_tokenizer_alignment")
 
 
 def _load():
