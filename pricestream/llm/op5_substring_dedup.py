@@ -20,6 +20,8 @@ they share an aligned anchor. Three steps over blocks of whole documents
 The documents are shuffled once; the three steps read the same exchange. No pairs are
 made: a passage that a third of the corpus shares is one entry per block.
 
+The kept words' white space stays as it was in a text that loses some, and other texts stay as they are.
+
 Edge cases: a null text has no words and stays null; an empty or short text is kept.
 Null ids come before all others. Rows with the same id are ordered by block and a hash
 of their text; wholly equal rows are in one block and the first met is the earlier one. An empty
@@ -28,6 +30,8 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -70,10 +74,11 @@ def _anchors(w: W.Words, word_hash: np.ndarray, size: int, period: int, cover) -
     return at, W.window_hashes(word_hash, size)[at] if len(at) else np.empty(0, np.uint64)
 
 
-def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     window: int = WINDOW, period: int = PERIOD, cover: tuple = COVER) -> DataFrame:
-    """``df`` with the repeated words removed from its text (kept words joined by one space),
-    and the columns n_words and n_removed (long)."""
+def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
+                     period: int = PERIOD, cover: tuple = COVER, keep_spaces: bool = True) -> DataFrame:
+    """``df`` with the repeated words removed from its text, and the columns n_words and n_removed (long).
+    White space between kept words stays as it is (see ``without_words``), and a text that loses no word is
+    not touched; without ``keep_spaces`` kept words are joined by one space in every text."""
     if not 0 < period <= window or {(a - b) % period for a in cover for b in cover} != set(range(period)):
         raise ValueError("cover must be a difference cover modulo period, and period at most window")
     size = window - period + 1
@@ -186,12 +191,19 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             np.add.at(gone, repeats + window, -1)
         keep = np.cumsum(gone)[:-1] == 0
         before = np.concatenate(([0], np.cumsum(keep)))
-        kept = pa.LargeListArray.from_arrays(before[w.offsets], w.vocab.take(pa.array(w.codes[keep])))
-        text = pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(pa.string())
-        text = pc.if_else(pc.is_null(tab.column("text").combine_chunks()), pa.scalar(None, pa.string()), text)
         n_words = np.diff(w.offsets)
-        return table(doc_id=tab.column("doc_id"), text=text, rest=tab.column("rest"),
-                     n_words=n_words, n_removed=n_words - np.diff(before[w.offsets]))
+        n_removed = n_words - np.diff(before[w.offsets])
+        if keep_spaces:
+            whole = tab.column("text").combine_chunks().cast(pa.string())
+            changed = n_removed > 0
+            parts = [without_words(t, keep[w.offsets[i]:w.offsets[i + 1]]) for i, t in zip(
+                np.flatnonzero(changed), texts.filter(pa.array(changed)).to_pylist())]
+            text = pc.replace_with_mask(whole, pa.array(changed), pa.array(parts, pa.string()))
+        else:
+            kept = pa.LargeListArray.from_arrays(before[w.offsets], w.vocab.take(pa.array(w.codes[keep])))
+            text = pc.binary_join(kept, pa.scalar(" ", pa.large_string())).cast(pa.string())
+            text = pc.if_else(pc.is_null(tab.column("text").combine_chunks()), pa.scalar(None, pa.string()), text)
+        return table(doc_id=tab.column("doc_id"), text=text, rest=tab.column("rest"), n_words=n_words, n_removed=n_removed)
 
     out_schema = schema_of(docs, "doc_id", "text", "rest", n_words="long", n_removed="long")
     step1 = by_block.applyInArrow(send_anchors, _MESSAGE)
@@ -204,6 +216,28 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return restore(done, df.columns, ["n_words", "n_removed"], doc_id=id_col, text=text_col)
 
 
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def without_words(text: str, keep: np.ndarray) -> str:
+    """``text`` with only the words marked in ``keep``. The white space between words that stay next to each other is not
+    touched. Where words went from between two, one of the two gaps around them stays: the first, or
+    the last if only that breaks a line. White space before the first and after the last word stays."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    if not keep.any():
+        return ""
+    edge = np.diff(keep.astype(np.int8), prepend=0, append=0)
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1  # runs of kept words
+    out = [text[:spans[0][0]]]
+    for k, (a, b) in enumerate(zip(first.tolist(), last.tolist())):
+        if k:
+            gone = last[k - 1]
+            left, right = text[spans[gone][1]:spans[gone + 1][0]], text[spans[a - 1][1]:spans[a][0]]
+            out.append(right if "\n" in right and "\n" not in left else left)
+        out.append(text[spans[a][0]:spans[b][1]])
+    return "".join([*out, text[spans[-1][1]:]])
+
+
 def _bits(answers: pa.Table, n: int) -> np.ndarray:
     parts = [np.unpackbits(np.frombuffer(p.as_py(), np.uint8), count=k)
              for p, k in zip(answers.column("payload"), _one(answers, "n"))] if answers.num_rows else []
@@ -230,10 +264,10 @@ def _order(tab: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256."""
-    done = dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_words", "n_removed",
-                       F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 and text (the kept words)."""
+    done = dedup_substrings(read_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_spaces=False)
+    text = F.coalesce("text", F.lit(""))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2(text, 256).alias("kept_sha256"), text.alias("text"))
 
 
 ORACLE = r"""
@@ -245,6 +279,6 @@ t AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
 kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n
          FROM t ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
-       sha256(coalesce(text, '')) AS kept_sha256
+       sha256(coalesce(text, '')) AS kept_sha256, coalesce(text, '') AS text
 FROM d LEFT JOIN kept USING (doc_id)
 """

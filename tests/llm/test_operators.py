@@ -253,7 +253,7 @@ def brute_substrings(rows, window):
 
 def test_substring_dedup(spark, edge, empty):
     unique = [r for r in edge_rows() if r[0] not in (None, 104, 105)]
-    done = substring.dedup_substrings(edge)
+    done = substring.dedup_substrings(edge, keep_spaces=False)
     assert [c for c in done.columns if c not in ("n_words", "n_removed")] == [
         c for c in edge.columns if c not in ("n_words", "n_removed")]
     rows = done.collect()
@@ -275,12 +275,33 @@ def test_difference_covers(spark, period, cover):
     rows = [(i, t) for i, (_, t, _, _) in enumerate(edge_rows()[:40])]
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted((r.doc_id, r.n_words, r.n_removed, r.text)
-                 for r in substring.dedup_substrings(table, window=14, period=period, cover=cover).collect())
+                 for r in substring.dedup_substrings(table, window=14, period=period, cover=cover, keep_spaces=False).collect())
     assert got == brute_substrings(rows, 14)
     with pytest.raises(ValueError):
         substring.dedup_substrings(table, period=13, cover=(0, 1, 2))
 
 
+def test_white_space_between_kept_words_stays(edge):
+    plain = {r.doc_id: r for r in substring.dedup_substrings(edge, keep_spaces=False).collect()}
+    rows = substring.dedup_substrings(edge).collect()
+    before = {(r.doc_id, r.block): r.text for r in edge.collect()}
+    assert len(rows) == len(before) and any(r.n_removed for r in rows)
+    for r in rows:
+        was = before[r.doc_id, r.block]
+        if r.n_removed:
+            assert words(r.text) == words(plain[r.doc_id].text) or r.doc_id is None or r.doc_id in (104, 105)
+            assert set(r.text) <= set(was)
+        else:
+            assert r.text == was            # untouched texts are the same text
+
+
+@pytest.mark.parametrize("text, keep, left", [
+    (" a  b\tc \n", "111", " a  b\tc \n"), ("a b\n\nc", "101", "a\n\nc"), ("a\n\nb c", "101", "a\n\nc"), ("a\tb  c", "101", "a\tc"),
+    ("a b c\n", "110", "a b\n"), ("\n a b c", "011", "\n b c"), ("a b c", "010", "b"), (" a b ", "00", ""), ("a\nb\nc d", "1001", "a\nd")])
+def test_gaps_where_words_went(text, keep, left):
+    assert substring.without_words(text, np.array([k == "1" for k in keep])) == left
+
+
 # 6 ------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p>";</script></head><body class="no-sidebar">

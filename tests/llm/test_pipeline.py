@@ -21,5 +21,16 @@ def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
+
+
+def test_substring_stage_changes_only_what_it_removes(spark):
+    docs = corpus_pipeline.read_table(spark, SF001, "documents")
+    before = {r.doc_id: r.text for r in docs.collect()}
+    after = {r.doc_id: r for r in corpus_pipeline.substring_dedup(spark, docs, SF001).collect()}
+    assert set(after) == set(before)
+    same = [i for i, r in after.items() if (r.text or "").split() == (before[i] or "").split()]
+    assert 0 < len(same) < len(after)
+    assert all(after[i].text == before[i] for i in same)
+    assert all(r.n_chars == len(r.text) for r in after.values() if r.text is not None)
