@@ -101,15 +101,23 @@ def override_upsert(snapshot: DataFrame, incoming_sets: DataFrame) -> DataFrame:
     Matched rows take the new price, reason and time; new products are inserted;
     others are kept. Full outer join of two per-product tables.
     """
-    latest = (incoming_sets.groupBy("product_id")
-                           .agg(F.max_by(F.struct("override_price", "reason", "cmd_ts"),
-                                         F.struct("cmd_ts", "cmd_seq")).alias("n")))
-    j = snapshot.join(latest, "product_id", "full_outer")
-    has_new = F.col("n").isNotNull()
-    return j.select("product_id",
-                    F.when(has_new, F.col("n.override_price")).otherwise(F.col("override_price")).alias("override_price"),
-                    F.when(has_new, F.col("n.reason")).otherwise(F.col("reason")).alias("reason"),
-                    F.when(has_new, F.col("n.cmd_ts")).otherwise(F.col("set_time")).alias("set_time"))
+    new = latest_sets(incoming_sets).select("product_id", F.struct("override_price", "reason", "set_time").alias("n"))
+    j = snapshot.join(new, "product_id", "full_outer")
+    pick = lambda c: F.when(F.col("n").isNotNull(), F.col(f"n.{c}")).otherwise(F.col(c)).alias(c)
+    return j.select("product_id", pick("override_price"), pick("reason"), pick("set_time"))
+
+
+#: Rows of the overrides table.
+SNAPSHOT = "product_id string, override_price double, reason string, set_time timestamp"
+
+
+def latest_sets(sets: DataFrame) -> DataFrame:
+    """The row that each product's latest set writes. A ``ProductTable`` of overrides takes these as its changes, and the ids
+    of removals as its deletions: only the files of their buckets are written."""
+    last = sets.groupBy("product_id").agg(F.max_by(F.struct("override_price", "reason", "cmd_ts"),
+                                                   F.struct("cmd_ts", "cmd_seq")).alias("n"))
+    return last.select("product_id", F.col("n.override_price").alias("override_price"), F.col("n.reason").alias("reason"),
+                       F.col("n.cmd_ts").alias("set_time"))
 
 
 def override_delete(snapshot: DataFrame, requests: DataFrame) -> tuple[DataFrame, DataFrame]:

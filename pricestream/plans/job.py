@@ -65,7 +65,7 @@ def run_updates(spark: SparkSession, inbox: str | None, state: str, out: str, ch
         kafka = {"subscribe": topics.get(S.TOPIC_UPDATES, S.TOPIC_UPDATES), **kafka}
     messages = S.message_stream(spark, inbox, kafka=kafka, topics=topics)
     q = sinks.start_update_stream(messages, _catalog(spark, catalog, tables),
-                                  lambda: microbatch.current_prices(microbatch.latest_state(spark, state)), out,
+                                  lambda ids: microbatch.prices_of(spark, state, ids), out,
                                   checkpoint, available_now=available_now)
     q.awaitTermination()
     return q

@@ -373,4 +373,8 @@ WHERE product_id IN (SELECT product_id FROM upd
 
 def oracle_sql() -> dict[str, str]:
     small, large = _with(), _with(lineitem=True)
+    for of_stream, key in (("stream_price_history_topn", "price_history_topn"), ("stream_price_chart_series", "price_chart_series"),
+                           ("lineitem_price_history_topn", "price_history_topn"),
+                           ("lineitem_price_chart_series", "price_chart_series")):
+        SELECTS[of_stream] = SELECTS[key]
     return {k: (large if k.startswith("lineitem_") else small) + v.strip() for k, v in SELECTS.items()}

@@ -237,12 +237,23 @@ def _first_half_snapshot(p: PricingPlan) -> DataFrame:
     return overrides.override_state(p.effective.where(F.col("cmd_ts") < F.lit(fixtures.SPLIT_TS).cast("timestamp")))
 
 
+def _overrides_table(spark: SparkSession, p: PricingPlan):
+    """The overrides of the first half of the command log, as a table by product."""
+    from pricestream.streaming.product_table import ProductTable
+    root = f"{checkpoint_dir(spark).rstrip('/')}/pricestream-overrides/{uuid.uuid4().hex}"
+    table = ProductTable(spark, root, overrides.SNAPSHOT)
+    table.create(_first_half_snapshot(p))
+    return table
+
+
 @query
 def override_upsert(spark, sf_dir):
     p = _plan(spark, sf_dir)
     incoming = p.effective.where((F.col("op") == K.OP_SET)
                                  & (F.col("cmd_ts") >= F.lit(fixtures.SPLIT_TS).cast("timestamp")))
-    return overrides.override_upsert(_first_half_snapshot(p), incoming)
+    table = _overrides_table(spark, p)
+    table.commit(0, overrides.latest_sets(incoming))
+    return table.read(0)
 
 
 @query
@@ -252,7 +263,10 @@ def override_delete(spark, sf_dir):
     requests = (valid.where((F.col("op") == K.OP_REMOVE)
                             & (F.col("cmd_ts") >= F.lit(fixtures.SPLIT_TS).cast("timestamp")))
                      .select("product_id").distinct())
-    survivors, flags = overrides.override_delete(_first_half_snapshot(p), requests)
+    table = _overrides_table(spark, p)
+    _, flags = overrides.override_delete(table.of(requests), requests)
+    table.commit(0, table.read(buckets=[]), deleted=requests)
+    survivors = table.read(0)
     return (flags.select("product_id", F.when(F.col("deleted"), "deleted").otherwise("absent").alias("outcome"))
             .unionByName(survivors.select("product_id", F.lit("survives").alias("outcome"))))
 
@@ -301,7 +315,10 @@ def base_price_history(spark, sf_dir):
 
 @query
 def known_products(spark, sf_dir):
-    return serving.known_products(_plan(spark, sf_dir).live_state)
+    """Operator 41 from the state that the stream keeps: no history and no pricing is read."""
+    from pricestream.plans import replay as R
+    from pricestream.streaming.microbatch import latest_state
+    return serving.known_products(latest_state(spark, R.replayed(spark, sf_dir)))
 
 
 @query
@@ -311,8 +328,11 @@ def price_history_topn(spark, sf_dir):
 
 @query
 def history_exists(spark, sf_dir):
-    p = _plan(spark, sf_dir)
-    return serving.history_exists(p.catalog, p.history_core)
+    """Operator 43 from the stream's table of recent points, which has a row for each product with history."""
+    from pricestream.plans import replay as R
+    from pricestream.streaming.microbatch import recent_table
+    recent = recent_table(spark, R.replayed(spark, sf_dir)).read()
+    return serving.history_exists(fixtures.catalog(spark, sf_dir), recent)
 
 
 @query
@@ -414,6 +434,26 @@ def stream_current_price(spark, sf_dir):
     return current_prices(latest_state(spark, R.replayed(spark, sf_dir)))
 
 
+@query
+def stream_price_history_topn(spark, sf_dir):
+    """Operator 42 on the stream: from the points that it keeps per product, without the history."""
+    return serving.price_history_topn(_stream_history(spark, sf_dir))
+
+
+@query
+def stream_price_chart_series(spark, sf_dir):
+    """Operator 45 on the stream."""
+    return serving.price_chart_series(serving.price_history_topn(_stream_history(spark, sf_dir)),
+                                      stream_current_price(spark, sf_dir))
+
+
+def _stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pricestream.plans import replay as R
+    from pricestream.streaming.microbatch import recent_history, recent_table
+    recent = recent_table(spark, R.replayed(spark, sf_dir)).read()
+    return recent_history(recent, fixtures.catalog(spark, sf_dir), fixtures.RUN_TS)
+
+
 @query
 def stream_rejected_events(spark, sf_dir):
     """Operator 10 on the stream: event_seq and reason of the events that it refused."""
@@ -437,6 +477,17 @@ def lineitem_current_price(spark, sf_dir):
     return _lineitem(spark, sf_dir).current
 
 
+@query
+def lineitem_price_history_topn(spark, sf_dir):
+    return _lineitem(spark, sf_dir).topn
+
+
+@query
+def lineitem_price_chart_series(spark, sf_dir):
+    p = _lineitem(spark, sf_dir)
+    return serving.price_chart_series(p.topn, p.current)
+
+
 # --- encoding -----------------------------------------------------------------
 
 @query

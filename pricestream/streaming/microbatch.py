@@ -1,12 +1,11 @@
 """Operator 31, skew-safe form: the batch plan run per micro-batch.
 
 ``foreachBatch`` decodes the micro-batch's messages and runs ``PricingPlan``
-on them, so every ordered scan is dealt into cells and a hot product is split
-over many tasks. The state between micro-batches is a per-product table written
-as version ``batch_id``: demand, last written price, and the last effective
-override command with its price and reason. It starts with the catalog (demand
-0, base price). The state of the products in the batch re-enters as seed rows
-before all real rows:
+on them, so a hot product is cut into cells and split over many tasks. The state between
+micro-batches is a ``ProductTable``, whose versions are the batch ids: demand, last written price, and the last
+effective override command with its price and reason. It starts with the catalog (demand 0, base price). A
+micro-batch reads the buckets of its own products and writes their rows, not the table. The state of the products in the
+batch re-enters as seed rows before all real rows:
 
 - one valid event per product at the earliest time carrying its demand as weight;
 - one set command right after it when the product had an override, followed at once
@@ -15,29 +14,38 @@ before all real rows:
 
 Folding these seeds reproduces the carried state exactly, so the batch
 operators need no streaming variant. Seed rows have negative sequence numbers
-and are never written out. Outputs and state are written under the batch id
-with overwrite, so a replayed batch replaces its own files.
+and are never written out. Outputs are written under the batch id with overwrite and the state as its version, so a
+replayed batch replaces its own files.
+
+A second table, ``recent``, holds the first history time and the latest ``MAX_HISTORY_LIMIT`` history points of
+each product, merged batch by batch (the latest points of two sets of points are among the latest of each). The history
+views and the question whether a product has any history read it instead of the history.
 
 State fails closed: batch 0 refuses a folder that already holds later versions, and any
-other batch needs the complete version before it. The version before that and all
-intermediate tables are deleted once a batch is written.
+other batch needs the complete version before it. All intermediate tables are deleted once a batch is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
-from pricestream.operators import demand, ingest, overrides, serving
+from pricestream.operators import baseline, demand, ingest, overrides, serving
 from pricestream.plans.pricing import PricingPlan
-from pricestream.session import child_names, delete_path, materialize, temporary_tables
+from pricestream.session import materialize, temporary_tables
 from pricestream.streaming import sources as S
+from pricestream.streaming.product_table import ProductTable
+from pricestream.streaming.sinks import publish_updates
 
 EVENT_COLS = ("event_seq", "arrival_ts", "event_type", "product_id", "user_id", "timestamp", "price", "w")
 CMD_COLS = ("cmd_seq", "cmd_ts", "product_id", "op", "override_price", "reason", "gate_ms")
-STATE_COLS = ("product_id", "demand", "price", "last_op", "last_cmd_ts", "override_price", "reason")
+STATE = ("product_id string, demand long, price double, last_op string, last_cmd_ts timestamp, override_price double, "
+         "reason string")
+STATE_COLS = tuple(f.split()[0] for f in STATE.split(", "))
+POINT = "struct<event_time: timestamp, seq: bigint, price: double, price_source: string>"
+RECENT = f"product_id string, first timestamp, points array<{POINT}>"
 SEED_TS = overrides.NEVER
 
 
@@ -113,13 +121,44 @@ def current_prices(state: DataFrame) -> DataFrame:
     return serving.current_price(state.select("product_id", "demand", "price"), active_overrides(state))
 
 
-def latest_state(spark, out_dir: str) -> DataFrame:
-    """The newest complete state version."""
-    done = [int(v.split("=")[1]) for v in child_names(spark, f"{out_dir}/state") if v.startswith("version=")]
-    done = [v for v in done if "_SUCCESS" in child_names(spark, f"{out_dir}/state/version={v}")]
-    if not done:
-        raise RuntimeError(f"no complete state under {out_dir}/state")
-    return spark.read.parquet(f"{out_dir}/state/version={max(done)}")
+def state_table(spark, out_dir: str) -> ProductTable:
+    return ProductTable(spark, f"{out_dir.rstrip('/')}/state", STATE)
+
+
+def recent_table(spark, out_dir: str) -> ProductTable:
+    return ProductTable(spark, f"{out_dir.rstrip('/')}/recent", RECENT)
+
+
+def prices_of(spark, out_dir: str, ids: DataFrame) -> DataFrame:
+    """Current prices of some products: reads the files of their buckets."""
+    return current_prices(state_table(spark, out_dir).of(ids))
+
+
+def latest_state(spark, out_dir: str, version: int | None = None) -> DataFrame:
+    """The newest state, or that of a version."""
+    return state_table(spark, out_dir).read(version)
+
+
+def next_recent(before: DataFrame, history: DataFrame) -> DataFrame:
+    """RECENT of the products of ``history`` (the batch's rows), whose points so far are in ``before``. Each map task
+    forwards at most the limit's number of points a product."""
+    n = K.MAX_HISTORY_LIMIT
+    w = Window.partitionBy("product_id").orderBy(F.col("event_time").desc(), F.col("seq").desc())
+    top = history.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n)
+    points = top.groupBy("product_id").agg(
+        F.collect_list(F.struct("event_time", "seq", "price", "price_source").cast(POINT)).alias("__new"))
+    first = history.groupBy("product_id").agg(F.min("event_time").alias("__first"))
+    j = points.join(first, "product_id").join(before, "product_id", "left")
+    both = F.concat(F.coalesce("points", F.array().cast(f"array<{POINT}>")), "__new")
+    return j.select("product_id", F.least("first", "__first").alias("first"),
+                    F.slice(F.sort_array(both, asc=False), 1, n).alias("points"))
+
+
+def recent_history(recent: DataFrame, catalog: DataFrame, run_ts: str) -> DataFrame:
+    """The history rows that a view of the latest rows can show: the kept points and the base rows (operator 40)."""
+    points = recent.select("product_id", F.inline("points")).select("product_id", "price", "price_source", "event_time", "seq")
+    firsts = recent.select("product_id", F.lit(K.SOURCE_DYNAMIC).alias("price_source"), F.col("first").alias("event_time"))
+    return points.unionByName(baseline.base_price_history(catalog, firsts, run_ts))
 
 
 class MicroBatchPricing:
@@ -128,30 +167,19 @@ class MicroBatchPricing:
     def __init__(self, out_dir: str, catalog: DataFrame, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
                  kafka: dict | None = None):
         """``kafka``: producer options (bootstrap servers, ``topic``) to publish the price
-        updates to a topic instead of JSON files."""
+        updates to a topic too."""
         self.out_dir = out_dir.rstrip("/")
         self.catalog = catalog
         self.rows_per_cell = rows_per_cell
         self.kafka = kafka
 
-    def _versions(self, spark) -> list[int]:
-        return [int(v.split("=")[1]) for v in child_names(spark, f"{self.out_dir}/state") if v.startswith("version=")]
-
-    def _state(self, spark, batch_id: int) -> DataFrame:
-        """The state before this batch; raises rather than starting anew by mistake."""
-        if batch_id == 0:
-            if any(v > 0 for v in self._versions(spark)):
-                raise RuntimeError(f"{self.out_dir}/state holds the state of another run; "
-                                   "use its stream checkpoint or a new output folder")
-            return first_state(self.catalog)
-        path = f"{self.out_dir}/state/version={batch_id - 1}"
-        if "_SUCCESS" not in child_names(spark, path):
-            raise RuntimeError(f"the state before batch {batch_id} is missing or incomplete: {path}")
-        return spark.read.parquet(path).select(*STATE_COLS)
-
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        before = self._state(spark, batch_id)
+        state, recent = state_table(spark, self.out_dir), recent_table(spark, self.out_dir)
+        if batch_id == 0:
+            state.create(first_state(self.catalog))
+            recent.create(spark.createDataFrame([], RECENT))
+        state.manifest(batch_id - 1)  # raises rather than starting anew by mistake
         with temporary_tables(spark):
             bid = f"batch_id={batch_id}"
             # each message is parsed once
@@ -162,11 +190,8 @@ class MicroBatchPricing:
             ev = (decoded.where("decoded").withColumn("w", F.lit(None).cast("bigint")).select(*EVENT_COLS)
                   .where(ingest.valid_predicate()))
             tid = X.trim_unicode(F.col("product_id"))
-            touched = ev.select(tid.alias("__t")).union(cm.select(tid.alias("__t"))).distinct()
-            touched = materialize(touched, "touched")
-            own = before.join(touched, X.trim_unicode(before["product_id"]) == touched["__t"], "left_semi")
-            others = before.join(touched, X.trim_unicode(before["product_id"]) == touched["__t"], "left_anti")
-            own = materialize(own, "own_state")
+            touched = materialize(ev.select(tid.alias("product_id")).union(cm.select(tid.alias("product_id"))).distinct(), "touched")
+            own = materialize(state.of(touched, batch_id - 1), "own_state")
             sev, scm = seed_rows(own)
             plan = PricingPlan(sev.unionByName(ev), scm.unionByName(cm), self.catalog, rows_per_cell=self.rows_per_cell)
             real = plan.priced.where(F.col("event_seq") >= 0)
@@ -176,15 +201,10 @@ class MicroBatchPricing:
             real.select("event_seq", "product_id", "demand", "new_price", "update_ts") \
                 .write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
             updates = real.select("event_seq", X.encode_price_update("product_id", "new_price", "update_ts").alias("value"))
-            if self.kafka:
-                updates.select("value").write.format("kafka").options(**self.kafka).save()
-            else:
-                updates.write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
-            next_state(plan, real, real_eff, own).select(*STATE_COLS).unionByName(others.select(*STATE_COLS)) \
-                .write.mode("overwrite").parquet(f"{self.out_dir}/state/version={batch_id}")
-        for old in self._versions(spark):
-            if old < batch_id - 1:
-                delete_path(spark, f"{self.out_dir}/state/version={old}")
+            publish_updates(updates, self.out_dir, batch_id, self.kafka)
+            written = spark.read.schema(hist.schema).parquet(f"{self.out_dir}/price_history/{bid}")
+            recent.commit(batch_id, next_recent(recent.of(touched, batch_id - 1), written))
+            state.commit(batch_id, next_state(plan, real, real_eff, own))
 
 
 def start_microbatch_pricing(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,

@@ -1,8 +1,12 @@
 """Streaming sinks: operators 5 (price updates), 6 (price history), 7 (live state).
 
-All three run inside one ``foreachBatch``; each writes under a directory named
-by the batch id with overwrite, so a batch replayed after a failure replaces
-its own output instead of duplicating it.
+All three run inside one ``foreachBatch``; updates and history are written under a directory named
+by the batch id with overwrite, the live state as the batch's version of a ``ProductTable`` (what changed, not the
+table), so a batch replayed after a failure replaces its own output instead of duplicating it.
+
+Price updates go through an outbox: the batch's files under ``price_updates`` are written first, and what is published to a
+topic is read from them. A batch that is run again publishes the same messages again, with the same sequence numbers; the
+reader drops these (``sources.price_update_stream`` with ``once_within``).
 """
 
 from __future__ import annotations
@@ -12,13 +16,16 @@ from pyspark.sql import functions as F
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
-from pricestream.session import child_names, delete_path
+from pricestream.session import materialize, temporary_tables
+from pricestream.streaming.product_table import ProductTable
+
+LIVE_STATE = "product_id string, demand long, price double"
 
 
 def price_update_messages(out: DataFrame) -> DataFrame:
     """Operator 5: {product_id, new_price, timestamp} JSON per accepted event."""
     return (out.where(F.col("kind") == K.SOURCE_DYNAMIC)
-               .select(F.col("seq"), X.encode_price_update("product_id", "price", "update_ts").alias("value")))
+               .select(F.col("seq").alias("event_seq"), X.encode_price_update("product_id", "price", "update_ts").alias("value")))
 
 
 def priced_rows(out: DataFrame) -> DataFrame:
@@ -46,54 +53,51 @@ def live_state_changes(out: DataFrame) -> DataFrame:
     return p.join(d, "product_id", "left")
 
 
-def merge_live_state(previous: DataFrame | None, changes: DataFrame) -> DataFrame:
-    """Previous snapshot updated with this batch's changes (full outer join)."""
-    if previous is None:
-        return changes.select("product_id", "demand", "price")
-    j = previous.select("product_id", F.col("demand").alias("d0"), F.col("price").alias("p0")) \
-                .join(changes, "product_id", "full_outer")
+def merge_live_state(previous: DataFrame, changes: DataFrame) -> DataFrame:
+    """The changed products' rows: what a batch did not write stays as it was."""
+    j = changes.join(previous.select("product_id", F.col("demand").alias("d0"), F.col("price").alias("p0")),
+                     "product_id", "left")
     return j.select("product_id", F.coalesce(F.col("demand"), F.col("d0")).alias("demand"),
                     F.coalesce(F.col("price"), F.col("p0")).alias("price"))
 
 
+def publish_updates(updates: DataFrame, out_dir: str, batch_id: int, kafka: dict | None = None) -> None:
+    """Operator 5: the batch's update messages (event_seq, value) to the outbox, and from there to a topic if producer
+    options are given; the key of a message is its sequence number."""
+    path = f"{out_dir}/price_updates/batch_id={batch_id}"
+    updates.write.mode("overwrite").json(path)
+    if kafka:
+        sent = updates.sparkSession.read.schema("event_seq bigint, value string").json(path)
+        sent.select(F.col("event_seq").cast("string").alias("key"), "value").write.format("kafka").options(**kafka).save()
+
+
+def live_state_table(spark, out_dir: str) -> ProductTable:
+    return ProductTable(spark, f"{out_dir.rstrip('/')}/live_state", LIVE_STATE)
+
+
 class PricingSinks:
-    """``foreachBatch`` target writing updates, history and live-state versions."""
+    """``foreachBatch`` target writing updates, history and the live state."""
 
     def __init__(self, out_dir: str, kafka: dict | None = None):
         """``kafka``: producer options (``kafka.bootstrap.servers``, ``topic``) to
-        publish the price updates to a topic instead of JSON files."""
+        publish the price updates to a topic too."""
         self.out_dir = out_dir.rstrip("/")
         self.kafka = kafka
 
-    def _prev_state(self, spark, batch_id: int) -> DataFrame | None:
-        """The snapshot of the previous batch. Every executed batch writes its own
-        version, so it is ``version=batch_id-1``; reading one version keeps the
-        cost per batch proportional to the number of products."""
-        if batch_id == 0:
-            return None
-        path = f"{self.out_dir}/live_state/version={batch_id - 1}"
-        if "_SUCCESS" not in child_names(spark, path):
-            raise RuntimeError(f"the live state before batch {batch_id} is missing or incomplete: {path}")
-        return spark.read.parquet(path)
-
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        out = batch.persist()
-        try:
-            bid = f"batch_id={batch_id}"
-            if self.kafka:
-                price_update_messages(out).select("value").write.format("kafka") \
-                    .options(**self.kafka).save()
-            else:
-                price_update_messages(out).write.mode("overwrite").json(f"{self.out_dir}/price_updates/{bid}")
+        live = live_state_table(spark, self.out_dir)
+        if batch_id == 0:
+            live.create(spark.createDataFrame([], LIVE_STATE))
+        live.manifest(batch_id - 1)  # raises rather than starting anew by mistake
+        bid = f"batch_id={batch_id}"
+        with temporary_tables(spark):
+            out = materialize(batch, "priced_batch")
+            publish_updates(price_update_messages(out), self.out_dir, batch_id, self.kafka)
             priced_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/priced/{bid}")
             history_rows(out).write.mode("overwrite").parquet(f"{self.out_dir}/price_history/{bid}")
-            state = merge_live_state(self._prev_state(spark, batch_id), live_state_changes(out))
-            state.write.mode("overwrite").parquet(f"{self.out_dir}/live_state/version={batch_id}")
-            if batch_id > 1:
-                delete_path(spark, f"{self.out_dir}/live_state/version={batch_id - 2}")
-        finally:
-            out.unpersist()
+            changes = materialize(live_state_changes(out), "live_state_changes")
+            live.commit(batch_id, merge_live_state(live.of(changes, batch_id - 1), changes))
 
 
 def start_pricing_stream(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,
@@ -109,25 +113,28 @@ def start_pricing_stream(messages: DataFrame, catalog: DataFrame, out_dir: str,
 class ChangedProductSink:
     """``foreachBatch`` target of the price-update stream (operators 2 -> 12 -> 15 -> 47):
     per micro-batch, the current price of the catalog products that received an
-    update, written under the batch id (replay-safe)."""
+    update, written under the batch id (replay-safe). Prices are asked for by id, so a batch reads the state's
+    files of its own products."""
 
     def __init__(self, out_dir: str, catalog: DataFrame, current):
         self.out_dir = out_dir.rstrip("/")
         self.catalog = catalog
-        self.current = current          # () -> DataFrame of current prices (operator 44)
+        self.current = current          # DataFrame of ids -> their current prices (operator 44)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         from pricestream.operators import ingest, serving
-        ups = ingest.catalog_updates(ingest.parse_price_updates(batch), self.catalog)
-        snap = serving.changed_product_snapshot(ups, self.current())
-        snap.write.mode("overwrite").parquet(f"{self.out_dir}/changed_products/batch_id={batch_id}")
+        with temporary_tables(batch.sparkSession):
+            ups = ingest.catalog_updates(ingest.parse_price_updates(batch), self.catalog)
+            ids = materialize(ups.select("product_id").distinct(), "changed_ids")
+            snap = serving.changed_product_snapshot(ids, self.current(ids))
+            snap.write.mode("overwrite").parquet(f"{self.out_dir}/changed_products/batch_id={batch_id}")
 
 
 def start_update_stream(messages: DataFrame, catalog: DataFrame, current, out_dir: str,
-                        checkpoint: str, available_now: bool = True):
+                        checkpoint: str, available_now: bool = True, once_within: str | None = None):
     """Price-update stream -> changed-product snapshots; returns the StreamingQuery."""
     from pricestream.streaming.sources import price_update_stream
-    w = (price_update_stream(messages).writeStream
+    w = (price_update_stream(messages, once_within).writeStream
          .foreachBatch(ChangedProductSink(out_dir, catalog, current))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")

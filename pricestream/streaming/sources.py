@@ -61,10 +61,16 @@ def product_event_stream(messages: DataFrame) -> DataFrame:
                     .select(F.col("seq").alias("event_seq"), "arrival_ts", "value"))
 
 
-def price_update_stream(messages: DataFrame) -> DataFrame:
-    """Operator 2: the price-update messages (event_seq, arrival_ts, value)."""
-    return (messages.where(F.col("topic") == TOPIC_UPDATES)
-                    .select(F.col("seq").alias("event_seq"), "arrival_ts", "value"))
+def price_update_stream(messages: DataFrame, once_within: str | None = None) -> DataFrame:
+    """Operator 2: the price-update messages (event_seq, arrival_ts, value).
+
+    ``once_within``: a message with the sequence number of one that came up to so long before is dropped (a batch that
+    was run again published it again); the state holds the numbers of that time span only."""
+    updates = (messages.where(F.col("topic") == TOPIC_UPDATES)
+                       .select(F.col("seq").alias("event_seq"), "arrival_ts", "value"))
+    if once_within:
+        updates = updates.withWatermark("arrival_ts", once_within).dropDuplicatesWithinWatermark(["event_seq"])
+    return updates
 
 
 def envelope(df: DataFrame, topic: str, seq: str, ts: str, value) -> DataFrame:

@@ -1,27 +1,28 @@
-"""Operator 31: incremental pricing with state that survives restarts.
-
-``groupBy(trimmed product id).applyInPandasWithState``: per key the state is
-``(raw ids, their demand, known, active, removed_at_ms)``; each micro-batch's events and
-override commands of the key are ordered by (arrival, commands first, seq).
-The Python step loops over the key's commands only (few); the gate of the
-events is an as-of lookup by index and the demand a cumulative sum, both
-vectorised in numpy. State never times out (the reference never expires it);
-its size is bounded by the number of products.
-
-Demand is counted per raw id, as in the batch form: the state of a trimmed id holds
-the demand of each raw id seen under it. One product is one task here; streams with hot
-products use the micro-batch engine.
+"""Operator 31: incremental pricing with keyed state that survives restarts.
+
+``groupBy(trimmed product id).transformWithState``: the state of a key lives in RocksDB as a value
+(known, active, removed_at_ms) and a map from raw id to demand. A micro-batch reads and writes the
+values of its own keys and, of the map, the raw ids that its events name; nothing is
+rewritten whole, and keys without messages cost nothing. Events and override commands of a key are
+ordered by (arrival, commands first, seq). The Python step loops over the key's commands only (few); the
+gate of the events is an as-of lookup by index and the demand a cumulative sum, both vectorised
+in numpy. State never times out (the reference never expires it).
+
+Demand is counted per raw id, as in the batch form. A key's events of one micro-batch meet in one task as
+narrow numpy columns (about 60 bytes an event), so the trigger's size bounds them; streams in which a product has
+more than that use the micro-batch engine.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from pricestream import constants as K
 from pricestream.functions import exprs as X
@@ -29,11 +30,18 @@ from pricestream.operators import ingest
 from pricestream.session import ship_package
 from pricestream.streaming import sources as S
 
-STATE_SCHEMA = "raw array<string>, demand array<long>, known boolean, active boolean, removed_at_ms long"
+GATE_SCHEMA = "known boolean, active boolean, removed_at_ms long"
 OUT_SCHEMA = ("kind string, product_id string, seq long, ts timestamp, price double, "
               "demand long")
 _IN_COLS = ["tid", "kind", "ts", "seq", "product_id", "price", "w", "ev_ms", "op",
             "in_catalog", "cmd_ms"]
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keyed state of streams started from now on lives in RocksDB (``transformWithState`` needs it)."""
+    spark.conf.set(PROVIDER, ROCKSDB)
 
 
 def pricing_inputs(messages: DataFrame, catalog: DataFrame) -> DataFrame:
@@ -66,14 +74,16 @@ def pricing_inputs(messages: DataFrame, catalog: DataFrame) -> DataFrame:
     return ev_rows.unionByName(cmd_rows)
 
 
-def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """One key, one micro-batch: gate the events, count demand, price them."""
-    pdf = pd.concat(list(pdfs), ignore_index=True)
-    if state.exists:
-        raw0, demands0, known, active0, removed0 = state.get
-    else:
-        raw0, demands0, known, active0, removed0 = [], [], False, False, None
-    totals = dict(zip(raw0, demands0))
+class Gate(NamedTuple):
+    known: bool = False
+    active: bool = False
+    removed_at_ms: int | None = None
+
+
+def fold(tid: str, pdf: pd.DataFrame, gate: Gate, demand_of) -> tuple[pd.DataFrame, Gate, dict[str, int]]:
+    """One key, one micro-batch: gate the events, count demand, price them. ``demand_of(raw id)``: demand before;
+    returns the outputs, the gate after it and the demand of the raw ids that were counted."""
+    known, active0, removed0 = gate
     pdf = pdf.sort_values(["ts", "kind", "seq"], kind="mergesort").reset_index(drop=True)
     n = len(pdf)
     kind = pdf["kind"].to_numpy()
@@ -81,7 +91,7 @@ def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     ev_idx = np.flatnonzero(~is_cmd)
     raw = pdf["product_id"].to_numpy()
     # a product is known by the events of its own id, not by padded forms of it
-    own = ev_idx[raw[ev_idx] == key[0]]
+    own = ev_idx[raw[ev_idx] == tid]
     first_ev = own[0] if len(own) else n
 
     # Commands, in order: a set needs a known product; a remove needs an active override.
@@ -110,34 +120,54 @@ def _fold(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterat
     acc = ev_idx[~gated]
 
     w = pdf["w"].to_numpy(dtype="int64", na_value=0)[acc]
-    ids = raw[acc]
-    demand = pd.Series(w).groupby(ids).cumsum().to_numpy(dtype="int64") if len(acc) else w
-    demand = demand + np.array([totals.get(i, 0) for i in ids], dtype="int64")
-    totals.update(zip(ids, demand.tolist()))
+    codes, ids = pd.factorize(raw[acc])
+    before = np.array([demand_of(i) for i in ids], np.int64)
+    demand = pd.Series(w).groupby(codes).cumsum().to_numpy(dtype="int64") + (before[codes] if len(ids) else 0)
+    last = dict(zip(ids.tolist(), (before + np.bincount(codes, w, len(ids)).astype(np.int64)).tolist()))
     price = pdf["price"].to_numpy(dtype="float64")[acc] + np.sqrt(demand.astype("float64")) * K.PRICE_DEMAND_FACTOR
-    dyn = pd.DataFrame({"kind": K.SOURCE_DYNAMIC, "product_id": pdf["product_id"].to_numpy()[acc],
-                        "seq": pdf["seq"].to_numpy()[acc], "ts": pdf["ts"].to_numpy()[acc],
-                        "price": price, "demand": demand})
+    dyn = pd.DataFrame({"kind": K.SOURCE_DYNAMIC, "product_id": raw[acc], "seq": pdf["seq"].to_numpy()[acc],
+                        "ts": pdf["ts"].to_numpy()[acc], "price": price, "demand": pd.array(demand, dtype="Int64")})
     sets = np.flatnonzero(is_set)
     ovr = pd.DataFrame({"kind": K.SOURCE_OVERRIDE, "product_id": pdf["tid"].to_numpy()[sets],
                         "seq": pdf["seq"].to_numpy()[sets], "ts": pdf["ts"].to_numpy()[sets],
                         "price": pdf["price"].to_numpy(dtype="float64")[sets],
                         "demand": pd.array([None] * len(sets), dtype="Int64")})
-    state.update((list(totals), [int(v) for v in totals.values()],
-                  bool(known or len(own) > 0), bool(active), removed))
-    out = pd.concat([dyn, ovr], ignore_index=True)
-    if len(out):
-        yield out
+    out = pd.concat([x for x in (dyn, ovr) if len(x)] or [dyn], ignore_index=True)
+    return out, Gate(bool(known or len(own) > 0), bool(active), removed), last
+
+
+class PricingProcessor(StatefulProcessor):
+    """The state of a trimmed product id: its gate, and the demand of each raw id."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.gate = handle.getValueState("gate", GATE_SCHEMA)
+        self.demand = handle.getMapState("demand", "raw string", "demand long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        gate = Gate(*self.gate.get()) if self.gate.exists() else Gate()
+        out, after, counted = fold(key[0], pd.concat(list(rows), ignore_index=True), gate, self._demand)
+        if after != gate or not self.gate.exists():
+            self.gate.update(tuple(after))
+        for raw, demand in counted.items():
+            self.demand.updateValue((raw,), (demand,))
+        if len(out):
+            yield out
+
+    def _demand(self, raw: str) -> int:
+        return self.demand.getValue((raw,))[0] if self.demand.containsKey((raw,)) else 0
+
+    def close(self) -> None:
+        pass
 
 
 def stream_pricing(messages: DataFrame, catalog: DataFrame) -> DataFrame:
     """Streaming DataFrame of price outputs: one 'dynamic' row per accepted event
     (product_id, seq, ts, price, demand, update_ts) and one 'override' row per
     effective set. Append mode; one shuffle by trimmed product id."""
+    use_rocksdb(messages.sparkSession)
     ship_package(messages.sparkSession)
     rows = pricing_inputs(messages, catalog).select(*_IN_COLS)
-    out = rows.groupBy("tid").applyInPandasWithState(
-        _fold, outputStructType=OUT_SCHEMA, stateStructType=STATE_SCHEMA,
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    out = rows.groupBy("tid").transformWithStateInPandas(
+        PricingProcessor(), outputStructType=OUT_SCHEMA, outputMode="append", timeMode="None")
     return out.withColumn("update_ts", F.when(F.col("kind") == K.SOURCE_DYNAMIC,
                                               X.update_timestamp_s(F.col("ts"))))

@@ -69,8 +69,7 @@ def test_stream_equals_batch_with_restart(spark, tmp_dir):
     assert parsed.count() == batch.count()
 
     # the latest live-state version has the final demand of every product seen
-    st = spark.read.parquet(os.path.join(out, "live_state"))
-    last = st.where(F.col("version") == st.agg(F.max("version")).first()[0])
+    last = sinks.live_state_table(spark, out).read()
     totals = PricingPlan.from_tables(spark, SF001).demand_totals
     a = last.where(F.col("demand").isNotNull()).select("product_id", "demand")
     assert a.exceptAll(totals).count() == 0 and totals.exceptAll(a).count() == 0
@@ -87,7 +86,7 @@ def test_replayed_batch_does_not_duplicate(spark, tmp_dir):
     sink(batch, 0)                                      # replay of the same batch id
     hist = spark.read.parquet(os.path.join(tmp_dir, "price_history"))
     assert hist.count() == 2
-    st = spark.read.parquet(os.path.join(tmp_dir, "live_state")).collect()
+    st = sinks.live_state_table(spark, tmp_dir).read().collect()
     assert [(r.product_id, r.demand, r.price) for r in st] == [("PA", 1, 20.0)]
 
 
@@ -112,7 +111,7 @@ def test_update_stream_changed_products(spark, tmp_dir):
     _drop_files(pdf, inbox, [0], tmp_dir)
     shop = fixtures.catalog(spark, SF001)
     out = os.path.join(tmp_dir, "out")
-    q = start_update_stream(S.message_stream(spark, inbox), shop, lambda: p.current, out,
+    q = start_update_stream(S.message_stream(spark, inbox), shop, lambda ids: p.current, out,
                             os.path.join(tmp_dir, "ckpt"))
     q.awaitTermination()
     got = spark.read.parquet(os.path.join(out, "changed_products")).drop("batch_id")
@@ -148,11 +147,13 @@ def test_microbatch_engine_equals_batch(spark, tmp_dir, cell):
     ovr = hist.where("price_source = 'override'").select("product_id", "price", "event_time")
     want = p.history_core.where("price_source = 'override'").select("product_id", "price", "event_time")
     assert ovr.exceptAll(want).count() == 0 and want.exceptAll(ovr).count() == 0
-    st = spark.read.parquet(os.path.join(out, "state"))
-    last = st.where(F.col("version") == st.agg(F.max("version")).first()[0])
-    got = last.select("product_id", "demand", "price")
+    from pricestream.streaming.microbatch import current_prices, latest_state, recent_history, recent_table
+    got = latest_state(spark, out).select("product_id", "demand", "price")
     assert got.exceptAll(p.live_state).count() == 0 and p.live_state.exceptAll(got).count() == 0
-    from pricestream.streaming.microbatch import current_prices, latest_state
+    from pricestream.operators import serving
+    q = PricingPlan.from_tables(spark, SF001, run_ts=fixtures.RUN_TS, history_limit=3)
+    top = serving.price_history_topn(recent_history(recent_table(spark, out).read(), cat, fixtures.RUN_TS), 3)
+    assert top.exceptAll(q.topn).count() == 0 and q.topn.exceptAll(top).count() == 0
     now = current_prices(latest_state(spark, out))
     assert now.exceptAll(p.current).count() == 0 and p.current.exceptAll(now).count() == 0
 
@@ -170,8 +171,8 @@ def test_microbatch_engine_batch_without_events_keeps_state(spark, tmp_dir):
     sink = MicroBatchPricing(tmp_dir, cat)
     sink(first, 0)
     sink(other, 1)                                       # nothing to price in this batch
-    s0 = {r.product_id: r for r in spark.read.parquet(f"{tmp_dir}/state/version=0").collect()}
-    s1 = {r.product_id: r for r in spark.read.parquet(f"{tmp_dir}/state/version=1").collect()}
+    from pricestream.streaming.microbatch import latest_state
+    s0, s1 = ({r.product_id: r for r in latest_state(spark, tmp_dir, v).collect()} for v in (0, 1))
     assert s0 == s1 and s0["PA"].demand == 1 and s0["PA"].last_op == "set" and s0["PA"].override_price == 50.0
     assert spark.read.parquet(f"{tmp_dir}/price_history/batch_id=1").count() == 0
 
@@ -191,7 +192,8 @@ def test_microbatch_engine_replayed_batch_is_idempotent(spark, tmp_dir):
     sink(batch, 0)                                       # the same batch again after a failure
     hist = spark.read.parquet(f"{tmp_dir}/price_history")
     assert hist.count() == 2
-    state = spark.read.parquet(f"{tmp_dir}/state/version=0").collect()
+    from pricestream.streaming.microbatch import latest_state
+    state = latest_state(spark, tmp_dir, 0).collect()
     assert [(r.product_id, r.demand) for r in state] == [("PA", 4)]
 
 
@@ -268,7 +270,7 @@ def test_state_fails_closed_and_old_versions_go(spark, tmp_dir):
     for i in range(4):
         sink(batch, i)
     assert set(os.listdir(tables)) == before            # no intermediate table is left
-    assert sorted(d for d in os.listdir(f"{tmp_dir}/state")) == ["version=2", "version=3"]
+    assert sorted(d for d in os.listdir(f"{tmp_dir}/state/manifest")) == ["version=2", "version=3"]
     with pytest.raises(RuntimeError):
         sink(batch, 0)                                   # a new stream over another run's state
     with pytest.raises(RuntimeError):
@@ -280,3 +282,49 @@ def test_renamed_topics_lose_no_event(spark):
     df = spark.createDataFrame(rows, MESSAGES)
     named = S.with_own_names(df, {S.TOPIC_EVENTS: "my-events"})
     assert [r.value for r in S.product_event_stream(named).collect()] == ["a"]
+
+
+def test_keyed_state_of_a_hot_product_follows_the_touched_keys(spark, tmp_dir):
+    """One product has all rows of a batch, in many Arrow batches; the next batch touches one other product."""
+    cat = spark.createDataFrame([("PA", 299.0), ("PZ", 7.0)], "product_id string, base_price double")
+    inbox, out, ckpt = (os.path.join(tmp_dir, d) for d in ("inbox", "out", "ckpt"))
+    batches = [[_event(i, i % 7, "PA", etype="view") for i in range(3000)], [_event(9000, 50, "PZ")],
+               [_event(9001, 60, "PA")]]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    try:
+        updated = []
+        for rows in batches:
+            spark.createDataFrame(rows, MESSAGES).coalesce(1).write.mode("append").parquet(inbox)
+            q = start_pricing_stream(S.message_stream(spark, inbox), cat, out, ckpt)     # a restart each time
+            q.awaitTermination()
+            updated.append(sum(op["numRowsUpdated"] for p in q.recentProgress for op in p["stateOperators"]))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    priced = spark.read.parquet(os.path.join(out, "priced"))
+    hot = priced.where("product_id = 'PA'")
+    want = sorted((i % 7, i) for i in range(3000))
+    assert [r.event_seq for r in hot.where("event_seq < 9000").orderBy("demand").collect()] == [i for _, i in want]
+    assert {r.event_seq: r.demand for r in priced.where("event_seq >= 9000").collect()} == {9000: 3, 9001: 3003}
+    assert max(updated[1:]) <= 2                       # a gate and a raw id at most, whatever came before
+
+
+def test_published_twice_is_read_once(spark, tmp_dir):
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    rows = [(S.TOPIC_UPDATES, i, t + dt.timedelta(seconds=i), json.dumps({"product_id": "PA", "new_price": 1.0 + i, "timestamp": 9}))
+            for i in range(5)]
+    inbox, out = os.path.join(tmp_dir, "inbox"), os.path.join(tmp_dir, "out")
+    for _ in range(2):                                  # the batch is run again and publishes again
+        spark.createDataFrame(rows, MESSAGES).coalesce(1).write.mode("append").parquet(inbox)
+        q = (S.price_update_stream(S.message_stream(spark, inbox), "1 hour").writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", os.path.join(tmp_dir, "ckpt")).trigger(availableNow=True).start())
+        q.awaitTermination()
+    assert sorted(r.event_seq for r in spark.read.parquet(out).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_outbox_is_replaced_by_a_replayed_batch(spark, tmp_dir):
+    ups = spark.createDataFrame([(1, "a"), (2, "b")], "event_seq long, value string")
+    for _ in range(2):
+        sinks.publish_updates(ups, tmp_dir, 0)
+    assert spark.read.json(os.path.join(tmp_dir, "price_updates")).count() == 2
