@@ -121,22 +121,26 @@ def current_prices(state: DataFrame) -> DataFrame:
     return serving.current_price(state.select("product_id", "demand", "price"), active_overrides(state))
 
 
-def state_table(spark, out_dir: str) -> ProductTable:
-    return ProductTable(spark, f"{out_dir.rstrip('/')}/state", STATE)
+#: Buckets of the state tables.
+BUCKETS = 16
 
 
-def recent_table(spark, out_dir: str) -> ProductTable:
-    return ProductTable(spark, f"{out_dir.rstrip('/')}/recent", RECENT)
+def state_table(spark, out_dir: str, buckets: int = BUCKETS) -> ProductTable:
+    return ProductTable(spark, f"{out_dir.rstrip('/')}/state", STATE, buckets)
 
 
-def prices_of(spark, out_dir: str, ids: DataFrame) -> DataFrame:
+def recent_table(spark, out_dir: str, buckets: int = BUCKETS) -> ProductTable:
+    return ProductTable(spark, f"{out_dir.rstrip('/')}/recent", RECENT, buckets)
+
+
+def prices_of(spark, out_dir: str, ids: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Current prices of some products: reads the files of their buckets."""
-    return current_prices(state_table(spark, out_dir).of(ids))
+    return current_prices(state_table(spark, out_dir, buckets).of(ids))
 
 
-def latest_state(spark, out_dir: str, version: int | None = None) -> DataFrame:
+def latest_state(spark, out_dir: str, version: int | None = None, buckets: int = BUCKETS) -> DataFrame:
     """The newest state, or that of a version."""
-    return state_table(spark, out_dir).read(version)
+    return state_table(spark, out_dir, buckets).read(version)
 
 
 def next_recent(before: DataFrame, history: DataFrame) -> DataFrame:
@@ -165,17 +169,18 @@ class MicroBatchPricing:
     """``foreachBatch`` target: price one micro-batch with the batch plan."""
 
     def __init__(self, out_dir: str, catalog: DataFrame, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
-                 kafka: dict | None = None):
+                 kafka: dict | None = None, buckets: int = BUCKETS):
         """``kafka``: producer options (bootstrap servers, ``topic``) to publish the price
-        updates to a topic too."""
+        updates to a topic too. ``buckets``: of the state tables (see ``ProductTable``)."""
         self.out_dir = out_dir.rstrip("/")
         self.catalog = catalog
         self.rows_per_cell = rows_per_cell
         self.kafka = kafka
+        self.buckets = buckets
 
     def __call__(self, messages: DataFrame, batch_id: int) -> None:
         spark = messages.sparkSession
-        state, recent = state_table(spark, self.out_dir), recent_table(spark, self.out_dir)
+        state, recent = (f(spark, self.out_dir, self.buckets) for f in (state_table, recent_table))
         if batch_id == 0:
             state.create(first_state(self.catalog))
             recent.create(spark.createDataFrame([], RECENT))
@@ -209,9 +214,9 @@ class MicroBatchPricing:
 
 def start_microbatch_pricing(messages: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str,
                              available_now: bool = True, rows_per_cell: int = K.DEFAULT_ROWS_PER_CELL,
-                             kafka: dict | None = None, trigger: str = "10 seconds"):
+                             kafka: dict | None = None, trigger: str = "10 seconds", buckets: int = BUCKETS):
     """Message stream -> per-micro-batch batch plan; returns the StreamingQuery."""
-    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, rows_per_cell, kafka))
+    w = (messages.writeStream.foreachBatch(MicroBatchPricing(out_dir, catalog, rows_per_cell, kafka, buckets))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=trigger)
     return w.start()

@@ -10,7 +10,7 @@ version exist. Readers of a few products open the files of their buckets only (`
 with a bloom filter on it. The manifest of the version before stays, so a batch that is run
 again starts from the same state; files that neither names are deleted.
 
-    <root>/manifest/version=N     bucket, base, changes (as many rows as buckets)
+    <root>/manifest/version=N     bucket, base, changes, buckets (as many rows as buckets)
     <root>/changes/version=N/bucket=B, <root>/base/version=N/bucket=B
 """
 
@@ -28,12 +28,14 @@ VERSION, DELETED = "__version", "__deleted"
 NO_BASE = -2
 #: The version that ``create`` writes.
 FIRST = -1
+_MANIFEST = "bucket int, base long, changes array<long>, buckets int"
 
 
 class ProductTable:
-    """``schema``: DDL of the rows, one per ``key``."""
+    """``schema``: DDL of the rows, one per ``key``. ``buckets``: about the table's bytes / 128 MB; a table keeps
+    the number that it was created with."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, buckets: int = 64, fan: int = 8,
+    def __init__(self, spark: SparkSession, root: str, schema: str, buckets: int = 16, fan: int = 8,
                  key: str = "product_id", rows_per_base: int = 10_000):
         self.spark, self.root, self.buckets, self.fan, self.key = spark, root.rstrip("/"), buckets, fan, key
         self.columns = [f.name for f in T._parse_datatype_string(schema).fields]
@@ -52,8 +54,9 @@ class ProductTable:
         """bucket -> (version of its base, versions of its changes); at most one entry per bucket."""
         if version not in self.versions():
             raise RuntimeError(f"version {version} of {self.root} is missing or incomplete")
-        rows = self.spark.read.schema("bucket int, base long, changes array<long>").parquet(
-            f"{self.root}/manifest/version={version}").collect()
+        rows = self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest/version={version}").collect()
+        if any(r["buckets"] != self.buckets for r in rows):
+            raise RuntimeError(f"{self.root} has {rows[0]['buckets']} buckets, not {self.buckets}")
         return {r["bucket"]: (r["base"], list(r["changes"])) for r in rows}
 
     def create(self, rows: DataFrame) -> None:
@@ -151,8 +154,8 @@ class ProductTable:
         return [int(n.split("=")[1]) for n in child_names(self.spark, path) if n.startswith("bucket=")]
 
     def _write_manifest(self, version: int, entries: dict) -> None:
-        rows = [(b, base, changes) for b, (base, changes) in sorted(entries.items())]
-        (self.spark.createDataFrame(rows, "bucket int, base long, changes array<long>").coalesce(1)
+        rows = [(b, base, changes, self.buckets) for b, (base, changes) in sorted(entries.items())]
+        (self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}"))
 
     def _clean(self, version: int) -> None:

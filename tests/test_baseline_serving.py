@@ -153,3 +153,22 @@ def test_batch_job_command(spark, tmp_dir):
     cur = spark.read.parquet(f"{tmp_dir}/current_price")
     assert cur.count() >= 200 and spark.read.parquet(f"{tmp_dir}/rejected_events").count() > 0
     assert set(cur.columns) == {"product_id", "price", "demand", "price_source"}
+
+
+def test_lookup_reads_a_bounded_number_of_row_groups(spark, tmp_dir):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from pricestream.plans.pricing import write_by_product
+    df = spark.range(5000).select(F.concat(F.lit("P"), (F.col("id") * 7 % 5000).cast("string")).alias("product_id"),
+                                  F.col("id").alias("demand"), F.lit(1.0).alias("price"))
+    write_by_product(df, tmp_dir, rows_per_group=100)
+    groups = [pq.ParquetFile(f).metadata.row_group(g).column(0).statistics for f in glob.glob(f"{tmp_dir}/*.parquet")
+              for g in range(pq.ParquetFile(f).num_row_groups)]
+    assert len(groups) >= 40
+    for pid in ("P0", "P77", "P4999", "absent"):
+        assert sum(s.min <= pid <= s.max for s in groups) <= 1
+    one = serving.current_price(spark.read.parquet(tmp_dir), spark.createDataFrame([], "product_id string, override_price double"),
+                                "P77")
+    assert one.count() == 1 and "EqualTo(product_id,P77)" in one._jdf.queryExecution().executedPlan().toString()
