@@ -15,7 +15,7 @@ its group. How many documents of the corpus hold a pair of ids linked is counted
 A text is cut at single spaces between other characters: neither tokenizer joins across these (the
 piece vocabulary is checked for it), so each distinct stretch of a block is encoded and aligned once.
 The number of pairs is bounded by the product of the vocabularies, so the number of buckets is,
-and messages grow with the input alone; documents are shuffled once and both passes read the exchange.
+and messages grow with the input alone; they are written once. Documents are shuffled in each pass.
 
 Edge cases: null and empty texts, and texts whose joined tokens of either side are not the
 bytes of space and text (one with U+2581 in it, say), have no tokens: zeros and an empty groups text; their pairs
@@ -26,6 +26,7 @@ empty result.
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 from hashlib import sha256
@@ -41,7 +42,7 @@ from pyspark.sql import functions as F
 from pricestream.llm import exchange as X
 from pricestream.llm import words as W
 from pricestream.llm.frames import carry, prepare, restore, schema_of, table
-from pricestream.llm.op10_bpe import byte_characters
+from pricestream.llm.op10_bpe import SPLIT, byte_characters
 from pricestream.session import materialize
 from pricestream.sources.tables import read_table
 
@@ -52,6 +53,8 @@ FAN_IN = 64
 BUCKET_BLOCKS, MOST_BUCKETS = 2, 2048
 #: Texts given to a tokenizer at once; pairs of a group that are made by repetition (above: by distinct ids).
 TOGETHER, PLAIN_GROUP = 20_000, 4096
+#: Cells of the table (texts x pairs) that is filled at once to count documents.
+HELD_AT_ONCE = 1 << 26
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MESSAGE = "block int, bucket int, lane int, n long, keys binary, counts binary"
@@ -135,6 +138,21 @@ class Stretches(NamedTuple):
     links: np.ndarray
 
 
+def _by_ranks(spec: dict, token_bytes: list[bytes]):
+    """An encoder by ranks, where the vocabulary allows it: ids in order of the merges, and the usual split. Rank and id
+    are then the same, and it gives the ids that the merges give."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [model["vocab"][m] for m in merges]
+    if (spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True)
+            or model.get("ignore_merges") or any(a >= b for a, b in zip(ids, ids[1:]))):
+        return None
+    import tiktoken
+    added = {t["id"] for t in spec["added_tokens"]}
+    ranks = {x: i for i, x in enumerate(token_bytes) if i not in added}
+    return tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Tokens of a byte-level BPE file (A) and of a piece model (B), and their groups."""
 
@@ -143,14 +161,18 @@ class Aligner:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
-        self.a = Tokenizer.from_str(a_json)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
-        self.a.no_truncation()
-        self.a.no_padding()
+        spec = json.loads(a_json)
         byte_of = {c: b for b, c in enumerate(byte_characters())}
-        self.a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
-        for token, i in self.a.get_vocab(with_added_tokens=True).items():
+        vocab = {**spec["model"]["vocab"], **{t["content"]: t["id"] for t in spec["added_tokens"]}}
+        self.a_bytes = [b""] * (max(vocab.values()) + 1)
+        for token, i in vocab.items():
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
+        self.ranks = _by_ranks(spec, self.a_bytes)
+        if self.ranks is None:
+            self.a = Tokenizer.from_str(a_json)
+            self.a.encode_special_tokens = True  # their strings in a text are plain text
+            self.a.no_truncation()
+            self.a.no_padding()
         self.b = SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
@@ -158,18 +180,43 @@ class Aligner:
         #: whether stretches are independent: no piece goes on over the start of a word
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
         self.a_size, self.b_size = (np.array([len(x) for x in v]) for v in (self.a_bytes, self.b_bytes))
+        self.a_pool, self.b_pool = (np.frombuffer(b"".join(v), np.uint8) for v in (self.a_bytes, self.b_bytes))
         self.a_text, self.b_text = (pa.array(map(str, range(len(v))), pa.large_string()) for v in (self.a_bytes, self.b_bytes))
 
-    def _stretches(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        number: dict[str, int] = {}
-        codes, offsets = [], [0]
-        for t in texts:
-            if t:
-                codes += [number.setdefault(u, len(number)) for u in (_CUT.split(t) if self.cuts else (t,))]
-            offsets.append(len(codes))
-        return np.array(offsets), np.array(codes, np.int64), list(number)
-
-    def _ids(self, units: list[str], side: str) -> tuple[np.ndarray, np.ndarray]:
+    def _stretches(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Offsets, numbers and the distinct stretches of every text."""
+        cut = pc.split_pattern(texts, " ") if self.cuts else pa.LargeListArray.from_arrays(
+            pa.array(np.arange(len(texts) + 1)), texts)
+        offsets = np.asarray(cut.offsets).astype(np.int64)
+        flat = cut.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets, codes = offsets - offsets[0], np.asarray(flat.indices).astype(np.int64)
+        units = flat.dictionary.to_pylist()
+        # parts next to further white space are not stretches of their own: these texts are cut again, one by one
+        odd = np.array([not u or u[0].isspace() or u[-1].isspace() for u in units], bool)
+        count = np.diff(offsets)
+        empty = np.asarray(pc.binary_length(texts)) == 0
+        again = (_sums(odd[codes], offsets) > 0) & ~empty & (count > 1)
+        if again.any() or empty.any():
+            number = dict(zip(units, range(len(units))))
+            parts, held = [], np.split(codes, offsets[1:-1]) if len(texts) else []
+            for i, own in enumerate(held):
+                if again[i]:
+                    own = np.array([number.setdefault(u, len(number)) for u in _CUT.split(texts[i].as_py())], np.int64)
+                parts.append(own[:0] if empty[i] else own)
+            codes, offsets = np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+            units = list(number)
+        used, codes = np.unique(codes, return_inverse=True)
+        return offsets, codes, [units[i] for i in used.tolist()]
+
+    def _ids(self, units: list[str], ends: np.ndarray, side: str) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of tokens of the stretches, and the ids. ``ends``: where each ends in the bytes of all."""
+        if side == "a" and self.ranks is not None:
+            # the stretches one after the other: no token goes over the space between two
+            ids = [np.asarray(self.ranks.encode_ordinary(f" {' '.join(units[i:i + TOGETHER])}"), np.int64)
+                   for i in range(0, len(units), TOGETHER)] if self.cuts else [
+                       np.asarray(self.ranks.encode_ordinary(f" {u}"), np.int64) for u in units]
+            ids = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+            return np.diff(np.searchsorted(np.cumsum(self.a_size[ids]), ends, "right"), prepend=0), ids
         lists = []
         for i in range(0, len(units), TOGETHER):
             part = units[i:i + TOGETHER]
@@ -181,25 +228,30 @@ class Aligner:
         return count, np.fromiter(chain.from_iterable(lists), np.int64, int(count.sum()))
 
     @staticmethod
-    def _whole(units: list[str], size: np.ndarray, count: np.ndarray, ids: np.ndarray, token_bytes: list[bytes],
+    def _whole(data: np.ndarray, size: np.ndarray, count: np.ndarray, ids: np.ndarray, pool: np.ndarray,
                token_size: np.ndarray) -> np.ndarray:
-        """Which stretches the tokens give back byte for byte."""
+        """Which stretches (``size`` bytes each of ``data``) the tokens give back byte for byte."""
+        each = token_size[ids]
+        before = np.concatenate(([0], np.cumsum(each)))
         ends = np.cumsum(count)
-        before = np.concatenate(([0], np.cumsum(token_size[ids])))
-        right = before[ends] - before[ends - count] == size
-        joined = b"".join(map(token_bytes.__getitem__, ids.tolist()))
-        if right.all() and joined == "".join(f" {u}" for u in units).encode():
+        got = before[ends] - before[ends - count]
+        start = (np.cumsum(token_size) - token_size)[ids]
+        joined = pool[np.arange(int(before[-1])) + np.repeat(start - before[:-1], each)]
+        right = got == size
+        if right.all() and (joined == data).all():
             return right
+        first, at = np.cumsum(size) - size, before[ends - count]
         for i in np.flatnonzero(right):
-            right[i] = joined[before[ends[i] - count[i]]:before[ends[i]]] == f" {units[i]}".encode()
+            right[i] = (joined[at[i]:at[i] + size[i]] == data[first[i]:first[i] + size[i]]).all()
         return right
 
-    def align(self, texts: list[str]) -> Stretches:
+    def align(self, texts: pa.Array) -> Stretches:
         offsets, codes, units = self._stretches(texts)
-        size = np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units))
-        (n_a, a), (n_b, b) = self._ids(units, "a"), self._ids(units, "b")
-        good = (self._whole(units, size, n_a, a, self.a_bytes, self.a_size)
-                & self._whole(units, size, n_b, b, self.b_bytes, self.b_size))
+        size = np.asarray(pc.binary_length(pa.array(units, pa.large_string()))).astype(np.int64) + 1
+        data = np.frombuffer("".join([f" {u}" for u in units]).encode(), np.uint8)
+        (n_a, a), (n_b, b) = (self._ids(units, np.cumsum(size), side) for side in "ab")
+        good = (self._whole(data, size, n_a, a, self.a_pool, self.a_size)
+                & self._whole(data, size, n_b, b, self.b_pool, self.b_size))
         a, b = a[np.repeat(good, n_a)], b[np.repeat(good, n_b)]
         n_a, n_b, size = n_a * good, n_b * good, size * good
         # a text with a bad stretch has no tokens
@@ -261,14 +313,19 @@ def _spread(starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.repeat(starts[which] - first, size) + np.arange(int(size.sum())), size
 
 
-def document_pairs(s: Stretches, wide: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs of a block and how many of its texts hold each (``wide``: number of possible pairs)."""
-    doc = np.repeat(np.arange(len(s.offsets) - 1), np.diff(s.offsets))
-    n = max(len(s.n_a), 1)
-    doc, unit = np.divmod(np.unique(doc * n + s.codes), n)
-    at, size = _spread(s.starts, unit)
-    held = np.unique(np.repeat(doc, size) * wide + s.pairs[at])
-    return np.unique(held % wide, return_counts=True)
+def document_pairs(s: Stretches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of a block, how many of its texts hold each, and the place of each of ``s.pairs`` among them."""
+    known, place = np.unique(s.pairs, return_inverse=True)
+    count, step = np.zeros(len(known), np.int64), max(1, HELD_AT_ONCE // max(len(known), 1))
+    for a in range(0, len(s.offsets) - 1, step):
+        cut = s.offsets[a:a + step + 1]
+        at, size = _spread(s.starts, s.codes[cut[0]:cut[-1]])
+        held = np.zeros((len(cut) - 1, len(known)), bool)
+        held[np.repeat(np.repeat(np.arange(len(cut) - 1), np.diff(cut)), size), place[at]] = True
+        count += held.sum(axis=0)
+    # a pair only in stretches of texts without tokens has no count
+    alive = count > 0
+    return known[alive], count[alive], np.where(alive, np.cumsum(alive) - 1, -1)[place]
 
 
 def _by_bucket(pairs: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -297,15 +354,16 @@ class Alignment:
         self.docs = rows.withColumn("block", block).repartitionById(self.blocks, F.col("block"))
         a = _aligner(*self.files.value)
         self.b_ids, self.pairs = len(a.b_size), len(a.a_size) * len(a.b_size)
-        self.messages = self.docs.groupBy("block").applyInArrow(self._send(), _MESSAGE)
+        # small beside the texts, and read by the counting and by the answers
+        self.messages = materialize(self.docs.groupBy("block").applyInArrow(self._send(), _MESSAGE), "pair-messages")
         self.index = self._count()
 
     def _send(self):
-        files, buckets, wide = self.files, self.buckets, self.pairs
+        files, buckets = self.files, self.buckets
 
         def send(tab: pa.Table) -> pa.Table:
-            s = _aligner(*files.value).align(W.as_texts(tab.column("text")).to_pylist())
-            pairs, count = document_pairs(s, wide)
+            s = _aligner(*files.value).align(W.as_texts(tab.column("text")))
+            pairs, count, _ = document_pairs(s)
             order, cut = _by_bucket(pairs, buckets)
             pairs, count, block = pairs[order].astype(np.uint64), count[order], tab.column("block")[0].as_py()
             rows = [(block, int(k), block // FAN_IN, int(cut[k + 1] - cut[k]), X.pack_sorted(pairs[cut[k]:cut[k + 1]]),
@@ -378,7 +436,7 @@ class Alignment:
     def documents(self, digests: bool = False) -> DataFrame:
         """The rows with n_a, n_b, n_groups, n_links, n_best, count_sum (long) and groups (string); with ``digests``
         groups_sha256 instead of the groups and the text."""
-        files, buckets, wide, b_ids = self.files, self.buckets, self.pairs, self.b_ids
+        files, buckets, b_ids = self.files, self.buckets, self.b_ids
         best = self.docs.sparkSession.sparkContext.broadcast(self.best_counts())  # one number per vocabulary entry
         lanes = -(-self.blocks // FAN_IN)
 
@@ -401,16 +459,15 @@ class Alignment:
         last = "groups_sha256" if digests else "groups"
 
         def finish(tab: pa.Table, answers: pa.Table) -> pa.Table:
-            s = _aligner(*files.value).align(W.as_texts(tab.column("text")).to_pylist())
-            pairs, _ = document_pairs(s, wide)
+            s = _aligner(*files.value).align(W.as_texts(tab.column("text")))
+            pairs, _, place = document_pairs(s)
             order, _ = _by_bucket(pairs, buckets)
             answers = answers.sort_by("bucket")
             told = [X.unpack_counts(c, n) for c, n in zip(answers.column("counts").to_pylist(), answers.column("n").to_pylist())]
             count = np.empty(len(pairs), np.int64)
             count[order] = np.concatenate(told) if told else []
-            of_pair = count[np.searchsorted(pairs, s.pairs)] if len(pairs) else np.zeros(len(s.pairs), np.int64)
+            of_pair = np.append(count, 0)[place]
             at_best = s.links * (of_pair == best.value[s.pairs // b_ids])
-            # stretches only of texts without tokens were never counted: no text reads their sums
             per_unit = [s.n_a, s.n_b, s.n_groups, s.n_links, _sums(at_best, s.starts), _sums(s.links * of_pair, s.starts)]
             cols = [_sums(u[s.codes], s.offsets) for u in per_unit]
             lists = pa.LargeListArray.from_arrays(pa.array(s.offsets), s.groups.take(pa.array(s.codes)))
