@@ -50,28 +50,38 @@ def _stage(number: int):
 
 @_stage(1)
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier (learned from the labelled ones among ``docs``) does not call toxic. A null text is scored
+    as an empty one; repeated rows each get the verdict of their text; an empty table stays empty."""
     model = train(docs, read_table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).filter("predicted = 0").select(docs.columns)
 
 
 @_stage(2)
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outlier of their language and source (null is a value of either). Null and
+    empty texts have too few words and go."""
     return quality_verdicts(docs).filter("kept").select(docs.columns)
 
 
 @_stage(3)
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one of the smallest id, one row of it where ids repeat. Null and
+    empty texts have fingerprint zero and are a group."""
     return keep_one_per_group(docs)
 
 
 @_stage(4)
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the words of passages that stand earlier in the corpus. White space between the words that stay
+    does not change, a document that loses nothing is byte for byte what it was, and ``n_chars`` counts the new text. A null text
+    stays null; a document may end up with an empty text."""
     done = dedup_substrings(docs).select(docs.columns)
     return done.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 @_stage(5)
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of pieces of documents with their bins (see ``pack_texts``); documents without tokens have one empty piece."""
     return pack_texts(docs)
 
 

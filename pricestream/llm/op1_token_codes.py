@@ -148,11 +148,27 @@ class LibraryEncoder:
         start, size, pool = self._words(w.vocab)
         count = size[w.codes] if len(w.codes) else np.zeros(0, np.int64)
         total = np.concatenate(([0], np.cumsum(count)))
-        at = np.repeat(start[w.codes] - total[:-1], count) + np.arange(total[-1])
+        # places in 32 bits where they fit: half the memory to move
+        kind = np.int32 if max(total[-1], len(pool)) < 1 << 31 else np.int64
+        at = np.repeat((start[w.codes] - total[:-1]).astype(kind), count)
+        at += np.arange(total[-1], dtype=kind)
         return total[w.offsets], pool[at]
 
-    def _words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of every word, as start and size in a pool."""
+    def lengths(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text; the ids themselves are not laid out."""
+        if not self.by_word:
+            return np.diff(self(texts)[0])
+        w = W.split_words(texts)
+        size = self._sizes(w.vocab)
+        total = np.concatenate(([0], np.cumsum(size[w.codes] if len(w.codes) else [], dtype=np.int64)))
+        return np.diff(total[w.offsets])
+
+    def _sizes(self, vocab: pa.Array) -> np.ndarray:
+        code, marks, entries = self._entries(vocab)
+        return np.fromiter(map(len, entries), np.int64, len(entries))[code] + (marks > 0)
+
+    def _entries(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, list[list[int]]]:
+        """For every word the number of its core and the id of its mark plus 1 (0: none); and the ids of the cores."""
         latin = pc.match_substring_regex(vocab, _LATIN)
         lower = pc.if_else(latin, pc.utf8_lower(vocab), vocab)
         # a word of Latin letters and one mark after it is encoded without the mark
@@ -163,7 +179,11 @@ class LibraryEncoder:
         cores = cores.dictionary_encode()
         code, plain = np.asarray(cores.indices), np.zeros(len(cores.dictionary), bool)
         plain[code[latin.to_numpy(zero_copy_only=False)]] = True
-        entries = self._cores(cores.dictionary.to_pylist(), plain.tolist())
+        return code, marks, self._cores(cores.dictionary.to_pylist(), plain.tolist())
+
+    def _words(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of every word, as start and size in a pool."""
+        code, marks, entries = self._entries(vocab)
         core_size = np.array([len(e) for e in entries], np.int64)
         core_pool = np.fromiter(chain.from_iterable(entries), np.int32, int(core_size.sum()))
         core_start = np.cumsum(core_size) - core_size
