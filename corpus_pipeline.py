@@ -48,26 +48,37 @@ def _stage(number: int):
     return wrap
 
 
+#: Columns that the operators read; a table's others are set aside under names that no operator adds.
+_READ = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _beside(docs: DataFrame, operate) -> DataFrame:
+    """``operate`` on ``docs``, whose further columns come back with their own values, whatever their names."""
+    own = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c not in _READ}
+    done = operate(docs.select(*[F.col(f"`{c}`").alias(own.get(c, c)) for c in docs.columns]))
+    return done.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])
+
+
 @_stage(1)
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier (learned from the labelled ones among ``docs``) does not call toxic. A null text is scored
     as an empty one; repeated rows each get the verdict of their text; an empty table stays empty."""
     model = train(docs, read_table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).filter("predicted = 0").select(docs.columns)
+    return _beside(docs, lambda d: score_toxicity(d, model).filter("predicted = 0"))
 
 
 @_stage(2)
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and are no outlier of their language and source (null is a value of either). Null and
     empty texts have too few words and go."""
-    return quality_verdicts(docs).filter("kept").select(docs.columns)
+    return _beside(docs, lambda d: quality_verdicts(d).filter("kept"))
 
 
 @_stage(3)
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest id, one row of it where ids repeat. Null and
     empty texts have fingerprint zero and are a group."""
-    return keep_one_per_group(docs)
+    return _beside(docs, keep_one_per_group)
 
 
 @_stage(4)
@@ -75,7 +86,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """All documents, without the words of passages that stand earlier in the corpus. White space between the words that stay
     does not change, a document that loses nothing is byte for byte what it was, and ``n_chars`` counts the new text. A null text
     stays null; a document may end up with an empty text."""
-    done = dedup_substrings(docs).select(docs.columns)
+    done = _beside(docs, dedup_substrings)
     return done.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
