@@ -23,6 +23,7 @@ is its own next one. An empty table gives an empty result.
 from __future__ import annotations
 
 from hashlib import sha256
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -55,20 +56,35 @@ def _labels(names: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return x
 
 
-def _next_level(names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Phrase names and how many each text has. Texts have at least one name."""
+class Phrases(NamedTuple):
+    """One level: phrase names, phrases per text; first name of every run, first run of every phrase, and of
+    every text."""
+    names: np.ndarray
+    sizes: np.ndarray
+    runs: np.ndarray
+    heads: np.ndarray
+    starts: np.ndarray
+
+
+def _within(places: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """How many of the sorted ``places`` lie in each text."""
+    return np.diff(np.append(np.searchsorted(places, starts), len(places)))
+
+
+def _next_level(names: np.ndarray, sizes: np.ndarray) -> Phrases:
+    """Phrases of sequences of names. Texts have at least one name."""
     starts = np.cumsum(sizes) - sizes
     # runs
     fresh = np.ones(len(names), bool)
     fresh[1:] = names[1:] != names[:-1]
     fresh[starts] = True
-    if not fresh.all():
-        at = np.flatnonzero(fresh)
-        count = np.diff(np.append(at, len(names)))
-        names = names[at].astype(np.uint64)
+    runs = np.flatnonzero(fresh)
+    if len(runs) < len(names):
+        count = np.diff(np.append(runs, len(names)))
+        names = names[runs].astype(np.uint64)
         many = count > 1
         names[many] = W.mix(names[many] + count[many].astype(np.uint64) * _RUN)
-        sizes = np.add.reduceat(fresh, starts, dtype=np.int64)
+        sizes = _within(runs, starts)
         starts = np.cumsum(sizes) - sizes
     label = _labels(names, starts)
     head = np.zeros(len(names), bool)
@@ -81,21 +97,19 @@ def _next_level(names: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     at = np.flatnonzero(head)
     place = (np.arange(len(names)) - np.repeat(at, np.diff(np.append(at, len(names))))).astype(np.uint64)
     inside = W.mix(names.astype(np.uint64) + (place + np.uint64(1)) * _PLACE)
-    return W.mix(np.add.reduceat(inside, at)), np.add.reduceat(head, starts, dtype=np.int64)
+    return Phrases(W.mix(np.add.reduceat(inside, at)), _within(at, starts), runs, at, starts)
 
 
-def sketch(texts: list[str]) -> np.ndarray:
-    """Fingerprints as an array (texts, BINS) of unsigned 16 bit."""
-    out = np.zeros((len(texts), BINS), np.uint16)
-    sizes = np.array([len(t) for t in texts], np.int64)
-    who = np.flatnonzero(sizes)
-    names = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = sizes[who]
-    least = np.full(len(texts) * BINS, ~np.uint64(0))
-    level = 0
+def _code_points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _prints(names: np.ndarray, sizes: np.ndarray, who: np.ndarray, n: int) -> np.ndarray:
+    """Fingerprints of ``n`` texts from the first level's names of those (``who``) that have any."""
+    out = np.zeros((n, BINS), np.uint16)
+    least = np.full(n * BINS, ~np.uint64(0))
+    level = 1
     while len(who):
-        names, sizes = _next_level(names, sizes)
-        level += 1
         ended = sizes == 1
         take = np.repeat(ended | (level >= LEVEL), sizes)
         owner = np.repeat(who, sizes)
@@ -104,12 +118,60 @@ def sketch(texts: list[str]) -> np.ndarray:
         np.minimum.at(least, slot, key)
         stay = np.repeat(~ended, sizes)
         names, who, sizes = names[stay], who[~ended], sizes[~ended]
-    least = least.reshape(len(texts), BINS)
+        if len(who):
+            names, sizes = _next_level(names, sizes)[:2]
+            level += 1
+    least = least.reshape(n, BINS)
     full = least != ~np.uint64(0)
     out[full] = (1 + (least[full] >> np.uint64(7)) % np.uint64(65535)).astype(np.uint16)
     return out
 
 
+def sketch(texts: list[str]) -> np.ndarray:
+    """Fingerprints as an array (texts, BINS) of unsigned 16 bit."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    who = np.flatnonzero(sizes)
+    if not len(who):
+        return np.zeros((len(texts), BINS), np.uint16)
+    first = _next_level(_code_points(texts), sizes[who])
+    return _prints(first.names, first.sizes, who, len(texts))
+
+
+def sketch_edited(texts: list[str], keep: list[int], ends: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the texts, and of the texts of which the first ``keep`` code points stay and the rest is
+    replaced by ``ends``. A text that is not empty keeps one code point at least.
+
+    The edited text's first level is parsed anew only from the last phrase that the edit cannot touch: a phrase start
+    depends on ROUNDS + 1 runs to its left and one to its right, so the parse takes up that many runs
+    before that phrase and agrees with the text's own from there."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    who = np.flatnonzero(sizes)
+    if not len(who):
+        return (np.zeros((len(texts), BINS), np.uint16),) * 2
+    first = _next_level(_code_points(texts), sizes[who])
+    begin = np.cumsum(sizes[who]) - sizes[who]
+    # the run with the last kept code point may grow or shrink; the one before it may lose its start
+    touched = np.searchsorted(first.runs, begin + np.array(keep, np.int64)[who] - 1, "right") - 1
+    phrase = np.searchsorted(first.heads, touched - 2, "right") - 1
+    own = np.cumsum(first.sizes) - first.sizes
+    resume = first.heads[np.maximum(phrase, 0)] - (ROUNDS + 1)
+    reuse = (phrase > own) & (resume >= first.starts)
+    place = np.where(reuse, first.runs[np.maximum(resume, 0)] - begin, 0).tolist()
+    tails = [texts[w][p:keep[w]] + ends[w] for w, p in zip(who.tolist(), place)]
+    tail = _next_level(_code_points(tails), np.array([len(t) for t in tails], np.int64))
+    # phrases of a tail that start before the shared one
+    skip = np.searchsorted(tail.heads, tail.starts + np.where(reuse, ROUNDS + 1, 0))
+    end = np.cumsum(tail.sizes)
+    shared = np.where(reuse, phrase - own, 0)
+    pieces = []
+    for a, n, b, c in zip(own.tolist(), shared.tolist(), skip.tolist(), end.tolist()):
+        pieces += [first.names[a:a + n], tail.names[b:c]]
+    m = len(texts)
+    done = _prints(np.concatenate([first.names, *pieces]), np.concatenate((first.sizes, shared + end - skip)),
+                   np.concatenate((who, who + m)), 2 * m)
+    return done[:m], done[m:]
+
+
 def to_strings(prints: np.ndarray) -> list[str]:
     return [row.astype(">u2").tobytes().hex() for row in prints]
 
@@ -121,16 +183,36 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(used == 0, 1.0, same / np.maximum(used, 1))
 
 
-def _sketches(texts: list[str], most: int = 1 << 20) -> np.ndarray:
-    """``sketch`` in runs of about ``most`` code points, so that memory stays bounded."""
-    out, at = [np.zeros((0, BINS), np.uint16)], 0
-    total = np.cumsum([len(t) for t in texts])
+#: Code points that are parsed together: their arrays stay in a core's cache.
+TOGETHER = 1 << 16
+
+
+def _runs_of(texts: list[str], most: int):
+    """First and last places of runs of texts of about ``most`` code points, so that memory stays bounded."""
+    at, total = 0, np.cumsum([len(t) for t in texts])
     while at < len(texts):
         base = total[at - 1] if at else 0
         end = max(at + 1, int(np.searchsorted(total, base + most, "right")))
-        out.append(sketch(texts[at:end]))
+        yield at, end
         at = end
-    return np.concatenate(out)
+
+
+def _sketches(texts: list[str], most: int = TOGETHER) -> np.ndarray:
+    return np.concatenate([np.zeros((0, BINS), np.uint16), *[sketch(texts[a:b]) for a, b in _runs_of(texts, most)]])
+
+
+def _edited(texts: list[str], most: int = TOGETHER) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Fingerprints of all texts but the last, of those edited by their next ones, and checksums of the edited."""
+    prints, new, checks = [np.zeros((0, BINS), np.uint16)], [np.zeros((0, BINS), np.uint16)], []
+    for a, b in _runs_of(texts[:-1], most):
+        run = texts[a:b]
+        keep = [len(t) - len(t) // 4 for t in run]
+        ends = [following[:len(t) // 4] for t, following in zip(run, texts[a + 1:b + 1])]
+        checks += [sha256((t[:k] + e).encode()).hexdigest() for t, k, e in zip(run, keep, ends)]
+        one, two = sketch_edited(run, keep, ends)
+        prints.append(one)
+        new.append(two)
+    return np.concatenate(prints), np.concatenate(new), checks
 
 
 def fingerprints(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -206,15 +288,11 @@ def edited_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "
         tab = tab.take(pa.array(order))
         own = pc.sum(pc.invert(tab.column("guest"))).as_py() or 0
         texts = W.as_texts(tab.column("text")).to_pylist()[:own + 1]
-        edited = []
-        for text, following in zip(texts, texts[1:]):
-            k = len(text) // 4
-            edited.append(text[:len(text) - k] + following[:k])
-        prints, new = _sketches(texts), _sketches(edited)
-        m = min(own, len(edited))
+        prints, new, checks = _edited(texts)
+        prints, m = np.concatenate((prints, _sketches(texts[-1:]))), min(own, len(new))
         return pa.table({
             "doc_id": tab.column("doc_id").slice(0, m), "n_chars": pa.array([len(t) for t in texts[:m]], pa.int64()),
-            "edited_sha256": pa.array([sha256(t.encode()).hexdigest() for t in edited], pa.string()),
+            "edited_sha256": pa.array(checks, pa.string()),
             "fingerprint": pa.array(to_strings(prints[:m]), pa.string()),
             "edited_fingerprint": pa.array(to_strings(new), pa.string()),
             "near_edited": likeness(prints[:m], new), "near_next": likeness(prints[:m], prints[1:m + 1])})
