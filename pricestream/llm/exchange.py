@@ -10,9 +10,14 @@ that a third of the corpus holds costs one entry per block, so no bucket gets ho
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.ipc  # noqa: F401
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pricestream.llm import words as W
+
 BLOCK_BYTES = 8 << 20
 
 
@@ -31,6 +36,64 @@ def blocked(df: DataFrame, id_col: str, text: str, n: int) -> DataFrame:
     return df.withColumn("block", block).repartition(n, "block")
 
 
+#: Bytes of rows that a task gathers before it deals them to blocks; copies of one key that stay together.
+GATHER_BYTES, TOGETHER = 16 << 20, 16
+
+
+def packed_blocks(df: DataFrame, key: str, n: int) -> DataFrame:
+    """``df`` without ``key`` dealt into ``n`` blocks, as rows (block, payload): those rows of a block that meet in one
+    map task travel as one compressed Arrow stream (see ``unpacked``). Rows of one key (a long) are spread: by
+    task, and within a task in runs of ``TOGETHER``, so that a key with a third of all rows fills no block."""
+    names = [c for c in df.columns if c != key]
+
+    def deal(batches):
+        task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush():
+            tab = pa.Table.from_batches(held).combine_chunks()
+            keys = tab.column(key).to_numpy().view(np.uint64)
+            _, code = np.unique(keys, return_inverse=True)
+            order = np.argsort(code, kind="stable")
+            first = np.flatnonzero(np.diff(code[order], prepend=-1))
+            copy = np.empty(len(code), np.int64)
+            copy[order] = np.arange(len(code)) - np.repeat(first, np.diff(np.append(first, len(code))))
+            run = np.where(copy < TOGETHER, 0, (number << 24) + copy // TOGETHER).astype(np.uint64)
+            block = (W.mix(W.mix(keys + np.uint64(task)) + run) % np.uint64(n)).astype(np.int32)
+            order = np.argsort(block, kind="stable")
+            block, tab = block[order], tab.select(names).take(pa.array(order))
+            cut = np.append(np.flatnonzero(np.diff(block, prepend=-1)), len(block)).tolist()
+            for a, b in zip(cut, cut[1:]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, tab.schema) as out:
+                    out.write_table(tab.slice(a, b - a))
+                data = sink.getvalue()
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([block[a]], pa.int32()),
+                    "payload": pa.array([data.size.to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)], pa.binary())})
+
+        for batch in batches:
+            held.append(batch)
+            size += batch.nbytes
+            if size >= GATHER_BYTES:
+                yield from flush()
+                number, held, size = number + 1, [], 0
+        if any(b.num_rows for b in held):
+            yield from flush()
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(deal, "block int, payload binary").repartition(n, "block")
+
+
+def unpacked(payloads: pa.ChunkedArray) -> pa.Table:
+    """The rows of ``packed_blocks``."""
+    parts = []
+    for p in payloads:
+        data = p.as_buffer()
+        size = int.from_bytes(data.slice(0, 8).to_pybytes(), "little")
+        parts.append(pa.ipc.open_stream(pa.decompress(data.slice(8), size, "zstd")).read_all())
+    return pa.concat_tables(parts)
+
+
 def pack(x: np.ndarray) -> bytes:
     """Unsigned integers as byte planes; planes above the highest used byte are left out."""
     x = x.astype("<u8", copy=False)

@@ -184,8 +184,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     columns = [c for c in df.columns if keep_text or c != text_col]
     base = carry(df, doc_id=id_col, text=text_col).withColumn("held_out", held_out())
     n = X.block_count(base)
-    docs = X.blocked(base, "doc_id", "text", n)
-    by_block = docs.groupBy("block")
+    by_block = X.packed_blocks(base.withColumn("deal", F.xxhash64("doc_id", "text")), "deal", n).groupBy("block")
     names = [c for c in ("doc_id", "text", "rest") if keep_text or c != "text"]
 
     def tokens(tab: pa.Table) -> Tokens:
@@ -198,7 +197,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         return pa.table({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), cols)})
 
     def send(tab: pa.Table) -> pa.Table:
-        block, t = tab.column("block")[0].as_py(), tokens(tab)
+        block, t = tab.column("block")[0].as_py(), tokens(X.unpacked(tab.column("payload")))
         c1, cg = t.word_counts(), t.gram_counts()
         cut1, cutg, out = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n), []
         for b in range(n):
@@ -226,6 +225,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         return rows(out)
 
     def score(tab: pa.Table, answers: pa.Table) -> pa.Table:
+        tab = X.unpacked(tab.column("payload"))
         t = tokens(tab)
         cut1, cutg = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n)
         n1, n_gram, total, distinct = np.zeros(len(t.words), np.int64), np.zeros(len(t.grams), np.int64), 0, 0
@@ -251,7 +251,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     added = {"held_out": "boolean", "n_tokens": "long", "n_known": "long", "train_tokens": "long",
              "base_score": "double", "score": "double"}
     totals = by_block.applyInArrow(send, _MESSAGE).groupBy("bucket").applyInArrow(add_up, _MESSAGE)
-    done = by_block.cogroup(totals.groupBy("block")).applyInArrow(score, schema_of(docs, *names, **added))
+    done = by_block.cogroup(totals.groupBy("block")).applyInArrow(score, schema_of(base, *names, **added))
     return restore(done, columns, list(added), doc_id=id_col, **({"text": text_col} if keep_text else {}))
 
 

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import itertools
 import math
+import random
 import zlib
 
 import numpy as np
@@ -13,6 +15,9 @@ import xxhash
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+from pyspark.sql import functions as F  # noqa: E402
+
+from pricestream.llm import exchange  # noqa: E402
 from pricestream.llm import op10_bpe as bpe  # noqa: E402
 from pricestream.llm import op1_token_codes as codes  # noqa: E402
 from pricestream.llm import op2_lm_scoring as lm  # noqa: E402
@@ -89,7 +94,6 @@ def test_token_files(spark, edge, empty, tmp_dir):
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_library_encoder(name):
-    import random
 
     from tokenizers import Tokenizer
     path = public_tokenizers.path(name)
@@ -138,6 +142,23 @@ def test_lm_scores(edge, empty):
     assert lm.lm_scores(empty).count() == 0
 
 
+def test_packed_blocks_keep_rows_and_spread_copies(spark):
+    """Copies that are a third of a table and more fill no block, and every row comes back whole."""
+    rows = [(i, f"text {i}") for i in range(3000)] + [(7, "one text")] * 6000
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).withColumn(
+        "deal", F.xxhash64("doc_id", "text"))
+    blocks = exchange.packed_blocks(table, "deal", 16).collect()
+    got, size = [], collections.Counter()
+    for r in blocks:
+        t = exchange.unpacked(pa.chunked_array([pa.array([bytes(r.payload)], pa.binary())]))
+        assert t.column_names == ["doc_id", "text"]
+        got += list(zip(*t.to_pydict().values()))
+        size[r.block] += t.num_rows
+    assert sorted(got) == sorted(rows)
+    assert set(size) <= set(range(16)) and max(size.values()) < 1.4 * len(rows) / 16
+    assert exchange.packed_blocks(table.limit(0), "deal", 16).count() == 0
+
+
 def test_gram_keys_are_whole():
     t = lm.Tokens(pa.array(["a b c d", "b c a"], pa.large_string()), np.array([True, False]))
     assert len(t.grams) == 18 and int(t.grams.max()) >> 60 > 0
@@ -405,6 +426,57 @@ def test_fingerprints(edge, empty):
     assert lcp.fingerprints(edge).count() == len(edge_rows())
 
 
+def plain_mix(x):
+    full = (1 << 64) - 1
+    x ^= x >> 31
+    x = x * 0x7FB5D329728EA185 & full
+    x ^= x >> 27
+    x = x * 0x81DADEF4BC2DD44D & full
+    return x ^ (x >> 33)
+
+
+def plain_fingerprint(text):
+    """Locally consistent parsing one name at a time, without numpy."""
+    full, names, level, least = (1 << 64) - 1, [ord(c) for c in text], 0, {}
+    while names:
+        width = 32 if level == 0 else 64
+        runs = [(k, len(list(g))) for k, g in itertools.groupby(names)]
+        if any(c > 1 for _, c in runs):
+            names, width = [plain_mix((k + c * 0xC2B2AE3D27D4EB4F) & full) if c > 1 else k for k, c in runs], 64
+        label = names
+        for _ in range(lcp.ROUNDS):
+            left = [label[0] ^ ((1 << width) - 1), *label]
+            low = [(x ^ y) & -(x ^ y) for x, y in zip(label, left)]
+            label, width = [2 * (b.bit_length() - 1) + bool(x & b) for x, b in zip(label, low)], 8
+        heads = [i for i in range(len(names)) if i == 0 or (
+            label[i] > label[i - 1] and (i + 1 == len(names) or label[i] > label[i + 1]))]
+        phrases = [names[a:b] for a, b in zip(heads, [*heads[1:], len(names)])]
+        names = [plain_mix(sum(plain_mix((x + j * 0x165667B19E3779F9) & full) for j, x in enumerate(p, 1)) & full)
+                 for p in phrases]
+        level += 1
+        if level >= lcp.LEVEL or len(names) == 1:
+            for x in names:
+                key = plain_mix((x + min(level, lcp.LEVEL)) & full)
+                least[key % lcp.BINS] = min(least.get(key % lcp.BINS, full), key)
+        if len(names) == 1:
+            break
+    return "".join(f"{1 + (least[b] >> 7) % 65535:04x}" if b in least else "0000" for b in range(lcp.BINS))
+
+
+def test_fingerprints_equal_a_plain_parse():
+    rng = random.Random(5)
+    alphabets = ["ab", "abcdefghij ", "e\u00e9\u65e5\U0001f600 x"]
+    texts = ["", "a", "aaaa", "ab" * 300, "abc" * 200] + [
+        "".join(rng.choice(alphabets[i % 3]) * rng.choice((1, 1, 1, 2, 40)) for _ in range(rng.randint(0, 400))) for i in range(90)]
+    prints, edited, checks = lcp._edited([*texts, texts[0]], 3000)
+    for i, t in enumerate(texts):
+        k, following = len(t) // 4, texts[(i + 1) % len(texts)]
+        e = t[:len(t) - k] + following[:k]
+        assert lcp.to_strings(prints[i:i + 1]) == [plain_fingerprint(t)]
+        assert lcp.to_strings(edited[i:i + 1]) == [plain_fingerprint(e)]
+        assert checks[i] == hashlib.sha256(e.encode()).hexdigest()
+
+
 def test_phrases_do_not_depend_on_the_offset():
     rng = np.random.default_rng(0)
     text = "".join(chr(97 + c) for c in rng.integers(0, 26, 4000))
