@@ -127,11 +127,21 @@ def unpack_counts(data: bytes, n: int) -> np.ndarray:
 
 
 def pack_sorted(keys: np.ndarray) -> bytes:
-    return pack(np.diff(keys, prepend=np.uint64(0)))
+    """The first key, then the gaps as byte planes. Gaps are spread over few bits of the highest plane, which is
+    compressed; the planes below are noise."""
+    planes = pack(np.diff(keys))
+    high = len(planes) - len(keys) + 1
+    if high <= 0:
+        return keys[:1].tobytes() + planes
+    return keys[:1].tobytes() + planes[:high] + pa.compress(planes[high:], "zstd", asbytes=True)
 
 
 def unpack_sorted(data: bytes, n: int) -> np.ndarray:
-    return np.cumsum(unpack(data, n), dtype=np.uint64)
+    if n < 2 or not data[8]:
+        return np.full(n, np.frombuffer(data, np.uint64, 1)[0]) if n else np.empty(0, np.uint64)
+    high = 9 + (data[8] - 1) * (n - 1)
+    planes = data[8:high] + pa.decompress(data[high:], n - 1, "zstd", asbytes=True)
+    return np.cumsum(np.concatenate((np.frombuffer(data, np.uint64, 1), unpack(planes, n - 1))), dtype=np.uint64)
 
 
 def bucket_bounds(keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:

@@ -52,47 +52,64 @@ def held_out(id_col: str = "doc_id") -> F.col:
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS == HELD_OUT_FOLD
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place of each, and the number of every key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return ordered[fresh], order[fresh], number
+
+
 class Tokens:
-    """A block's token sequence: two start marks, the words and the end mark of each text."""
+    """A block's token sequence: two start marks, the words and the end mark of each text. Without ``index`` only
+    what the counts need."""
 
-    def __init__(self, texts: pa.Array, train: np.ndarray):
+    def __init__(self, texts: pa.Array, train: np.ndarray, index: bool = True):
         w = W.split_words(pc.ascii_lower(texts))
         n = np.diff(w.offsets)
         self.offsets = w.offsets + 3 * np.arange(len(w.offsets))
         size = int(self.offsets[-1])
-        key = np.empty(size, np.uint64)
+        # distinct words, and the place of each position's word among them
+        self.words, number = np.unique(np.concatenate((W.word_hashes(w.vocab), np.array([START, END], np.uint64))),
+                                       return_inverse=True)
         inner = np.ones(size, bool)
         inner[self.offsets[:-1]] = inner[self.offsets[:-1] + 1] = inner[self.offsets[1:] - 1] = False
-        key[inner] = W.word_hashes(w.vocab)[w.codes] if len(w.codes) else 0
-        key[self.offsets[:-1]] = key[self.offsets[:-1] + 1] = START
-        key[self.offsets[1:] - 1] = END
-        self.real = np.ones(size, bool)
+        self.word_at = np.empty(size, np.int64)
+        self.word_at[inner] = number[w.codes]
+        self.word_at[self.offsets[:-1]] = self.word_at[self.offsets[:-1] + 1] = number[-2]
+        self.word_at[self.offsets[1:] - 1] = number[-1]
+        key = self.words[self.word_at]
+        follows, self.real = np.ones(size, bool), np.ones(size, bool)
+        follows[self.offsets[:-1]] = False
         self.real[self.offsets[:-1]] = self.real[self.offsets[:-1] + 1] = False
         self.train = np.repeat(train, n + 3)
         self.n_tokens = n + 1
-        # distinct words, and the place of each position's word among them
-        self.words, self.word_at = np.unique(key, return_inverse=True)
-        at2 = np.arange(1, size)
-        at2 = at2[~np.isin(at2, self.offsets[:-1], assume_unique=True)]
-        at3 = np.flatnonzero(self.real)
-        two, three = W.window_hashes(key, 2), W.window_hashes(key, 3)
-        grams = np.concatenate((two[at2 - 1], three[at3 - 2]))
-        self.at2, self.at3 = at2, at3
-        self.grams, first, inverse = np.unique(grams, return_index=True, return_inverse=True)
-        self.gram2_at = np.zeros(size, np.int64)
-        self.gram2_at[at2] = inverse[:len(at2)]
-        self.gram3_at = np.zeros(size, np.int64)
-        self.gram3_at[at3] = inverse[len(at2):]
-        where = np.concatenate((at2, at3))
-        self.gram_position = where[first]
-        self.gram_is3 = first >= len(at2)
-        self._inverse, self._where = inverse, where
+        at2, at3 = np.flatnonzero(follows), np.flatnonzero(self.real)
+        self._keys = np.concatenate((W.window_hashes(key, 2)[at2 - 1], W.window_hashes(key, 3)[at3 - 2]))
+        self._where = np.concatenate((at2, at3))
+        if index:
+            self.grams, one, number = _distinct(self._keys)
+            self.gram2_at, self.gram3_at = np.zeros(size, np.int64), np.zeros(size, np.int64)
+            self.gram2_at[at2], self.gram3_at[at3] = number[:len(at2)], number[len(at2):]
+            self.gram_position, self.gram_is3 = self._where[one], one >= len(at2)
 
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.word_at[self.train & self.real], minlength=len(self.words))
 
-    def gram_counts(self) -> np.ndarray:
-        return np.bincount(self._inverse[self.train[self._where]], minlength=len(self.grams))
+    def gram_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct n-grams and their training counts."""
+        train = self.train[self._where]
+        seen = np.sort(self._keys[train])
+        first = np.flatnonzero(np.diff(seen, prepend=~seen[:1]))
+        n = np.diff(np.append(first, len(seen)))
+        grams = np.sort(np.concatenate((seen[first], self._keys[~train])))
+        grams = grams[np.diff(grams, prepend=~grams[:1]) != 0]
+        count = np.zeros(len(grams), np.int64)
+        count[np.searchsorted(grams, seen[first])] = n
+        return grams, count
 
 
 class Automaton:
@@ -127,7 +144,7 @@ class Automaton:
         target = np.concatenate((self.state1[word], state2[pair], state2[suffix]))
         weight = np.log10(np.concatenate((p1[word], p2[pair], p3)))
         key = source * n_words + label
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         self.arc, self.target, self.weight = key[order], target[order], weight[order]
         if not len(self.arc):
             self.arc, self.target, self.weight = np.array([-1]), np.zeros(1, np.int64), np.zeros(1)
@@ -187,9 +204,9 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
     by_block = X.packed_blocks(base.withColumn("deal", F.xxhash64("doc_id", "text")), "deal", n).groupBy("block")
     names = [c for c in ("doc_id", "text", "rest") if keep_text or c != "text"]
 
-    def tokens(tab: pa.Table) -> Tokens:
+    def tokens(tab: pa.Table, index: bool) -> Tokens:
         train = ~tab.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
-        return Tokens(W.as_texts(tab.column("text")), train)
+        return Tokens(W.as_texts(tab.column("text")), train, index)
 
     def rows(data: list[tuple]) -> pa.Table:
         cols = list(zip(*data)) or [[], [], []]
@@ -197,14 +214,14 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
         return pa.table({k: pa.array(c, t) for (k, t), c in zip(kinds.items(), cols)})
 
     def send(tab: pa.Table) -> pa.Table:
-        block, t = tab.column("block")[0].as_py(), tokens(X.unpacked(tab.column("payload")))
-        c1, cg = t.word_counts(), t.gram_counts()
-        cut1, cutg, out = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n), []
+        block, t = tab.column("block")[0].as_py(), tokens(X.unpacked(tab.column("payload")), index=False)
+        c1, (grams, cg) = t.word_counts(), t.gram_counts()
+        cut1, cutg, out = X.bucket_bounds(t.words, n), X.bucket_bounds(grams, n), []
         for b in range(n):
             one, gram = slice(cut1[b], cut1[b + 1]), slice(cutg[b], cutg[b + 1])
             out.append((block, b, X.join_fields(
                 int(cut1[b + 1] - cut1[b]).to_bytes(8, "little"), X.pack_sorted(t.words[one]), X.pack_counts(c1[one]),
-                int(cutg[b + 1] - cutg[b]).to_bytes(8, "little"), X.pack_sorted(t.grams[gram]), X.pack_counts(cg[gram]))))
+                int(cutg[b + 1] - cutg[b]).to_bytes(8, "little"), X.pack_sorted(grams[gram]), X.pack_counts(cg[gram]))))
         return rows(out)
 
     def add_up(tab: pa.Table) -> pa.Table:
@@ -226,7 +243,7 @@ def lm_scores(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", kee
 
     def score(tab: pa.Table, answers: pa.Table) -> pa.Table:
         tab = X.unpacked(tab.column("payload"))
-        t = tokens(tab)
+        t = tokens(tab, index=True)
         cut1, cutg = X.bucket_bounds(t.words, n), X.bucket_bounds(t.grams, n)
         n1, n_gram, total, distinct = np.zeros(len(t.words), np.int64), np.zeros(len(t.grams), np.int64), 0, 0
         got = answers.to_pydict()

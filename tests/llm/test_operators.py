@@ -159,6 +159,17 @@ def test_packed_blocks_keep_rows_and_spread_copies(spark):
     assert exchange.packed_blocks(table.limit(0), "deal", 16).count() == 0
 
 
+def test_sorted_keys_round_trip():
+    rng = np.random.default_rng(1)
+    sets = [np.empty(0, np.uint64), np.array([0], np.uint64), np.array([2**64 - 1], np.uint64), np.array([5, 5, 5], np.uint64),
+            np.array([0, 2**64 - 1], np.uint64), np.array([9, 10], np.uint64)]
+    sets += [np.sort(rng.integers(0, 2**63, n, np.uint64) * np.uint64(2)) for n in (2, 3, 257, 5000)]
+    for keys in sets:
+        assert np.array_equal(exchange.unpack_sorted(exchange.pack_sorted(keys), len(keys)), keys)
+    part = sets[-1] >> np.uint64(8)
+    assert len(exchange.pack_sorted(part + np.uint64(2**60))) == len(exchange.pack_sorted(part)) < 6 * len(part)
+
+
 def test_gram_keys_are_whole():
     t = lm.Tokens(pa.array(["a b c d", "b c a"], pa.large_string()), np.array([True, False]))
     assert len(t.grams) == 18 and int(t.grams.max()) >> 60 > 0
