@@ -645,3 +645,50 @@ def test_bpe_pieces_and_invalid_bytes():
 
 def test_clashing_columns_come_through(edge):
     assert set(CLASHES) <= set(edge.columns) and edge.schema == SCHEMA
+
+
+def _plain_determinant(x: np.ndarray, ridge: np.ndarray, starts: int = 60) -> tuple[float, np.ndarray]:
+    """Least determinant over random subsets and its squared distances, row by row and without bins."""
+    rng, best = np.random.default_rng(5), (np.inf, None)
+    h = int(quality.SUPPORT * len(x))
+    for _ in range(starts):
+        use = rng.choice(len(x), 8, replace=False)
+        for _ in range(40):
+            centre = x[use].mean(axis=0)
+            scatter = np.cov(x[use].T, bias=True) * (quality.CONSISTENCY if len(use) == h else 1) + ridge
+            gap = x - centre
+            d2 = np.einsum("ij,jk,ik->i", gap, np.linalg.inv(scatter), gap)
+            use = np.argsort(d2, kind="stable")[:h]
+        best = min(best, (np.linalg.det(scatter), d2), key=lambda b: b[0])
+    return best
+
+
+def test_quality_takes_the_least_determinant(spark):
+    rng = np.random.default_rng(3)
+    shape = np.array([[0.5, 0, 0, 0], [0.45, 0.1, 0, 0], [0, 0, 0.3, 0], [0, 0, -0.25, 0.1]])
+    x = rng.normal(size=(900, 4)) @ shape.T
+    x[:180] = [1.2, -1.2, 0.9, 0.9] + rng.normal(size=(180, 4)) * 0.05  # a fifth of the rows: one far cluster across the axes
+    points = spark.createDataFrame([("g", i % quality.SALTS, *map(float, r)) for i, r in enumerate(x)],
+                                   "grp string, salt long, x0 double, x1 double, x2 double, x3 double")
+    one = spark.createDataFrame([("g", "l")], "grp string, of string")
+    row = quality._estimates(points, one, one).first()
+    r = quality._spreads(points, one, one).first()
+    ridge = np.diag([r[f"r{i}"] ** 2 for i in range(4)])
+    least, d2 = _plain_determinant(x, ridge)
+    assert least * 0.97 <= row["det"] <= least * 1.03
+    inv = quality._symmetric(lambda i, j: row[f"v{i}{j}"])
+    gap = x - [row[f"m{i}"] for i in range(4)]
+    own = np.einsum("ij,jk,ik->i", gap, inv, gap)
+    clear = np.abs(d2 / quality.CUTOFF - 1) > 0.1
+    assert ((own > quality.CUTOFF) == (d2 > quality.CUTOFF))[clear].all()
+
+
+def test_quality_ridge_follows_the_language(spark):
+    rows = [("a", 100, 1.0), ("b", 300, 3.0)]
+    points = spark.createDataFrame([(g, i % 32, c * (i % 101 - 50) / 100, 0.0, 0.0, 0.0) for g, n, c in rows for i in range(n)],
+                                   "grp string, salt long, x0 double, x1 double, x2 double, x3 double")
+    members = spark.createDataFrame([("a", "l"), ("b", "l")], "grp string, of string")
+    got = {r["grp"]: r for r in quality._spreads(points, members, members).collect()}
+    # quartile spreads of 0.5 and 1.5; most rows have the latter
+    assert got["a"]["r0"] == got["b"]["r0"] == pytest.approx(quality.RIDGE * 1.5 / 1.349, rel=0.02)
+    assert [got["a"][f"r{i}"] for i in (1, 2, 3)] == [f for _, f in quality.COORDINATES[1:]]
