@@ -16,14 +16,16 @@ passage that some articles share stays.
 The pages of a host with up to ``RANGE_BYTES`` of html are in one block of the exchange (not to be mixed
 up with blocks of text), where the word streams are concatenated and their suffixes sorted (prefix
 doubling up to ``RUN`` words): neighbouring suffixes with a common prefix of ``RUN`` words are
-occurrences of one run. A larger host is dealt into pieces by a hash of the page, which are blocks of their own;
-its counts are added up over all pieces (see ``exchange``), runs being told apart by 64-bit hashes of host and words:
-
-1. pieces send their number of pages, whether one has open text outside any article, and the runs on
-   ``TEMPLATE_SHARE`` of their own pages (a run on that share of the host's pages is on that share of some
-   piece's); each piece gets those of its host back;
-2. pieces send the counts of these runs, or of all their runs if a page of the host has open text; buckets
-   of the hash space add them up;
+occurrences of one run. A larger host is dealt into pieces by a hash of the page, which are blocks of their own, each
+with its suffix array; the counts of a run are added up over the pieces (see ``exchange``), where a run goes
+by a 64-bit hash of host and words:
+
+1. pieces send their number of pages, whether one has open text outside any article, and nominate the runs on
+   ``NOMINATE`` of their pages; per host and range of hashes, a run stays that can still be on ``TEMPLATE_SHARE`` of the
+   host's pages if it is on all but ``NOMINATE`` of them in the other pieces. A run that stays was nominated
+   by pieces with two thirds of the pages, so a host has no more of them than about four pages' words;
+2. pieces get these runs and send their counts, or those of all their runs if a page of the host has open text;
+   buckets of the hash space add them up;
 3. pieces remove by the totals.
 
 So a page's text depends on its host's pages alone, however the pages are dealt. They are parsed and
@@ -60,6 +62,8 @@ from pricestream.sources.tables import read_table
 #: Words of a run; share and number of pages of a template line.
 RUN = 8
 TEMPLATE_SHARE, TEMPLATE_PAGES = 0.8, 5
+#: Share of a piece's pages from which a run is nominated; pieces of a host per range of hashes and per copy of its list.
+NOMINATE, SHARED_PIECES = 0.4, 64
 #: Bytes of html in a piece of a host, and that a page has at least for the dealing.
 RANGE_BYTES, PAGE_BYTES = 2 << 20, 64
 
@@ -184,10 +188,12 @@ def blocks_of(html: str) -> list[tuple[int, str]]:
     return out
 
 
-def suffix_runs(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndarray:
-    """For every place, on how many distinct pages the run of ``run`` words starting there occurs
-    (0 where a page ends first). Suffixes are sorted by doubling the compared length."""
+def suffix_groups(tokens: np.ndarray, page: np.ndarray, row: np.ndarray, run: int = RUN) -> tuple[np.ndarray, ...]:
+    """The places where a run of ``run`` words starts inside one row, the number of the run at each, and on how many distinct
+    pages each run occurs. Suffixes are sorted by doubling the compared length."""
     n = len(tokens)
+    if n < run:
+        return (np.zeros(0, np.int64),) * 3
     rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
     length = 1
     order = np.argsort(rank, kind="stable")
@@ -204,8 +210,7 @@ def suffix_runs(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndar
         length += step
     # neighbours in suffix order with one rank are occurrences of one run
     inside = np.zeros(n, bool)
-    if n >= run:
-        inside[:n - run + 1] = page[run - 1:] == page[:n - run + 1]
+    inside[:n - run + 1] = row[run - 1:] == row[:n - run + 1]
     at = order[inside[order]]
     group, where = rank[at], page[at]
     by = np.lexsort((where, group))
@@ -215,9 +220,15 @@ def suffix_runs(tokens: np.ndarray, page: np.ndarray, run: int = RUN) -> np.ndar
     new_page = first.copy()
     new_page[1:] |= where[1:] != where[:-1]
     number = np.cumsum(first) - 1
-    pages = np.bincount(number, new_page) if len(at) else np.zeros(0)
-    out = np.zeros(n, np.int64)
-    out[at] = pages[number].astype(np.int64) if len(at) else 0
+    return at, number, np.bincount(number, new_page).astype(np.int64) if len(at) else np.zeros(0, np.int64)
+
+
+def suffix_runs(tokens: np.ndarray, page: np.ndarray, run: int = RUN, row: np.ndarray | None = None) -> np.ndarray:
+    """For every place, on how many distinct pages the run of ``run`` words starting there occurs
+    (0 where a row ends first; each page is a row if not given)."""
+    at, number, pages = suffix_groups(tokens, page, page if row is None else row, run)
+    out = np.zeros(len(tokens), np.int64)
+    out[at] = pages[number]
     return out
 
 
@@ -240,7 +251,8 @@ def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int], seen_on:
         n_pages = len(set(numbers))
         flat = [w for ws in words for w in ws]
         tokens = np.asarray(pa.array(flat, pa.large_string()).dictionary_encode().indices)
-        seen_on = suffix_runs(tokens, np.repeat(np.asarray(numbers)[owner], size)) if flat else np.zeros(0, np.int64)
+        row = np.repeat(owner, size)
+        seen_on = suffix_runs(tokens, np.asarray(numbers)[row], row=row) if flat else np.zeros(0, np.int64)
     repeated = _covered(seen_on >= 2, RUN)
     template = _covered(seen_on >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * n_pages), RUN)
     ends = np.cumsum(size)
@@ -274,9 +286,10 @@ def host_of(url: str | None) -> str | None:
 
 
 class Runs(NamedTuple):
-    """Runs of a piece: start and key of each, number of words; distinct keys in order, their pages."""
+    """Runs of a piece: start of each occurrence and its place in ``keys``; number of words; hashes of the distinct runs in
+    order, and on how many pages of the piece each is."""
     at: np.ndarray
-    key: np.ndarray
+    place: np.ndarray
     n_words: int
     keys: np.ndarray
     pages: np.ndarray
@@ -285,15 +298,24 @@ class Runs(NamedTuple):
 def piece_runs(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None) -> Runs:
     w = W.split_words(pa.array([" ".join(text for _, text in blocks) for blocks in pages], pa.large_string()))
     seed = xxhash.xxh3_64_intdigest("" if host is None else "host " + host)
-    at = np.flatnonzero(W.starts_in_one_text(w.offsets, RUN))
-    key = W.window_hashes(W.word_hashes(w.vocab, seed)[w.codes], RUN)[at] if len(at) else np.zeros(0, np.uint64)
-    number = np.asarray(numbers, np.int64)[W.doc_of(w.offsets)[at]]
-    order = np.lexsort((number, key))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = key[order][1:] != key[order][:-1]
-    new_page = fresh.copy()
-    new_page[1:] |= number[order][1:] != number[order][:-1]
-    return Runs(at, key, len(w.codes), key[order][fresh], np.bincount(np.cumsum(fresh) - 1, new_page).astype(np.int64))
+    row = W.doc_of(w.offsets)
+    at, number, seen = suffix_groups(w.codes, np.asarray(numbers, np.int64)[row], row)
+    if not len(at):
+        return Runs(at, number, len(w.codes), np.zeros(0, np.uint64), seen)
+    # a run's occurrences are neighbours in ``at``: the first one names it
+    key = W.window_hashes(W.word_hashes(w.vocab, seed)[w.codes], RUN)[at[np.flatnonzero(np.diff(number, prepend=-1))]]
+    order = np.argsort(key, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return Runs(at, place[number], len(w.codes), key[order], seen[order])
+
+
+def can_be_template(keys: np.ndarray, pages: np.ndarray, piece_pages: np.ndarray, host_pages: int) -> np.ndarray:
+    """Distinct ``keys`` that may be on the pages a template line needs. Each nomination has the run's pages in its
+    piece and the piece's pages; in a piece that does not nominate it, a run is on under ``NOMINATE`` of the pages."""
+    distinct, number = np.unique(keys, return_inverse=True)
+    sure, covered = np.bincount(number, pages), np.bincount(number, piece_pages)
+    return distinct[sure + NOMINATE * (host_pages - covered) >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * host_pages) - 1e-6]
 
 
 class Deal(NamedTuple):
@@ -343,6 +365,16 @@ def _messages(rows: list[tuple]) -> pa.Table:
     return pa.table({k: pa.array(c, t) for (k, t), c in zip(_TYPES.items(), cols)})
 
 
+_SIZES = {"first": pa.int32(), "n": pa.int64(), "pieces": pa.int64(), "is_open": pa.binary()}
+_NOMINATION = "first int, bucket int, n long, k long, payload binary"
+
+
+def _nominations(rows: list[tuple]) -> pa.Table:
+    cols = list(zip(*rows)) or [[]] * 5
+    types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+    return pa.table({f.split()[0]: pa.array(c, t) for f, c, t in zip(_NOMINATION.split(", "), cols, types)})
+
+
 def _rows(tab: pa.Table) -> list[tuple]:
     return list(zip(*(tab.column(c).to_pylist() for c in _TYPES)))
 
@@ -389,33 +421,51 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         raw, *names, block="int", first="int", host="string", kinds="string", text="string"))
     by_block = pages.repartition(n, "block").groupBy("block")
 
-    def send_piece(tab: pa.Table) -> pa.Table:
-        block = tab.column("block")[0].as_py()
+    def send_size(tab: pa.Table) -> pa.Table:
+        block, host = tab.column("block")[0].as_py(), tab.column("host")[0].as_py()
         if block < whole:
-            return _messages([])
+            return pa.table({k: pa.array([], t) for k, t in _SIZES.items()})
         blocks, numbers = _pages(tab)
-        runs, n_pages = piece_runs(blocks, numbers, tab.column("host")[0].as_py()), len(set(numbers))
-        often = runs.keys[runs.pages >= TEMPLATE_SHARE * n_pages - 1e-6]
-        return _messages([(block, tab.column("first")[0].as_py(), n_pages, X.join_fields(
-            bytes([any(map(_open, blocks))]), len(often).to_bytes(8, "little"), X.pack_sorted(often)))])
-
-    def add_host(tab: pa.Table) -> pa.Table:
-        got = [(block, k, X.split_fields(p)) for block, _, k, p in _rows(tab)]
-        often = np.unique(np.concatenate([X.unpack_sorted(f[2], int.from_bytes(f[1], "little")) for _, _, f in got]))
-        payload = X.join_fields(bytes([any(f[0] != b"\0" for _, _, f in got)]), len(often).to_bytes(8, "little"),
-                                X.pack_sorted(often))
-        n_pages = sum(k for _, k, _ in got)
-        return _messages([(block, -1 - block, n_pages, payload) for block, _, _ in got])
+        row = (tab.column("first")[0].as_py(), len(set(numbers)), Deal(*shared.value).pieces[host],
+               bytes([any(map(_open, blocks))]))
+        return pa.table({k: pa.array([v], t) for (k, t), v in zip(_SIZES.items(), row)})
+
+    def nominate(tab: pa.Table) -> pa.Table:
+        block, home = tab.column("block")[0].as_py(), tab.column("first")[0].as_py()
+        host = tab.column("host")[0].as_py()
+        if block < whole:
+            return _nominations([])
+        blocks, numbers = _pages(tab)
+        runs, n_pages, out = piece_runs(blocks, numbers, host), len(set(numbers)), []
+        use = runs.pages >= NOMINATE * n_pages - 1e-6
+        keys, seen = runs.keys[use], runs.pages[use]
+        cut = X.bucket_bounds(keys, -(-Deal(*shared.value).pieces[host] // SHARED_PIECES))
+        for b in np.flatnonzero(np.diff(cut)):
+            part = slice(cut[b], cut[b + 1])
+            out.append((home, int(b), n_pages, int(cut[b + 1] - cut[b]),
+                        X.join_fields(X.pack_sorted(keys[part]), X.pack(seen[part]))))
+        return _nominations(out)
+
+    def choose(tab: pa.Table) -> pa.Table:
+        sizes = tab.column("k").to_pylist()
+        fields = [X.split_fields(p) for p in tab.column("payload").to_pylist()]
+        keys = can_be_template(np.concatenate([X.unpack_sorted(f[0], k) for f, k in zip(fields, sizes)]),
+                               np.concatenate([X.unpack(f[1], k) for f, k in zip(fields, sizes)]),
+                               np.repeat(tab.column("n").to_numpy(), sizes), tab.column("host_pages")[0].as_py())
+        return pa.table({"first": tab.column("first").slice(0, 1), "chosen": pa.array([keys.tobytes()], pa.binary())})
+
+    def together(tab: pa.Table) -> pa.Table:
+        keys = np.sort(np.concatenate([np.frombuffer(p, np.uint64) for p in tab.column("chosen").to_pylist()]))
+        return pa.table({"first": tab.column("first").slice(0, 1), "chosen": pa.array([keys.tobytes()], pa.binary())})
 
     def asked(runs: Runs, payload: bytes) -> np.ndarray:
         """Which distinct runs of a piece are counted over all pieces of its host."""
-        is_open, k, often = X.split_fields(payload)
-        if is_open != b"\0":
+        if payload[0]:
             return np.ones(len(runs.keys), bool)
-        return np.isin(runs.keys, X.unpack_sorted(often, int.from_bytes(k, "little")))
+        return np.isin(runs.keys, np.frombuffer(payload, np.uint64, offset=1))
 
     def send_runs(tab: pa.Table, host: pa.Table) -> pa.Table:
-        if tab.column("block")[0].as_py() < whole:
+        if not tab.num_rows or tab.column("block")[0].as_py() < whole:  # a piece may have no page
             return _messages([])
         blocks, numbers = _pages(tab)
         runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
@@ -445,14 +495,13 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         blocks, numbers = _pages(tab)
         runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
         memo, *totals = sorted(answers, key=lambda r: r[1])
-        keys = runs.keys[asked(runs, memo[3])]
+        use = asked(runs, memo[3])
         total = np.concatenate([np.zeros(0, np.uint64), *[X.unpack_counts(p, k) for _, _, k, p in totals]])
-        if len(total) != len(keys):
-            raise RuntimeError(f"answers for {len(total)} runs, asked for {len(keys)}")
-        seen_on = np.zeros(runs.n_words, np.int64)
-        if len(keys):
-            place = np.minimum(np.searchsorted(keys, runs.key), len(keys) - 1)
-            seen_on[runs.at] = np.where(keys[place] == runs.key, total[place].astype(np.int64), 0)
+        if len(total) != use.sum():
+            raise RuntimeError(f"answers for {len(total)} runs, asked for {use.sum()}")
+        per_run, seen_on = np.zeros(len(use), np.int64), np.zeros(runs.n_words, np.int64)
+        per_run[use] = total.astype(np.int64)
+        seen_on[runs.at] = per_run[runs.place]
         return main_texts(blocks, numbers, seen_on, memo[2])
 
     def remove(tab: pa.Table, answers: pa.Table) -> pa.Table:
@@ -467,8 +516,20 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         return pa.table([*[tab.column(c) for c in names], text, pc.utf8_length(text).cast(pa.int64())],
                         names=[*names, "text", "n_chars"])
 
-    hosts = by_block.applyInArrow(send_piece, _MESSAGE).groupBy("bucket").applyInArrow(add_host, _MESSAGE)
-    totals = by_block.cogroup(hosts.groupBy("block")).applyInArrow(send_runs, _MESSAGE)
+    sizes = by_block.applyInArrow(send_size, "first int, n long, pieces long, is_open binary")
+    hosts = sizes.groupBy("first").agg(F.sum("n").alias("host_pages"), F.max("pieces").alias("pieces"), F.max("is_open").alias("is_open"))
+    chosen = by_block.applyInArrow(nominate, _NOMINATION).join(hosts.select("first", "host_pages"), "first")
+    chosen = chosen.groupBy("first", "bucket").applyInArrow(choose, "first int, chosen binary")
+    chosen = chosen.groupBy("first").applyInArrow(together, "first int, chosen binary")
+    # a copy of a host's list for every SHARED_PIECES pieces, which then goes to each: a host with most of the pages is many tasks
+    lists = hosts.join(chosen, "first", "left").select(
+        "first", "host_pages", "pieces", F.concat("is_open", F.coalesce("chosen", F.lit(b""))).alias("payload"),
+        F.explode(F.expr(f"sequence(0L, (pieces - 1) div {SHARED_PIECES})")).alias("part")).repartition("first", "part")
+    memos = lists.withColumn("piece", F.explode(F.expr(
+        f"sequence(part * {SHARED_PIECES}, least(pieces, (part + 1) * {SHARED_PIECES}) - 1)"))).select(
+        F.expr("cast(first + piece as int)").alias("block"), F.expr("cast(-1 - first - piece as int)").alias("bucket"),
+        F.col("host_pages").alias("n"), "payload")
+    totals = by_block.cogroup(memos.groupBy("block")).applyInArrow(send_runs, _MESSAGE)
     totals = totals.groupBy("bucket").applyInArrow(add_runs, _MESSAGE)
     done = by_block.cogroup(totals.groupBy("block")).applyInArrow(
         remove, schema_of(raw, *names, text="string", n_chars="long"))

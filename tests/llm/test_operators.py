@@ -364,6 +364,13 @@ def test_suffix_runs_by_brute_force():
         assert got.tolist() == [len(where[spans[i]]) if i in spans else 0 for i in range(300)]
 
 
+def test_suffix_runs_of_few_words():
+    for n in range(10):
+        got = html.suffix_runs(np.arange(n), np.zeros(n, np.int64))
+        assert got.tolist() == [1 if i + html.RUN <= n else 0 for i in range(n)]
+        assert html.main_texts([html.blocks_of(" ".join("abcdefghi"[:n]))], [0]) == [" ".join("abcdefghi"[:n])]
+
+
 def test_html_host_boilerplate(spark):
     page = ("<html><body><div>Home News Sport Weather Contact About Login Terms of use</div><div>{}</div>"
             "<div>Copyright by the great company of all rights reserved since 1999</div></body></html>")
@@ -417,6 +424,45 @@ def test_html_runs_count_over_the_whole_host(spark, monkeypatch):
         assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_html_nominated_runs():
+    """No run on the template's share of a host is lost by the pieces' nominations, and few others stay."""
+    rng = np.random.default_rng(2)
+    piece = np.sort(rng.integers(0, 40, 2000))  # pages of 40 pieces, of 2000
+    share = rng.random(300) ** 2
+    share[:20] = np.linspace(0.78, 1, 20)
+    on = rng.random((300, 2000)) < share[:, None]
+    on[20] = piece < 10  # on all pages of a quarter of the pieces
+    pages = np.bincount(piece, minlength=40)
+    seen = np.stack([np.bincount(piece, row, minlength=40) for row in on])
+    key, part = np.nonzero(seen >= html.NOMINATE * pages)
+    got = set(html.can_be_template(key.astype(np.uint64), seen[key, part], pages[part], 2000).tolist())
+    assert set(np.flatnonzero(on.sum(axis=1) >= html.TEMPLATE_SHARE * 2000).tolist()) <= got
+    assert 20 not in got and len(got) <= on.sum() / 2000 / (html.NOMINATE * 2 / 3) and (on[list(got)].mean(axis=1) > 0.26).all()
+
+
+def test_html_piece_runs_are_the_suffix_arrays():
+    """Runs of a piece by its suffix array: hashes, places and pages against a plain count; repeated rows are one page."""
+    rng = random.Random(7)
+    pages = [[(html.OPEN, " ".join(rng.choice("ab") for _ in range(rng.randint(0, 40))))] for _ in range(12)]
+    numbers = [0, 0, *range(1, 11)]
+    runs = html.piece_runs(pages, numbers, "h")
+    spans, where, base = {}, collections.defaultdict(set), 0
+    for (_, text), number in zip((p[0] for p in pages), numbers):
+        ws = text.split()
+        for i in range(len(ws) - html.RUN + 1):
+            spans[base + i] = tuple(ws[i:i + html.RUN])
+            where[spans[base + i]].add(number)
+        base += len(ws)
+    assert sorted(runs.at.tolist()) == sorted(spans) and runs.n_words == base
+    assert (np.diff(runs.keys.astype(object)) > 0).all() and len(runs.keys) == len(where)
+    name = {}
+    for at, place in zip(runs.at.tolist(), runs.place.tolist()):
+        assert name.setdefault(spans[at], place) == place and runs.pages[place] == len(where[spans[at]])
+    assert len(set(name.values())) == len(where)
+    other = html.piece_runs(pages[::-1], numbers[::-1], "h")
+    assert (other.keys == runs.keys).all() and (other.pages == runs.pages).all()
+
+
 # 7 ------------------------------------------------------------------------------------
 
 def test_fingerprints(edge, empty):
