@@ -194,17 +194,20 @@ def suffix_groups(tokens: np.ndarray, page: np.ndarray, row: np.ndarray, run: in
     n = len(tokens)
     if n < run:
         return (np.zeros(0, np.int64),) * 3
-    rank = np.unique(tokens, return_inverse=True)[1].astype(np.int64) + 1
+    # numbers of words below n are ranks as they are
+    rank = (tokens if tokens.max() < n else np.unique(tokens, return_inverse=True)[1]).astype(np.int64) + 1
     length = 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank, kind="stable") if run == 1 else None
     while length < run:
         step = min(length, run - length)
         after = np.zeros(n, np.int64)
         after[:n - step] = rank[step:]
         key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
+        # only the last order is read, by places within one rank
+        order = np.argsort(key, kind="stable" if length + step == run else None)
+        key = key[order]
         fresh = np.ones(n, np.int64)
-        fresh[1:] = key[order][1:] != key[order][:-1]
+        fresh[1:] = key[1:] != key[:-1]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(fresh)
         length += step
@@ -213,8 +216,9 @@ def suffix_groups(tokens: np.ndarray, page: np.ndarray, row: np.ndarray, run: in
     inside[:n - run + 1] = row[run - 1:] == row[:n - run + 1]
     at = order[inside[order]]
     group, where = rank[at], page[at]
-    by = np.lexsort((where, group))
-    group, where, at = group[by], where[by], at[by]
+    if (page[1:] < page[:-1]).any():  # a repeated row apart from the first
+        by = np.lexsort((where, group))
+        group, where, at = group[by], where[by], at[by]
     first = np.ones(len(at), bool)
     first[1:] = group[1:] != group[:-1]
     new_page = first.copy()
@@ -243,7 +247,7 @@ def _covered(starts: np.ndarray, run: int) -> np.ndarray:
 def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int], seen_on: np.ndarray | None = None,
                n_pages: int | None = None) -> list[str]:
     """Main text of each page of one host, given its blocks; ``numbers`` tells distinct pages. For a piece of
-    a host, ``seen_on`` has for every word on how many pages of the host its run is, of ``n_pages``."""
+    a host, ``seen_on`` has for every word on how many pages of the host its run is, of ``n_pages`` (empty: no run counts)."""
     words = [text.split(" ") for blocks in pages for _, text in blocks]
     size = np.array([len(w) for w in words], np.int64)
     owner = np.repeat(np.arange(len(pages)), [len(b) for b in pages])
@@ -253,6 +257,8 @@ def main_texts(pages: list[list[tuple[int, str]]], numbers: list[int], seen_on:
         tokens = np.asarray(pa.array(flat, pa.large_string()).dictionary_encode().indices)
         row = np.repeat(owner, size)
         seen_on = suffix_runs(tokens, np.asarray(numbers)[row], row=row) if flat else np.zeros(0, np.int64)
+    if not len(seen_on):
+        seen_on = np.zeros(int(size.sum()), np.int64)
     repeated = _covered(seen_on >= 2, RUN)
     template = _covered(seen_on >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * n_pages), RUN)
     ends = np.cumsum(size)
@@ -295,21 +301,42 @@ class Runs(NamedTuple):
     pages: np.ndarray
 
 
-def piece_runs(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None) -> Runs:
+def _piece_words(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None) -> tuple:
+    """Words of a piece, distinct page and row of each, and the hash of the run that starts at each."""
     w = W.split_words(pa.array([" ".join(text for _, text in blocks) for blocks in pages], pa.large_string()))
     seed = xxhash.xxh3_64_intdigest("" if host is None else "host " + host)
     row = W.doc_of(w.offsets)
-    at, number, seen = suffix_groups(w.codes, np.asarray(numbers, np.int64)[row], row)
-    if not len(at):
-        return Runs(at, number, len(w.codes), np.zeros(0, np.uint64), seen)
+    hashes = W.window_hashes(W.word_hashes(w.vocab, seed)[w.codes], RUN) if len(w.codes) >= RUN else np.zeros(0, np.uint64)
+    return w, np.asarray(numbers, np.int64)[row], row, hashes
+
+
+def piece_runs(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None) -> Runs:
+    """All runs of a piece, by its suffix array."""
+    w, page, row, hashes = _piece_words(pages, numbers, host)
+    at, number, seen = suffix_groups(w.codes, page, row)
     # a run's occurrences are neighbours in ``at``: the first one names it
-    key = W.window_hashes(W.word_hashes(w.vocab, seed)[w.codes], RUN)[at[np.flatnonzero(np.diff(number, prepend=-1))]]
+    key = hashes[at[np.flatnonzero(np.diff(number, prepend=-1))]]
     order = np.argsort(key, kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
     return Runs(at, place[number], len(w.codes), key[order], seen[order])
 
 
+def listed_runs(pages: list[list[tuple[int, str]]], numbers: list[int], host: str | None, listed: np.ndarray) -> Runs:
+    """The runs of a piece that are among the sorted hashes ``listed``."""
+    if not len(listed):
+        none = np.zeros(0, np.int64)
+        return Runs(none, none, 0, listed, none)
+    w, page, _, hashes = _piece_words(pages, numbers, host)
+    at = np.flatnonzero(W.starts_in_one_text(w.offsets, RUN))
+    place = np.minimum(np.searchsorted(listed, hashes[at]), len(listed) - 1)
+    found = listed[place] == hashes[at]
+    at, place = at[found], place[found]
+    once = np.unique(np.stack([place, page[at]]), axis=1)[0]  # a run counts once a page
+    present, code = np.unique(place, return_inverse=True)
+    return Runs(at, code, len(w.codes), listed[present], np.bincount(np.searchsorted(present, once), minlength=len(present)))
+
+
 def can_be_template(keys: np.ndarray, pages: np.ndarray, piece_pages: np.ndarray, host_pages: int) -> np.ndarray:
     """Distinct ``keys`` that may be on the pages a template line needs. Each nomination has the run's pages in its
     piece and the piece's pages; in a piece that does not nominate it, a run is on under ``NOMINATE`` of the pages."""
@@ -388,9 +415,9 @@ def _pages(tab: pa.Table) -> tuple[list, list[int]]:
                 tab.column("page_id").to_pylist(), tab.column("url").to_pylist())])
 
 
-def _open(blocks: list[tuple[int, str]]) -> bool:
-    kinds = {kind for kind, _ in blocks}
-    return OPEN in kinds and MAIN not in kinds
+def _open(kinds: str) -> bool:
+    """Whether a page has open text and no article."""
+    return str(OPEN) in kinds and str(MAIN) not in kinds
 
 
 def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -425,9 +452,9 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         block, host = tab.column("block")[0].as_py(), tab.column("host")[0].as_py()
         if block < whole:
             return pa.table({k: pa.array([], t) for k, t in _SIZES.items()})
-        blocks, numbers = _pages(tab)
-        row = (tab.column("first")[0].as_py(), len(set(numbers)), Deal(*shared.value).pieces[host],
-               bytes([any(map(_open, blocks))]))
+        n_pages = len(set(zip(tab.column("page_id").to_pylist(), tab.column("url").to_pylist())))
+        is_open = any(map(_open, tab.column("kinds").to_pylist()))
+        row = (tab.column("first")[0].as_py(), n_pages, Deal(*shared.value).pieces[host], bytes([is_open]))
         return pa.table({k: pa.array([v], t) for (k, t), v in zip(_SIZES.items(), row)})
 
     def nominate(tab: pa.Table) -> pa.Table:
@@ -458,20 +485,21 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         keys = np.sort(np.concatenate([np.frombuffer(p, np.uint64) for p in tab.column("chosen").to_pylist()]))
         return pa.table({"first": tab.column("first").slice(0, 1), "chosen": pa.array([keys.tobytes()], pa.binary())})
 
-    def asked(runs: Runs, payload: bytes) -> np.ndarray:
-        """Which distinct runs of a piece are counted over all pieces of its host."""
-        if payload[0]:
-            return np.ones(len(runs.keys), bool)
-        return np.isin(runs.keys, np.frombuffer(payload, np.uint64, offset=1))
+    def asked(tab: pa.Table, payload: bytes) -> tuple[list, list[int], Runs]:
+        """A piece's blocks and page numbers, and the runs that are counted over all pieces of its host: all if a page of
+        the host has open text, else the host's list."""
+        blocks, numbers = _pages(tab)
+        host = tab.column("host")[0].as_py()
+        return blocks, numbers, (piece_runs(blocks, numbers, host) if payload[0] else
+                                 listed_runs(blocks, numbers, host, np.frombuffer(payload, np.uint64, offset=1)))
 
     def send_runs(tab: pa.Table, host: pa.Table) -> pa.Table:
         if not tab.num_rows or tab.column("block")[0].as_py() < whole:  # a piece may have no page
             return _messages([])
-        blocks, numbers = _pages(tab)
-        runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
         memo, = _rows(host)
-        use = asked(runs, memo[3])
-        keys, count = runs.keys[use], runs.pages[use]
+        if memo[3] == b"\0":  # no open text and an empty list
+            return _messages([memo])
+        *_, keys, count = asked(tab, memo[3])[2]
         cut, out = X.bucket_bounds(keys, n), [memo]
         for b in np.flatnonzero(np.diff(cut)):
             part = slice(cut[b], cut[b + 1])
@@ -492,16 +520,13 @@ def extract_text(df: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                           for (block, bucket, k, _), a in zip(got, cut)])
 
     def piece_texts(tab: pa.Table, answers: list[tuple]) -> list[str]:
-        blocks, numbers = _pages(tab)
-        runs = piece_runs(blocks, numbers, tab.column("host")[0].as_py())
         memo, *totals = sorted(answers, key=lambda r: r[1])
-        use = asked(runs, memo[3])
+        blocks, numbers, runs = asked(tab, memo[3])
         total = np.concatenate([np.zeros(0, np.uint64), *[X.unpack_counts(p, k) for _, _, k, p in totals]])
-        if len(total) != use.sum():
-            raise RuntimeError(f"answers for {len(total)} runs, asked for {use.sum()}")
-        per_run, seen_on = np.zeros(len(use), np.int64), np.zeros(runs.n_words, np.int64)
-        per_run[use] = total.astype(np.int64)
-        seen_on[runs.at] = per_run[runs.place]
+        if len(total) != len(runs.keys):
+            raise RuntimeError(f"answers for {len(total)} runs, asked for {len(runs.keys)}")
+        seen_on = np.zeros(runs.n_words, np.int64)
+        seen_on[runs.at] = total.astype(np.int64)[runs.place]
         return main_texts(blocks, numbers, seen_on, memo[2])
 
     def remove(tab: pa.Table, answers: pa.Table) -> pa.Table:

@@ -362,6 +362,9 @@ def test_suffix_runs_by_brute_force():
                 where[spans[i]].add(page[i])
         got = html.suffix_runs(tokens, page, run)
         assert got.tolist() == [len(where[spans[i]]) if i in spans else 0 for i in range(300)]
+        names, row = rng.permutation(10) // 2, page  # some rows are one page, and their numbers in no order
+        got = html.suffix_runs(tokens * 10 ** 6, names[page], run, row=row)
+        assert got.tolist() == [len({names[p] for p in where[spans[i]]}) if i in spans else 0 for i in range(300)]
 
 
 def test_suffix_runs_of_few_words():
@@ -461,6 +464,11 @@ def test_html_piece_runs_are_the_suffix_arrays():
     assert len(set(name.values())) == len(where)
     other = html.piece_runs(pages[::-1], numbers[::-1], "h")
     assert (other.keys == runs.keys).all() and (other.pages == runs.pages).all()
+    listed = np.sort(np.append(runs.keys[::3], np.uint64(5)))
+    some = html.listed_runs(pages, numbers, "h", listed)
+    assert (some.keys == runs.keys[::3]).all() and (some.pages == runs.pages[::3]).all() and some.n_words == runs.n_words
+    assert set(zip(some.at.tolist(), (3 * some.place).tolist())) == {
+        (a, p) for a, p in zip(runs.at.tolist(), runs.place.tolist()) if p % 3 == 0}
 
 
 # 7 ------------------------------------------------------------------------------------
