@@ -17,14 +17,16 @@ they share an aligned anchor. Three steps over blocks of whole documents
    window is the first of the corpus;
 3. blocks remove the words under windows that are not the first.
 
-The documents are shuffled once; the three steps read the same exchange. No pairs are
-made: a passage that a third of the corpus shares is one entry per block.
+The documents are shuffled once; the three steps read the same exchange. Its rows come in
+another order at each read (blocks are fetched from other executors as they arrive), so steps 2 and 3,
+which speak of places in a block, put them in order first. No pairs are made: a passage that a
+third of the corpus shares is one entry per block.
 
 The kept words' white space stays as it was in a text that loses some, and other texts stay as they are.
 
 Edge cases: a null text has no words and stays null; an empty or short text is kept.
 Null ids come before all others. Rows with the same id are ordered by block and a hash
-of their text; wholly equal rows are in one block and the first met is the earlier one. An empty
+of their text; of wholly equal rows, which are in one block, one is the earlier one. An empty
 table gives an empty result.
 """
 
@@ -117,6 +119,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if not tab.num_rows:
             return _messages([])
         block = tab.column("block")[0].as_py()
+        tab, ids = _ordered(tab)
         w, h = _hashed(tab)
         at, key = _anchors(w, h, size, period, cover)
         keys, inverse = np.unique(key, return_inverse=True)
@@ -131,9 +134,8 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         high = W.window_hashes(h, window)[starts]
         low = W.window_hashes(h ^ np.uint64(0xA5A5A5A5A5A5A5A5), window)[starts]
         doc = W.doc_of(w.offsets)[starts]
-        ids, tie = _order(tab)
         # the earliest occurrence of each distinct window of the block stands first
-        order = np.lexsort((starts, tie[doc], ids[doc], low, high))
+        order = np.lexsort((starts, low, high))
         head = np.ones(len(order), bool)
         same = (high[order][1:] == high[order][:-1]) & (low[order][1:] == low[order][:-1])
         head[1:] = ~same
@@ -177,6 +179,7 @@ def dedup_substrings(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return _messages(rows)
 
     def remove(tab: pa.Table, answers: pa.Table) -> pa.Table:
+        tab, _ = _ordered(tab)
         texts = W.as_texts(tab.column("text"))
         w = W.split_words(texts)
         gone = np.zeros(len(w.codes) + 1, np.int64)
@@ -256,11 +259,13 @@ def _memo(data: bytes, n_starts: int) -> list[np.ndarray]:
     return out
 
 
-def _order(tab: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Sort key of each document: id (null: before all), hash of the text."""
-    ids = pc.fill_null(tab.column("doc_id").cast(pa.int64()), -(1 << 63))
+def _ordered(tab: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The documents of a block by id (null: before all), then hash of the text, and their ids. At every read of the
+    block this is the same order, but for rows equal in id and text."""
+    ids = pc.fill_null(tab.column("doc_id").cast(pa.int64()), -(1 << 63)).combine_chunks().to_numpy()
     tie = [xxhash.xxh3_64_intdigest(t, 1) for t in W.as_texts(tab.column("text")).to_pylist()]
-    return ids.combine_chunks().to_numpy(), np.array(tie, np.uint64)
+    order = np.lexsort((np.array(tie, np.uint64), ids))
+    return tab.take(pa.array(order)), ids[order]
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

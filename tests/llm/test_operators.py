@@ -302,6 +302,24 @@ def test_substring_dedup(spark, edge, empty):
         (False, 0), (True, 25), (True, 25)]
 
 
+def test_substring_dedup_whatever_order_blocks_are_read_in(spark):
+    """On several executors the rows of a shuffle come in another order at each read."""
+    def mixed(batches):
+        for batch in batches:
+            yield batch.take(pa.array(np.random.default_rng().permutation(batch.num_rows)))
+
+    rows = [(i, t) for i, (_, t, _, _) in enumerate(edge_rows()[:40])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInArrow(mixed, "doc_id long, text string")
+    held = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = sorted((r.doc_id, r.n_words, r.n_removed, r.text)
+                     for r in substring.dedup_substrings(table, keep_spaces=False).collect())
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", held)
+    assert got == brute_substrings(rows, 20)
+
+
 @pytest.mark.parametrize("period,cover", [(1, (0,)), (7, (0, 1, 3)), (13, (0, 1, 3, 9))])
 def test_difference_covers(spark, period, cover):
     rows = [(i, t) for i, (_, t, _, _) in enumerate(edge_rows()[:40])]
