@@ -26,9 +26,11 @@ from pricestream import constants as K
 from pricestream.session import materialize
 
 CELL = "__cell"
+#: Place of a row in its cell, where a later row is looked for.
+PLACE = "__place"
 #: Cell of the rows of keys that are not cut.
 WHOLE = -1
-_START, _END, _HERE = Window.unboundedPreceding, Window.unboundedFollowing, Window.currentRow
+_START, _HERE = Window.unboundedPreceding, Window.currentRow
 
 
 class Running(NamedTuple):
@@ -40,8 +42,10 @@ class Running(NamedTuple):
     inclusive: bool = True
 
     def local(self, w) -> Column:
+        """Over the window ``w``; that of a ``next`` goes backwards. Looked for forwards, in a frame from each row to
+        the end of the key, a value would cost the rest of the key for every row."""
         if self.kind == "next":
-            return F.first(self.value, ignorenulls=True).over(w.rowsBetween(1, _END))
+            return F.last(self.value, ignorenulls=True).over(w.rowsBetween(_START, -1))
         w = w.rowsBetween(_START, _HERE if self.inclusive else -1)
         return F.sum(self.value).over(w) if self.kind == "sum" else F.last(self.value, ignorenulls=True).over(w)
 
@@ -53,9 +57,7 @@ class Running(NamedTuple):
         return pick(self.value, F.when(F.col(self.value).isNotNull(), F.struct(*order)))
 
     def from_others(self, w, column: str) -> Column:
-        """What the other cells of the key pass on to a cell."""
-        if self.kind == "next":
-            return F.first(column, ignorenulls=True).over(w.rowsBetween(1, _END))
+        """What the other cells of the key pass on to a cell; the window ``w`` of a ``next`` goes backwards."""
         w = w.rowsBetween(_START, -1)
         return F.sum(column).over(w) if self.kind == "sum" else F.last(column, ignorenulls=True).over(w)
 
@@ -93,11 +95,19 @@ def deal(df: DataFrame, key: str, order: Sequence[str], rows_per_cell: int = K.D
 
 def scan(dealt: Dealt, **values: Running) -> DataFrame:
     """The dealt rows with a column for each running value; partitioned by (cell, key)."""
-    w = Window.partitionBy(CELL, dealt.key).orderBy(*dealt.order)
+    of_key = Window.partitionBy(CELL, dealt.key)
+    forwards, backwards = of_key.orderBy(*dealt.order), of_key.orderBy(F.desc(PLACE))
     rows = dealt.rows
     columns = [*rows.columns, *values]
     for name, v in values.items():
-        rows = rows.withColumn(name, v.local(w))
+        if v.kind != "next":
+            rows = rows.withColumn(name, v.local(forwards))
+    later = {name: v for name, v in values.items() if v.kind == "next"}
+    if later:  # rows that tie in the order have the same places both ways
+        rows = rows.withColumn(PLACE, F.row_number().over(forwards))
+        for name, v in later.items():
+            rows = rows.withColumn(name, v.local(backwards))
+    rows = rows.select(*columns)
     if dealt.cut is None:
         return rows
     rows = _match(rows, carries(dealt.cut, [dealt.key], dealt.order, **values), [CELL, dealt.key], "left")
@@ -110,8 +120,9 @@ def carries(cut: DataFrame, keys: Sequence[str], order: Sequence[str], **values:
     """__cell, ``keys`` and, for each running value, __from_NAME: what the key's other cells pass on. One row per
     cell and key, added up before the shuffle."""
     parts = cut.groupBy(CELL, *keys).agg(*[v.of_cell(order).alias(f"__cell_{n}") for n, v in values.items()])
-    w = Window.partitionBy(*keys).orderBy(CELL)
-    return parts.select(CELL, *keys, *[v.from_others(w, f"__cell_{n}").alias(f"__from_{n}") for n, v in values.items()])
+    forwards, backwards = (Window.partitionBy(*keys).orderBy(o) for o in (F.asc(CELL), F.desc(CELL)))
+    return parts.select(CELL, *keys, *[v.from_others(backwards if v.kind == "next" else forwards, f"__cell_{n}")
+                                       .alias(f"__from_{n}") for n, v in values.items()])
 
 
 def _match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pricestream.operators import demand, ingest
-from pricestream.operators.scan import CELL, WHOLE, deal, running_last, running_sum
+from pricestream.operators import demand, ingest, overrides
+from pricestream.operators.scan import CELL, WHOLE, Running, deal, running_last, running_sum, scan
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
 
@@ -42,6 +42,28 @@ def test_running_last_equals_plain_window(spark, cell, inclusive):
     assert same(a.select("event_seq", "o"), b.select("event_seq", "o"))
 
 
+@pytest.mark.parametrize("cell", [100_000, 50])
+def test_next_equals_plain_window(spark, cell):
+    ev = fixtures.product_events(spark, SF01)
+    d = ev.withColumn("v", F.when(F.col("event_type") == "purchase", F.col("event_seq")))
+    w = Window.partitionBy("product_id").orderBy(*ORDER).rowsBetween(1, Window.unboundedFollowing)
+    a = d.withColumn("o", F.first("v", ignorenulls=True).over(w))
+    b = scan(deal(d, "product_id", ORDER, cell), o=Running("next", "v"))
+    assert same(a.select("event_seq", "o"), b.select("event_seq", "o"))
+
+
+def test_intervals_cost_no_square_of_a_products_commands(spark):
+    # a frame from each row to the end of its key is gone through anew for every row
+    t = dt.datetime(2024, 1, 1)
+    op = F.when(F.col("id") % 3 == 2, F.lit("remove")).otherwise(F.lit("set"))
+    log = spark.range(3000).select(F.col("id").alias("cmd_seq"), F.lit(t).alias("cmd_ts"),
+                                   F.lit("P1").alias("product_id"), op.alias("op"))
+    for cell in (100_000, 500):
+        done = overrides.override_intervals(log, cell)
+        assert "unboundedfollowing" not in _plan_text(done).lower()
+        assert done.where("removed_at IS NOT NULL").count() == done.count() == 1000
+
+
 def test_cells_split_a_burst_evenly(spark):
     # all rows of one product in one second
     t = dt.datetime(2024, 1, 1)
