@@ -34,10 +34,8 @@ def _pid() -> Column:
     return F.concat(prefix, F.get_json_object(F.col("props"), "$.k"))
 
 
-def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """event_seq, arrival_ts, event_type, product_id, user_id, timestamp, price."""
-    ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
+def event_columns() -> list[Column]:
+    """event_seq, arrival_ts, event_type, product_id, user_id, timestamp, price of a row of ``events``."""
     arrival = F.col("ts").cast("timestamp")
     ms = F.unix_millis(arrival)
     seq = F.col("event_id")
@@ -48,7 +46,7 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
              .otherwise(ms))
     # some ids come padded: the gate reads them trimmed, demand counts them as they are
     pid = F.when(seq % 23 == 3, F.concat(F.lit(" "), _pid(), F.lit("\t"))).otherwise(_pid())
-    return ev.select(
+    return [
         seq.alias("event_seq"),
         arrival.alias("arrival_ts"),
         F.when(F.col("event_type") == "click", F.lit("cart"))
@@ -57,22 +55,35 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("user_id"),
         stamp.cast("bigint").alias("timestamp"),
         F.col("value").alias("price"),
-    )
+    ]
+
+
+def is_command() -> Column:
+    return F.col("event_type").isin("signup", "error")
+
+
+def command_columns() -> list[Column]:
+    """cmd_seq, cmd_ts, product_id, op, override_price, reason of a row of ``events`` that is a command."""
+    is_set = F.col("event_type") == "signup"
+    return [F.col("event_id").alias("cmd_seq"),
+            F.col("ts").cast("timestamp").alias("cmd_ts"),
+            _pid().alias("product_id"),
+            F.when(is_set, F.lit(K.OP_SET)).otherwise(F.lit(K.OP_REMOVE)).alias("op"),
+            F.when(is_set, F.col("value")).cast("double").alias("override_price"),
+            F.when(F.col("event_id") % 2 == 0, F.lit(None).cast("string"))
+             .otherwise(F.lit("campaign")).alias("reason")]
+
+
+def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """event_seq, arrival_ts, event_type, product_id, user_id, timestamp, price."""
+    ensure_utc(spark)
+    return read_table(spark, sf_dir, "events").select(*event_columns())
 
 
 def override_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """cmd_seq, cmd_ts, product_id, op, override_price, reason."""
     ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
-    is_set = F.col("event_type") == "signup"
-    return (ev.where(F.col("event_type").isin("signup", "error"))
-              .select(F.col("event_id").alias("cmd_seq"),
-                      F.col("ts").cast("timestamp").alias("cmd_ts"),
-                      _pid().alias("product_id"),
-                      F.when(is_set, F.lit(K.OP_SET)).otherwise(F.lit(K.OP_REMOVE)).alias("op"),
-                      F.when(is_set, F.col("value")).cast("double").alias("override_price"),
-                      F.when(F.col("event_id") % 2 == 0, F.lit(None).cast("string"))
-                       .otherwise(F.lit("campaign")).alias("reason")))
+    return read_table(spark, sf_dir, "events").where(is_command()).select(*command_columns())
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from pricestream.operators import demand, ingest, overrides
 from pricestream.operators.scan import CELL, WHOLE, Running, deal, running_last, running_sum, scan
+from pricestream.plans import replay
 from pricestream.plans.pricing import PricingPlan
 from pricestream.sources import fixtures
+from pricestream.sources.tables import read_table
 
 from conftest import SF01
 
@@ -124,6 +126,19 @@ def test_only_long_keys_are_cut(spark):
     assert out.where("product_id <> 'HOT'").agg(F.max("d")).first()[0] == 50
 
 
+def test_replay_reads_even_files_once(spark, monkeypatch):
+    monkeypatch.setattr(replay, "ROWS_PER_FILE", 2_000)
+    events = read_table(spark, SF01, "events")
+    spread = replay.spread_events(spark, SF01, events.count())
+    sizes = [r["count"] for r in spread.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 1.5 * min(sizes) and same(events, spread)
+    messages = replay.table_messages(spark, SF01, spread)
+    assert _plan_text(messages).count("FileScan") == 1
+    topics = {r["topic"]: r["count"] for r in messages.groupBy("topic").count().collect()}
+    kinds = {r["event_type"]: r["count"] for r in events.groupBy("event_type").count().collect()}
+    assert topics == {"product-events": 10_000, "override-set": kinds["signup"], "override-remove": kinds["error"]}
+
+
 def test_a_null_key_is_a_key(spark):
     t = dt.datetime(2024, 1, 1)
     ev = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.lit("A")).alias("product_id"), F.lit(t).alias("arrival_ts"),
